@@ -1,0 +1,130 @@
+"""The whole job: raw CSV tables to a registered star schema and its marts.
+
+    python -m spendlight.plans.pipeline RAW_FOLDER OUTPUT_FOLDER [--database NAME]
+"""
+
+from __future__ import annotations
+
+import argparse
+
+from pyspark.sql import DataFrame, SparkSession
+
+from spendlight.operators import marts, quality, star
+from spendlight.plans import mart_sql
+from spendlight.schemas import FOREIGN_KEYS, PRIMARY_KEYS, STAR, required_columns
+from spendlight.session import build_session
+from spendlight.sources import catalog, files
+
+
+def write_star(
+    ad_events: DataFrame, conversions: DataFrame, campaigns: DataFrame, days: DataFrame, folder: str
+) -> dict[str, DataFrame]:
+    """Write the star schema below ``folder`` and return it as read back.
+
+    The campaign dimension is written first and the fact is built from the
+    written table, so keys are assigned once.
+    """
+    spark = ad_events.sparkSession
+    paths = {name: f"{folder.rstrip('/')}/{name}" for name in STAR}
+    files.write_parquet(star.campaign_dimension(campaigns), paths["dim_campaign"])
+    files.write_parquet(star.date_dimension(days), paths["dim_date"])
+    dim_campaign = files.read_parquet(spark, paths["dim_campaign"], STAR["dim_campaign"])
+    files.write_by_date(star.campaign_daily_fact(ad_events, conversions, dim_campaign), paths["fact_campaign_daily"])
+    return read_star(spark, folder)
+
+
+def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {name: files.read_parquet(spark, f"{folder.rstrip('/')}/{name}", schema) for name, schema in STAR.items()}
+
+
+def register_star(spark: SparkSession, database: str, folder: str, replace: bool = False) -> None:
+    catalog.create_database(spark, database, f"{folder.rstrip('/')}/_database")
+    for name, schema in STAR.items():
+        partition = "date" if name == "fact_campaign_daily" else None
+        catalog.register_parquet(
+            spark, database, name, f"{folder.rstrip('/')}/{name}", schema, partition, replace=replace
+        )
+
+
+def build_marts(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    fact, dim_campaign, dim_date = (tables[t] for t in ("fact_campaign_daily", "dim_campaign", "dim_date"))
+    return {
+        "mart_channel_summary": marts.channel_summary(fact),
+        "mart_campaign_summary": marts.campaign_summary(fact, dim_campaign),
+        "mart_monthly_summary": marts.monthly_summary(fact, dim_date),
+        "mart_campaign_daily": marts.campaign_daily(fact),
+    }
+
+
+# Marts with a row per channel or per month and channel fit one CSV part.
+SMALL_MARTS = {"mart_channel_summary", "mart_monthly_summary"}
+
+
+def write_marts(spark: SparkSession, built: dict[str, DataFrame], folder: str, database: str, replace: bool) -> None:
+    """Write each mart once as Parquet, register it, and export it as CSV."""
+    base = folder.rstrip("/")
+    for name, mart in built.items():
+        path = f"{base}/marts/{name}"
+        if "date" in mart.columns:
+            files.write_by_date(mart, path)
+        else:
+            files.write_parquet(mart, path)
+        written = files.read_parquet(spark, path, mart.schema)
+        catalog.register_parquet(
+            spark, database, name, path, mart.schema, "date" if "date" in mart.columns else None, replace=replace
+        )
+        export = files.export_csv if name in SMALL_MARTS else files.write_csv
+        export(written, f"{base}/csv/{name}")
+
+
+def check_star(tables: dict[str, DataFrame]) -> DataFrame:
+    """Constraints of the star schema, checked over all rows."""
+    reports = [
+        quality.primary_keys(tables, PRIMARY_KEYS),
+        quality.not_null_columns(tables, {name: required_columns(schema) for name, schema in STAR.items()}),
+        quality.foreign_keys(tables, FOREIGN_KEYS),
+        quality.metrics_reconcile(tables["fact_campaign_daily"]),
+    ]
+    out = reports[0]
+    for report in reports[1:]:
+        out = out.unionByName(report)
+    return out
+
+
+def run(spark: SparkSession, raw_folder: str, output: str, database: str, replace: bool = True) -> DataFrame:
+    """Run every step and return the check report of the star schema."""
+    raw = {
+        name: files.read_raw(spark, raw_folder, name)
+        for name in ("dim_campaigns", "dim_time", "fact_ad_events", "fact_conversions")
+    }
+    tables = write_star(
+        raw["fact_ad_events"],
+        raw["fact_conversions"],
+        raw["dim_campaigns"],
+        raw["dim_time"].select("date_id"),
+        output,
+    )
+    register_star(spark, database, output, replace)
+    write_marts(spark, build_marts(tables), output, database, replace)
+    return check_star(tables)
+
+
+def run_sql_marts(spark: SparkSession, database: str, output: str) -> None:
+    """Run the SQL marts on the registered tables and write their results."""
+    for name in mart_sql.MARTS:
+        files.write_parquet(mart_sql.run_mart_on_catalog(spark, name, database), f"{output.rstrip('/')}/sql/{name}")
+
+
+def main() -> None:
+    parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    parser.add_argument("raw_folder", help="folder or URI with the six raw CSV tables")
+    parser.add_argument("output", help="folder or URI for the star schema and the marts")
+    parser.add_argument("--database", default="spendlight")
+    args = parser.parse_args()
+    spark = build_session("spendlight pipeline")
+    run(spark, args.raw_folder, args.output, args.database).show(100, truncate=False)
+    run_sql_marts(spark, args.database, args.output)
+
+
+if __name__ == "__main__":
+    main()
