@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import cached_property
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 import oracles  # noqa: E402
-from spendlight.functions import calendar_columns, short_id  # noqa: E402
+from spendlight.functions import calendar_columns  # noqa: E402
 from spendlight.operators import forecast, marts, periods, quality, reports, star  # noqa: E402
 from spendlight.plans import mart_sql, pipeline  # noqa: E402
 from spendlight.schemas import DIM_CAMPAIGN, FACT, FOREIGN_KEYS, PRIMARY_KEYS, RAW, required_columns  # noqa: E402
@@ -32,46 +33,52 @@ Raw = Callable[[SparkSession, str], adapters.RawTables]
 
 
 class Model:
-    """The star schema and marts of one set of raw tables, all lazy."""
+    """The star schema and marts of one set of raw tables; all lazy, built on first use."""
 
     def __init__(self, raw: adapters.RawTables):
         self.raw = raw
-        self.dim_campaign = star.campaign_dimension(raw.campaigns)
-        self.dim_date = star.date_dimension(star.days_between(raw.span))
-        self.fact = star.campaign_daily_fact(raw.ad_events, raw.conversions, self.dim_campaign)
+
+    @cached_property
+    def dim_campaign(self) -> DataFrame:
+        return star.campaign_dimension(self.raw.campaigns)
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return star.date_dimension(star.days_between(self.raw.span))
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return star.campaign_daily_fact(self.raw.ad_events, self.raw.conversions, self.dim_campaign)
 
     @property
     def star(self) -> dict[str, DataFrame]:
         return {"dim_date": self.dim_date, "dim_campaign": self.dim_campaign, "fact_campaign_daily": self.fact}
 
-    @property
+    @cached_property
     def channels(self) -> DataFrame:
         return marts.channel_summary(self.fact)
 
-    @property
+    @cached_property
     def campaigns(self) -> DataFrame:
         return marts.campaign_summary(self.fact, self.dim_campaign)
 
-    @property
+    @cached_property
     def monthly(self) -> DataFrame:
         return marts.monthly_summary(self.fact, self.dim_date)
 
-    @property
+    @cached_property
     def daily(self) -> DataFrame:
         return marts.campaign_daily(self.fact)
 
-    @property
+    @cached_property
     def kpis(self) -> DataFrame:
         return reports.overall_kpis(self.channels)
 
 
 def _plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles at the edge of a query."""
-    return df.select(
-        [
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
-            for f in df.schema
-        ]
+    return df.withColumns(
+        {f.name: F.expr(f"cast({f.name} as double)") for f in df.schema if isinstance(f.dataType, T.DecimalType)}
     )
 
 
@@ -171,8 +178,8 @@ def calendar_scalars(m: Model) -> DataFrame:
 
 
 def short_hash_ids(m: Model) -> DataFrame:
-    ads = m.raw.ad_events.select(F.col("event_id").alias("id"), F.lit("ad_event").alias("kind"))
-    return ads.unionByName(m.raw.conversions.select(F.col("conversion_id").alias("id"), F.lit("conversion").alias("kind")))
+    ads = m.raw.ad_events.selectExpr("event_id as id", "'ad_event' as kind")
+    return ads.unionByName(m.raw.conversions.selectExpr("conversion_id as id", "'conversion' as kind"))
 
 
 def roas_by_geo(spark: SparkSession, sf_dir: str) -> DataFrame:

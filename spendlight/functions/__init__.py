@@ -1,6 +1,8 @@
 from spendlight.functions.calendar import calendar_columns, date_key
-from spendlight.functions.labels import channel_color, pick, roas_band, roas_color, roas_status
-from spendlight.functions.metrics import METRICS, money_sum, ratio, with_metrics
+from spendlight.functions.labels import (
+    channel_color, pick, roas_band, roas_color, roas_direction, roas_status, roas_verdict,
+)
+from spendlight.functions.metrics import METRICS, money_sum, money_units, ratio, units_sum, with_metrics
 from spendlight.functions.privacy import mask, short_id
 
 __all__ = [
@@ -10,11 +12,15 @@ __all__ = [
     "date_key",
     "mask",
     "money_sum",
+    "money_units",
     "pick",
     "ratio",
     "roas_band",
     "roas_color",
+    "roas_direction",
     "roas_status",
+    "roas_verdict",
     "short_id",
+    "units_sum",
     "with_metrics",
 ]

@@ -6,23 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def date_key(day: str | Column) -> Column:
+def date_key(day: str) -> Column:
     """Date as the integer yyyymmdd (20240131)."""
-    day = F.col(day) if isinstance(day, str) else day
-    return F.year(day) * 10000 + F.month(day) * 100 + F.day(day)
+    return F.expr(f"year({day}) * 10000 + month({day}) * 100 + day({day})")
 
 
-def calendar_columns(day: str | Column) -> dict[str, Column]:
-    """The attributes of the date dimension, by name."""
-    day = F.col(day) if isinstance(day, str) else day
-    return {
-        "year": F.year(day),
-        "month": F.month(day),
-        "quarter": F.quarter(day),
-        "day_of_month": F.day(day),
-        "day_of_week": F.weekday(day),  # 0 is Monday
-        "day_name": F.date_format(day, "EEEE"),
-        "is_weekend": F.when(F.weekday(day) >= 5, 1).otherwise(0),
-        "month_name": F.date_format(day, "MMMM"),
-        "week_of_year": F.weekofyear(day),  # ISO 8601
+def calendar_columns(day: str) -> dict[str, Column]:
+    """The attributes of the date dimension, by name. Monday is day 0 of the
+    week; weeks are ISO 8601."""
+    sql = {
+        "year": f"year({day})",
+        "month": f"month({day})",
+        "quarter": f"quarter({day})",
+        "day_of_month": f"day({day})",
+        "day_of_week": f"weekday({day})",
+        "day_name": f"date_format({day}, 'EEEE')",
+        "is_weekend": f"if(weekday({day}) >= 5, 1, 0)",
+        "month_name": f"date_format({day}, 'MMMM')",
+        "week_of_year": f"weekofyear({day})",
     }
+    return {name: F.expr(text) for name, text in sql.items()}

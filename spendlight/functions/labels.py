@@ -14,6 +14,9 @@ ROAS_LEVELS = [
 ROAS_LOWEST = ("Poor", "down", "#ef4444")
 ROAS_BENCHMARK = 1.5
 ROAS_AXIS = (0.0, 4.0)
+# Gauge bands by their lower end; the top band is open.
+ROAS_BANDS = [(2.0, "2-4"), (1.5, "1.5-2"), (1.0, "1-1.5")]
+ROAS_LOWEST_BAND = "0-1"
 
 # Channel colors.
 CHANNEL_COLORS = {
@@ -25,49 +28,40 @@ CHANNEL_COLORS = {
 DEFAULT_CHANNEL_COLOR = "#64748b"
 
 
-def _by_level(roas: str | Column, field: int) -> Column:
-    """Pick a field of the level a ROAS falls in; an unknown ROAS counts as lowest."""
-    roas = F.col(roas) if isinstance(roas, str) else roas
-    chain = F
-    for level in ROAS_LEVELS:
-        chain = chain.when(roas >= level[0], F.lit(level[field + 1]))
-    return chain.otherwise(F.lit(ROAS_LOWEST[field]))
+def _at_least(value: str, levels: list[tuple[float, str]], otherwise: str) -> Column:
+    """The label of the first level reached; a missing value reaches none."""
+    steps = " ".join(f"when {value} >= {level}D then '{label}'" for level, label in levels)
+    return F.expr(f"case {steps} else '{otherwise}' end")
 
 
-def roas_status(roas: str | Column) -> Column:
-    return _by_level(roas, 0)
+def roas_status(roas: str) -> Column:
+    return _at_least(roas, [(level, status) for level, status, _, _ in ROAS_LEVELS], ROAS_LOWEST[0])
 
 
-def roas_direction(roas: str | Column) -> Column:
-    return _by_level(roas, 1)
+def roas_direction(roas: str) -> Column:
+    return _at_least(roas, [(level, way) for level, _, way, _ in ROAS_LEVELS], ROAS_LOWEST[1])
 
 
-def roas_color(roas: str | Column) -> Column:
-    return _by_level(roas, 2)
+def roas_color(roas: str) -> Column:
+    return _at_least(roas, [(level, color) for level, _, _, color in ROAS_LEVELS], ROAS_LOWEST[2])
 
 
-def roas_verdict(roas: str | Column) -> Column:
+def roas_verdict(roas: str) -> Column:
     """good from the benchmark up, bad otherwise."""
-    roas = F.col(roas) if isinstance(roas, str) else roas
-    return F.when(roas >= ROAS_BENCHMARK, "good").otherwise("bad")
+    return _at_least(roas, [(ROAS_BENCHMARK, "good")], "bad")
 
 
-def roas_band(roas: str | Column) -> Column:
-    """The gauge band, half open; everything from 2 up is the last band."""
-    roas = F.col(roas) if isinstance(roas, str) else roas
-    return F.when(roas >= 2.0, "2-4").when(roas >= 1.5, "1.5-2").when(roas >= 1.0, "1-1.5").otherwise("0-1")
+def roas_band(roas: str) -> Column:
+    """The band of the gauge."""
+    return _at_least(roas, ROAS_BANDS, ROAS_LOWEST_BAND)
 
 
-def channel_color(channel: str | Column) -> Column:
-    channel = F.col(channel) if isinstance(channel, str) else channel
-    chain = F
-    for name, color in CHANNEL_COLORS.items():
-        chain = chain.when(channel == name, F.lit(color))
-    return chain.otherwise(F.lit(DEFAULT_CHANNEL_COLOR))
+def channel_color(channel: str) -> Column:
+    steps = " ".join(f"when '{name}' then '{color}'" for name, color in CHANNEL_COLORS.items())
+    return F.expr(f"case {channel} {steps} else '{DEFAULT_CHANNEL_COLOR}' end")
 
 
-def pick(values: list, position: str | Column) -> Column:
-    """The value at ``position`` modulo the length of ``values``."""
-    position = F.col(position) if isinstance(position, str) else position
-    slot = F.pmod(position, F.lit(len(values))).cast("int")
-    return F.element_at(F.array(*[F.lit(v) for v in values]), slot + 1)
+def pick(values: list, position: str) -> str:
+    """SQL of the value at ``position`` modulo the length of ``values``."""
+    items = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+    return f"element_at(array({items}), cast(pmod({position}, {len(values)}) as int) + 1)"

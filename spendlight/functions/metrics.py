@@ -5,46 +5,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_UNITS_PER_DOLLAR = 10_000
+UNITS_PER_DOLLAR = 10_000
 
-# Same width on both sides of the division, so that Spark keeps ten decimals
-# in the quotient before the final rounding.
-_OPERAND = "decimal(28,4)"
-_QUOTIENT = "decimal(38,10)"
 
+def money_units(amount: str) -> str:
+    """SQL of a double amount as whole 1/10000 dollars."""
+    return f"cast(rint({amount} * {UNITS_PER_DOLLAR}) as bigint)"
 
-def money_sum(amount: str | Column) -> Column:
+
+def units_sum(units: str) -> Column:
+    """Sum whole units and give dollars."""
+    return F.expr(f"cast(cast(sum({units}) as decimal(19,0)) / {UNITS_PER_DOLLAR} as decimal(18,4))")
+
+
+def money_sum(amount: str) -> Column:
     """Sum a double amount exactly, to 1/10000 of a dollar.
 
     The sum runs over 64-bit whole units. That makes it independent of row
     order (a double sum is not) and keeps decimals, which Spark handles as
     objects beyond 18 digits, out of the per-row loop.
     """
-    column = F.col(amount) if isinstance(amount, str) else amount
-    units = F.sum(F.rint(column * _UNITS_PER_DOLLAR).cast("long"))
-    return (units.cast("decimal(19,0)") / F.lit(_UNITS_PER_DOLLAR)).cast("decimal(18,4)")
+    return units_sum(money_units(amount))
 
 
 def ratio(
-    numerator: str | Column,
-    denominator: str | Column,
-    *,
-    factor: int = 1,
-    digits: int = 2,
-    on_zero: str = "null",
+    numerator: str, denominator: str, *, factor: int = 1, digits: int = 2, on_zero: str = "null"
 ) -> Column:
     """``round(factor * numerator / denominator, digits)``, half up, exact.
 
     A denominator that is not positive gives NULL, or 0.0 with
-    ``on_zero="zero"``.
+    ``on_zero="zero"``. Both operands get the same decimal type, which leaves
+    the quotient ten decimals before the final rounding.
     """
     if on_zero not in ("null", "zero"):
         raise ValueError(f"on_zero must be 'null' or 'zero', not {on_zero!r}")
-    top = F.col(numerator) if isinstance(numerator, str) else numerator
-    bottom = F.col(denominator) if isinstance(denominator, str) else denominator
-    quotient = (top * factor).cast(_OPERAND) / bottom.cast(_OPERAND)
-    value = F.round(F.when(bottom > 0, quotient).cast(_QUOTIENT), digits).cast("double")
-    return F.coalesce(value, F.lit(0.0)) if on_zero == "zero" else value
+    top = f"cast({factor} * {numerator} as decimal(28,4))" if factor != 1 else f"cast({numerator} as decimal(28,4))"
+    quotient = f"case when {denominator} > 0 then {top} / cast({denominator} as decimal(28,4)) end"
+    value = f"cast(round(cast({quotient} as decimal(38,10)), {digits}) as double)"
+    return F.expr(f"coalesce({value}, 0.0D)" if on_zero == "zero" else value)
 
 
 # metric -> (numerator, denominator, factor)

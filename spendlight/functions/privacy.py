@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 MASK_PATTERN = "^[0-9a-f]{32}$"
 
 
-def mask(value: str | Column, salt: str) -> Column:
+def mask(value: str, salt: str) -> Column:
     """First 32 hex digits of SHA-256 over ``salt:value``; NULL stays NULL."""
-    value = F.col(value) if isinstance(value, str) else value
-    return F.substring(F.sha2(F.concat(F.lit(f"{salt}:"), value.cast("string")), 256), 1, 32)
+    return F.substring(F.sha2(F.concat(F.lit(f"{salt}:"), F.col(value)), 256), 1, 32)
 
 
-def short_id(value: str | Column, salt: str, prefix: str) -> Column:
+def short_id(value: str, salt: str, prefix: str) -> Column:
     """``prefix`` and the first 12 hex digits of the mask."""
     return F.concat(F.lit(prefix), F.substring(mask(value, salt), 1, 12))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -19,31 +18,25 @@ def with_dense_key(df: DataFrame, key: str, order_by: str, slices: int = 256) ->
     """
     cuts = (
         df.select(order_by)
-        .orderBy(F.xxhash64(order_by), order_by)
+        .orderBy(F.expr(f"xxhash64({order_by})"), order_by)
         .limit(slices)
-        .agg(F.sort_array(F.collect_list(order_by)))
+        .selectExpr(f"sort_array(collect_list({order_by})) as cuts")
     )
     sliced = (
         df.withColumn("_cuts", cuts.scalar())
-        .withColumn("_slice", F.size(F.filter("_cuts", lambda cut: cut <= F.col(order_by))))
+        .withColumn("_slice", F.expr(f"size(filter(_cuts, cut -> cut <= {order_by}))"))
         .drop("_cuts")
     )
     sizes = (
         sliced.groupBy("_slice")
-        .agg(F.count("*").alias("n"))
-        .agg(F.collect_list(F.struct("_slice", "n")).alias("sizes"))
+        .agg(F.expr("count(*) as n"))
+        .selectExpr("collect_list(named_struct('slice', _slice, 'n', n)) as sizes")
     )
-    starts = sizes.select(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(slices)),
-            lambda i: F.aggregate(
-                "sizes", F.lit(0).cast("long"), lambda total, s: total + F.when(s["_slice"] < i, s["n"]).otherwise(0)
-            ),
-        )
+    starts = sizes.selectExpr(
+        f"transform(sequence(0, {slices}), i -> aggregate(sizes, 0L, (sum, s) -> sum + if(s.slice < i, s.n, 0L)))"
     )
-    position = F.row_number().over(W.partitionBy("_slice").orderBy(order_by))
     return (
-        sliced.withColumn("_start", F.element_at(starts.scalar(), F.col("_slice") + 1))
-        .withColumn(key, F.col("_start") + position)
+        sliced.withColumn("_start", F.element_at(starts.scalar(), F.expr("_slice + 1")))
+        .withColumn(key, F.expr(f"_start + row_number() over (partition by _slice order by {order_by})"))
         .drop("_slice", "_start")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlight.functions import with_metrics
@@ -11,8 +11,9 @@ MEASURES = ["spend_usd", "revenue_usd", "impressions", "clicks", "orders", "new_
 TOTALS = {measure: f"total_{measure}" for measure in MEASURES}
 
 
-def _totals() -> list:
-    return [F.sum(measure).alias(name) for measure, name in TOTALS.items()]
+def measure_sums(names: dict[str, str] | None = None) -> list[Column]:
+    """Sums of the measures, under their own names or the given ones."""
+    return [F.expr(f"sum({m}) as {names[m] if names else m}") for m in MEASURES]
 
 
 def channel_summary(fact: DataFrame, *, on_zero: str = "null") -> DataFrame:
@@ -21,13 +22,15 @@ def channel_summary(fact: DataFrame, *, on_zero: str = "null") -> DataFrame:
     The distinct count makes Spark aggregate by channel and campaign first and
     by channel second, so a dominant channel is spread over its campaigns.
     """
-    totals = fact.groupBy("channel").agg(F.count_distinct("campaign_key").alias("campaign_count"), *_totals())
+    totals = fact.groupBy("channel").agg(
+        F.expr("count(distinct campaign_key) as campaign_count"), *measure_sums(TOTALS)
+    )
     return with_metrics(totals, names=TOTALS, on_zero=on_zero)
 
 
 def campaign_summary(fact: DataFrame, dim_campaign: DataFrame, *, on_zero: str = "null") -> DataFrame:
     """One row per campaign, named after the rollup (the smaller join)."""
-    totals = fact.groupBy("campaign_key", "channel", "campaign_type").agg(*_totals())
+    totals = fact.groupBy("campaign_key", "channel", "campaign_type").agg(*measure_sums(TOTALS))
     named = totals.join(dim_campaign.select("campaign_key", "campaign_name", "status"), "campaign_key", "left")
     return with_metrics(named, ["roas", "cac", "conv_rate_pct"], names=TOTALS, on_zero=on_zero).select(
         "campaign_key", "campaign_name", "channel", "campaign_type", "status",
@@ -41,12 +44,12 @@ def monthly_totals(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     Days are rolled up first: what meets the calendar is one row per day and
     channel, however many campaigns there are.
     """
-    per_day = fact.groupBy("date_key", "channel").agg(*[F.sum(m).alias(m) for m in MEASURES])
+    per_day = fact.groupBy("date_key", "channel").agg(*measure_sums())
     months = dim_date.select("date_key", "year", "month", "month_name")
     return (
         per_day.join(months, "date_key", "left")
         .groupBy("year", "month", "month_name", "channel")
-        .agg(*[F.sum(m).alias(m) for m in MEASURES])
+        .agg(*measure_sums())
     )
 
 

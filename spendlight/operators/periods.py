@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spendlight.functions import money_sum, with_metrics
-from spendlight.operators.marts import MEASURES
+from spendlight.functions import with_metrics
+from spendlight.operators.marts import MEASURES, measure_sums
+from spendlight.operators.star import fill_sales, sales, traffic
 
 
 def weekly_summary(fact: DataFrame) -> DataFrame:
@@ -15,8 +15,8 @@ def weekly_summary(fact: DataFrame) -> DataFrame:
 
     Grouping by the Monday keeps the week that spans New Year in one piece.
     """
-    monday = F.date_trunc("week", F.col("date")).cast("date")
-    per_week = fact.groupBy(monday.alias("week_start"), "channel").agg(*[F.sum(m).alias(m) for m in MEASURES])
+    monday = F.expr("cast(date_trunc('week', date) as date) as week_start")
+    per_week = fact.groupBy(monday, "channel").agg(*measure_sums())
     return with_metrics(per_week).orderBy("week_start", "channel")
 
 
@@ -26,12 +26,10 @@ def with_prior_month(monthly: DataFrame) -> DataFrame:
     The prior month is the channel's preceding row; a window holds one row per
     month of one channel.
     """
-    history = W.partitionBy("channel").orderBy("year", "month")
-    prior = F.lag("roas").over(history)
     return (
         monthly.select("year", "month", "channel", "spend_usd", "revenue_usd", "roas")
-        .withColumn("prior_roas", prior)
-        .withColumn("roas_change", F.round((F.col("roas") - F.col("prior_roas")).cast("decimal(38,10)"), 2).cast("double"))
+        .withColumn("prior_roas", F.expr("lag(roas) over (partition by channel order by year, month)"))
+        .withColumn("roas_change", F.expr("cast(round(cast(roas - prior_roas as decimal(38,10)), 2) as double)"))
     )
 
 
@@ -42,16 +40,8 @@ def roas_by_geo(ad_events: DataFrame, conversions: DataFrame, users: DataFrame)
     user with very many events is one row there. Places that spent nothing are
     left out, as conversions without ad events are in the fact.
     """
-    spent = ad_events.groupBy("user_id").agg(
-        money_sum("cost_usd").alias("spend_usd"),
-        F.count_if(F.col("event_type") == "impression").alias("impressions"),
-        F.count_if(F.col("event_type") == "click").alias("clicks"),
-    )
-    earned = conversions.groupBy("user_id").agg(
-        F.count("*").alias("orders"),
-        money_sum("conversion_value_usd").alias("revenue_usd"),
-        F.sum("is_new_customer").alias("new_customers"),
-    )
+    spent = ad_events.groupBy("user_id").agg(*traffic())
+    earned = conversions.groupBy("user_id").agg(*sales())
     places = users.select("user_id", "geo")
     spent_by_geo = (
         spent.join(places, "user_id", "left")
@@ -63,19 +53,9 @@ def roas_by_geo(ad_events: DataFrame, conversions: DataFrame, users: DataFrame)
         .groupBy("geo")
         .agg(*[F.sum(m).alias(m) for m in ("orders", "revenue_usd", "new_customers")])
     )
-    both = (
-        spent_by_geo.join(earned_by_geo, "geo", "left")
-        .na.fill(0, ["orders", "new_customers"])
-        .withColumn("revenue_usd", F.coalesce("revenue_usd", F.lit(0).cast("decimal(18,4)")))
-    )
-    return with_metrics(both).select("geo", *MEASURES, "roas", "cac", "conv_rate_pct", "ctr_pct")
+    return with_metrics(fill_sales(spent_by_geo.join(earned_by_geo, "geo", "left"))).select("geo", *MEASURES, "roas", "cac", "conv_rate_pct", "ctr_pct")
 
 
 def traffic_by_device(ad_events: DataFrame) -> DataFrame:
     """Spend and click-through rate by device (conversions carry no device)."""
-    per_device = ad_events.groupBy("device").agg(
-        money_sum("cost_usd").alias("spend_usd"),
-        F.count_if(F.col("event_type") == "impression").alias("impressions"),
-        F.count_if(F.col("event_type") == "click").alias("clicks"),
-    )
-    return with_metrics(per_device, ["ctr_pct"])
+    return with_metrics(ad_events.groupBy("device").agg(*traffic()), ["ctr_pct"])

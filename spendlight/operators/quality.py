@@ -12,13 +12,16 @@ from spendlight.functions.privacy import MASK_PATTERN
 from spendlight.operators.star import conversion_rollup, event_rollup
 
 
-def _report(name: str | Column, checked: Column, failed: Column) -> list[Column]:
-    name = F.lit(name) if isinstance(name, str) else name
-    return [
-        name.alias("check_name"),
-        F.coalesce(checked, F.lit(0)).cast("long").alias("n_checked"),
-        F.coalesce(failed, F.lit(0)).cast("long").alias("n_failed"),
-    ]
+def _report(name: str, checked: str, failed: str, kind: str = "bigint") -> str:
+    """SQL of one report row."""
+    return (
+        f"named_struct('check_name', '{name}', 'n_checked', cast(coalesce({checked}, 0) as {kind}),"
+        f" 'n_failed', cast(coalesce({failed}, 0) as {kind}))"
+    )
+
+
+def _reports(one_row: DataFrame, rows: list[str]) -> DataFrame:
+    return one_row.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _union(reports: list[DataFrame]) -> DataFrame:
@@ -30,21 +33,18 @@ def _row_rules(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
     A rule holds where its condition is true or unknown.
     """
-    names = list(rules)
-    counts = df.agg(
-        F.count("*").alias("rows"), *[F.count_if(~rules[name]).alias(f"r{i}") for i, name in enumerate(names)]
-    )
-    rows = [F.struct(*_report(name, F.col("rows"), F.col(f"r{i}"))) for i, name in enumerate(names)]
-    return counts.select(F.inline(F.array(*rows)))
+    failures = [F.count_if(~rule).alias(f"failed_{i}") for i, rule in enumerate(rules.values())]
+    counts = df.agg(F.expr("count(*) as n"), *failures)
+    return _reports(counts, [_report(name, "n", f"failed_{i}") for i, name in enumerate(rules)])
 
 
 def row_counts(tables: dict[str, DataFrame], minimum: dict[str, int]) -> DataFrame:
     """Rows per table; the failures are the rows missing to the minimum."""
     return _union(
         [
-            tables[name]
-            .agg(F.count("*").alias("rows"))
-            .select(*_report(f"rows:{name}", F.col("rows"), F.greatest(F.lit(least) - F.col("rows"), F.lit(0))))
+            _reports(
+                tables[name].selectExpr("count(*) as n"), [_report(f"rows:{name}", "n", f"greatest({least} - n, 0)")]
+            )
             for name, least in minimum.items()
         ]
     )
@@ -69,12 +69,9 @@ def metrics_reconcile(fact: DataFrame, tolerance: float = 0.0) -> DataFrame:
 
 def duplicate_keys(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Key values that occur more than once."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("rows"))
-        .agg(F.sum("rows").alias("checked"), F.count_if(F.col("rows") > 1).alias("failed"))
-        .select(*_report(f"unique:{name}({','.join(keys)})", F.col("checked"), F.col("failed")))
-    )
+    groups = df.groupBy(*keys).agg(F.expr("count(*) as n"))
+    counts = groups.selectExpr("sum(n) as checked", "count_if(n > 1) as failed")
+    return _reports(counts, [_report(f"unique:{name}({','.join(keys)})", "checked", "failed")])
 
 
 def primary_keys(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> DataFrame:
@@ -82,7 +79,7 @@ def primary_keys(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> Da
 
 
 def not_null(df: DataFrame, columns: list[str], name: str) -> DataFrame:
-    return _row_rules(df, {f"not_null:{name}.{column}": F.col(column).isNotNull() for column in columns})
+    return _row_rules(df, {f"not_null:{name}.{column}": F.expr(f"{column} is not null") for column in columns})
 
 
 def not_null_columns(tables: dict[str, DataFrame], columns: dict[str, list[str]]) -> DataFrame:
@@ -95,13 +92,12 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, name: str) -> Data
     References are counted per value before the join, so a value that fills a
     third of the table is one row in it.
     """
-    references = child.groupBy(column).agg(F.count("*").alias("rows"))
-    known = parent.select(column).distinct().withColumn("_known", F.lit(True))
-    return (
-        references.join(known, column, "left")
-        .agg(F.sum("rows").alias("checked"), F.sum(F.when(F.col("_known").isNull(), F.col("rows"))).alias("failed"))
-        .select(*_report(f"orphans:{name}.{column}", F.col("checked"), F.col("failed")))
+    references = child.groupBy(column).agg(F.expr("count(*) as n"))
+    known = parent.select(column).distinct().selectExpr(column, "true as known")
+    counts = references.join(known, column, "left").selectExpr(
+        "sum(n) as checked", "sum(if(known, 0, n)) as failed"
     )
+    return _reports(counts, [_report(f"orphans:{name}.{column}", "checked", "failed")])
 
 
 def foreign_keys(tables: dict[str, DataFrame], references: list[tuple[str, str, str]]) -> DataFrame:
@@ -123,27 +119,13 @@ def dropped_conversions(ad_events: DataFrame, conversions: DataFrame) -> DataFra
     """What the fact leaves out: conversions on a campaign and day without ad
     events, as cells, orders, revenue and new customers."""
     cells = conversion_rollup(conversions).withColumnRenamed("conversion_date", "event_date")
-    advertised = event_rollup(ad_events).select("campaign_id", "event_date").withColumn("_seen", F.lit(True))
-    lost = F.col("_seen").isNull()
-    measures = {
-        "cells": F.lit(1),
-        "orders": F.col("orders"),
-        "revenue_usd": F.col("revenue_usd"),
-        "new_customers": F.col("new_customers"),
-    }
-    sums = cells.join(advertised, ["campaign_id", "event_date"], "left").agg(
-        *[F.sum(column).alias(name) for name, column in measures.items()],
-        *[F.sum(F.when(lost, column)).alias(f"lost_{name}") for name, column in measures.items()],
+    advertised = event_rollup(ad_events).selectExpr("campaign_id", "event_date", "true as seen")
+    measures = {"cells": "1", "orders": "orders", "revenue_usd": "revenue_usd", "new_customers": "new_customers"}
+    sums = cells.join(advertised, ["campaign_id", "event_date"], "left").selectExpr(
+        *[f"sum({sql}) as {name}" for name, sql in measures.items()],
+        *[f"sum(if(seen, null, {sql})) as lost_{name}" for name, sql in measures.items()],
     )
-    rows = [
-        F.struct(
-            F.lit(f"dropped:{name}").alias("check_name"),
-            F.coalesce(F.col(name), F.lit(0)).cast("double").alias("n_checked"),
-            F.coalesce(F.col(f"lost_{name}"), F.lit(0)).cast("double").alias("n_failed"),
-        )
-        for name in measures
-    ]
-    return sums.select(F.inline(F.array(*rows)))
+    return _reports(sums, [_report(f"dropped:{name}", name, f"lost_{name}", "double") for name in measures])
 
 
 def totals_reconcile(fact: DataFrame, marts: dict[str, DataFrame], measures: list[str]) -> DataFrame:
@@ -155,18 +137,15 @@ def totals_reconcile(fact: DataFrame, marts: dict[str, DataFrame], measures: lis
     def totals(df: DataFrame, source: str) -> DataFrame:
         columns = [m if m in df.columns else f"total_{m}" for m in measures]
         present = [(m, c) for m, c in zip(measures, columns) if c in df.columns]
-        one = df.agg(*[F.sum(c).cast("decimal(28,4)").alias(m) for m, c in present])
-        rows = [
-            F.struct(F.lit(source).alias("source"), F.lit(m).alias("measure"), F.col(m).alias("total"))
-            for m, _ in present
-        ]
-        return one.select(F.inline(F.array(*rows)))
+        one = df.selectExpr(*[f"cast(sum({c}) as decimal(28,4)) as {m}" for m, c in present])
+        rows = ", ".join(f"'{source}', '{m}', {m}" for m, _ in present)
+        return one.selectExpr(f"stack({len(present)}, {rows}) as (source, measure, total)")
 
     expected = totals(fact, "fact").select("measure", F.col("total").alias("fact_total"))
     found = _union([totals(df, source) for source, df in marts.items()])
-    return found.join(expected, "measure").select(
-        F.concat(F.lit("totals:"), "source", F.lit("."), "measure").alias("check_name"),
+    return found.join(expected, "measure").selectExpr(
+        "concat('totals:', source, '.', measure) as check_name",
         "fact_total",
-        F.col("total").alias("mart_total"),
-        F.when(F.col("total").eqNullSafe(F.col("fact_total")), 0).otherwise(1).cast("long").alias("n_failed"),
+        "total as mart_total",
+        "if(total <=> fact_total, 0L, 1L) as n_failed",
     )

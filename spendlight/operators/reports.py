@@ -6,51 +6,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spendlight.functions import channel_color, money_sum, ratio, roas_band, roas_color, roas_status, with_metrics
-from spendlight.functions.labels import ROAS_AXIS, ROAS_BENCHMARK, roas_direction, roas_verdict
-from spendlight.operators.marts import TOTALS
+from spendlight.functions import (
+    METRICS, channel_color, money_sum, ratio, roas_band, roas_color, roas_direction, roas_status, roas_verdict,
+    with_metrics,
+)
+from spendlight.functions.labels import ROAS_AXIS, ROAS_BENCHMARK
+from spendlight.operators.marts import TOTALS, measure_sums
 
 
 # --- totals -----------------------------------------------------------------
 
 
-def _plain_ratio(top: str, bottom: str) -> Column:
+def _plain_ratio(top: str, bottom: str, factor: int = 1) -> Column:
     """Unrounded quotient of two totals, 0 where the denominator is not positive."""
-    return F.when(F.col(bottom) > 0, F.col(top).cast("double") / F.col(bottom).cast("double")).otherwise(F.lit(0.0))
+    return F.expr(f"if({bottom} > 0, cast({top} as double) / cast({bottom} as double), 0.0D) * {factor}")
 
 
 def overall_kpis(channels: DataFrame) -> DataFrame:
     """One row: totals over the channel mart and their unrounded ratios."""
-    totals = channels.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in TOTALS.values()])
+    totals = channels.selectExpr(*[f"coalesce(sum({name}), 0) as {name}" for name in TOTALS.values()])
     return totals.withColumns(
         {
-            "roas": _plain_ratio("total_revenue_usd", "total_spend_usd"),
-            "cac": _plain_ratio("total_spend_usd", "total_new_customers"),
-            "conv_rate_pct": _plain_ratio("total_orders", "total_clicks") * 100,
-            "ctr_pct": _plain_ratio("total_clicks", "total_impressions") * 100,
+            metric: _plain_ratio(f"total_{top}", f"total_{bottom}", factor)
+            for metric, (top, bottom, factor) in METRICS.items()
         }
     )
 
 
+# Funnel stages in order, with the measure behind each.
+FUNNEL = [
+    ("Impressions", "total_impressions"),
+    ("Clicks", "total_clicks"),
+    ("Orders", "total_orders"),
+    ("New Customers", "total_new_customers"),
+]
+
+
 def conversion_funnel(kpis: DataFrame) -> DataFrame:
     """Four rows: each stage and its percentage of the impressions."""
-    stages = [
-        ("Impressions", "total_impressions"),
-        ("Clicks", "total_clicks"),
-        ("Orders", "total_orders"),
-        ("New Customers", "total_new_customers"),
-    ]
-    share = lambda name: ratio(name, "total_impressions", factor=100, on_zero="zero")
-    rows = [
-        F.struct(
-            F.lit(step).alias("step"),
-            F.lit(label).alias("stage"),
-            F.col(name).cast("long").alias("value"),
-            share(name).alias("pct_of_impressions"),
-        )
-        for step, (label, name) in enumerate(stages, 1)
-    ]
-    return kpis.select(F.inline(F.array(*rows)))
+    rows = ", ".join(f"{step}, '{stage}', cast({name} as bigint)" for step, (stage, name) in enumerate(FUNNEL, 1))
+    stages = kpis.selectExpr("total_impressions", f"stack({len(FUNNEL)}, {rows}) as (step, stage, value)")
+    share = ratio("value", "total_impressions", factor=100, on_zero="zero")
+    return stages.select("step", "stage", "value", share.alias("pct_of_impressions"))
 
 
 def roas_gauge(kpis: DataFrame, benchmark: float = ROAS_BENCHMARK) -> DataFrame:
@@ -58,10 +55,10 @@ def roas_gauge(kpis: DataFrame, benchmark: float = ROAS_BENCHMARK) -> DataFrame:
     low, high = ROAS_AXIS
     return kpis.select(
         "roas",
-        F.lit(benchmark).alias("benchmark"),
-        (F.col("roas") - benchmark).alias("delta"),
+        F.expr(f"{benchmark}D as benchmark"),
+        F.expr(f"roas - {benchmark}D as delta"),
         roas_band("roas").alias("band"),
-        F.greatest(F.lit(low), F.least(F.lit(high), F.col("roas"))).alias("axis_value"),
+        F.expr(f"greatest({low}D, least({high}D, roas)) as axis_value"),
         roas_color("roas").alias("color"),
     )
 
@@ -82,7 +79,7 @@ def share_of_total(channels: DataFrame, measure: str, share: str) -> DataFrame:
 def channel_cards(channels: DataFrame) -> DataFrame:
     """The channel mart with missing ratios shown as 0, status, verdict and color."""
     ratios = ["roas", "cac", "conv_rate_pct", "ctr_pct"]
-    filled = channels.withColumns({name: F.coalesce(name, F.lit(0.0)) for name in ratios})
+    filled = channels.withColumns({name: F.expr(f"coalesce({name}, 0.0D)") for name in ratios})
     return filled.select(
         "channel", "campaign_count", "total_spend_usd", "total_revenue_usd", *ratios,
         roas_status("roas").alias("status"),
@@ -138,8 +135,8 @@ def daily_trend(daily: DataFrame) -> DataFrame:
 
 def channel_daily_share(daily: DataFrame) -> DataFrame:
     """Spend per day and channel and its percentage of the day's spend."""
-    per_channel = daily.groupBy("date", "channel").agg(F.sum("spend_usd").alias("spend_usd"))
-    of_day = F.sum("spend_usd").over(W.partitionBy("date"))
+    per_channel = daily.groupBy("date", "channel").agg(F.expr("sum(spend_usd) as spend_usd"))
+    of_day = F.expr("sum(spend_usd) over (partition by date)")
     return per_channel.withColumn("_day", of_day).select(
         "date", "channel", "spend_usd", ratio("spend_usd", "_day", factor=100).alias("share_pct")
     )
@@ -147,10 +144,7 @@ def channel_daily_share(daily: DataFrame) -> DataFrame:
 
 def channel_daily_trend(daily: DataFrame) -> DataFrame:
     """Measures and ratios per day and channel."""
-    measures = ["spend_usd", "revenue_usd", "impressions", "clicks", "orders", "new_customers"]
-    return with_metrics(daily.groupBy("date", "channel").agg(*[F.sum(m).alias(m) for m in measures])).orderBy(
-        "date", "channel"
-    )
+    return with_metrics(daily.groupBy("date", "channel").agg(*measure_sums())).orderBy("date", "channel")
 
 
 # --- campaigns --------------------------------------------------------------
@@ -158,9 +152,7 @@ def channel_daily_trend(daily: DataFrame) -> DataFrame:
 
 def campaign_options(campaigns: DataFrame) -> DataFrame:
     """Selector entries, ``name (channel)``, and the key they stand for."""
-    return campaigns.select(
-        F.concat("campaign_name", F.lit(" ("), "channel", F.lit(")")).alias("label"), "campaign_key"
-    )
+    return campaigns.selectExpr("concat(campaign_name, ' (', channel, ')') as label", "campaign_key")
 
 
 def campaign_lookup(campaigns: DataFrame, campaign_key: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlight.functions import calendar_columns, date_key, money_sum, with_metrics
@@ -29,22 +29,41 @@ def campaign_dimension(campaigns: DataFrame) -> DataFrame:
     return with_dense_key(campaigns, "campaign_key", "campaign_id").select(DIM_CAMPAIGN.fieldNames())
 
 
+def traffic() -> list[Column]:
+    """Spend, impressions and clicks of a group of ad events."""
+    return [
+        money_sum("cost_usd").alias("spend_usd"),
+        F.expr("count_if(event_type = 'impression') as impressions"),
+        F.expr("count_if(event_type = 'click') as clicks"),
+    ]
+
+
+def sales() -> list[Column]:
+    """Orders, revenue and new customers of a group of conversions."""
+    return [
+        F.expr("count(*) as orders"),
+        money_sum("conversion_value_usd").alias("revenue_usd"),
+        F.expr("sum(is_new_customer) as new_customers"),
+    ]
+
+
+# A group without conversions sold nothing, as opposed to an unknown amount.
+NO_SALES = {"orders": 0, "new_customers": 0}
+
+
+def fill_sales(df: DataFrame) -> DataFrame:
+    """Zero for the sales a left join did not find."""
+    return df.na.fill(NO_SALES).withColumn("revenue_usd", F.expr("coalesce(revenue_usd, cast(0 as decimal(18,4)))"))
+
+
 def event_rollup(ad_events: DataFrame) -> DataFrame:
     """Spend, impressions and clicks per campaign and day."""
-    return ad_events.groupBy("campaign_id", "event_date").agg(
-        money_sum("cost_usd").alias("spend_usd"),
-        F.count_if(F.col("event_type") == "impression").alias("impressions"),
-        F.count_if(F.col("event_type") == "click").alias("clicks"),
-    )
+    return ad_events.groupBy("campaign_id", "event_date").agg(*traffic())
 
 
 def conversion_rollup(conversions: DataFrame) -> DataFrame:
     """Orders, revenue and new customers per campaign and day."""
-    return conversions.groupBy("campaign_id", "conversion_date").agg(
-        F.count("*").alias("orders"),
-        money_sum("conversion_value_usd").alias("revenue_usd"),
-        F.sum("is_new_customer").alias("new_customers"),
-    )
+    return conversions.groupBy("campaign_id", "conversion_date").agg(*sales())
 
 
 def campaign_daily_fact(
@@ -64,13 +83,7 @@ def campaign_daily_fact(
         event_rollup(ad_events)
         .join(earned, ["campaign_id", "event_date"], "left")
         .join(labels, "campaign_id", "left")
-        .withColumnsRenamed({"event_date": "date"})
-        .na.fill(0, ["orders", "new_customers"])
-        .withColumns(
-            {
-                "revenue_usd": F.coalesce("revenue_usd", F.lit(0).cast("decimal(18,4)")),
-                "date_key": date_key("date"),
-            }
-        )
+        .withColumnRenamed("event_date", "date")
+        .withColumn("date_key", date_key("date"))
     )
-    return with_metrics(cells, on_zero=on_zero).select(FACT.fieldNames())
+    return with_metrics(fill_sales(cells), on_zero=on_zero).select(FACT.fieldNames())

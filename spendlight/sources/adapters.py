@@ -7,9 +7,10 @@ of it. Both give the raw tables the operators expect.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlight.functions import mask, pick, short_id
@@ -26,143 +27,180 @@ AGE_BANDS = ["18-24", "25-34", "35-44", "45-54"]
 GENDERS = ["male", "female", "unknown"]
 
 
-@dataclass(frozen=True)
 class RawTables:
-    campaigns: DataFrame
-    ad_events: DataFrame
-    conversions: DataFrame
-    span: DataFrame  # one row: first_day, last_day
+    """Campaigns, ad events, conversions and the span of days, built on first use.
+
+    ``span`` has one row: first_day, last_day.
+    """
+
+    def __init__(self, **build: Callable[[], DataFrame]):
+        self._build = build
+
+    @cached_property
+    def campaigns(self) -> DataFrame:
+        return self._build["campaigns"]()
+
+    @cached_property
+    def ad_events(self) -> DataFrame:
+        return self._build["ad_events"]()
+
+    @cached_property
+    def conversions(self) -> DataFrame:
+        return self._build["conversions"]()
+
+    @cached_property
+    def span(self) -> DataFrame:
+        return self._build["span"]()
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _slot() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+def _with_span(campaigns: DataFrame, span: DataFrame) -> DataFrame:
+    return campaigns.withColumns(
+        {"start_date": span.select("first_day").scalar(), "end_date": span.select("last_day").scalar()}
+    )
+
 
+# --- the event log as one month of ad traffic --------------------------------
 
-def _campaign_names(slot: Column) -> dict[str, Column]:
-    """Channel, id and display name of the campaign in a slot (0 to 99)."""
-    channel = pick(CHANNELS, slot)
-    number = (F.floor(slot / 4) + 1).cast("string")
-    return {
-        "channel": channel,
-        "campaign_id": F.concat(
-            F.lit("camp_"), pick([c[:2].upper() for c in CHANNELS], slot), F.lit("_"), F.lpad(number, 3, "0")
-        ),
-        "campaign_name": F.concat(channel, F.lit(" Campaign "), number),
-    }
+# Events name one of 100 campaigns by a slot: four channels, 25 campaigns each.
+_SLOT = "cast(get_json_object(props, '$.k') as int)"
+_CHANNEL = pick(CHANNELS, "slot")
+_PREFIX = pick([c[:2].upper() for c in CHANNELS], "slot")
+_NUMBER = "cast(slot div 4 + 1 as string)"
+_CAMPAIGN_ID = f"concat('camp_', {_PREFIX}, '_', lpad({_NUMBER}, 3, '0')) as campaign_id"
 
 
 def ad_events_of(events: DataFrame) -> DataFrame:
     """Views and clicks as ad events. A view costs one hundredth of its value."""
-    slot = _slot()
-    names = _campaign_names(slot)
-    return events.where(F.col("event_type").isin("view", "click")).select(
-        short_id("event_id", SALT, "ev_").alias("event_id"),
-        F.col("ts").cast("date").alias("event_date"),
-        names["campaign_id"].alias("campaign_id"),
-        names["channel"].alias("channel"),
-        F.when(F.col("event_type") == "view", "impression").otherwise("click").alias("event_type"),
-        F.col("user_id"),
-        pick(DEVICES, "user_id").alias("device"),
-        F.when(F.col("event_type") == "view", F.rint(F.col("value") * 100) / 10000)
-        .otherwise(F.col("value"))
-        .alias("cost_usd"),
+    return (
+        events.where("event_type in ('view', 'click')")
+        .selectExpr("*", f"{_SLOT} as slot")
+        .select(
+            short_id("event_id", SALT, "ev_").alias("event_id"),
+            F.expr("cast(ts as date) as event_date"),
+            F.expr(_CAMPAIGN_ID),
+            F.expr(f"{_CHANNEL} as channel"),
+            F.expr("if(event_type = 'view', 'impression', 'click') as event_type"),
+            "user_id",
+            F.expr(f"{pick(DEVICES, 'user_id')} as device"),
+            F.expr("if(event_type = 'view', rint(value * 100) / 10000, value) as cost_usd"),
+        )
     )
 
 
 def conversions_of(events: DataFrame) -> DataFrame:
     """Purchases and signups as conversions; a signup is a new customer."""
-    names = _campaign_names(_slot())
-    return events.where(F.col("event_type").isin("purchase", "signup")).select(
-        short_id("event_id", SALT, "cv_").alias("conversion_id"),
-        F.col("ts").cast("date").alias("conversion_date"),
-        names["campaign_id"].alias("campaign_id"),
-        names["channel"].alias("channel"),
-        F.col("user_id"),
-        F.col("event_type").alias("conversion_type"),
-        F.col("value").alias("conversion_value_usd"),
-        F.when(F.col("event_type") == "signup", 1).otherwise(0).alias("is_new_customer"),
+    return (
+        events.where("event_type in ('purchase', 'signup')")
+        .selectExpr("*", f"{_SLOT} as slot")
+        .select(
+            short_id("event_id", SALT, "cv_").alias("conversion_id"),
+            F.expr("cast(ts as date) as conversion_date"),
+            F.expr(_CAMPAIGN_ID),
+            F.expr(f"{_CHANNEL} as channel"),
+            "user_id",
+            F.expr("event_type as conversion_type"),
+            F.expr("value as conversion_value_usd"),
+            F.expr("if(event_type = 'signup', 1, 0) as is_new_customer"),
+        )
+    )
+
+
+def _campaigns_of(events: DataFrame) -> DataFrame:
+    return (
+        events.selectExpr(f"{_SLOT} as slot")
+        .distinct()
+        .selectExpr(
+            _CAMPAIGN_ID,
+            f"concat({_CHANNEL}, ' Campaign ', {_NUMBER}) as campaign_name",
+            f"{_CHANNEL} as channel",
+            f"{pick(CAMPAIGN_TYPES, 'slot div 4')} as campaign_type",
+            f"{pick(STATUSES, 'slot div 4')} as status",
+            f"{pick(DAILY_BUDGETS, 'slot div 4')} as daily_budget_usd",
+        )
     )
 
 
 def from_events(spark: SparkSession, sf_dir: str) -> RawTables:
     events = _table(spark, sf_dir, "events")
-    span = events.agg(
-        F.min(F.col("ts").cast("date")).alias("first_day"), F.max(F.col("ts").cast("date")).alias("last_day")
+    span = lambda: events.selectExpr(
+        "min(cast(ts as date)) as first_day", "max(cast(ts as date)) as last_day"
     )
-    slot = F.col("slot")
-    in_channel = F.floor(slot / 4)
-    campaigns = (
-        events.select(_slot().alias("slot"))
-        .distinct()
-        .withColumns(_campaign_names(slot))
-        .select(
-            "campaign_id",
-            "campaign_name",
-            "channel",
-            pick(CAMPAIGN_TYPES, in_channel).alias("campaign_type"),
-            pick(STATUSES, in_channel).alias("status"),
-            span.select("first_day").scalar().alias("start_date"),
-            span.select("last_day").scalar().alias("end_date"),
-            pick(DAILY_BUDGETS, in_channel).alias("daily_budget_usd"),
+    return RawTables(
+        campaigns=lambda: _with_span(_campaigns_of(events), span()),
+        ad_events=lambda: ad_events_of(events),
+        conversions=lambda: conversions_of(events),
+        span=span,
+    )
+
+
+# --- order lines as several years of ad traffic ------------------------------
+
+
+def _ad_lines(lines: DataFrame) -> DataFrame:
+    """Lines not returned. A click (A) costs a hundredth of the price, an
+    impression (N) a ten-thousandth, rounded half up to four decimals."""
+    return lines.where("l_returnflag in ('A', 'N')").selectExpr(
+        "cast(l_suppkey as string) as campaign_id",
+        "cast(l_shipdate as date) as event_date",
+        "if(l_returnflag = 'N', 'impression', 'click') as event_type",
+        "if(l_returnflag = 'N', floor(l_extendedprice + 0.5D), rint(l_extendedprice * 100)) / 10000 as cost_usd",
+    )
+
+
+def _conversion_lines(lines: DataFrame) -> DataFrame:
+    return lines.where("l_returnflag = 'R'").selectExpr(
+        "cast(l_suppkey as string) as campaign_id",
+        "cast(l_shipdate as date) as conversion_date",
+        "l_extendedprice as conversion_value_usd",
+        "if(l_linenumber = 1, 1, 0) as is_new_customer",
+    )
+
+
+def _supplier_campaigns(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    return (
+        supplier.join(nation, F.expr("s_nationkey = n_nationkey"))
+        .join(region, F.expr("n_regionkey = r_regionkey"))
+        .selectExpr(
+            "cast(s_suppkey as string) as campaign_id",
+            "s_name as campaign_name",
+            "r_name as channel",
+            f"{pick(CAMPAIGN_TYPES, 's_suppkey')} as campaign_type",
+            f"{pick(STATUSES, 's_suppkey')} as status",
+            f"{pick(DAILY_BUDGETS, 's_suppkey')} as daily_budget_usd",
         )
     )
-    return RawTables(campaigns, ad_events_of(events), conversions_of(events), span)
 
 
 def from_lineitem(spark: SparkSession, sf_dir: str) -> RawTables:
     lines = _table(spark, sf_dir, "lineitem")
-    day = F.col("l_shipdate").cast("date")
-    campaign_id = F.col("l_suppkey").cast("string")
-    price = F.col("l_extendedprice")
-    span = lines.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
-
-    ad_events = lines.where(F.col("l_returnflag").isin("A", "N")).select(
-        campaign_id.alias("campaign_id"),
-        day.alias("event_date"),
-        F.when(F.col("l_returnflag") == "N", "impression").otherwise("click").alias("event_type"),
-        # A hundredth of the price for a click, a ten-thousandth for an
-        # impression, rounded half up to four decimals.
-        F.when(F.col("l_returnflag") == "N", F.floor(price + 0.5) / 10000)
-        .otherwise(F.rint(price * 100) / 10000)
-        .alias("cost_usd"),
-    )
-    conversions = lines.where(F.col("l_returnflag") == "R").select(
-        campaign_id.alias("campaign_id"),
-        day.alias("conversion_date"),
-        price.alias("conversion_value_usd"),
-        F.when(F.col("l_linenumber") == 1, 1).otherwise(0).alias("is_new_customer"),
+    span = lambda: lines.selectExpr(
+        "min(cast(l_shipdate as date)) as first_day", "max(cast(l_shipdate as date)) as last_day"
     )
-    supplier, nation, region = (_table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
-    campaigns = (
-        supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
-        .join(region, nation.n_regionkey == region.r_regionkey)
-        .select(
-            F.col("s_suppkey").cast("string").alias("campaign_id"),
-            F.col("s_name").alias("campaign_name"),
-            F.col("r_name").alias("channel"),
-            pick(CAMPAIGN_TYPES, "s_suppkey").alias("campaign_type"),
-            pick(STATUSES, "s_suppkey").alias("status"),
-            span.select("first_day").scalar().alias("start_date"),
-            span.select("last_day").scalar().alias("end_date"),
-            pick(DAILY_BUDGETS, "s_suppkey").alias("daily_budget_usd"),
-        )
+    campaigns = lambda: _supplier_campaigns(*(_table(spark, sf_dir, t) for t in ("supplier", "nation", "region")))
+    return RawTables(
+        campaigns=lambda: _with_span(campaigns(), span()),
+        ad_events=lambda: _ad_lines(lines),
+        conversions=lambda: _conversion_lines(lines),
+        span=span,
     )
-    return RawTables(campaigns, ad_events, conversions, span)
+
+
+# --- customers as users ------------------------------------------------------
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as users, keyed the way the events name them."""
+    """Customers, keyed the way the events name them."""
     customer, nation = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation")
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left").select(
-        F.col("c_custkey").alias("user_id"),
-        F.col("c_name").alias("user_name"),
-        F.col("n_name").alias("geo"),
-        F.lower("c_mktsegment").alias("acquisition_channel"),
-        F.col("c_acctbal").alias("lifetime_value_usd"),
+    return customer.join(nation, F.expr("c_nationkey = n_nationkey"), "left").selectExpr(
+        "c_custkey as user_id",
+        "c_name as user_name",
+        "n_name as geo",
+        "lower(c_mktsegment) as acquisition_channel",
+        "c_acctbal as lifetime_value_usd",
     )
 
 
@@ -170,8 +208,8 @@ def masked_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The user dimension with the personal name replaced by its mask."""
     return users(spark, sf_dir).select(
         mask("user_name", SALT).alias("user_id"),
-        pick(AGE_BANDS, "user_id").alias("age_band"),
-        pick(GENDERS, "user_id").alias("gender"),
+        F.expr(f"{pick(AGE_BANDS, 'user_id')} as age_band"),
+        F.expr(f"{pick(GENDERS, 'user_id')} as gender"),
         F.col("geo").alias("country_code"),
         "acquisition_channel",
         "lifetime_value_usd",

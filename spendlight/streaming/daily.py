@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from spendlight.functions import with_metrics
+from spendlight.functions import money_units, units_sum, with_metrics
 from spendlight.schemas import MONEY
 
 _MEASURES = {
@@ -50,49 +50,39 @@ def streaming_session(spark: SparkSession) -> SparkSession:
 
 def touches(ad_events: DataFrame, conversions: DataFrame) -> DataFrame:
     """Both streams as one, each row with its contribution to every measure."""
-    units = lambda amount: F.rint(F.col(amount) * 10_000).cast("long")
-    none = F.lit(0).cast("long")
-    spent = ad_events.select(
-        F.col("event_date").cast("timestamp").alias("event_time"),
+    spent = ad_events.selectExpr(
+        "cast(event_date as timestamp) as event_time",
         "campaign_id",
-        F.lit(1).cast("long").alias("ad_rows"),
-        units("cost_usd").alias("spend_units"),
-        (F.col("event_type") == "impression").cast("long").alias("impressions"),
-        (F.col("event_type") == "click").cast("long").alias("clicks"),
-        none.alias("orders"),
-        none.alias("revenue_units"),
-        none.alias("new_customers"),
+        "1L as ad_rows",
+        f"{money_units('cost_usd')} as spend_units",
+        "if(event_type = 'impression', 1L, 0L) as impressions",
+        "if(event_type = 'click', 1L, 0L) as clicks",
+        "0L as orders",
+        "0L as revenue_units",
+        "0L as new_customers",
     )
-    earned = conversions.select(
-        F.col("conversion_date").cast("timestamp").alias("event_time"),
+    earned = conversions.selectExpr(
+        "cast(conversion_date as timestamp) as event_time",
         "campaign_id",
-        none.alias("ad_rows"),
-        none.alias("spend_units"),
-        none.alias("impressions"),
-        none.alias("clicks"),
-        F.lit(1).cast("long").alias("orders"),
-        units("conversion_value_usd").alias("revenue_units"),
-        F.col("is_new_customer").cast("long").alias("new_customers"),
+        "0L as ad_rows",
+        "0L as spend_units",
+        "0L as impressions",
+        "0L as clicks",
+        "1L as orders",
+        f"{money_units('conversion_value_usd')} as revenue_units",
+        "cast(is_new_customer as bigint) as new_customers",
     )
     return spent.unionByName(earned)
 
 
 def daily_cells(touched: DataFrame, watermark: str) -> DataFrame:
     """Measures per campaign and day; rows later than the watermark are dropped."""
-    dollars = lambda units: (F.sum(units).cast("decimal(19,0)") / F.lit(10_000)).cast(MONEY)
+    sums = [F.expr(f"sum({name}) as {name}") for name in _MEASURES if not name.endswith("_usd")]
     return (
         touched.withWatermark("event_time", watermark)
         .groupBy(F.window("event_time", "1 day").alias("day"), "campaign_id")
-        .agg(
-            F.sum("ad_rows").alias("ad_rows"),
-            dollars("spend_units").alias("spend_usd"),
-            F.sum("impressions").alias("impressions"),
-            F.sum("clicks").alias("clicks"),
-            F.sum("orders").alias("orders"),
-            dollars("revenue_units").alias("revenue_usd"),
-            F.sum("new_customers").alias("new_customers"),
-        )
-        .select(*CELLS.fieldNames(), F.col("day.start").cast("date").alias("date"))
+        .agg(*sums, units_sum("spend_units").alias("spend_usd"), units_sum("revenue_units").alias("revenue_usd"))
+        .select(*CELLS.fieldNames(), F.expr("cast(day.start as date) as date"))
     )
 
 
