@@ -197,7 +197,8 @@ def revenue_regression_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     session = stream.streaming_session(spark)
     schema = files.read_parquet(spark, f"{sf_dir}/events.parquet").schema
-    source = lambda: session.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # A stream takes a single file only as a glob.
+    source = lambda: session.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     folder = scratch_dir(spark, "stream")
     stream.start(adapters.ad_events_of(source()), adapters.conversions_of(source()), folder).awaitTermination()
     return _plain(stream.daily_metrics(spark, folder))

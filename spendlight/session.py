@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +37,12 @@ def build_session(app_name: str = "spendlight", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+@cache
+def _local_base() -> tempfile.TemporaryDirectory:
+    """One temporary folder per process, removed when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="spendlight-", ignore_cleanup_errors=True)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the folder all executors share.
 
@@ -48,6 +55,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
-        base = tempfile.mkdtemp(prefix="spendlight-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base().name
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

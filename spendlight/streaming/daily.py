@@ -122,6 +122,9 @@ def start(
     ad_events: DataFrame, conversions: DataFrame, folder: str, *, watermark: str = "2 days", trigger: dict | None = None
 ) -> StreamingQuery:
     """Start the stream. ``folder`` holds its checkpoint, change log and table."""
+    nothing = ad_events.sparkSession.createDataFrame([], CHANGES)
+    nothing.write.mode("append").partitionBy("date", "batch_id").parquet(f"{folder}/changes")
+    nothing.select(PUBLISHED.fieldNames()).write.mode("append").partitionBy("date").parquet(f"{folder}/published")
     return (
         daily_cells(touches(ad_events, conversions), watermark)
         .writeStream.outputMode("update")
