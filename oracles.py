@@ -435,14 +435,13 @@ def oracle_sql() -> dict[str, str]:
         "roas_vs_prior_month": _a(_PRIOR),
         "roas_vs_prior_month_b": _b(_PRIOR),
         "roas_by_geo": _a(
-            f"SELECT geo, {_FACT_MEASURES}, {_as(_FACT_METRICS)} FROM (SELECT s.geo, spend_usd, impressions, clicks,"
-            " COALESCE(orders, 0) AS orders, COALESCE(revenue_usd, 0) AS revenue_usd,"
-            " COALESCE(new_customers, 0) AS new_customers FROM"
-            " (SELECT n_name AS geo, SUM(cost_usd) AS spend_usd,"
-            " COUNT(*) FILTER (WHERE event_type = 'impression') AS impressions,"
-            f" COUNT(*) FILTER (WHERE event_type = 'click') AS clicks FROM ads {geo} GROUP BY ALL) s"
-            " LEFT JOIN (SELECT n_name AS geo, COUNT(*) AS orders, SUM(conversion_value_usd) AS revenue_usd,"
-            f" CAST(SUM(is_new_customer) AS BIGINT) AS new_customers FROM conv {geo} GROUP BY ALL) e ON s.geo = e.geo)"
+            f"SELECT geo, {_FACT_MEASURES}, {_as(_FACT_METRICS)} FROM (SELECT geo, {_sums('')} FROM"
+            " (SELECT n_name AS geo, cost_usd AS spend_usd, 0 AS revenue_usd,"
+            " CASE event_type WHEN 'impression' THEN 1 ELSE 0 END AS impressions,"
+            " CASE event_type WHEN 'click' THEN 1 ELSE 0 END AS clicks,"
+            f" 0 AS orders, 0 AS new_customers FROM ads {geo}"
+            " UNION ALL SELECT n_name, 0, conversion_value_usd, 0, 0, 1, is_new_customer"
+            f" FROM conv {geo}) GROUP BY geo)"
         ),
         "traffic_by_device": _a(
             f"SELECT device, {_dbl('spend_usd')}, impressions, clicks, {_as(_FACT_METRICS, 'ctr_pct')} FROM ("

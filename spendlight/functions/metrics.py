@@ -35,7 +35,8 @@ def ratio(
 
     A denominator that is not positive gives NULL, or 0.0 with
     ``on_zero="zero"``. Both operands get the same decimal type, which leaves
-    the quotient ten decimals before the final rounding.
+    the quotient ten decimals before the final rounding. Operands count to four
+    decimals, as money does.
     """
     if on_zero not in ("null", "zero"):
         raise ValueError(f"on_zero must be 'null' or 'zero', not {on_zero!r}")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spendlight.functions import with_metrics
 from spendlight.operators.marts import MEASURES, measure_sums
-from spendlight.operators.star import fill_sales, sales, traffic
+from spendlight.operators.star import sales, traffic
 
 
 def weekly_summary(fact: DataFrame) -> DataFrame:
@@ -34,26 +34,22 @@ def with_prior_month(monthly: DataFrame) -> DataFrame:
 
 
 def roas_by_geo(ad_events: DataFrame, conversions: DataFrame, users: DataFrame) -> DataFrame:
-    """Spend, revenue and ROAS by the user's place.
+    """Spend, revenue and ROAS by the user's place; unknown users count as NULL.
 
     Both streams are rolled up by user before they meet the user table, so a
-    user with very many events is one row there. Places that spent nothing are
-    left out, as conversions without ad events are in the fact.
+    user with very many events is two rows there.
     """
-    spent = ad_events.groupBy("user_id").agg(*traffic())
-    earned = conversions.groupBy("user_id").agg(*sales())
-    places = users.select("user_id", "geo")
-    spent_by_geo = (
-        spent.join(places, "user_id", "left")
-        .groupBy("geo")
-        .agg(*[F.sum(m).alias(m) for m in ("spend_usd", "impressions", "clicks")])
+    per_user = (
+        ad_events.groupBy("user_id")
+        .agg(*traffic())
+        .unionByName(conversions.groupBy("user_id").agg(*sales()), allowMissingColumns=True)
     )
-    earned_by_geo = (
-        earned.join(places, "user_id", "left")
+    per_geo = (
+        per_user.join(users.select("user_id", "geo"), "user_id", "left")
         .groupBy("geo")
-        .agg(*[F.sum(m).alias(m) for m in ("orders", "revenue_usd", "new_customers")])
+        .agg(*[F.expr(f"coalesce(sum({m}), 0) as {m}") for m in MEASURES])
     )
-    return with_metrics(fill_sales(spent_by_geo.join(earned_by_geo, "geo", "left"))).select("geo", *MEASURES, "roas", "cac", "conv_rate_pct", "ctr_pct")
+    return with_metrics(per_geo)
 
 
 def traffic_by_device(ad_events: DataFrame) -> DataFrame:

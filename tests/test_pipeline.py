@@ -1,0 +1,142 @@
+"""Raw CSV tables through the whole job, and the sinks on their own."""
+
+from datetime import date, timedelta
+
+import pytest
+from conftest import plan_of
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
+from spendlight.operators import marts
+from spendlight.plans import mart_sql, pipeline
+from spendlight.schemas import RAW, STAR
+from spendlight.session import scratch_dir
+from spendlight.sources import catalog, files
+
+FIRST = date(2026, 1, 1)
+DAYS = [FIRST + timedelta(days=i) for i in range(10)]
+
+
+def raw_rows():
+    campaigns = [
+        (f"camp_{i}", f"Campaign {i}", "adv_001", ["Meta", "Google"][i % 2], "performance", "active", FIRST, DAYS[-1], 500)
+        for i in range(4)
+    ]
+    days = [(d, d.year, d.month, d.strftime("%B"), d.day, d.weekday(), d.strftime("%A"), int(d.weekday() > 4), 1,
+             d.isocalendar()[1]) for d in DAYS]
+    events = [
+        (f"ev_{n}", DAYS[n % 10], f"camp_{n % 4}", ["Meta", "Google"][n % 2], ["impression", "click"][n % 3 == 0],
+         f"u{n % 7}", "mobile", "US", 0.01 * (n % 50), 0.0, 0)
+        for n in range(400)
+    ]
+    sold = [
+        (f"cv_{n}", DAYS[n % 10], f"camp_{n % 4}", ["Meta", "Google"][n % 2], f"u{n % 7}", "purchase", 10.5, n % 2)
+        for n in range(40)
+    ]
+    return {"dim_campaigns": campaigns, "dim_time": days, "fact_ad_events": events, "fact_conversions": sold}
+
+
+@pytest.fixture(scope="module")
+def done(spark):
+    raw, output = scratch_dir(spark, "raw"), scratch_dir(spark, "out")
+    for name, rows in raw_rows().items():
+        files.write_csv(spark.createDataFrame(rows, RAW[name]), f"{raw}/{name}.csv")
+    report = pipeline.run(spark, raw, output, "spendlight_test").collect()
+    return output, report
+
+
+def test_every_check_passes(done):
+    assert len(done[1]) > 20
+    assert [r for r in done[1] if r.n_failed] == []
+
+
+def test_outputs_exist_and_hold_all_rows(spark, done):
+    output, _ = done
+    tables = pipeline.read_star(spark, output)
+    assert {name: df.count() for name, df in tables.items()} == {
+        "dim_date": 10, "dim_campaign": 4, "fact_campaign_daily": 20,
+    }
+    for name, schema in STAR.items():
+        stored = {f.name: f.dataType for f in spark.read.parquet(f"{output}/{name}").schema}
+        assert stored == {f.name: f.dataType for f in schema}
+    fact = tables["fact_campaign_daily"].selectExpr("sum(spend_usd)", "sum(orders)", "sum(revenue_usd)").first()
+    assert [float(v) for v in fact] == [98.0, 40.0, 420.0]
+
+
+def test_marts_can_be_loaded_by_name(spark, done):
+    loaded = catalog.load_tables(spark, "spendlight_test")
+    assert {name: df.count() for name, df in loaded.items()} == {
+        "mart_channel_summary": 2, "mart_campaign_summary": 4, "mart_monthly_summary": 2, "mart_campaign_daily": 20,
+    }
+    assert set(catalog.load_tables(spark, "spendlight_test", "dim_*")) == {"dim_date", "dim_campaign"}
+
+
+def test_small_marts_are_one_csv_part(spark, done):
+    path = f"{done[0]}/csv/mart_channel_summary"
+    assert len(spark.read.option("header", True).csv(path).inputFiles()) == 1
+    assert spark.read.option("header", True).csv(path).count() == 2
+
+
+def test_sql_marts_on_the_catalog(spark, done):
+    output, _ = done
+    pipeline.run_sql_marts(spark, "spendlight_test", output)
+    for name in mart_sql.MARTS:
+        ours = spark.table(f"spendlight_test.{name}")
+        assert sorted(spark.read.parquet(f"{output}/sql/{name}").select(ours.columns).collect()) == sorted(ours.collect())
+
+
+def test_date_filter_prunes_folders(spark, done):
+    fact = files.read_parquet(spark, f"{done[0]}/fact_campaign_daily")
+    pruned = fact.where("date between date'2026-01-02' and date'2026-01-03'")
+    assert "PartitionFilters: [isnotnull(date" in plan_of(pruned)
+    assert pruned.count() == 4
+    by_name = spark.table("spendlight_test.fact_campaign_daily").where("date = date'2026-01-02'")
+    assert "date" in plan_of(by_name).split("PartitionFilters:")[1][:60]
+    assert by_name.count() == 2
+
+
+def test_rewriting_a_date_keeps_the_others(spark):
+    path = scratch_dir(spark, "by-date")
+    rows = lambda values: spark.createDataFrame(values, "channel string, n int, date date")
+    files.write_by_date(rows([("a", 1, DAYS[0]), ("b", 2, DAYS[0]), ("a", 3, DAYS[1])]), path)
+    files.write_by_date(rows([("c", 9, DAYS[1])]), path)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("channel", "n", "date").collect()) == [
+        ("a", 1, DAYS[0]), ("b", 2, DAYS[0]), ("c", 9, DAYS[1]),
+    ]
+    assert all(".zstd.parquet" in name for name in spark.read.parquet(path).inputFiles())
+
+
+def test_csv_that_does_not_fit_the_schema_is_refused(spark):
+    path = scratch_dir(spark, "bad-csv")
+    spark.createDataFrame([("x", "not a day")], "campaign_id string, event_date string").coalesce(1).write.option(
+        "header", True
+    ).csv(path)
+    schema = spark.createDataFrame([], "campaign_id string, event_date date").schema
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        files.read_csv(spark, path, schema).collect()
+    swapped = spark.createDataFrame([], "event_date date, campaign_id string").schema
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        files.read_csv(spark, path, swapped).collect()
+
+
+def test_existing_table_is_kept_unless_replaced(spark, done):
+    path = scratch_dir(spark, "other")
+    mart = marts.campaign_daily(pipeline.read_star(spark, done[0])["fact_campaign_daily"]).limit(1)
+    files.write_parquet(mart, path)
+    catalog.create_database(spark, "spendlight_keep", scratch_dir(spark, "db"))
+    register = lambda place, **kw: catalog.register_parquet(
+        spark, "spendlight_keep", "t", place, mart.schema, **kw
+    )
+    register(path)
+    register(scratch_dir(spark, "nowhere"))
+    assert spark.table("spendlight_keep.t").count() == 1
+    register(scratch_dir(spark, "nowhere"), replace=True)
+    assert spark.table("spendlight_keep.t").count() == 0
+
+
+def test_scratch_follows_the_configured_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    path = scratch_dir(spark, "x")
+    assert path != scratch_dir(spark, "x")
+    if base:
+        assert path.startswith(base)
