@@ -22,7 +22,7 @@ from pyspark.sql import types as T  # noqa: E402
 import oracles  # noqa: E402
 from spendlight.functions import calendar_columns  # noqa: E402
 from spendlight.operators import forecast, marts, periods, quality, reports, star  # noqa: E402
-from spendlight.plans import mart_sql, pipeline  # noqa: E402
+from spendlight.plans import build, mart_sql  # noqa: E402
 from spendlight.schemas import DIM_CAMPAIGN, FACT, FOREIGN_KEYS, PRIMARY_KEYS, RAW, required_columns  # noqa: E402
 from spendlight.session import scratch_dir  # noqa: E402
 from spendlight.sources import adapters, catalog, files  # noqa: E402
@@ -82,16 +82,16 @@ def _plain(df: DataFrame) -> DataFrame:
     )
 
 
-def _on(raw: Raw, build: Callable[[Model], DataFrame]) -> Query:
-    return lambda spark, sf_dir: _plain(build(Model(raw(spark, sf_dir))))
+def _on(raw: Raw, result: Callable[[Model], DataFrame]) -> Query:
+    return lambda spark, sf_dir: _plain(result(Model(raw(spark, sf_dir))))
 
 
-def _a(build: Callable[[Model], DataFrame]) -> Query:
-    return _on(adapters.from_events, build)
+def _a(result: Callable[[Model], DataFrame]) -> Query:
+    return _on(adapters.from_events, result)
 
 
-def _b(build: Callable[[Model], DataFrame]) -> Query:
-    return _on(adapters.from_lineitem, build)
+def _b(result: Callable[[Model], DataFrame]) -> Query:
+    return _on(adapters.from_lineitem, result)
 
 
 # --- files and catalog: written to a fresh shared folder, then read back ------
@@ -100,7 +100,7 @@ def _b(build: Callable[[Model], DataFrame]) -> Query:
 def _stored_star(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
     raw = adapters.from_events(spark, sf_dir)
     folder = scratch_dir(spark, "star")
-    return folder, pipeline.write_star(
+    return folder, build.write_star(
         raw.ad_events, raw.conversions, raw.campaigns, star.days_between(raw.span), folder
     )
 
@@ -124,7 +124,7 @@ def partition_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog_registered_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, _ = _stored_star(spark, sf_dir)
-    pipeline.register_star(spark, "spendlight_demo", folder, replace=True)
+    build.register_star(spark, "spendlight_demo", folder, replace=True)
     return _plain(spark.table("spendlight_demo.fact_campaign_daily"))
 
 
@@ -210,7 +210,6 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    status_input = lambda m: reports.roas_statuses(m.campaigns, "campaign_key")
     return {
         # star schema
         "dim_date": _a(lambda m: m.dim_date),
@@ -254,7 +253,7 @@ def queries() -> dict[str, Query]:
         "channel_cards": _a(lambda m: reports.channel_cards(m.channels)),
         "channel_roas": _a(lambda m: reports.channel_roas(m.channels)),
         "channel_ranked": _a(lambda m: reports.channel_ranked(m.channels)),
-        "roas_status": _a(status_input),
+        "roas_status": _a(lambda m: reports.roas_statuses(m.campaigns, "campaign_key")),
         "daily_trend": _a(lambda m: reports.daily_trend(m.daily)),
         "channel_daily_share": _a(lambda m: reports.channel_daily_share(m.daily)),
         "channel_daily_trend": _a(lambda m: reports.channel_daily_trend(m.daily)),

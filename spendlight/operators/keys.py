@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def with_dense_key(df: DataFrame, key: str, order_by: str, slices: int = 256) -> DataFrame:
+def with_dense_key(df: DataFrame, key: str, order_by: str, slices: int = 64) -> DataFrame:
     """Number the rows 1..N in the order of a unique column.
 
     The value range is cut into slices at up to ``slices`` values picked by
@@ -22,9 +22,12 @@ def with_dense_key(df: DataFrame, key: str, order_by: str, slices: int = 256) ->
         .limit(slices)
         .selectExpr(f"sort_array(collect_list({order_by})) as cuts")
     )
+    # The value is bound once per row (v), or its expression would be worked out
+    # again for every cut.
+    slice_of = f"element_at(transform(array({order_by}), v -> size(filter(_cuts, cut -> cut <= v))), 1)"
     sliced = (
         df.withColumn("_cuts", cuts.scalar())
-        .withColumn("_slice", F.expr(f"size(filter(_cuts, cut -> cut <= {order_by}))"))
+        .withColumn("_slice", F.expr(slice_of))
         .drop("_cuts")
     )
     sizes = (

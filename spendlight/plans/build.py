@@ -1,6 +1,6 @@
 """The whole job: raw CSV tables to a registered star schema and its marts.
 
-    python -m spendlight.plans.pipeline RAW_FOLDER OUTPUT_FOLDER [--database NAME]
+    python -m spendlight.plans.build RAW_FOLDER OUTPUT_FOLDER [--database NAME]
 """
 
 from __future__ import annotations
@@ -121,7 +121,7 @@ def main() -> None:
     parser.add_argument("output", help="folder or URI for the star schema and the marts")
     parser.add_argument("--database", default="spendlight")
     args = parser.parse_args()
-    spark = build_session("spendlight pipeline")
+    spark = build_session("spendlight build")
     run(spark, args.raw_folder, args.output, args.database).show(100, truncate=False)
     run_sql_marts(spark, args.database, args.output)
 

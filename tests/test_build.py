@@ -8,7 +8,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from spendlight.operators import marts
-from spendlight.plans import mart_sql, pipeline
+from spendlight.plans import build, mart_sql
 from spendlight.schemas import RAW, STAR
 from spendlight.session import scratch_dir
 from spendlight.sources import catalog, files
@@ -41,7 +41,7 @@ def done(spark):
     raw, output = scratch_dir(spark, "raw"), scratch_dir(spark, "out")
     for name, rows in raw_rows().items():
         files.write_csv(spark.createDataFrame(rows, RAW[name]), f"{raw}/{name}.csv")
-    report = pipeline.run(spark, raw, output, "spendlight_test").collect()
+    report = build.run(spark, raw, output, "spendlight_test").collect()
     return output, report
 
 
@@ -52,7 +52,7 @@ def test_every_check_passes(done):
 
 def test_outputs_exist_and_hold_all_rows(spark, done):
     output, _ = done
-    tables = pipeline.read_star(spark, output)
+    tables = build.read_star(spark, output)
     assert {name: df.count() for name, df in tables.items()} == {
         "dim_date": 10, "dim_campaign": 4, "fact_campaign_daily": 20,
     }
@@ -79,7 +79,7 @@ def test_small_marts_are_one_csv_part(spark, done):
 
 def test_sql_marts_on_the_catalog(spark, done):
     output, _ = done
-    pipeline.run_sql_marts(spark, "spendlight_test", output)
+    build.run_sql_marts(spark, "spendlight_test", output)
     for name in mart_sql.MARTS:
         ours = spark.table(f"spendlight_test.{name}")
         assert sorted(spark.read.parquet(f"{output}/sql/{name}").select(ours.columns).collect()) == sorted(ours.collect())
@@ -121,7 +121,7 @@ def test_csv_that_does_not_fit_the_schema_is_refused(spark):
 
 def test_existing_table_is_kept_unless_replaced(spark, done):
     path = scratch_dir(spark, "other")
-    mart = marts.campaign_daily(pipeline.read_star(spark, done[0])["fact_campaign_daily"]).limit(1)
+    mart = marts.campaign_daily(build.read_star(spark, done[0])["fact_campaign_daily"]).limit(1)
     files.write_parquet(mart, path)
     catalog.create_database(spark, "spendlight_keep", scratch_dir(spark, "db"))
     register = lambda place, **kw: catalog.register_parquet(
