@@ -155,7 +155,7 @@ def dq_totals_reconcile(m: Model) -> DataFrame:
 
 
 def dq_pk_duplicates_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = files.read_parquet(spark, f"{sf_dir}/lineitem.parquet")
+    lines = adapters.table(spark, sf_dir, "lineitem")
     return quality.duplicate_keys(lines, ["l_orderkey", "l_linenumber"], "lineitem")
 
 
@@ -196,7 +196,7 @@ def revenue_regression_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     session = stream.streaming_session(spark)
-    schema = files.read_parquet(spark, f"{sf_dir}/events.parquet").schema
+    schema = adapters.SCHEMAS["events"]
     # A stream takes a single file only as a glob.
     source = lambda: session.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     folder = scratch_dir(spark, "stream")

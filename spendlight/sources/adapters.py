@@ -27,6 +27,21 @@ AGE_BANDS = ["18-24", "25-34", "35-44", "45-54"]
 GENDERS = ["male", "female", "unknown"]
 
 
+# Schemas of the test tables, given so that no job has to look them up.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+        " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+        " l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 class RawTables:
     """Campaigns, ad events, conversions and the span of days, built on first use.
 
@@ -53,8 +68,8 @@ class RawTables:
         return self._build["span"]()
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _with_span(campaigns: DataFrame, span: DataFrame) -> DataFrame:
@@ -127,7 +142,7 @@ def _campaigns_of(events: DataFrame) -> DataFrame:
 
 
 def from_events(spark: SparkSession, sf_dir: str) -> RawTables:
-    events = _table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
     span = lambda: events.selectExpr(
         "min(cast(ts as date)) as first_day", "max(cast(ts as date)) as last_day"
     )
@@ -178,11 +193,11 @@ def _supplier_campaigns(supplier: DataFrame, nation: DataFrame, region: DataFram
 
 
 def from_lineitem(spark: SparkSession, sf_dir: str) -> RawTables:
-    lines = _table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem")
     span = lambda: lines.selectExpr(
         "min(cast(l_shipdate as date)) as first_day", "max(cast(l_shipdate as date)) as last_day"
     )
-    campaigns = lambda: _supplier_campaigns(*(_table(spark, sf_dir, t) for t in ("supplier", "nation", "region")))
+    campaigns = lambda: _supplier_campaigns(*(table(spark, sf_dir, t) for t in ("supplier", "nation", "region")))
     return RawTables(
         campaigns=lambda: _with_span(campaigns(), span()),
         ad_events=lambda: _ad_lines(lines),
@@ -196,7 +211,7 @@ def from_lineitem(spark: SparkSession, sf_dir: str) -> RawTables:
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers, keyed the way the events name them."""
-    customer, nation = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation")
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     return customer.join(nation, F.expr("c_nationkey = n_nationkey"), "left").selectExpr(
         "c_custkey as user_id",
         "c_name as user_name",
