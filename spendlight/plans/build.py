@@ -29,7 +29,8 @@ def write_star(
     files.write_parquet(star.campaign_dimension(campaigns), paths["dim_campaign"])
     files.write_parquet(star.date_dimension(days), paths["dim_date"])
     dim_campaign = files.read_parquet(spark, paths["dim_campaign"], STAR["dim_campaign"])
-    files.write_by_date(star.campaign_daily_fact(ad_events, conversions, dim_campaign), paths["fact_campaign_daily"])
+    fact = star.campaign_daily_fact(ad_events, conversions, dim_campaign)
+    files.write_by_date(fact, paths["fact_campaign_daily"], whole=True)
     return read_star(spark, folder)
 
 
@@ -66,7 +67,7 @@ def write_marts(spark: SparkSession, built: dict[str, DataFrame], folder: str, d
     for name, mart in built.items():
         path = f"{base}/marts/{name}"
         if "date" in mart.columns:
-            files.write_by_date(mart, path)
+            files.write_by_date(mart, path, whole=True)
         else:
             files.write_parquet(mart, path)
         written = files.read_parquet(spark, path, mart.schema)

@@ -23,7 +23,7 @@ def register_parquet(
     """Register the Parquet folder at ``location`` as an external table.
 
     An existing table is kept, unless ``replace`` is set; dropping an external
-    table leaves its files alone. Partition folders are recovered.
+    table leaves its files alone. Partitions follow the folders found there.
     """
     name = f"`{database}`.`{table}`"
     if replace:
@@ -35,7 +35,7 @@ def register_parquet(
     partitioning = f" PARTITIONED BY (`{partition_by}`)" if partition_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{partitioning} LOCATION '{location}'")
     if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
 
 
 def load_tables(spark: SparkSession, database: str, pattern: str = "mart_*") -> dict[str, DataFrame]:

@@ -36,8 +36,10 @@ def write_parquet(df: DataFrame, path: str, compression: str = "zstd") -> None:
     df.write.mode("overwrite").option("compression", compression).parquet(path)
 
 
-def write_by_date(df: DataFrame, path: str, sort_by: str = "channel", compression: str = "zstd") -> None:
-    """Replace the date folders present in ``df``; other dates stay.
+def write_by_date(
+    df: DataFrame, path: str, *, whole: bool = False, sort_by: str = "channel", compression: str = "zstd"
+) -> None:
+    """Replace the date folders present in ``df``, or the whole table.
 
     The rebalance hint groups rows by date so that a date gets few files, and
     lets AQE split a date that outgrows one task and merge small ones. The sort
@@ -47,7 +49,7 @@ def write_by_date(df: DataFrame, path: str, sort_by: str = "channel", compressio
         df.hint("rebalance", "date")
         .sortWithinPartitions("date", sort_by)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("compression", compression)
         .partitionBy("date")
         .parquet(path)

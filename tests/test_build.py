@@ -103,6 +103,8 @@ def test_rewriting_a_date_keeps_the_others(spark):
     assert sorted(tuple(r) for r in spark.read.parquet(path).select("channel", "n", "date").collect()) == [
         ("a", 1, DAYS[0]), ("b", 2, DAYS[0]), ("c", 9, DAYS[1]),
     ]
+    files.write_by_date(rows([("d", 4, DAYS[2])]), path, whole=True)
+    assert [tuple(r) for r in spark.read.parquet(path).select("channel", "n", "date").collect()] == [("d", 4, DAYS[2])]
     assert all(".zstd.parquet" in name for name in spark.read.parquet(path).inputFiles())
 
 

@@ -1,11 +1,15 @@
 """A campaign and a user that hold a third of all rows."""
 
+from collections import Counter
+
 import pandas as pd
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
 from spendlight.operators import periods, quality, star
+from spendlight.session import scratch_dir
+from spendlight.sources import files
 
 ROWS = 30_000
 
@@ -59,3 +63,21 @@ def test_orphans_of_a_hot_value(spark, ads):
     known = spark.createDataFrame([(f"c{i}",) for i in range(97)], "campaign_id string")
     row = quality.orphans(ads, "campaign_id", known, "ads").first()
     assert (row.n_checked, row.n_failed) == (ROWS, ROWS // 3)
+
+
+def test_a_hot_date_is_written_by_several_tasks(spark):
+    path = scratch_dir(spark, "hot-date")
+    rows = spark.range(200_000, numPartitions=8).selectExpr(
+        "if(id % 3 = 0, 'a', 'b') as channel",
+        "sha1(cast(id as string)) as value",
+        "if(id % 3 = 0, date'2024-01-01', date_add(date'2024-02-01', cast(id % 30 as int))) as date",
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512KB")
+    try:
+        files.write_by_date(rows, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = spark.read.parquet(path)
+    per_date = Counter(name.split("date=")[1][:10] for name in written.inputFiles())
+    assert per_date["2024-01-01"] > 1
+    assert written.selectExpr("count(*)", "count(distinct value)").first() == (200_000, 200_000)
