@@ -102,18 +102,27 @@ def publish(folder: str):
     changes, published = f"{folder}/changes", f"{folder}/published"
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        _overwrite(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), changes, "date", "batch_id")
-        log = spark.read.schema(CHANGES).parquet(changes)
-        touched = log.where(F.col("batch_id") == batch_id).select("date").distinct()
-        values = F.struct(*_MEASURES)
-        latest = (
-            log.join(touched, "date", "left_semi")
-            .groupBy("campaign_id", "date")
-            .agg(F.max_by(values, "batch_id").alias("cell"))
-            .select("campaign_id", "cell.*", "date")
-        )
-        _overwrite(latest, published, "date")
+        batch = batch.persist()
+        try:
+            # One value per day the batch touched. They name the only folders
+            # of the log that are listed, so its age does not slow a batch down.
+            days = [row.date for row in batch.select("date").distinct().collect()]
+            if not days:
+                return
+            _overwrite(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), changes, "date", "batch_id")
+            log = (
+                batch.sparkSession.read.schema(CHANGES)
+                .option("basePath", changes)
+                .parquet(*[f"{changes}/date={day}" for day in days])
+            )
+            latest = (
+                log.groupBy("campaign_id", "date")
+                .agg(F.max_by(F.struct(*_MEASURES), "batch_id").alias("cell"))
+                .select("campaign_id", "cell.*", "date")
+            )
+            _overwrite(latest, published, "date")
+        finally:
+            batch.unpersist()
 
     return step
 
