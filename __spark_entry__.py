@@ -25,7 +25,7 @@ from spendlight.operators import forecast, marts, periods, quality, reports, sta
 from spendlight.plans import build, mart_sql  # noqa: E402
 from spendlight.schemas import DIM_CAMPAIGN, FACT, FOREIGN_KEYS, PRIMARY_KEYS, RAW, required_columns  # noqa: E402
 from spendlight.session import scratch_dir  # noqa: E402
-from spendlight.sources import adapters, catalog, files  # noqa: E402
+from spendlight.sources import adapters, files  # noqa: E402
 from spendlight.streaming import daily as stream  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]

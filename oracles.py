@@ -248,8 +248,8 @@ def _all(parts: list[str]) -> str:
 
 
 def _least(table: str, least: int) -> str:
-    return _check(f"rows:{table}", {"ad_events": "ads", "conversions": "conv", "fact_campaign_daily": "fact"}.get(
-        table, table), "COUNT(*)", f"GREATEST({least} - COUNT(*), 0)")
+    source = {"ad_events": "ads", "conversions": "conv", "fact_campaign_daily": "fact"}.get(table, table)
+    return _check(f"rows:{table}", source, "COUNT(*)", f"GREATEST({least} - COUNT(*), 0)")
 
 
 def _rule(name: str, table: str, broken: str) -> str:
@@ -405,7 +405,9 @@ def oracle_sql() -> dict[str, str]:
         "channel_daily_trend": _a(
             f"SELECT date, channel, {_FACT_MEASURES}, {_as(_FACT_METRICS)} FROM ({day}) ORDER BY date, channel"
         ),
-        "campaign_options": _a("SELECT campaign_name || ' (' || channel || ')' AS label, campaign_key FROM campaign_mart"),
+        "campaign_options": _a(
+            "SELECT campaign_name || ' (' || channel || ')' AS label, campaign_key FROM campaign_mart"
+        ),
         "campaign_lookup": _a(
             f"SELECT campaign_key, campaign_name, {_dbl('total_spend_usd', 'total_revenue_usd')}, roas, cac"
             " FROM campaign_mart WHERE campaign_key = 1"

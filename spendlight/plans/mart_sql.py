@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-_RATIO = "cast(round(cast(cast({top} as decimal(28,4)) / nullif(greatest(cast({bottom} as decimal(28,4)), 0), 0) as decimal(38,10)), 2) as double)"
+# A denominator that is not positive becomes NULL, and with it the ratio.
+_RATIO = (
+    "cast(round(cast(cast({top} as decimal(28,4))"
+    " / nullif(greatest(cast({bottom} as decimal(28,4)), 0), 0) as decimal(38,10)), 2) as double)"
+)
 
 
 def _ratio(top: str, bottom: str) -> str:

@@ -19,7 +19,8 @@ DAYS = [FIRST + timedelta(days=i) for i in range(10)]
 
 def raw_rows():
     campaigns = [
-        (f"camp_{i}", f"Campaign {i}", "adv_001", ["Meta", "Google"][i % 2], "performance", "active", FIRST, DAYS[-1], 500)
+        (f"camp_{i}", f"Campaign {i}", "adv_001", ["Meta", "Google"][i % 2], "performance", "active",
+         FIRST, DAYS[-1], 500)
         for i in range(4)
     ]
     days = [(d, d.year, d.month, d.strftime("%B"), d.day, d.weekday(), d.strftime("%A"), int(d.weekday() > 4), 1,
@@ -82,7 +83,8 @@ def test_sql_marts_on_the_catalog(spark, done):
     build.run_sql_marts(spark, "spendlight_test", output)
     for name in mart_sql.MARTS:
         ours = spark.table(f"spendlight_test.{name}")
-        assert sorted(spark.read.parquet(f"{output}/sql/{name}").select(ours.columns).collect()) == sorted(ours.collect())
+        theirs = spark.read.parquet(f"{output}/sql/{name}").select(ours.columns)
+        assert sorted(theirs.collect()) == sorted(ours.collect())
 
 
 def test_date_filter_prunes_folders(spark, done):

@@ -66,7 +66,8 @@ def test_money_sum_of_nothing_is_null(spark, frame):
 )
 def test_calendar(spark, frame, day, key, weekday, weekend, week):
     columns = calendar_columns("d")
-    row = frame([(day,)], "d date").select(date_key("d").alias("key"), *[c.alias(n) for n, c in columns.items()]).first()
+    parts = [column.alias(name) for name, column in columns.items()]
+    row = frame([(day,)], "d date").select(date_key("d").alias("key"), *parts).first()
     assert (row.key, row.day_of_week, row.is_weekend, row.week_of_year) == (key, weekday, weekend, week)
     assert (row.day_name, row.month_name) == (day.strftime("%A"), day.strftime("%B"))
     assert (row.year, row.month, row.day_of_month, row.quarter) == (day.year, day.month, day.day, (day.month + 2) // 3)

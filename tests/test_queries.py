@@ -7,7 +7,10 @@ from conftest import SF, SF_SMALL, plan_of
 import __spark_entry__ as registry
 
 QUERIES, SQL = registry.queries(), registry.oracle_sql()
-HEADLINE = ["fact_campaign_daily", "fact_campaign_daily_b", "mart_campaign_summary_b", "daily_trend", "dq_pk_duplicates_b"]
+HEADLINE = [
+    "fact_campaign_daily", "fact_campaign_daily_b", "mart_campaign_summary_b", "daily_trend", "dq_pk_duplicates_b",
+]
+PLANS = ["fact_campaign_daily", "mart_channel_summary_b", "roas_by_geo", "dq_totals_reconcile"]
 
 
 @pytest.fixture(scope="module")
@@ -41,7 +44,7 @@ def test_totals_at_the_larger_scale(spark):
     assert (google.roas, google.cac, google.conv_rate_pct, google.ctr_pct) == (1.47, 67.65, 152.59, 92.0)
 
 
-@pytest.mark.parametrize("name", ["fact_campaign_daily", "mart_channel_summary_b", "roas_by_geo", "dq_totals_reconcile"])
+@pytest.mark.parametrize("name", PLANS)
 def test_plans_stay_in_the_jvm_and_join_on_keys(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_SMALL))
     for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):

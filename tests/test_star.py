@@ -88,7 +88,9 @@ def test_january_of_two_years_stays_apart(frame, fact):
 
 
 def test_week_that_spans_new_year_is_one(frame):
-    measures = "spend_usd double, revenue_usd double, impressions bigint, clicks bigint, orders bigint, new_customers bigint"
+    measures = (
+        "spend_usd double, revenue_usd double, impressions bigint, clicks bigint, orders bigint, new_customers bigint"
+    )
     rows = [(date(2024, 12, 31), "Meta", 1.0, 1.0, 1, 1, 1, 1), (date(2025, 1, 2), "Meta", 1.0, 1.0, 1, 1, 1, 1)]
     weeks = periods.weekly_summary(frame(rows, f"date date, channel string, {measures}")).collect()
     assert [(r.week_start, r.orders) for r in weeks] == [(date(2024, 12, 30), 2)]

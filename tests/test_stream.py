@@ -12,9 +12,10 @@ DAY = date(2024, 1, 10)
 def batches(days):
     """Three drops of events; later ones touch the days of earlier ones again."""
     for drop in range(3):
+        day = DAY + timedelta(days=days[drop])
         yield (
-            [(f"c{n % 3}", DAY + timedelta(days=days[drop]), ["click", "impression"][n % 2], 0.25) for n in range(drop + 5)],
-            [(f"c{n % 4}", DAY + timedelta(days=days[drop]), 10.0 + drop, n % 2) for n in range(drop + 3)],
+            [(f"c{n % 3}", day, ["click", "impression"][n % 2], 0.25) for n in range(drop + 5)],
+            [(f"c{n % 4}", day, 10.0 + drop, n % 2) for n in range(drop + 3)],
         )
 
 
@@ -27,11 +28,11 @@ def run(spark, days, watermark):
     for ads, sold in batches(days):
         spark.createDataFrame(ads, AD_EVENTS).coalesce(1).write.mode("append").parquet(ads_dir)
         spark.createDataFrame(sold, CONVERSIONS).coalesce(1).write.mode("append").parquet(sold_dir)
-        daily.start(source(ads_dir, AD_EVENTS), source(sold_dir, CONVERSIONS), folder, watermark=watermark).awaitTermination()
+        query = daily.start(source(ads_dir, AD_EVENTS), source(sold_dir, CONVERSIONS), folder, watermark=watermark)
+        query.awaitTermination()
     ads, sold = spark.read.parquet(ads_dir), spark.read.parquet(sold_dir)
-    cells = star.event_rollup(ads).join(
-        star.conversion_rollup(sold).withColumnRenamed("conversion_date", "event_date"), ["campaign_id", "event_date"], "left"
-    )
+    earned = star.conversion_rollup(sold).withColumnRenamed("conversion_date", "event_date")
+    cells = star.event_rollup(ads).join(earned, ["campaign_id", "event_date"], "left")
     expected = star.fill_sales(cells).withColumnRenamed("event_date", "date")
     columns = ["campaign_id", "date", "spend_usd", "impressions", "clicks", "orders", "revenue_usd", "new_customers"]
     published = daily.daily_metrics(spark, folder)
