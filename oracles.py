@@ -224,8 +224,8 @@ def _share(measure: str, name: str) -> str:
 def _ranked(k: int, direction: str) -> str:
     order = f"roas {direction} NULLS LAST, campaign_key"
     return (
-        f"SELECT CAST(ROW_NUMBER() OVER (ORDER BY {order}) AS INTEGER) AS rank, campaign_key, campaign_name, channel, campaign_type,"
-        f" roas, {_dbl('total_spend_usd', 'total_revenue_usd')} FROM campaign_mart ORDER BY {order} LIMIT {k}"
+        f"SELECT CAST(ROW_NUMBER() OVER (ORDER BY {order}) AS INTEGER) AS rank, campaign_key, campaign_name,"
+        f" channel, campaign_type, roas, {_dbl('total_spend_usd', 'total_revenue_usd')} FROM campaign_mart ORDER BY {order} LIMIT {k}"
     )
 
 
