@@ -28,6 +28,12 @@ from spendlight.session import scratch_dir  # noqa: E402
 from spendlight.sources import adapters, files  # noqa: E402
 from spendlight.streaming import daily as stream  # noqa: E402
 
+try:  # the one place that allows for a library without its text operators
+    import corpus_pipeline
+    from spendlight.llm import queries as text_queries
+except ImportError:
+    corpus_pipeline = text_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 Raw = Callable[[SparkSession, str], adapters.RawTables]
 
@@ -210,6 +216,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return {**ad_queries(), **(text_queries.queries() | {"pipeline": corpus_pipeline.run} if text_queries else {})}
+
+
+def ad_queries() -> dict[str, Query]:
     return {
         # star schema
         "dim_date": _a(lambda m: m.dim_date),
@@ -304,5 +314,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query; the multi-feature regression has none."""
-    return oracles.oracle_sql()
+    """DuckDB SQL per query, where SQL can express it."""
+    found = oracles.oracle_sql() | (text_queries.oracle_sql() if text_queries else {})
+    if text_queries and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

@@ -5,8 +5,9 @@ from compare import connect, difference
 from conftest import SF, SF_SMALL, plan_of
 
 import __spark_entry__ as registry
+import oracles
 
-QUERIES, SQL = registry.queries(), registry.oracle_sql()
+QUERIES, SQL = registry.ad_queries(), oracles.oracle_sql()
 HEADLINE = [
     "fact_campaign_daily", "fact_campaign_daily_b", "mart_campaign_summary_b", "daily_trend", "dq_pk_duplicates_b",
 ]
