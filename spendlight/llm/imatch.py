@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spendlight.llm.slices import id_slices
+
 #: Share of documents that hold a term of the lexicon; an inverse document frequency between -ln of both.
 DF_BAND = (0.01, 0.1)
 #: Lexicon subsets (at most 16: two hex digits of a digest each), and how many in 256 terms a subset keeps.
@@ -14,8 +14,6 @@ SUBSETS = 16
 KEEP = 6
 #: Cells of the lookup table that a term's hash selects.
 CELLS = 1 << 16
-#: Documents of one slice of the id order, about.
-SLICE = 4096
 
 
 def distinct_terms(text: Column) -> Column:
@@ -92,27 +90,6 @@ def likeness(a: Column, b: Column) -> Column:
     return F.size(same) / F.size(used)
 
 
-def _cut_slices(docs: DataFrame) -> tuple[Column, int]:
-    """The slice of an id, and how many there are: quantiles of all ids, looked up in two levels."""
-    n = docs.count()
-    slices = min(max(1, math.ceil(n / SLICE)), 1 << 16)
-    cuts = []
-    if slices > 1:
-        shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-        cuts = sorted(set(docs.agg(F.percentile_approx("doc_id", shares, 10 * slices)).first()[0] or []))
-    wide = max(1, math.isqrt(len(cuts)))
-    blocks = [cuts[i : i + wide] for i in range(0, len(cuts), wide)]
-    longs = lambda xs: f"array({', '.join(f'{x}L' for x in xs)})" if xs else "cast(array() as array<bigint>)"
-    heads, fine = longs([b[0] for b in blocks]), f"array({', '.join(map(longs, blocks)) or longs([])})"
-    block = f"size(filter({heads}, c -> c <= d))"
-    expr = (
-        f"element_at(transform(transform(array(doc_id), d -> named_struct('d', d, 'b', {block})),"
-        f" s -> if(s.d is null, {len(cuts) + 1}, if(s.b = 0, 0,"
-        f" (s.b - 1) * {wide} + size(filter(get({fine}, s.b - 1), c -> c <= s.d))))), 1)"
-    )
-    return F.expr(expr), len(cuts) + 2
-
-
 def with_next(rows: DataFrame, docs: DataFrame, carried: list[str]) -> DataFrame:
     """Add next_<c> for each carried column: its value in the next row by ascending doc_id.
 
@@ -121,9 +98,9 @@ def with_next(rows: DataFrame, docs: DataFrame, carried: list[str]) -> DataFrame
     quantiles. Every slice is ordered apart, and the first rows of the next
     slice that has any are copied to it, so nothing is ordered in one task.
     """
-    slice_of, _ = _cut_slices(docs)
+    slice_of, _ = id_slices(docs)
     firsts = docs.groupBy(slice_of.alias("_slice")).agg(F.min("doc_id").alias("_first"))
-    # One row per slice: a bounded table, cut by _cut_slices.
+    # One row per slice: a bounded table, cut by id_slices.
     found = sorted((r["_slice"], r["_first"]) for r in firsts.collect())
     if not found:
         return rows.withColumns({f"next_{c}": F.col(c) for c in carried})

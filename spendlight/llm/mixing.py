@@ -78,7 +78,7 @@ def systematic_copies(
     before them. No task holds a whole group, and the cut doesn't change the
     result.
     """
-    digits = max(0, math.ceil(math.log(max(rows, 1) / 2_000_000, 16)))
+    digits = max(0, math.ceil(math.log(max(rows, 1) / 20_000, 16)))
     slice_key = ["_group", *order, "_part"]
     sliced = df.withColumns(
         {

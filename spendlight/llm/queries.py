@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlight.llm import imatch, licenses, mixing
+from spendlight.llm import backtrack_bpe, huffman, imatch, licenses, mixing, token_counts
 from spendlight.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,16 +17,36 @@ def op2_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_backtrack_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return backtrack_bpe.round_trip_digests(backtrack_bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
+
+
+def op7_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman.written_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_hits(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    found = [op2_imatch_fingerprints, op4_source_mix, op9_license_scan]
+    found = [
+        op2_imatch_fingerprints,
+        op3_token_counts,
+        op4_source_mix,
+        op6_backtrack_bpe,
+        op7_huffman_ids,
+        op9_license_scan,
+    ]
     return {f.__name__: f for f in found}
 
 

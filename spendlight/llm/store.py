@@ -18,5 +18,5 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     read of files instead of the whole lineage.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
