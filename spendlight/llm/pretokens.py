@@ -184,3 +184,17 @@ def texts_of(column: pa.Array, step: int = 256) -> Iterator[list[str]]:
     """The texts of an Arrow column, a few at a time; null is empty."""
     for i in range(0, len(column), step):
         yield [t or "" for t in column.slice(i, step).to_pylist()]
+
+
+def chunks_of(column: pa.Array, chars: int = 1 << 20) -> Iterator[list[str]]:
+    """The texts of an Arrow column, about so many characters at a time, so that memory follows the longest text alone."""
+    held, size = [], 0
+    for texts in texts_of(column, 64):
+        for text in texts:
+            if held and size + len(text) > chars:
+                yield held
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
+    if held:
+        yield held

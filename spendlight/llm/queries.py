@@ -7,12 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlight.llm import backtrack_bpe, huffman, imatch, licenses, mixing, token_counts
+from spendlight.llm import backtrack_bpe, huffman, imatch, licenses, mixing, token_counts, toxicity
 from spendlight.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -40,6 +45,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = [
+        op1_ftrl_toxicity,
         op2_imatch_fingerprints,
         op3_token_counts,
         op4_source_mix,
