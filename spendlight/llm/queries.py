@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlight.llm import backtrack_bpe, huffman, imatch, licenses, mixing, token_counts, toxicity
+from spendlight.llm import backtrack_bpe, huffman, imatch, licenses, mixing, secret_scan, token_counts, toxicity
 from spendlight.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
 def op6_backtrack_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return backtrack_bpe.round_trip_digests(backtrack_bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
@@ -49,6 +53,7 @@ def queries() -> dict[str, Query]:
         op2_imatch_fingerprints,
         op3_token_counts,
         op4_source_mix,
+        op5_secret_scan,
         op6_backtrack_bpe,
         op7_huffman_ids,
         op9_license_scan,
