@@ -177,16 +177,14 @@ def redacted(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
     suspects = rows.where(F.size("_spans") > 0)
     verdicts = judged(suspects, column[owner], column[repository], wide)
     joined = suspects.drop("_spans").join(verdicts, "_row", "left").drop("_row")
-    at = joined.columns.index(text)
+    at, out = joined.columns.index(text), plain.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = batch.column(len(names)).to_pylist()
+            spans = batch.column(len(out)).to_pylist()
             texts = [_hidden(t, s or []) for t, s in zip(batch.column(at).to_pylist(), spans)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(names))],
-                names=plain.columns,
-            )
+            columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(out))]
+            yield pa.RecordBatch.from_arrays(columns, names=out)
 
     changed = joined.mapInArrow(run, plain.schema)
     if size:
