@@ -9,10 +9,9 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
-from spendlight.llm.pretokens import NEVER, PATTERN, Memo, merged, read_ranks, texts_of
+from spendlight.llm.pretokens import NEVER, Memo, Splitter, merged, read_ranks, texts_of, unicode_patterns
 
 #: Token pairs whose compatibility a worker remembers.
 KEPT_PAIRS = 1_000_000
@@ -29,7 +28,7 @@ class Encoder:
     taken back is dead and never tried again, which keeps the work linear.
     """
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], patterns: tuple[str, ...] | None = None):
         self.ranks = ranks
         self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
@@ -42,7 +41,7 @@ class Encoder:
         self.prefix: dict[int, int] = {}
         self.fits: dict[int, bool] = {}
         self.memo = Memo(lambda piece: np.array(self.encode_piece(piece.encode()), "<u4").tobytes())
-        self.find = regex.compile(PATTERN).findall
+        self.pieces = Splitter(patterns or unicode_patterns()).pieces
 
     def merge(self, piece: bytes) -> list[int]:
         """Plain merging, for the two tokens of a pair."""
@@ -104,7 +103,7 @@ class Encoder:
         return out
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.memo.__getitem__, self.find(text))), "<u4")
+        return np.frombuffer(b"".join(map(self.memo.__getitem__, self.pieces(text))), "<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
@@ -112,7 +111,7 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def _built(key: str, ranks) -> Encoder:
-    return Encoder(ranks.value)
+    return Encoder(*ranks.value)
 
 
 class _Shared:
@@ -121,7 +120,7 @@ class _Shared:
     def __init__(self, df: DataFrame, path: str):
         ranks = read_ranks(path)
         self.key = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
-        self.ranks = df.sparkSession.sparkContext.broadcast(ranks)
+        self.ranks = df.sparkSession.sparkContext.broadcast((ranks, unicode_patterns()))
 
     def __getstate__(self):
         return self.key, self.ranks
@@ -136,7 +135,7 @@ class _Shared:
         return self.key == other.key
 
     @property
-    def value(self) -> dict[bytes, int]:
+    def value(self) -> tuple[dict[bytes, int], tuple[str, ...]]:
         return self.ranks.value
 
     def encoder(self) -> Encoder:

@@ -19,9 +19,9 @@ from spendlight.session import scratch_dir
 #: Longest code; the decoding table has two to this many entries.
 MAX_BITS = 16
 #: A block is closed once it holds so many ids.
-BLOCK_IDS = 1 << 16
+BLOCK_IDS = 1 << 18
 #: Ids between two checkpoints inside a document.
-STRIDE = 512
+STRIDE = 128
 
 
 # --- the code -----------------------------------------------------------------
@@ -84,25 +84,25 @@ class Code:
         self.symbol_at[:filled] = np.repeat(ids, steps)
         self.length_at[:filled] = np.repeat(lengths, steps)
 
-    def pack(self, ids: np.ndarray) -> bytes:
-        """The words of the ids one behind the other, the highest bit first, up to a whole byte."""
-        if not len(ids):
-            return b""
+    def pack(self, ids: np.ndarray, counts: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """The words of several documents, each from a whole byte on, the highest bit first.
+
+        Also the byte where each document starts (and the end of the last), and
+        the bit offset of each word from the start of its document.
+        """
         lengths = self.length[ids]
-        ends = np.cumsum(lengths)
-        at = ends - lengths
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        first = np.cumsum(counts) - counts
+        doc_bits = upto[first + counts] - upto[first]
+        bounds = np.concatenate([[0], np.cumsum(-(-doc_bits // 8))])
+        inside = upto[:-1] - np.repeat(upto[first], counts)
+        at = inside + np.repeat(bounds[:-1] * 8, counts)
         # A word of up to 32 bits touches two 32-bit cells; a cell's words share no bit, so sums are exact in doubles.
-        shifted = self.word[ids] << (64 - lengths - (at & 31))
-        cells = at >> 5
-        n = int(cells[-1]) + 2
-        high = np.bincount(cells, (shifted.view(np.uint64) >> np.uint64(32)).astype(np.float64), n)
-        low = np.bincount(cells + 1, (shifted & 0xFFFFFFFF).astype(np.float64), n)
-        return (high + low).astype(np.uint64).astype(">u4").tobytes()[: (int(ends[-1]) + 7) // 8]
-
-    def checkpoints(self, ids: np.ndarray) -> np.ndarray:
-        """Bit offset of every STRIDE-th id."""
-        lengths = self.length[ids]
-        return (np.cumsum(lengths) - lengths)[::STRIDE]
+        shifted = (self.word[ids] << (64 - lengths - (at & 31))).view(np.uint64)
+        n = int(bounds[-1]) // 4 + 2
+        high = np.bincount(at >> 5, (shifted >> np.uint64(32)).astype(np.float64), n)
+        low = np.bincount((at >> 5) + 1, (shifted & np.uint64(0xFFFFFFFF)).astype(np.float64), n)
+        return (high + low[: len(high)]).astype(np.uint64).astype(">u4").tobytes(), bounds, inside
 
     def unpack(self, payload: bytes, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """The ids from each bit offset on, ``counts`` many, one stretch behind the other.
@@ -143,7 +143,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     source = read_text(tokenizer)
     vocabulary = json_vocabulary(source)
     kind = _dtype(max(*vocabulary.ids.values(), *vocabulary.added.values(), end_id) + 1)
-    shared = docs.sparkSession.sparkContext.broadcast((source, vocabulary.disputed))
+    shared = docs.sparkSession.sparkContext.broadcast((source, vocabulary.patterns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, memo = _library_memo(*shared.value, kind)
@@ -168,10 +168,9 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
 
 @lru_cache(maxsize=2)
-def _library_memo(source: str, disputed: frozenset[str], kind: str):
-    known = json_vocabulary(source, disputed)
-    encode = known.library.encode
-    return known, Memo(lambda piece: np.array(encode(piece, add_special_tokens=False).ids, kind).tobytes())
+def _library_memo(source: str, patterns: tuple[str, ...], kind: str):
+    known = json_vocabulary(source, patterns)
+    return known, Memo(lambda piece: np.array(known.library_ids(piece), kind).tobytes())
 
 
 def id_counts(ids: DataFrame, size: int) -> DataFrame:
@@ -233,11 +232,12 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> No
         own = Code(*book.value[:2])
         for batch in batches:
             packed, points = [], []
-            for i in range(0, len(batch), 512):
-                for raw in batch.column(3).slice(i, 512).to_pylist():
-                    doc = np.frombuffer(raw, kind)
-                    packed.append(own.pack(doc))
-                    points.append(own.checkpoints(doc))
+            for i in range(0, len(batch), 256):
+                raw = batch.column(3).slice(i, 256).to_pylist()
+                counts = np.array([len(r) for r in raw]) // np.dtype(kind).itemsize
+                bits, bounds, inside = own.pack(np.frombuffer(b"".join(raw), kind), counts)
+                packed += [bits[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+                points += [inside[e - n : e : STRIDE] for e, n in zip(np.cumsum(counts).tolist(), counts.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(points, pa.list_(pa.int64())), pa.array(packed, pa.binary())],
                 names=["slice", "doc_id", "n_tokens", "points", "bits"],

@@ -12,20 +12,71 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
 
 import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
-#: Fixed value: the pattern that splits a text into pieces.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Fixed value: the pattern that splits a text into pieces, with places for the classes of letters, numbers and spaces.
+#: No two kinds begin alike but the contractions and the signs, so letters, which are most, may be tried first.
+PIECES = " ?[{L}]+|'(?:[stmd]|re|ve|ll)| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 
-#: Pieces kept in a worker's memory, and the longest that is kept.
-KEPT_PIECES = 700_000
+#: Where the code points of texts end that a pattern is for.
+LIMITS = (0x100, 0x10000, 0x110000)
+
+#: Pieces of each of the two generations kept in a worker's memory, and the longest that is kept.
+KEPT_PIECES = 400_000
 KEPT_CHARS = 200
 
 
+def piece_patterns(class_of: dict[int, str]) -> tuple[str, ...]:
+    """Splitting patterns for given classes of code points: L, N or S; the others are signs.
+
+    With the classes spelled out, a pattern doesn't depend on the Unicode
+    version of the process that runs it. There is one for texts below each of
+    LIMITS, since small classes match several times faster.
+    """
+    return tuple(_piece_pattern(class_of, limit) for limit in LIMITS)
+
+
+def _piece_pattern(class_of: dict[int, str], limit: int) -> str:
+    spelled = {}
+    for kind in "LNS":
+        codes = sorted(c for c, k in class_of.items() if k == kind and c < limit)
+        ranges = []
+        for c in codes:
+            if ranges and ranges[-1][1] == c - 1:
+                ranges[-1][1] = c
+            else:
+                ranges.append([c, c])
+        spelled[kind] = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+    return PIECES.format(**spelled)
+
+
+class Splitter:
+    """Cuts texts into pieces."""
+
+    def __init__(self, patterns: tuple[str, ...]):
+        self._latin, self._basic, self._full = [re.compile(p).findall for p in patterns]
+        self._not_latin = re.compile("[^\\x00-\\xff]").search
+        self._not_basic = re.compile("[\\U00010000-\\U0010ffff]").search
+
+    def pieces(self, text: str) -> list[str]:
+        if text.isascii() or not self._not_latin(text):
+            return self._latin(text)
+        return self._full(text) if self._not_basic(text) else self._basic(text)
+
+
+@lru_cache(maxsize=1)
+def unicode_patterns() -> tuple[str, ...]:
+    """Splitting patterns by the classes L and N of Unicode and its white space."""
+    class_of = {}
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    for kind, pattern in (("L", r"\p{L}"), ("N", r"\p{N}"), ("S", r"\s")):
+        class_of |= dict.fromkeys(map(ord, regex.findall(pattern, every)), kind)
+    return piece_patterns(class_of)
+
+
 @lru_cache(maxsize=None)
 def byte_chars() -> list[str]:
     """The character by which a byte-level vocabulary file writes each byte.
@@ -101,7 +152,7 @@ class JsonVocabulary:
     cut at the strings of added tokens first, which become one token each.
     """
 
-    def __init__(self, source: str, disputed: frozenset[str] | None = None):
+    def __init__(self, source: str, patterns: tuple[str, ...] | None = None):
         spec = json.loads(source)
         merges = spec["model"]["merges"]
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in merges]
@@ -112,11 +163,13 @@ class JsonVocabulary:
         if plain != ["ByteLevel", None, None] or spec["pre_tokenizer"].get("add_prefix_space"):
             raise ValueError("a byte-level BPE without normalizer, dropout and prefix space is needed")
         self.library = Tokenizer.from_str(source)
-        self.find = regex.compile(PATTERN).findall
         self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self._chars = byte_chars()
+        self._token = self.library.model.tokenize
         #: Worked out on the driver and handed to the workers, since it takes seconds.
-        self.disputed = self._disputed() if disputed is None else disputed
+        self.patterns = self._own_patterns() if patterns is None else patterns
+        #: The pieces of a text without added tokens.
+        self.pieces = Splitter(self.patterns).pieces
 
     def written(self, piece: str) -> str:
         chars = self._chars
@@ -126,27 +179,26 @@ class JsonVocabulary:
         get = self.merges.get
         return merged(self.written(piece), lambda a, b: get((a, b), NEVER))
 
-    def _disputed(self) -> frozenset[str]:
-        """Characters that the library's splitter and this process's regex class differently.
+    def library_ids(self, piece: str) -> list[int]:
+        """The library's ids of one piece."""
+        return [t.id for t in self._token(self.written(piece))]
+
+    def _own_patterns(self) -> tuple[str, ...]:
+        """Splitting patterns by the classes that the library's splitter goes by, whatever its version of Unicode.
 
-        They go by other versions of Unicode. Every code point of the planes
-        that hold letters or digits is tried behind a letter, a digit and a sign.
+        Every code point of the planes that hold letters, numbers or spaces is
+        tried behind a letter, a number and a sign: it joins its own kind.
         """
-        found = set()
+        class_of = {}
         for start in [*range(0, 0x40000, 1 << 14), 0xE0000]:
             codes = [c for c in range(start, start + (1 << 14)) if not 0xD800 <= c < 0xE000]
             probe = "".join([f"a{c}1{c}!{c}\n" for c in map(chr, codes)])
-            ends = {end for _, (_, end) in self.library.pre_tokenizer.pre_tokenize_str(probe)}
-            own = accumulate(map(len, self.find(probe)))
-            found |= {codes[min((x - 1) // 7, len(codes) - 1)] for x in ends.symmetric_difference(own)}
-        # A piece may reach into the group of the next code point; one more on each side does no harm.
-        return frozenset(chr(c + d) for c in found for d in (-1, 0, 1) if 0 <= c + d and not 0xD800 <= c + d < 0xE000)
-
-    def pieces(self, text: str) -> list[str]:
-        """The pieces of a text without added tokens; the library's own splitter decides where they could differ."""
-        if text.isascii() or self.disputed.isdisjoint(text):
-            return self.find(text)
-        return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
+            cuts = {end for _, (_, end) in self.library.pre_tokenizer.pre_tokenize_str(probe)}
+            for i, c in enumerate(codes):
+                joined = [kind for kind, at in (("L", 1), ("N", 3), ("O", 5)) if 7 * i + at not in cuts]
+                class_of[c] = joined[0] if joined else "S"
+        class_of[ord("'")] = "O"
+        return piece_patterns(class_of)
 
     def segments(self, text: str) -> Iterator[tuple[str, int | None]]:
         """Stretches of a text between added tokens, each with the id of the added token behind it."""
@@ -158,22 +210,25 @@ class JsonVocabulary:
 
 
 @lru_cache(maxsize=4)
-def json_vocabulary(source: str, disputed: frozenset[str] | None = None) -> JsonVocabulary:
+def json_vocabulary(source: str, patterns: tuple[str, ...] | None = None) -> JsonVocabulary:
     """One object per process and file."""
-    return JsonVocabulary(source, disputed)
+    return JsonVocabulary(source, patterns)
 
 
 class Memo(dict):
-    """Results by piece, worked out on first use; emptied down to ``base`` when full."""
+    """Results by piece, worked out on first use; what hasn't been used for two generations goes, ``base`` stays."""
 
     def __init__(self, work, base: dict | None = None):
         super().__init__(base or {})
-        self.work, self.base = work, dict(base or {})
+        self.work, self.base, self.older = work, dict(base or {}), {}
 
     def __missing__(self, piece):
-        value = self.work(piece)
+        value = self.older.get(piece)
+        if value is None:
+            value = self.work(piece)
         if len(piece) <= KEPT_CHARS:
             if len(self) >= KEPT_PIECES + len(self.base):
+                self.older = dict(self)
                 self.clear()
                 self.update(self.base)
             self[piece] = value

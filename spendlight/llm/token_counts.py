@@ -54,8 +54,8 @@ class Counter:
 
 
 @lru_cache(maxsize=2)
-def _counter(source: str, disputed: frozenset[str], whole: frozenset[str]) -> Counter:
-    return Counter(json_vocabulary(source, disputed), whole)
+def _counter(source: str, patterns: tuple[str, ...], whole: frozenset[str]) -> Counter:
+    return Counter(json_vocabulary(source, patterns), whole)
 
 
 @lru_cache(maxsize=2)
@@ -74,7 +74,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024) -> DataFram
     read; ids may be null or repeat. Nothing is shuffled.
     """
     source = read_text(tokenizer)
-    shared = docs.sparkSession.sparkContext.broadcast((source, json_vocabulary(source).disputed, _proof(source)))
+    shared = docs.sparkSession.sparkContext.broadcast((source, json_vocabulary(source).patterns, _proof(source)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(*shared.value)
