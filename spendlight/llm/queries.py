@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlight.llm import backtrack_bpe, huffman, imatch, licenses, mixing, secret_scan, token_counts, toxicity
+from spendlight.llm import backtrack_bpe, grid_order, huffman, imatch, licenses, mixing, secret_scan, token_counts, toxicity
 from spendlight.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_hits(table(spark, sf_dir, "documents"))
 
 
+def op10_grid_order_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_order.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_ftrl_toxicity,
@@ -57,6 +61,7 @@ def queries() -> dict[str, Query]:
         op6_backtrack_bpe,
         op7_huffman_ids,
         op9_license_scan,
+        op10_grid_order_vectors,
     ]
     return {f.__name__: f for f in found}
 
@@ -66,4 +71,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_imatch_fingerprints": imatch.oracle(),
         "op4_source_mix": mixing.oracle(),
         "op9_license_scan": licenses.oracle(),
+        "op10_grid_order_vectors": grid_order.oracle(),
     }
