@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlight.llm import backtrack_bpe, grid_order, huffman, imatch, licenses, mixing, secret_scan, token_counts, toxicity
+from spendlight.llm import backtrack_bpe, grid_order, huffman, imatch, licenses, mixing, probminhash, secret_scan, token_counts, toxicity
 from spendlight.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op7_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.written_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_probminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_hits(table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ def queries() -> dict[str, Query]:
         op5_secret_scan,
         op6_backtrack_bpe,
         op7_huffman_ids,
+        op8_probminhash_dedup,
         op9_license_scan,
         op10_grid_order_vectors,
     ]

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlight.llm.pretokens import chunks_of
+from spendlight.llm.words import scrambled, word_hashes
 
 #: Features are numbers below two to this.
 FEATURE_BITS = 22
@@ -18,48 +19,20 @@ FEATURE_BITS = 22
 TRAIN_ROWS = 20_000
 PASSES = 3
 
-#: Odd multipliers of the hash, one for the words and one for each kind of pair (1, 2 and 3 words ahead).
-WORD_STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: Odd multipliers of pairs 1, 2 and 3 words ahead.
 AHEAD = [np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)]
 
 
-@lru_cache(maxsize=1)
-def _word_chars() -> np.ndarray:
-    return np.array([chr(c).isalnum() for c in range(0x110000)])
-
-
-def _scrambled(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * MIX
-    return x ^ (x >> np.uint64(29))
-
-
 def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of texts: the text's place and the feature, one entry per occurrence.
 
-    Words are lower-case runs of letters and digits. A feature is a word, two
-    neighbours, or two words with one or two others between them.
+    A feature is a word, two neighbours, or two words with one or two others between them.
     """
-    joined = "\n".join(texts).lower()
-    chars = np.frombuffer(joined.encode("utf-32-le"), "<u4")
-    inside = _word_chars()[chars]
-    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
-    if not len(starts):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    # A word's hash: its characters times the powers of a constant, by place in the word.
-    places = np.flatnonzero(inside)
-    lengths = ends - starts
-    firsts = np.cumsum(lengths) - lengths
-    power = np.multiply.accumulate(np.full(int(lengths.max()), WORD_STEP))
-    offsets = np.arange(len(places)) - np.repeat(firsts, lengths)
-    words = _scrambled(np.add.reduceat((chars[places].astype(np.uint64) + MIX) * power[offsets], firsts))
-    # Lower-casing may change a text's length, so its end is looked for, not counted.
-    bounds = np.cumsum([len(t.lower()) + 1 for t in texts])
-    text_of = np.searchsorted(bounds, starts, side="right")
+    words, text_of = word_hashes(texts)
     found, of = [words], [text_of]
     for gap, step in enumerate(AHEAD, 1):
         same = text_of[gap:] == text_of[:-gap]
-        found.append(_scrambled(words[:-gap] * step + words[gap:])[same])
+        found.append(scrambled(words[:-gap] * step + words[gap:])[same])
         of.append(text_of[gap:][same])
     hashed = np.concatenate(found) >> np.uint64(64 - FEATURE_BITS)
     return np.concatenate(of), hashed.astype(np.int64)
