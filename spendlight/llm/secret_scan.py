@@ -153,9 +153,10 @@ def secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
     name = lambda s: F.element_at(F.array(*[F.lit(k[0]) for k in KINDS]), s["kind"] + 1)
     written = lambda xs: F.array_join(F.transform(xs, lambda s: F.concat_ws(":", name(s), s["start"], s["end"])), ",")
     of = lambda test: F.size(F.filter("_all", test)).cast("long")
+    is_kind = lambda k: lambda s: s["kind"] == k
     return found.withColumn("_all", spans).select(
         F.col("_id").alias("doc_id"),
-        *[of(lambda s, k=k: s["kind"] == k).alias(f"n_{KINDS[k][0]}") for k in range(BASE)],
+        *[of(is_kind(k)).alias(f"n_{KINDS[k][0]}") for k in range(BASE)],
         F.sha2(written(F.filter("_all", lambda s: s["kind"] < BASE)).cast("binary"), 256).alias("base_sha256"),
         written(F.col("_all")).alias("spans"),
         of(lambda s: s["live"]).alias("n_live"),

@@ -80,6 +80,18 @@ def held_out(doc_id: str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
+def drawn_labels(labels: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` labelled ids outside the held-out fifth, drawn by a hash: _id, _label, _draw."""
+    known = (
+        labels.where("doc_id is not null and toxic is not null")
+        .groupBy(F.col("doc_id").alias("_id"))
+        .agg(F.max(F.col("toxic").cast("int")).alias("_label"))
+        .where(~held_out("_id"))
+    )
+    share = min(1.0, rows / max(1, known.count()))
+    return known.withColumn("_draw", F.xxhash64("_id")).where(F.pmod("_draw", F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, passes: int = PASSES) -> Model:
     """Fit on about ``rows`` labelled documents outside the held-out fifth, drawn by a hash of the id.
 
@@ -89,14 +101,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, passes: int
     several labels of a document the largest counts; rows without an id, label
     or document are not learned from.
     """
-    known = (
-        labels.where("doc_id is not null and toxic is not null")
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.max(F.col("toxic").cast("int")).alias("_label"))
-        .where(~held_out("_id"))
-    )
-    share = min(1.0, rows / max(1, known.count()))
-    drawn = known.withColumn("_draw", F.xxhash64("_id")).where(F.pmod("_draw", F.lit(1 << 30)) < int(share * (1 << 30)))
+    drawn = drawn_labels(labels, rows)
     found = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text")).join(
         F.broadcast(drawn), F.col("_doc") == F.col("_id")
     )
