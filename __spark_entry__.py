@@ -9,6 +9,7 @@ others read the event log as one month of it.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 from pathlib import Path
@@ -23,7 +24,7 @@ import oracles  # noqa: E402
 from spendlight.functions import calendar_columns  # noqa: E402
 from spendlight.operators import forecast, marts, periods, quality, reports, star  # noqa: E402
 from spendlight.plans import build, mart_sql  # noqa: E402
-from spendlight.schemas import DIM_CAMPAIGN, FACT, FOREIGN_KEYS, PRIMARY_KEYS, RAW, required_columns  # noqa: E402
+from spendlight.schemas import DIM_CAMPAIGN, DIM_DATE, FACT, FOREIGN_KEYS, PRIMARY_KEYS, RAW, required_columns  # noqa: E402
 from spendlight.session import scratch_dir  # noqa: E402
 from spendlight.sources import adapters, files  # noqa: E402
 from spendlight.streaming import daily as stream  # noqa: E402
@@ -54,7 +55,7 @@ class Model:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return star.campaign_daily_fact(self.raw.ad_events, self.raw.conversions, self.dim_campaign)
+        return star.fact_of_cells(self.raw.cells, self.dim_campaign)
 
     @property
     def star(self) -> dict[str, DataFrame]:
@@ -100,6 +101,11 @@ def _b(result: Callable[[Model], DataFrame]) -> Query:
     return _on(adapters.from_lineitem, result)
 
 
+def _once(result: Callable[[Model], DataFrame]) -> Query:
+    """For results that read the star several times: over daily cells that are written once."""
+    return _on(adapters.from_stored_events, result)
+
+
 # --- files and catalog: written to a fresh shared folder, then read back ------
 
 
@@ -130,17 +136,26 @@ def partition_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog_registered_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, _ = _stored_star(spark, sf_dir)
-    build.register_star(spark, "spendlight_demo", folder, replace=True)
-    return _plain(spark.table("spendlight_demo.fact_campaign_daily"))
+    # A name of its own, so that calls at the same time don't meet.
+    database = f"spendlight_{uuid.uuid4().hex[:12]}"
+    build.register_star(spark, database, folder)
+    return _plain(spark.table(f"{database}.fact_campaign_daily"))
 
 
 # --- checks -------------------------------------------------------------------
 
 
 def dq_row_counts(m: Model) -> DataFrame:
-    tables = {**m.star, "campaigns": m.raw.campaigns, "ad_events": m.raw.ad_events, "conversions": m.raw.conversions}
-    least = {"campaigns": 32, "ad_events": 3000, "conversions": 195, "dim_date": 28, "fact_campaign_daily": 992}
-    return quality.row_counts(tables, least)
+    spark = m.raw.cells.sparkSession
+    least = {"campaigns": 32, "users": 100, "ad_events": 3000, "conversions": 195, "dim_date": 28, "dim_campaign": 32}
+    least["fact_campaign_daily"] = 992
+    # The cells know how many raw rows they are made of.
+    counted = {
+        "ad_events": m.raw.cells.selectExpr("coalesce(sum(ad_rows), 0) as n"),
+        "conversions": m.raw.cells.selectExpr("coalesce(sum(orders), 0) as n"),
+    }
+    tables = {**m.star, "campaigns": m.raw.campaigns, "users": adapters.masked_users(spark, m.raw.folder)}
+    return quality.row_counts(tables, least, counted)
 
 
 def dq_domains(m: Model) -> DataFrame:
@@ -157,7 +172,28 @@ def dq_domains(m: Model) -> DataFrame:
 
 def dq_totals_reconcile(m: Model) -> DataFrame:
     built = {"channel": m.channels, "campaign": m.campaigns, "monthly": m.monthly, "daily": m.daily}
-    return quality.totals_reconcile(m.fact, built, ["spend_usd", "revenue_usd", "orders", "new_customers"])
+    return quality.totals_reconcile(m.fact, built, marts.MEASURES)
+
+
+def masked_user_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad events by the place of their user, joined on masked keys; orphans have no user."""
+    places = adapters.masked_dimension(spark, sf_dir).select("user_id", "country_code", F.lit(1).alias("known"))
+    per_user = adapters.masked_events(spark, sf_dir).groupBy("user_id").agg(F.count("*").alias("n"))
+    return per_user.join(places, "user_id", "left").groupBy("country_code").agg(
+        F.sum("n").alias("events"), F.count("*").alias("users"), F.sum(F.expr("if(known is null, n, 0)")).alias("orphans")
+    )
+
+
+def dq_money_on_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = adapters.from_lineitem(spark, sf_dir)
+    costs = quality.money_on_grid(raw.ad_events, ["cost_usd"], "ad_events")
+    return costs.unionByName(quality.money_on_grid(raw.conversions, ["conversion_value_usd"], "conversions"))
+
+
+def traffic_by_event_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test events name no place; the region digit of their user stands for one."""
+    events = adapters.from_events(spark, sf_dir).ad_events.withColumn("geo", F.expr("concat('g', cast(user_id % 5 as string))"))
+    return _plain(periods.traffic_by_geo(events))
 
 
 def dq_pk_duplicates_b(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +230,7 @@ def roas_by_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revenue_regression_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Model(adapters.from_lineitem(spark, sf_dir))
+    m = Model(adapters.from_stored_lineitem(spark, sf_dir))
     months = marts.monthly_totals(m.fact, m.dim_date)
     predicted = forecast.predict_revenue(forecast.fit_revenue_model(months), months)
     return _plain(predicted.withColumn("predicted_revenue_usd", F.round("predicted_revenue_usd", 2)))
@@ -202,11 +238,10 @@ def revenue_regression_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     session = stream.streaming_session(spark)
-    schema = adapters.SCHEMAS["events"]
     # A stream takes a single file only as a glob.
-    source = lambda: session.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    source = session.readStream.schema(adapters.SCHEMAS["events"]).parquet(f"{sf_dir}/events.parque[t]")
     folder = scratch_dir(spark, "stream")
-    stream.start(adapters.ad_events_of(source()), adapters.conversions_of(source()), folder).awaitTermination()
+    stream.start(adapters.contributions_of(source).drop("slot"), folder).awaitTermination()
     return _plain(stream.daily_metrics(spark, folder))
 
 
@@ -229,7 +264,7 @@ def ad_queries() -> dict[str, Query]:
         "fact_campaign_daily": _a(lambda m: m.fact),
         "fact_campaign_daily_b": _b(lambda m: m.fact),
         "fact_zero_policy": _a(
-            lambda m: star.campaign_daily_fact(m.raw.ad_events, m.raw.conversions, m.dim_campaign, on_zero="zero")
+            lambda m: star.fact_of_cells(m.raw.cells, m.dim_campaign, on_zero="zero")
         ),
         # marts
         "mart_channel_summary": _a(lambda m: m.channels),
@@ -268,8 +303,8 @@ def ad_queries() -> dict[str, Query]:
         "channel_daily_share": _a(lambda m: reports.channel_daily_share(m.daily)),
         "channel_daily_trend": _a(lambda m: reports.channel_daily_trend(m.daily)),
         "campaign_options": _a(lambda m: reports.campaign_options(m.campaigns)),
-        "campaign_lookup": _a(lambda m: reports.campaign_lookup(m.campaigns, 1)),
-        "campaign_daily_series": _a(lambda m: reports.campaign_daily_series(m.daily, 1)),
+        "campaign_lookup": _once(lambda m: reports.campaign_lookup(m.campaigns, 1)),
+        "campaign_daily_series": _once(lambda m: reports.campaign_daily_series(m.daily, 1)),
         "top5_roas": _a(lambda m: reports.ranked_by_roas(m.campaigns, 5)),
         "bottom5_roas": _a(lambda m: reports.ranked_by_roas(m.campaigns, 5, best=False)),
         "top10_roas": _a(lambda m: reports.ranked_by_roas(m.campaigns, 10)),
@@ -282,28 +317,39 @@ def ad_queries() -> dict[str, Query]:
         "roas_vs_prior_month": _a(lambda m: periods.with_prior_month(m.monthly)),
         "roas_vs_prior_month_b": _b(lambda m: periods.with_prior_month(m.monthly)),
         "roas_by_geo": roas_by_geo,
+        "traffic_by_event_geo": traffic_by_event_geo,
         "traffic_by_device": _a(lambda m: periods.traffic_by_device(m.raw.ad_events)),
         "revenue_regression": _a(lambda m: forecast.revenue_line(reports.daily_trend(m.daily))),
         "revenue_regression_ml": revenue_regression_ml,
         # scalars and privacy
         "calendar_scalars": _a(calendar_scalars),
         "pii_masked_users": adapters.masked_users,
+        "masked_user_join": masked_user_join,
         "short_hash_ids": _a(short_hash_ids),
         # quality
-        "dq_row_counts": _a(dq_row_counts),
+        "dq_row_counts": _once(dq_row_counts),
         "dq_pii_masked": dq_pii_masked,
-        "dq_metric_reconcile": _a(lambda m: quality.metrics_reconcile(m.fact)),
-        "dq_pk_duplicates": _a(lambda m: quality.primary_keys(m.star, PRIMARY_KEYS)),
+        "dq_metric_reconcile": _once(lambda m: quality.metrics_reconcile(m.fact)),
+        "dq_pk_duplicates": _once(lambda m: quality.primary_keys(m.star, PRIMARY_KEYS)),
         "dq_pk_duplicates_b": dq_pk_duplicates_b,
-        "dq_not_null": _a(
+        "dq_not_null": _once(
             lambda m: quality.not_null_columns(
-                m.star, {"dim_campaign": required_columns(DIM_CAMPAIGN), "fact_campaign_daily": FACT.fieldNames()}
+                m.star,
+                {
+                    "dim_date": required_columns(DIM_DATE),
+                    "dim_campaign": required_columns(DIM_CAMPAIGN),
+                    "fact_campaign_daily": FACT.fieldNames(),
+                },
             )
         ),
-        "dq_fk_orphans": _a(lambda m: quality.foreign_keys(m.star, FOREIGN_KEYS)),
-        "dq_dropped_conversions": _a(lambda m: quality.dropped_conversions(m.raw.ad_events, m.raw.conversions)),
-        "dq_domains": _a(dq_domains),
-        "dq_totals_reconcile": _a(dq_totals_reconcile),
+        "dq_fk_orphans": _once(lambda m: quality.foreign_keys(m.star, FOREIGN_KEYS)),
+        "dq_dropped_conversions": _a(lambda m: quality.dropped_cells(m.raw.cells)),
+        "dq_domains": _once(dq_domains),
+        "dq_totals_reconcile": _once(dq_totals_reconcile),
+        "dq_orders_are_conversions": _once(
+            lambda m: quality.orders_are_conversions(m.fact, m.raw.cells, m.raw.conversions)
+        ),
+        "dq_money_on_grid": dq_money_on_grid,
         # files, catalog, stream
         "scan_csv_roundtrip": scan_csv_roundtrip,
         "scan_fact": scan_fact,

@@ -49,6 +49,7 @@ def _mask(value: str) -> str:
     return f"substring(sha256('{SALT}:' || {value}), 1, 32)"
 
 
+# Attribute lists of the advertising model.
 _TYPES = "['brand_awareness', 'performance', 'prospecting', 'retargeting']"
 _STATUSES = "['active', 'paused', 'completed']"
 _BUDGETS = "[500, 1000, 2000, 3000, 1500, 2500, 800, 1200]"
@@ -60,20 +61,20 @@ ev0 AS (
 ev1 AS (
   SELECT *, ['Meta', 'Google', 'TikTok', 'Other'][k % 4 + 1] AS channel,
          'camp_' || upper(substring(['Meta', 'Google', 'TikTok', 'Other'][k % 4 + 1], 1, 2)) || '_'
-           || lpad(CAST(k // 4 + 1 AS VARCHAR), 3, '0') AS campaign_id
+           || lpad(CAST(k // 4 + 1 AS VARCHAR), GREATEST(3, length(CAST(k // 4 + 1 AS VARCHAR)))::INTEGER, '0') AS campaign_id
   FROM ev0
 ),
 span AS (SELECT MIN(d) AS first_day, MAX(d) AS last_day FROM ev0),
 ads AS (
   SELECT event_id, user_id, campaign_id, channel, d AS event_date,
          CASE event_type WHEN 'view' THEN 'impression' ELSE 'click' END AS event_type,
-         CASE event_type WHEN 'view' THEN CAST(CAST(value AS DECIMAL(18,2)) * 0.01 AS DECIMAL(18,4))
-              ELSE CAST(CAST(value AS DECIMAL(18,2)) AS DECIMAL(18,4)) END AS cost_usd
+         CASE event_type WHEN 'view' THEN CAST(CAST(value AS DECIMAL(18,6)) * 0.01 AS DECIMAL(18,8))
+              ELSE CAST(value AS DECIMAL(18,8)) END AS cost_usd
   FROM ev1 WHERE event_type IN ('view', 'click')
 ),
 conv AS (
   SELECT event_id, user_id, campaign_id, channel, d AS conversion_date, event_type AS conversion_type,
-         CAST(CAST(value AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS conversion_value_usd,
+         CAST(value AS DECIMAL(18,8)) AS conversion_value_usd,
          CASE event_type WHEN 'signup' THEN 1 ELSE 0 END AS is_new_customer
   FROM ev1 WHERE event_type IN ('purchase', 'signup')
 ),
@@ -89,13 +90,13 @@ span AS (SELECT MIN(CAST(l_shipdate AS DATE)) AS first_day, MAX(CAST(l_shipdate
 ads AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS campaign_id, CAST(l_shipdate AS DATE) AS event_date,
          CASE l_returnflag WHEN 'N' THEN 'impression' ELSE 'click' END AS event_type,
-         CASE l_returnflag WHEN 'N' THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 0.0001 AS DECIMAL(18,4))
-              ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 0.01 AS DECIMAL(18,4)) END AS cost_usd
+         CASE l_returnflag WHEN 'N' THEN CAST(CAST(l_extendedprice AS DECIMAL(18,4)) * 0.0001 AS DECIMAL(18,8))
+              ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,4)) * 0.01 AS DECIMAL(18,8)) END AS cost_usd
   FROM lineitem WHERE l_returnflag IN ('A', 'N')
 ),
 conv AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS campaign_id, CAST(l_shipdate AS DATE) AS conversion_date,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS conversion_value_usd,
+         CAST(l_extendedprice AS DECIMAL(18,8)) AS conversion_value_usd,
          CASE WHEN l_linenumber = 1 THEN 1 ELSE 0 END AS is_new_customer
   FROM lineitem WHERE l_returnflag = 'R'
 ),
@@ -231,9 +232,9 @@ def _ranked(k: int, direction: str) -> str:
 
 _PRIOR = f"""
 SELECT year, month, channel, {_dbl('spend_usd', 'revenue_usd')}, roas,
-       LAG(roas) OVER w AS prior_roas,
-       CAST(ROUND(CAST(roas - LAG(roas) OVER w AS DECIMAL(38,10)), 2) AS DOUBLE) AS roas_change
-FROM monthly WINDOW w AS (PARTITION BY channel ORDER BY year, month)"""
+       prior_roas, CAST(ROUND(CAST(roas - prior_roas AS DECIMAL(38,10)), 2) AS DOUBLE) AS roas_change
+FROM (SELECT m.*, p.roas AS prior_roas FROM monthly m LEFT JOIN monthly p
+      ON p.channel IS NOT DISTINCT FROM m.channel AND p.year * 12 + p.month = m.year * 12 + m.month - 1)"""
 
 
 def _check(name: str, table: str, checked: str, failed: str) -> str:
@@ -248,7 +249,7 @@ def _all(parts: list[str]) -> str:
 
 
 def _least(table: str, least: int) -> str:
-    source = {"ad_events": "ads", "conversions": "conv", "fact_campaign_daily": "fact"}.get(table, table)
+    source = {"ad_events": "ads", "conversions": "conv", "fact_campaign_daily": "fact", "users": "customer"}.get(table, table)
     return _check(f"rows:{table}", source, "COUNT(*)", f"GREATEST({least} - COUNT(*), 0)")
 
 
@@ -288,7 +289,9 @@ def _reconcile() -> str:
         ("channel", "channels", "total_"), ("campaign", "campaign_mart", "total_"),
         ("monthly", "monthly", ""), ("daily", "fact", ""),
     ]:
-        for m in ["spend_usd", "revenue_usd", "orders", "new_customers"]:
+        for m in _MEASURES:
+            if source == "monthly" and m in ("impressions", "clicks"):
+                continue  # not in that mart
             column = "total_orders" if source == "monthly" and m == "orders" else prefix + m
             parts.append(
                 f"SELECT 'totals:{source}.{m}' AS check_name,"
@@ -301,6 +304,10 @@ def _reconcile() -> str:
 
 
 _NOT_NULL = {
+    "dim_date": [
+        "date_key", "date_id", "year", "month", "quarter", "day_of_month", "day_of_week", "day_name", "is_weekend",
+        "month_name",
+    ],
     "dim_campaign": [
         "campaign_key", "campaign_id", "campaign_name", "channel", "campaign_type", "status", "start_date",
     ],
@@ -327,7 +334,7 @@ _USER_IDS = f"(SELECT {_mask('c_name')} AS user_id, c_name AS raw_name FROM cust
 
 def oracle_sql() -> dict[str, str]:
     fact_table = {"fact": "fact_campaign_daily"}
-    device = "['mobile', 'desktop', 'tablet'][user_id % 3 + 1]"
+    device = "['phone', 'laptop', 'pad'][user_id % 3 + 1]"
     geo = "LEFT JOIN customer ON user_id = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey"
     day = f"SELECT date, channel, {_sums('')} FROM fact GROUP BY ALL"
     queries = {
@@ -456,13 +463,42 @@ def oracle_sql() -> dict[str, str]:
             " ROUND(regr_intercept(CAST(revenue AS DOUBLE), CAST(spend AS DOUBLE)), 4) AS intercept,"
             " COUNT(*) AS n FROM trend"
         ),
+        "traffic_by_event_geo": _a(
+            f"SELECT geo, {_dbl('spend_usd')}, impressions, clicks, {_as(_FACT_METRICS, 'ctr_pct')} FROM ("
+            " SELECT 'g' || CAST(user_id % 5 AS VARCHAR) AS geo, SUM(cost_usd) AS spend_usd,"
+            " COUNT(*) FILTER (WHERE event_type = 'impression') AS impressions,"
+            " COUNT(*) FILTER (WHERE event_type = 'click') AS clicks FROM ads GROUP BY ALL)"
+        ),
+        "masked_user_join": _a(
+            f"SELECT country_code, CAST(COUNT(*) AS BIGINT) AS events, COUNT(DISTINCT {_mask('a.user_id')}) AS users,"
+            " CAST(COUNT(*) FILTER (WHERE u.user_id IS NULL) AS BIGINT) AS orphans FROM ads a LEFT JOIN"
+            f" (SELECT {_mask('c_custkey')} AS user_id, n_name AS country_code FROM customer"
+            " LEFT JOIN nation ON c_nationkey = n_nationkey) u"
+            f" ON u.user_id = {_mask('a.user_id')} GROUP BY country_code"
+        ),
+        "dq_orders_are_conversions": _a(
+            _check(
+                "orders:conversions", "conv", "COUNT(*)",
+                "ABS(COUNT(*) - (SELECT SUM(orders) FROM fact) - (SELECT COALESCE(SUM(orders), 0) FROM conv_agg c"
+                " WHERE NOT EXISTS (SELECT 1 FROM event_agg e WHERE e.campaign_id = c.campaign_id"
+                " AND e.event_date = c.conversion_date)))",
+            )
+        ),
+        "dq_money_on_grid": (
+            "SELECT 'grid:ad_events.cost_usd' AS check_name, COUNT(*) AS n_checked, COUNT(*) FILTER (WHERE"
+            " ROUND(cost * 1e8) / 1e8 <> cost) AS n_failed FROM (SELECT ROUND(l_extendedprice * 100)"
+            " / CASE l_returnflag WHEN 'N' THEN 1000000 ELSE 10000 END AS cost FROM lineitem"
+            " WHERE l_returnflag IN ('A', 'N')) UNION ALL"
+            " SELECT 'grid:conversions.conversion_value_usd', COUNT(*), COUNT(*) FILTER (WHERE"
+            " ROUND(l_extendedprice * 1e8) / 1e8 <> l_extendedprice) FROM lineitem WHERE l_returnflag = 'R'"
+        ),
         "calendar_scalars": _a(
             "SELECT strftime(date_id, '%Y-%m-%d') AS date_text, date_id AS parsed, year, month, day_of_month,"
             " quarter, week_of_year, day_of_week FROM dim_date"
         ),
         "pii_masked_users": (
-            f"SELECT {_mask('c_name')} AS user_id, ['18-24', '25-34', '35-44', '45-54'][c_custkey % 4 + 1] AS age_band,"
-            " ['male', 'female', 'unknown'][c_custkey % 3 + 1] AS gender, n_name AS country_code,"
+            f"SELECT {_mask('c_name')} AS user_id, ['to 24', '25-39', '40-59', '60 on'][c_custkey % 4 + 1] AS age_band,"
+            " ['f', 'm', 'x'][c_custkey % 3 + 1] AS gender, n_name AS country_code,"
             " lower(c_mktsegment) AS acquisition_channel, c_acctbal AS lifetime_value_usd"
             " FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey"
         ),
@@ -473,8 +509,9 @@ def oracle_sql() -> dict[str, str]:
         "dq_row_counts": _a(
             _all(
                 [
-                    _least("campaigns", 32), _least("ad_events", 3000), _least("conversions", 195),
-                    _least("dim_date", 28), _least("fact_campaign_daily", 992),
+                    _least("campaigns", 32), _least("users", 100), _least("ad_events", 3000),
+                    _least("conversions", 195), _least("dim_date", 28), _least("dim_campaign", 32),
+                    _least("fact_campaign_daily", 992),
                 ]
             )
         ),

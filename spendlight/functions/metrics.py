@@ -5,44 +5,61 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-UNITS_PER_DOLLAR = 10_000
+# Money is counted in units of 1e-8 dollar, fine enough for a single impression.
+UNITS_PER_DOLLAR = 100_000_000
+MONEY_TYPE = "decimal(28,8)"
 
 
 def money_units(amount: str) -> str:
-    """SQL of a double amount as whole 1/10000 dollars."""
+    """SQL of a double amount as whole units; one finer than a unit goes to the nearest."""
     return f"cast(rint({amount} * {UNITS_PER_DOLLAR}) as bigint)"
 
 
+def off_grid(amount: str) -> str:
+    """SQL that is true for an amount finer than a unit, which a sum would round."""
+    return f"rint({amount} * {UNITS_PER_DOLLAR}) / {UNITS_PER_DOLLAR} <> {amount}"
+
+
 def units_sum(units: str) -> Column:
-    """Sum whole units and give dollars."""
-    return F.expr(f"cast(cast(sum({units}) as decimal(19,0)) / {UNITS_PER_DOLLAR} as decimal(18,4))")
+    """Sum whole units and give dollars.
+
+    Dollars and the rest are summed apart, so a group may hold 9e18 dollars and
+    9e10 rows before a 64-bit sum overflows, which is an error and never wraps.
+    """
+    return F.expr(
+        f"cast(cast(sum({units} div {UNITS_PER_DOLLAR}) as decimal(20,0))"
+        f" + cast(sum({units} % {UNITS_PER_DOLLAR}) as decimal(19,0)) / {UNITS_PER_DOLLAR} as {MONEY_TYPE})"
+    )
 
 
 def money_sum(amount: str) -> Column:
-    """Sum a double amount exactly, to 1/10000 of a dollar.
+    """Sum a double amount exactly, to 1e-8 of a dollar.
 
-    The sum runs over 64-bit whole units. That makes it independent of row
+    The sums run over 64-bit whole units. That makes them independent of row
     order (a double sum is not) and keeps decimals, which Spark handles as
     objects beyond 18 digits, out of the per-row loop.
     """
     return units_sum(money_units(amount))
 
 
+def ratio_sql(top: str, bottom: str, factor: int = 1, digits: int = 2) -> str:
+    """SQL of ``round(factor * top / bottom, digits)``, half up, exact; NULL where bottom is not positive.
+
+    Both operands get the type of money, which leaves the quotient ten decimals
+    before the final rounding.
+    """
+    scaled = f"cast({factor} * {top} as {MONEY_TYPE})" if factor != 1 else f"cast({top} as {MONEY_TYPE})"
+    quotient = f"case when {bottom} > 0 then {scaled} / cast({bottom} as {MONEY_TYPE}) end"
+    return f"cast(round(cast({quotient} as decimal(38,10)), {digits}) as double)"
+
+
 def ratio(
     numerator: str, denominator: str, *, factor: int = 1, digits: int = 2, on_zero: str = "null"
 ) -> Column:
-    """``round(factor * numerator / denominator, digits)``, half up, exact.
-
-    A denominator that is not positive gives NULL, or 0.0 with
-    ``on_zero="zero"``. Both operands get the same decimal type, which leaves
-    the quotient ten decimals before the final rounding. Operands count to four
-    decimals, as money does.
-    """
+    """``ratio_sql`` as a column; ``on_zero="zero"`` gives 0.0 where it is NULL."""
     if on_zero not in ("null", "zero"):
         raise ValueError(f"on_zero must be 'null' or 'zero', not {on_zero!r}")
-    top = f"cast({factor} * {numerator} as decimal(28,4))" if factor != 1 else f"cast({numerator} as decimal(28,4))"
-    quotient = f"case when {denominator} > 0 then {top} / cast({denominator} as decimal(28,4)) end"
-    value = f"cast(round(cast({quotient} as decimal(38,10)), {digits}) as double)"
+    value = ratio_sql(numerator, denominator, factor, digits)
     return F.expr(f"coalesce({value}, 0.0D)" if on_zero == "zero" else value)
 
 

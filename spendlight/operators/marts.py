@@ -54,15 +54,11 @@ def monthly_totals(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def monthly_summary(fact: DataFrame, dim_date: DataFrame, *, on_zero: str = "null") -> DataFrame:
-    """One row per month and channel, in calendar order."""
+    """One row per month and channel. Readers that need an order sort at their edge."""
     months = monthly_totals(fact, dim_date).withColumnRenamed("orders", "total_orders")
-    return (
-        with_metrics(months, ["roas", "cac"], on_zero=on_zero)
-        .select(
-            "year", "month", "month_name", "channel", "spend_usd", "revenue_usd",
-            "total_orders", "new_customers", "roas", "cac",
-        )
-        .orderBy("year", "month", "channel")
+    return with_metrics(months, ["roas", "cac"], on_zero=on_zero).select(
+        "year", "month", "month_name", "channel", "spend_usd", "revenue_usd",
+        "total_orders", "new_customers", "roas", "cac",
     )
 
 

@@ -21,19 +21,22 @@ def weekly_summary(fact: DataFrame) -> DataFrame:
 
 
 def with_prior_month(monthly: DataFrame) -> DataFrame:
-    """Monthly ROAS per channel next to the month before.
+    """Monthly ROAS per channel next to the calendar month before; NULL where the channel has no such month.
 
-    The prior month is the channel's preceding row; a window holds one row per
-    month of one channel.
+    A window holds one row per month of one channel.
     """
+    over = "over (partition by channel order by year, month)"
+    adjacent = f"lag(year * 12 + month) {over} = year * 12 + month - 1"
     return (
         monthly.select("year", "month", "channel", "spend_usd", "revenue_usd", "roas")
-        .withColumn("prior_roas", F.expr("lag(roas) over (partition by channel order by year, month)"))
+        .withColumn("prior_roas", F.expr(f"if({adjacent}, lag(roas) {over}, null)"))
         .withColumn("roas_change", F.expr("cast(round(cast(roas - prior_roas as decimal(38,10)), 2) as double)"))
     )
 
 
-def roas_by_geo(ad_events: DataFrame, conversions: DataFrame, users: DataFrame) -> DataFrame:
+def roas_by_geo(
+    ad_events: DataFrame, conversions: DataFrame, users: DataFrame, place: str = "country_code"
+) -> DataFrame:
     """Spend, revenue and ROAS by the user's place; unknown users count as NULL.
 
     Both streams are rolled up by user before they meet the user table, so a
@@ -45,13 +48,18 @@ def roas_by_geo(ad_events: DataFrame, conversions: DataFrame, users: DataFrame)
         .unionByName(conversions.groupBy("user_id").agg(*sales()), allowMissingColumns=True)
     )
     per_geo = (
-        per_user.join(users.select("user_id", "geo"), "user_id", "left")
+        per_user.join(users.select("user_id", F.col(place).alias("geo")), "user_id", "left")
         .groupBy("geo")
         .agg(*[F.expr(f"coalesce(sum({m}), 0) as {m}") for m in MEASURES])
     )
     return with_metrics(per_geo)
 
 
+def traffic_by_geo(ad_events: DataFrame) -> DataFrame:
+    """Spend and click-through rate by the place that the ad events themselves name."""
+    return with_metrics(ad_events.groupBy("geo").agg(*traffic()), ["ctr_pct"])
+
+
 def traffic_by_device(ad_events: DataFrame) -> DataFrame:
     """Spend and click-through rate by device (conversions carry no device)."""
     return with_metrics(ad_events.groupBy("device").agg(*traffic()), ["ctr_pct"])

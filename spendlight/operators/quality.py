@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlight.functions.metrics import METRICS, ratio
+from spendlight.functions.metrics import METRICS, off_grid, ratio
 from spendlight.functions.privacy import MASK_PATTERN
-from spendlight.operators.star import conversion_rollup, event_rollup
+from spendlight.operators.star import contributions, daily_cells
 
 
 def _report(name: str, checked: str, failed: str, kind: str = "bigint") -> str:
@@ -38,13 +38,17 @@ def _row_rules(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return _reports(counts, [_report(name, "n", f"failed_{i}") for i, name in enumerate(rules)])
 
 
-def row_counts(tables: dict[str, DataFrame], minimum: dict[str, int]) -> DataFrame:
-    """Rows per table; the failures are the rows missing to the minimum."""
+def row_counts(
+    tables: dict[str, DataFrame], minimum: dict[str, int], counted: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """Rows per table; the failures are the rows missing to the minimum.
+
+    ``counted`` has one-row tables (n) for those whose rows are known from elsewhere.
+    """
+    counts = {name: df.selectExpr("count(*) as n") for name, df in tables.items()} | (counted or {})
     return _union(
         [
-            _reports(
-                tables[name].selectExpr("count(*) as n"), [_report(f"rows:{name}", "n", f"greatest({least} - n, 0)")]
-            )
+            _reports(counts[name], [_report(f"rows:{name}", "n", f"greatest({least} - n, 0)")])
             for name, least in minimum.items()
         ]
     )
@@ -115,19 +119,34 @@ def domains(df: DataFrame, allowed: dict[str, list | tuple], name: str) -> DataF
     return _row_rules(df, rules)
 
 
-def dropped_conversions(ad_events: DataFrame, conversions: DataFrame) -> DataFrame:
+def dropped_cells(cells: DataFrame) -> DataFrame:
     """What the fact leaves out: conversions on a campaign and day without ad
     events, as cells, orders, revenue and new customers."""
-    cells = conversion_rollup(conversions).withColumnRenamed("conversion_date", "event_date")
-    advertised = event_rollup(ad_events).selectExpr("campaign_id", "event_date", "true as seen")
     measures = {"cells": "1", "orders": "orders", "revenue_usd": "revenue_usd", "new_customers": "new_customers"}
-    sums = cells.join(advertised, ["campaign_id", "event_date"], "left").selectExpr(
+    sums = cells.where("orders > 0").selectExpr(
         *[f"sum({sql}) as {name}" for name, sql in measures.items()],
-        *[f"sum(if(seen, null, {sql})) as lost_{name}" for name, sql in measures.items()],
+        *[f"sum(if(ad_rows > 0, null, {sql})) as lost_{name}" for name, sql in measures.items()],
     )
     return _reports(sums, [_report(f"dropped:{name}", name, f"lost_{name}", "double") for name in measures])
 
 
+def dropped_conversions(ad_events: DataFrame, conversions: DataFrame) -> DataFrame:
+    return dropped_cells(daily_cells(contributions(ad_events, conversions)))
+
+
+def orders_are_conversions(fact: DataFrame, cells: DataFrame, conversions: DataFrame) -> DataFrame:
+    """Conversion rows against the fact's orders and those it leaves out, as one check."""
+    counted = conversions.selectExpr("count(*) as n")
+    kept, lost = fact.selectExpr("sum(orders)"), cells.where("ad_rows = 0").selectExpr("sum(orders)")
+    both = counted.withColumn("found", F.coalesce(kept.scalar(), F.lit(0)) + F.coalesce(lost.scalar(), F.lit(0)))
+    return _reports(both, [_report("orders:conversions", "n", "abs(n - found)")])
+
+
+def money_on_grid(df: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """Amounts finer than the unit of money, which sums would round."""
+    return _row_rules(df, {f"grid:{name}.{c}": F.expr(f"not ({off_grid(c)})") for c in columns})
+
+
 def totals_reconcile(fact: DataFrame, marts: dict[str, DataFrame], measures: list[str]) -> DataFrame:
     """Each mart's totals against the fact's, as (check_name, fact, mart, n_failed).
 
@@ -137,7 +156,7 @@ def totals_reconcile(fact: DataFrame, marts: dict[str, DataFrame], measures: lis
     def totals(df: DataFrame, source: str) -> DataFrame:
         columns = [m if m in df.columns else f"total_{m}" for m in measures]
         present = [(m, c) for m, c in zip(measures, columns) if c in df.columns]
-        one = df.selectExpr(*[f"cast(sum({c}) as decimal(28,4)) as {m}" for m, c in present])
+        one = df.selectExpr(*[f"cast(sum({c}) as decimal(38,8)) as {m}" for m, c in present])
         rows = ", ".join(f"'{source}', '{m}', {m}" for m, _ in present)
         return one.selectExpr(f"stack({len(present)}, {rows}) as (source, measure, total)")
 

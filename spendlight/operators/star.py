@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlight.functions import calendar_columns, date_key, money_sum, with_metrics
+from spendlight.functions import (
+    MONEY_TYPE, calendar_columns, date_key, money_sum, money_units, units_sum, with_metrics,
+)
 from spendlight.operators.keys import with_dense_key
 from spendlight.schemas import DIM_CAMPAIGN, DIM_DATE, FACT
 
@@ -47,15 +49,6 @@ def sales() -> list[Column]:
     ]
 
 
-# A group without conversions sold nothing, as opposed to an unknown amount.
-NO_SALES = {"orders": 0, "new_customers": 0}
-
-
-def fill_sales(df: DataFrame) -> DataFrame:
-    """Zero for the sales a left join did not find."""
-    return df.na.fill(NO_SALES).withColumn("revenue_usd", F.expr("coalesce(revenue_usd, cast(0 as decimal(18,4)))"))
-
-
 def event_rollup(ad_events: DataFrame) -> DataFrame:
     """Spend, impressions and clicks per campaign and day."""
     return ad_events.groupBy("campaign_id", "event_date").agg(*traffic())
@@ -66,24 +59,73 @@ def conversion_rollup(conversions: DataFrame) -> DataFrame:
     return conversions.groupBy("campaign_id", "conversion_date").agg(*sales())
 
 
-def campaign_daily_fact(
-    ad_events: DataFrame, conversions: DataFrame, dim_campaign: DataFrame, *, on_zero: str = "null"
-) -> DataFrame:
+MEASURES = ["spend_usd", "impressions", "clicks", "orders", "revenue_usd", "new_customers"]
+
+
+def contributions(ad_events: DataFrame, conversions: DataFrame) -> DataFrame:
+    """Both tables as one, each row with what it adds to every measure of its campaign and day."""
+    spent = ad_events.selectExpr(
+        "campaign_id",
+        "event_date as date",
+        "1L as ad_rows",
+        f"{money_units('cost_usd')} as spend_units",
+        "if(event_type = 'impression', 1L, 0L) as impressions",
+        "if(event_type = 'click', 1L, 0L) as clicks",
+        "0L as orders",
+        "0L as revenue_units",
+        "0L as new_customers",
+    )
+    earned = conversions.selectExpr(
+        "campaign_id",
+        "conversion_date as date",
+        "0L as ad_rows",
+        "0L as spend_units",
+        "0L as impressions",
+        "0L as clicks",
+        "1L as orders",
+        f"{money_units('conversion_value_usd')} as revenue_units",
+        "cast(is_new_customer as bigint) as new_customers",
+    )
+    return spent.unionByName(earned)
+
+
+# Unknown campaigns and days are not equal to each other, as in a join.
+APART = "if(campaign_id is null or date is null, ad_rows > 0, null)"
+
+
+def daily_cells(contributed: DataFrame, *more: str) -> DataFrame:
+    """Measures per campaign and day, and the number of ad events (``ad_rows``) behind them.
+
+    One grouping with a map-side step, so a campaign that owns a large share of
+    the events is only as many rows as it has days. ``more`` are attributes of
+    the campaign to keep. Rows without a campaign or day meet nothing: ad events
+    and conversions among them stay in cells of their own.
+    """
+    counts = [F.expr(f"coalesce(sum({c}), 0) as {c}") for c in ("ad_rows", "impressions", "clicks", "orders", "new_customers")]
+    money = [
+        F.coalesce(units_sum(f"{m}_units"), F.lit(0).cast(MONEY_TYPE)).alias(f"{m}_usd") for m in ("spend", "revenue")
+    ]
+    return contributed.groupBy("campaign_id", "date", *more, F.expr(f"{APART} as apart")).agg(*counts, *money).drop("apart")
+
+
+def fact_of_cells(cells: DataFrame, dim_campaign: DataFrame, *, on_zero: str = "null") -> DataFrame:
     """One row per campaign and day that had ad events.
 
-    Both sides are rolled up before they meet, so the join is one to one, works
-    on the partitioning the rollups already have, and a campaign that owns a
-    large share of the events is only as many rows as it has days. Conversions
-    of a campaign and day without ad events are not part of the fact;
-    ``quality.dropped_conversions`` reports them.
+    Conversions of a campaign and day without ad events are not part of the
+    fact; ``quality.dropped_cells`` reports them.
     """
-    earned = conversion_rollup(conversions).withColumnRenamed("conversion_date", "event_date")
     labels = dim_campaign.select("campaign_id", "campaign_key", "channel", "campaign_type")
-    cells = (
-        event_rollup(ad_events)
-        .join(earned, ["campaign_id", "event_date"], "left")
+    labelled = (
+        cells.where("ad_rows > 0")
+        .select("campaign_id", "date", *MEASURES)
         .join(labels, "campaign_id", "left")
-        .withColumnRenamed("event_date", "date")
         .withColumn("date_key", date_key("date"))
     )
-    return with_metrics(fill_sales(cells), on_zero=on_zero).select(FACT.fieldNames())
+    return with_metrics(labelled, on_zero=on_zero).select(FACT.fieldNames())
+
+
+def campaign_daily_fact(
+    ad_events: DataFrame, conversions: DataFrame, dim_campaign: DataFrame, *, on_zero: str = "null"
+) -> DataFrame:
+    """The fact, straight from the raw tables."""
+    return fact_of_cells(daily_cells(contributions(ad_events, conversions)), dim_campaign, on_zero=on_zero)

@@ -4,21 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A denominator that is not positive becomes NULL, and with it the ratio.
-_RATIO = (
-    "cast(round(cast(cast({top} as decimal(28,4))"
-    " / nullif(greatest(cast({bottom} as decimal(28,4)), 0), 0) as decimal(38,10)), 2) as double)"
-)
-
-
-def _ratio(top: str, bottom: str) -> str:
-    return _RATIO.format(top=top, bottom=bottom)
-
+from spendlight.functions import ratio_sql
 
-_ROAS = _ratio("total_revenue_usd", "total_spend_usd")
-_CAC = _ratio("total_spend_usd", "total_new_customers")
-_CVR = _ratio("100 * total_orders", "total_clicks")
-_CTR = _ratio("100 * total_clicks", "total_impressions")
+_ROAS = ratio_sql("total_revenue_usd", "total_spend_usd")
+_CAC = ratio_sql("total_spend_usd", "total_new_customers")
+_CVR = ratio_sql("total_orders", "total_clicks", 100)
+_CTR = ratio_sql("total_clicks", "total_impressions", 100)
 
 _SUMS = """
     sum(f.spend_usd) as total_spend_usd,

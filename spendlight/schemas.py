@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Money is held to 1/10000 of a dollar; 18 digits still fit one 64-bit word.
-MONEY = T.DecimalType(18, 4)
+# Money is held to 1e-8 of a dollar, see functions/metrics.py.
+MONEY = T.DecimalType(28, 8)
 
 
 def _struct(spec: dict[str, T.DataType], required: set[str] | None = None) -> T.StructType:
@@ -21,6 +21,7 @@ _STR, _INT, _LONG, _DBL, _DATE = (
     T.DateType(),
 )
 
+# Names and types of the raw tables and, below, of the star schema.
 RAW = {
     "dim_advertisers": _struct(
         {

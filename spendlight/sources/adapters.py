@@ -13,7 +13,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlight.functions import mask, pick, short_id
+from spendlight.functions import mask, masked_key, money_units, pick, short_id
+from spendlight.operators.star import daily_cells
+from spendlight.session import scratch_dir
+from spendlight.sources import files
 
 SALT = "spendlight_fixture_salt"
 
@@ -22,9 +25,11 @@ CHANNELS = ["Meta", "Google", "TikTok", "Other"]
 CAMPAIGN_TYPES = ["brand_awareness", "performance", "prospecting", "retargeting"]
 STATUSES = ["active", "paused", "completed"]
 DAILY_BUDGETS = [500, 1000, 2000, 3000, 1500, 2500, 800, 1200]
-DEVICES = ["mobile", "desktop", "tablet"]
-AGE_BANDS = ["18-24", "25-34", "35-44", "45-54"]
-GENDERS = ["male", "female", "unknown"]
+
+# Labels of the fixtures alone.
+DEVICES = ["phone", "laptop", "pad"]
+AGE_BANDS = ["to 24", "25-39", "40-59", "60 on"]
+GENDERS = ["f", "m", "x"]
 
 
 # Schemas of the test tables, given so that no job has to look them up.
@@ -43,13 +48,13 @@ SCHEMAS = {
 
 
 class RawTables:
-    """Campaigns, ad events, conversions and the span of days, built on first use.
+    """Campaigns, ad events, conversions, the span of days and the daily cells, built on first use.
 
     ``span`` has one row: first_day, last_day.
     """
 
-    def __init__(self, **build: Callable[[], DataFrame]):
-        self._build = build
+    def __init__(self, folder: str, **build: Callable[[], DataFrame]):
+        self.folder, self._build = folder, build
 
     @cached_property
     def campaigns(self) -> DataFrame:
@@ -67,6 +72,10 @@ class RawTables:
     def span(self) -> DataFrame:
         return self._build["span"]()
 
+    @cached_property
+    def cells(self) -> DataFrame:
+        return self._build["cells"]()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -87,7 +96,12 @@ _SLOT = """try_cast(regexp_extract(props, '"k" *: *([0-9]+)', 1) as int)"""
 _CHANNEL = pick(CHANNELS, "slot")
 _PREFIX = pick([c[:2].upper() for c in CHANNELS], "slot")
 _NUMBER = "cast(slot div 4 + 1 as string)"
-_CAMPAIGN_ID = f"concat('camp_', {_PREFIX}, '_', lpad({_NUMBER}, 3, '0')) as campaign_id"
+# Padded to three digits; longer numbers stay whole (lpad alone would cut them).
+_CAMPAIGN_ID = f"concat('camp_', {_PREFIX}, '_', lpad({_NUMBER}, greatest(3, length({_NUMBER})), '0')) as campaign_id"
+
+
+# Test values have whole cents; this is the double nearest to a hundredth of them.
+_EVENT_COST = "if(event_type = 'view', rint(value * 100) / 10000, value)"
 
 
 def ad_events_of(events: DataFrame) -> DataFrame:
@@ -103,7 +117,7 @@ def ad_events_of(events: DataFrame) -> DataFrame:
             F.expr("if(event_type = 'view', 'impression', 'click') as event_type"),
             "user_id",
             F.expr(f"{pick(DEVICES, 'user_id')} as device"),
-            F.expr("if(event_type = 'view', rint(value * 100) / 10000, value) as cost_usd"),
+            F.expr(f"{_EVENT_COST} as cost_usd"),
         )
     )
 
@@ -126,9 +140,26 @@ def conversions_of(events: DataFrame) -> DataFrame:
     )
 
 
-def _campaigns_of(events: DataFrame) -> DataFrame:
+def contributions_of(events: DataFrame) -> DataFrame:
+    """What each event adds to the measures of its campaign and day, in one pass over the log."""
+    view, click, sold = "event_type = 'view'", "event_type = 'click'", "event_type in ('purchase', 'signup')"
+    return events.selectExpr("*", f"{_SLOT} as slot").selectExpr(
+        _CAMPAIGN_ID,
+        "slot",
+        "cast(ts as date) as date",
+        f"if({view} or {click}, 1L, 0L) as ad_rows",
+        f"if({view} or {click}, {money_units(_EVENT_COST)}, 0L) as spend_units",
+        f"if({view}, 1L, 0L) as impressions",
+        f"if({click}, 1L, 0L) as clicks",
+        f"if({sold}, 1L, 0L) as orders",
+        f"if({sold}, {money_units('value')}, 0L) as revenue_units",
+        "if(event_type = 'signup', 1L, 0L) as new_customers",
+    )
+
+
+def _campaigns_of(slots: DataFrame) -> DataFrame:
     return (
-        events.selectExpr(f"{_SLOT} as slot")
+        slots.select("slot")
         .distinct()
         .selectExpr(
             _CAMPAIGN_ID,
@@ -147,24 +178,67 @@ def from_events(spark: SparkSession, sf_dir: str) -> RawTables:
         "min(cast(ts as date)) as first_day", "max(cast(ts as date)) as last_day"
     )
     return RawTables(
-        campaigns=lambda: _with_span(_campaigns_of(events), span()),
+        sf_dir,
+        campaigns=lambda: _with_span(_campaigns_of(events.selectExpr(f"{_SLOT} as slot")), span()),
         ad_events=lambda: ad_events_of(events),
         conversions=lambda: conversions_of(events),
         span=span,
+        cells=lambda: daily_cells(contributions_of(events)),
+    )
+
+
+def from_stored_events(spark: SparkSession, sf_dir: str) -> RawTables:
+    """The same tables over cells that are written once; only whole raw tables are read from the log again."""
+    events = table(spark, sf_dir, "events")
+    cells = _stored(daily_cells(contributions_of(events), "slot"))
+    span = cells.selectExpr("min(date) as first_day", "max(date) as last_day")
+    return RawTables(
+        sf_dir,
+        campaigns=lambda: _with_span(_campaigns_of(cells), span),
+        ad_events=lambda: ad_events_of(events),
+        conversions=lambda: conversions_of(events),
+        span=lambda: span,
+        cells=lambda: cells,
     )
 
 
+def _stored(cells: DataFrame) -> DataFrame:
+    path = scratch_dir(cells.sparkSession, "cells")
+    files.write_parquet(cells, path)
+    return files.read_parquet(cells.sparkSession, path, cells.schema)
+
+
 # --- order lines as several years of ad traffic ------------------------------
 
 
 def _ad_lines(lines: DataFrame) -> DataFrame:
     """Lines not returned. A click (A) costs a hundredth of the price, an
-    impression (N) a ten-thousandth, rounded half up to four decimals."""
+    impression (N) a ten-thousandth, to the six decimals that this has."""
     return lines.where("l_returnflag in ('A', 'N')").selectExpr(
         "cast(l_suppkey as string) as campaign_id",
         "cast(l_shipdate as date) as event_date",
         "if(l_returnflag = 'N', 'impression', 'click') as event_type",
-        "if(l_returnflag = 'N', floor(l_extendedprice + 0.5D), rint(l_extendedprice * 100)) / 10000 as cost_usd",
+        f"{_LINE_COST} as cost_usd",
+    )
+
+
+# Test prices have whole cents; these are the doubles nearest to the shares of them.
+_LINE_COST = "rint(l_extendedprice * 100) / if(l_returnflag = 'N', 1000000, 10000)"
+
+
+def _line_contributions(lines: DataFrame) -> DataFrame:
+    """What each line adds to the measures of its campaign and day, in one pass."""
+    ad, sold = "l_returnflag in ('A', 'N')", "l_returnflag = 'R'"
+    return lines.selectExpr(
+        "cast(l_suppkey as string) as campaign_id",
+        "cast(l_shipdate as date) as date",
+        f"if({ad}, 1L, 0L) as ad_rows",
+        f"if({ad}, {money_units(_LINE_COST)}, 0L) as spend_units",
+        "if(l_returnflag = 'N', 1L, 0L) as impressions",
+        "if(l_returnflag = 'A', 1L, 0L) as clicks",
+        f"if({sold}, 1L, 0L) as orders",
+        f"if({sold}, {money_units('l_extendedprice')}, 0L) as revenue_units",
+        f"if({sold} and l_linenumber = 1, 1L, 0L) as new_customers",
     )
 
 
@@ -199,10 +273,28 @@ def from_lineitem(spark: SparkSession, sf_dir: str) -> RawTables:
     )
     campaigns = lambda: _supplier_campaigns(*(table(spark, sf_dir, t) for t in ("supplier", "nation", "region")))
     return RawTables(
+        sf_dir,
         campaigns=lambda: _with_span(campaigns(), span()),
         ad_events=lambda: _ad_lines(lines),
         conversions=lambda: _conversion_lines(lines),
         span=span,
+        cells=lambda: daily_cells(_line_contributions(lines)),
+    )
+
+
+def from_stored_lineitem(spark: SparkSession, sf_dir: str) -> RawTables:
+    """The same tables over cells that are written once."""
+    lines = table(spark, sf_dir, "lineitem")
+    cells = _stored(daily_cells(_line_contributions(lines)))
+    span = cells.selectExpr("min(date) as first_day", "max(date) as last_day")
+    campaigns = lambda: _supplier_campaigns(*(table(spark, sf_dir, t) for t in ("supplier", "nation", "region")))
+    return RawTables(
+        sf_dir,
+        campaigns=lambda: _with_span(campaigns(), span),
+        ad_events=lambda: _ad_lines(lines),
+        conversions=lambda: _conversion_lines(lines),
+        span=lambda: span,
+        cells=lambda: cells,
     )
 
 
@@ -215,7 +307,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer.join(nation, F.expr("c_nationkey = n_nationkey"), "left").selectExpr(
         "c_custkey as user_id",
         "c_name as user_name",
-        "n_name as geo",
+        "n_name as country_code",
         "lower(c_mktsegment) as acquisition_channel",
         "c_acctbal as lifetime_value_usd",
     )
@@ -227,7 +319,17 @@ def masked_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         mask("user_name", SALT).alias("user_id"),
         F.expr(f"{pick(AGE_BANDS, 'user_id')} as age_band"),
         F.expr(f"{pick(GENDERS, 'user_id')} as gender"),
-        F.col("geo").alias("country_code"),
+        "country_code",
         "acquisition_channel",
         "lifetime_value_usd",
     )
+
+
+def masked_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user dimension under the masked key that masked events carry."""
+    return masked_key(users(spark, sf_dir), SALT).drop("user_name")
+
+
+def masked_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad events with their user ids masked."""
+    return masked_key(ad_events_of(table(spark, sf_dir, "events")), SALT)

@@ -1,9 +1,10 @@
-"""Daily campaign measures kept up to date from streams of events.
+"""Daily campaign measures kept up to date from a stream of events.
 
-Each micro-batch appends the cells (campaign and day) it changed to a change
-log and then rewrites the date folders of those cells in the published table.
-Both writes are keyed by batch and date, so a batch that is run again after a
-failure leaves the same files.
+Each micro-batch adds up what its rows contribute to their campaigns and days
+and writes that as one delta, keyed by the batch: a batch that is run again
+after a failure leaves the same files. Nothing is held between batches, so a
+row counts however late it comes. Readers add up the deltas; ``compact`` folds
+those of finished batches into one base table, so their number stays small.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from spendlight.functions import money_units, units_sum, with_metrics
+from spendlight.functions import with_metrics
+from spendlight.operators.star import APART, daily_cells
 from spendlight.schemas import MONEY
 
 _MEASURES = {
@@ -26,18 +28,17 @@ _MEASURES = {
     "new_customers": T.LongType(),
 }
 CELLS = T.StructType(
-    [T.StructField("campaign_id", T.StringType()), *[T.StructField(n, t) for n, t in _MEASURES.items()]]
+    [
+        T.StructField("campaign_id", T.StringType()),
+        T.StructField("date", T.DateType()),
+        *[T.StructField(n, t) for n, t in _MEASURES.items()],
+    ]
 )
-PUBLISHED = T.StructType([*CELLS, T.StructField("date", T.DateType())])
-CHANGES = T.StructType([*PUBLISHED, T.StructField("batch_id", T.LongType())])
-
-STREAM_CONF = {
-    # Window boundaries are UTC days, and state that outgrows memory goes to disk.
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-}
+DELTAS = T.StructType([*CELLS, T.StructField("batch_id", T.LongType())])
+BASES = T.StructType([*CELLS, T.StructField("upto", T.LongType())])
+
+# Days are UTC days.
+STREAM_CONF = {"spark.sql.session.timeZone": "UTC"}
 
 
 def streaming_session(spark: SparkSession) -> SparkSession:
@@ -48,103 +49,71 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def touches(ad_events: DataFrame, conversions: DataFrame) -> DataFrame:
-    """Both streams as one, each row with its contribution to every measure."""
-    spent = ad_events.selectExpr(
-        "cast(event_date as timestamp) as event_time",
-        "campaign_id",
-        "1L as ad_rows",
-        f"{money_units('cost_usd')} as spend_units",
-        "if(event_type = 'impression', 1L, 0L) as impressions",
-        "if(event_type = 'click', 1L, 0L) as clicks",
-        "0L as orders",
-        "0L as revenue_units",
-        "0L as new_customers",
-    )
-    earned = conversions.selectExpr(
-        "cast(conversion_date as timestamp) as event_time",
-        "campaign_id",
-        "0L as ad_rows",
-        "0L as spend_units",
-        "0L as impressions",
-        "0L as clicks",
-        "1L as orders",
-        f"{money_units('conversion_value_usd')} as revenue_units",
-        "cast(is_new_customer as bigint) as new_customers",
-    )
-    return spent.unionByName(earned)
-
-
-def daily_cells(touched: DataFrame, watermark: str) -> DataFrame:
-    """Measures per campaign and day; rows later than the watermark are dropped."""
-    sums = [F.expr(f"sum({name}) as {name}") for name in _MEASURES if not name.endswith("_usd")]
-    return (
-        touched.withWatermark("event_time", watermark)
-        .groupBy(F.window("event_time", "1 day").alias("day"), "campaign_id")
-        .agg(*sums, units_sum("spend_units").alias("spend_usd"), units_sum("revenue_units").alias("revenue_usd"))
-        .select(*CELLS.fieldNames(), F.expr("cast(day.start as date) as date"))
-    )
-
-
-def _overwrite(df: DataFrame, path: str, *partitions: str) -> None:
+def _overwrite(df: DataFrame, path: str, partition: str) -> None:
     (
-        df.hint("rebalance", "date")
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
-        .partitionBy(*partitions)
+        .partitionBy(partition)
         .parquet(path)
     )
 
 
-def publish(folder: str):
-    """The ``foreachBatch`` step that maintains ``<folder>/published``."""
-    changes, published = f"{folder}/changes", f"{folder}/published"
+def add_delta(folder: str):
+    """The ``foreachBatch`` step: the batch's own sums as its delta."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            # One value per day the batch touched. They name the only folders
-            # of the log that are listed, so its age does not slow a batch down.
-            days = [row.date for row in batch.select("date").distinct().collect()]
-            if not days:
-                return
-            _overwrite(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), changes, "date", "batch_id")
-            log = (
-                batch.sparkSession.read.schema(CHANGES)
-                .option("basePath", changes)
-                .parquet(*[f"{changes}/date={day}" for day in days])
-            )
-            latest = (
-                log.groupBy("campaign_id", "date")
-                .agg(F.max_by(F.struct(*_MEASURES), "batch_id").alias("cell"))
-                .select("campaign_id", "cell.*", "date")
-            )
-            _overwrite(latest, published, "date")
-        finally:
-            batch.unpersist()
+        cells = daily_cells(batch).select(CELLS.fieldNames())
+        _overwrite(cells.withColumn("batch_id", F.lit(batch_id).cast("long")), f"{folder}/deltas", "batch_id")
 
     return step
 
 
-def start(
-    ad_events: DataFrame, conversions: DataFrame, folder: str, *, watermark: str = "2 days", trigger: dict | None = None
-) -> StreamingQuery:
-    """Start the stream. ``folder`` holds its checkpoint, change log and table."""
-    nothing = ad_events.sparkSession.createDataFrame([], CHANGES)
-    nothing.write.mode("append").partitionBy("date", "batch_id").parquet(f"{folder}/changes")
-    nothing.select(PUBLISHED.fieldNames()).write.mode("append").partitionBy("date").parquet(f"{folder}/published")
+def start(contributed: DataFrame, folder: str, *, trigger: dict | None = None) -> StreamingQuery:
+    """Start the stream over rows of contributions (``star.contributions``).
+
+    ``folder`` holds its checkpoint, deltas and bases.
+    """
+    spark = contributed.sparkSession
+    spark.createDataFrame([], DELTAS).write.mode("append").partitionBy("batch_id").parquet(f"{folder}/deltas")
+    spark.createDataFrame([], BASES).write.mode("append").partitionBy("upto").parquet(f"{folder}/bases")
     return (
-        daily_cells(touches(ad_events, conversions), watermark)
-        .writeStream.outputMode("update")
+        contributed.writeStream.outputMode("append")
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(**(trigger or {"availableNow": True}))
-        .foreachBatch(publish(folder))
+        .foreachBatch(add_delta(folder))
         .start()
     )
 
 
+def _parts(spark: SparkSession, folder: str) -> tuple[DataFrame, int]:
+    """The newest base with the deltas since, and the last batch in the base (-1: none)."""
+    bases = spark.read.schema(BASES).parquet(f"{folder}/bases")
+    upto = bases.agg(F.max("upto")).first()[0]
+    upto = -1 if upto is None else upto
+    deltas = spark.read.schema(DELTAS).parquet(f"{folder}/deltas").where(F.col("batch_id") > upto)
+    base = bases.where(F.col("upto") == upto).select(*CELLS.fieldNames(), F.lit(upto).cast("long").alias("batch_id"))
+    return base.unionByName(deltas), upto
+
+
+def _summed(parts: DataFrame) -> DataFrame:
+    sums = [F.sum(n).cast(t).alias(n) for n, t in _MEASURES.items()]
+    return parts.groupBy("campaign_id", "date", F.expr(f"{APART} as apart")).agg(*sums).drop("apart")
+
+
+def compact(spark: SparkSession, folder: str, last_batch: int) -> None:
+    """Fold the deltas up to ``last_batch``, a finished one, into a new base.
+
+    Readers go on with the old base until the new one is complete. Deltas in a
+    base are no longer read and may be deleted.
+    """
+    parts, upto = _parts(spark, folder)
+    if last_batch > upto:
+        base = _summed(parts.where(F.col("batch_id") <= last_batch))
+        _overwrite(base.withColumn("upto", F.lit(last_batch).cast("long")), f"{folder}/bases", "upto")
+
+
 def daily_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """The published table with ratios, for days and campaigns with ad events."""
-    cells = spark.read.schema(PUBLISHED).parquet(f"{folder}/published").where(F.col("ad_rows") > 0)
+    """The measures so far with ratios, for days and campaigns with ad events."""
+    cells = _summed(_parts(spark, folder)[0]).where(F.col("ad_rows") > 0)
     return with_metrics(cells.drop("ad_rows"))

@@ -1,4 +1,5 @@
 from datetime import date
+from decimal import Decimal
 
 import pytest
 
@@ -46,7 +47,18 @@ def test_money_sum_does_not_depend_on_order(spark, frame):
     forward = frame(rows, "v double").select(money_sum("v")).first()[0]
     backward = frame(rows[::-1], "v double").repartition(7).select(money_sum("v")).first()[0]
     assert forward == backward
-    assert str(forward) == "126.6600"
+    assert forward == Decimal("126.66")
+
+
+@pytest.mark.parametrize("amount, total", [(0.00004, "40"), (0.00125678, "1256.78"), (0.00000001, "0.01")])
+def test_money_sum_keeps_what_a_single_impression_costs(spark, amount, total):
+    rows = spark.range(1_000_000).selectExpr(f"cast({amount} as double) as v")
+    assert rows.select(money_sum("v")).first()[0] == Decimal(total)
+
+
+def test_money_sum_of_a_very_large_group(spark, frame):
+    rows = frame([(9.0e10,), (0.00000001,), (-1.5,)] * 3, "v double").crossJoin(spark.range(1000))
+    assert rows.select(money_sum("v")).first()[0] == Decimal("269999999995500.00003")
 
 
 def test_money_sum_of_nothing_is_null(spark, frame):

@@ -53,7 +53,7 @@ def test_hot_rows_are_combined_before_the_shuffle(ads):
 
 def test_geo_keeps_every_event(spark, ads, sold):
     users = spark.range(400).selectExpr("id as user_id", "concat('geo', cast(id % 5 as string)) as geo")
-    geo = periods.roas_by_geo(ads, sold, users)
+    geo = periods.roas_by_geo(ads, sold, users, place="geo")
     assert geo.agg(F.sum(F.col("impressions") + F.col("clicks"))).first()[0] == ROWS
     assert geo.agg(F.sum("orders")).first()[0] == sold.count()
     assert geo.where("geo is null").count() == 1  # users 400 to 499 are unknown

@@ -7,20 +7,25 @@ from spendlight.session import scratch_dir
 from spendlight.streaming import daily
 
 DAY = date(2024, 1, 10)
+COLUMNS = ["campaign_id", "date", "spend_usd", "impressions", "clicks", "orders", "revenue_usd", "new_customers"]
 
 
 def batches(days):
-    """Three drops of events; later ones touch the days of earlier ones again."""
-    for drop in range(3):
-        day = DAY + timedelta(days=days[drop])
+    """Drops of events; later ones touch the days of earlier ones again."""
+    for drop, shift in enumerate(days):
+        day = DAY + timedelta(days=shift)
         yield (
-            [(f"c{n % 3}", day, ["click", "impression"][n % 2], 0.25) for n in range(drop + 5)],
+            [(f"c{n % 3}", day, ["click", "impression"][n % 2], 0.00000125) for n in range(drop + 5)],
             [(f"c{n % 4}", day, 10.0 + drop, n % 2) for n in range(drop + 3)],
         )
 
 
-def run(spark, days, watermark):
-    """Feed the drops one per micro-batch and give the published and the batch result."""
+def rows(df):
+    return sorted(df.select(COLUMNS).collect())
+
+
+def run(spark, days):
+    """Feed the drops one per micro-batch; the folder and the batch result."""
     session = daily.streaming_session(spark)
     session.conf.set("spark.sql.shuffle.partitions", "2")
     ads_dir, sold_dir, folder = (scratch_dir(spark, n) for n in ("ads", "sold", "stream"))
@@ -28,37 +33,41 @@ def run(spark, days, watermark):
     for ads, sold in batches(days):
         spark.createDataFrame(ads, AD_EVENTS).coalesce(1).write.mode("append").parquet(ads_dir)
         spark.createDataFrame(sold, CONVERSIONS).coalesce(1).write.mode("append").parquet(sold_dir)
-        query = daily.start(source(ads_dir, AD_EVENTS), source(sold_dir, CONVERSIONS), folder, watermark=watermark)
-        query.awaitTermination()
-    ads, sold = spark.read.parquet(ads_dir), spark.read.parquet(sold_dir)
-    earned = star.conversion_rollup(sold).withColumnRenamed("conversion_date", "event_date")
-    cells = star.event_rollup(ads).join(earned, ["campaign_id", "event_date"], "left")
-    expected = star.fill_sales(cells).withColumnRenamed("event_date", "date")
-    columns = ["campaign_id", "date", "spend_usd", "impressions", "clicks", "orders", "revenue_usd", "new_customers"]
-    published = daily.daily_metrics(spark, folder)
-    return folder, sorted(published.select(columns).collect()), sorted(expected.select(columns).collect())
-
-
-def test_batches_add_up_to_the_batch_result(spark):
-    folder, published, expected = run(spark, [0, 1, 0], "5 days")
-    assert published == expected
-    log = spark.read.schema(daily.CHANGES).parquet(f"{folder}/changes")
-    assert log.select("batch_id").distinct().count() >= 3
+        contributed = star.contributions(source(ads_dir, AD_EVENTS), source(sold_dir, CONVERSIONS))
+        daily.start(contributed, folder).awaitTermination()
+    whole = star.contributions(spark.read.parquet(ads_dir), spark.read.parquet(sold_dir))
+    return folder, rows(star.daily_cells(whole).where("ad_rows > 0"))
+
+
+def test_batches_out_of_order_add_up_to_the_batch_result(spark):
+    """Rows twenty days late count like any other."""
+    folder, expected = run(spark, [0, 20, 0, 7, 0])
+    assert rows(daily.daily_metrics(spark, folder)) == expected
+    deltas = spark.read.schema(daily.DELTAS).parquet(f"{folder}/deltas")
+    assert deltas.select("batch_id").distinct().count() == 5
 
     # Running a batch again leaves the same table.
-    batch = log.where("batch_id = 0").drop("batch_id")
-    rows = batch.collect()
-    daily.publish(folder)(spark.createDataFrame(rows, batch.schema), 0)
-    again = daily.daily_metrics(spark, folder).select("campaign_id", "date", "orders").collect()
-    assert sorted(again) == sorted((r.campaign_id, r.date, r.orders) for r in published)
+    again = spark.createDataFrame(
+        [("c0", DAY, 1, 5, 1, 0, 0, 0, 0)],
+        "campaign_id string, date date, ad_rows long, spend_units long, impressions long, clicks long, orders long,"
+        " revenue_units long, new_customers long",
+    )
+    for _ in range(2):
+        daily.add_delta(folder)(again, 99)
+    found = {(r.campaign_id, r.date): r.impressions for r in rows(daily.daily_metrics(spark, folder))}
+    before = {(r.campaign_id, r.date): r.impressions for r in expected}
+    assert found == before | {("c0", DAY): before["c0", DAY] + 1}
 
 
-def test_rows_behind_the_watermark_are_dropped(spark):
-    _, published, expected = run(spark, [0, 20, 0], "2 days")
-    late = {r.date: r for r in expected if r.campaign_id == "c0"}[DAY]
-    kept = {r.date: r for r in published if r.campaign_id == "c0"}[DAY]
-    assert kept.impressions + kept.clicks < late.impressions + late.clicks
-    assert [r for r in published if r.date != DAY] == [r for r in expected if r.date != DAY]
+def test_compaction_changes_no_result_and_shortens_the_read(spark):
+    folder, expected = run(spark, [0, 1, 0, 2])
+    daily.compact(spark, folder, 1)
+    assert rows(daily.daily_metrics(spark, folder)) == expected
+    daily.compact(spark, folder, 3)
+    daily.compact(spark, folder, 2)
+    parts, upto = daily._parts(spark, folder)
+    assert upto == 3 and parts.where("batch_id > 3").count() == 0
+    assert rows(daily.daily_metrics(spark, folder)) == expected
 
 
 def test_no_events(spark):
@@ -66,9 +75,6 @@ def test_no_events(spark):
     empty, folder = scratch_dir(spark, "empty"), scratch_dir(spark, "stream")
     spark.createDataFrame([], AD_EVENTS).write.parquet(f"{empty}/a")
     spark.createDataFrame([], CONVERSIONS).write.parquet(f"{empty}/c")
-    daily.start(
-        session.readStream.schema(AD_EVENTS).parquet(f"{empty}/a"),
-        session.readStream.schema(CONVERSIONS).parquet(f"{empty}/c"),
-        folder,
-    ).awaitTermination()
+    source = lambda name, ddl: session.readStream.schema(ddl).parquet(f"{empty}/{name}")
+    daily.start(star.contributions(source("a", AD_EVENTS), source("c", CONVERSIONS)), folder).awaitTermination()
     assert daily.daily_metrics(spark, folder).count() == 0
