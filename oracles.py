@@ -237,6 +237,34 @@ FROM (SELECT m.*, p.roas AS prior_roas FROM monthly m LEFT JOIN monthly p
       ON p.channel IS NOT DISTINCT FROM m.channel AND p.year * 12 + p.month = m.year * 12 + m.month - 1)"""
 
 
+def _plane() -> str:
+    """Least squares of revenue on spend, impressions and clicks, by the normal equations of the centred sums."""
+    x = {1: "spend_usd", 2: "impressions", 3: "clicks", 4: "revenue_usd"}
+    mean = ", ".join(f"AVG(CAST({c} AS DOUBLE)) AS m{i}" for i, c in x.items())
+    sums = ", ".join(
+        f"SUM((CAST({x[i]} AS DOUBLE) - m{i}) * (CAST({x[j]} AS DOUBLE) - m{j})) AS s{i}{j}"
+        for i in range(1, 5) for j in range(i, 5)
+    )
+    s = lambda i, j: f"s{min(i, j)}{max(i, j)}"
+
+    def det(columns: list[int]) -> str:
+        """Determinant of the rows 1 to 3 of these columns."""
+        term = lambda i, j, k: f"{s(1, columns[i])} * {s(2, columns[j])} * {s(3, columns[k])}"
+        plus, minus = [(0, 1, 2), (1, 2, 0), (2, 0, 1)], [(2, 1, 0), (1, 0, 2), (0, 2, 1)]
+        return "(" + " + ".join(term(*p) for p in plus) + " - " + " - ".join(term(*p) for p in minus) + ")"
+
+    slopes = ", ".join(
+        f"{det([4 if c == i else c for c in (1, 2, 3)])} / {det([1, 2, 3])} AS b{i}" for i in (1, 2, 3)
+    )
+    fitted = " + ".join(f"b{i} * (CAST({x[i]} AS DOUBLE) - m{i})" for i in (1, 2, 3))
+    return (
+        f"SELECT year, month, month_name, channel, {_dbl('spend_usd', 'revenue_usd', 'impressions', 'clicks')}, orders,"
+        f" new_customers, ROUND(m4 + {fitted}, 2) AS predicted_revenue_usd FROM month_totals,"
+        f" (SELECT m1, m2, m3, m4, {slopes} FROM (SELECT {sums}, m1, m2, m3, m4 FROM month_totals,"
+        f" (SELECT {mean} FROM month_totals) GROUP BY ALL))"
+    )
+
+
 def _check(name: str, table: str, checked: str, failed: str) -> str:
     return (
         f"SELECT '{name}' AS check_name, CAST({checked} AS BIGINT) AS n_checked,"
@@ -492,6 +520,7 @@ def oracle_sql() -> dict[str, str]:
             " SELECT 'grid:conversions.conversion_value_usd', COUNT(*), COUNT(*) FILTER (WHERE"
             " ROUND(l_extendedprice * 1e8) / 1e8 <> l_extendedprice) FROM lineitem WHERE l_returnflag = 'R'"
         ),
+        "revenue_regression_ml": _b(_plane()),
         "calendar_scalars": _a(
             "SELECT strftime(date_id, '%Y-%m-%d') AS date_text, date_id AS parsed, year, month, day_of_month,"
             " quarter, week_of_year, day_of_week FROM dim_date"

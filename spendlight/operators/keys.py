@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def with_dense_key(df: DataFrame, key: str, order_by: str, slices: int = 64) -> DataFrame:
+def with_dense_key(df: DataFrame, key: str, order_by: str, slices: int | None = None) -> DataFrame:
     """Number the rows 1..N in the order of a unique column.
 
     The value range is cut into slices at up to ``slices`` values picked by
-    hash, rows are numbered inside their slice, and each slice starts where
-    the ones before it end. Cuts and slice sizes are at most ``slices`` + 1
+    hash (default: as many as the session has shuffle partitions), rows are
+    numbered inside their slice, and each slice starts where the ones before it
+    end. Cuts and slice sizes are at most ``slices`` + 1
     values, read as scalar subqueries; the rows themselves are shuffled once,
     by slice. The cuts depend on the values alone, so a task that is run again
     gives the same keys.
     """
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = (
         df.select(order_by)
         .orderBy(F.expr(f"xxhash64({order_by})"), order_by)

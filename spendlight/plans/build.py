@@ -6,45 +6,65 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from spendlight.functions import masked_key
 from spendlight.operators import marts, quality, star
 from spendlight.plans import mart_sql
-from spendlight.schemas import FOREIGN_KEYS, PRIMARY_KEYS, STAR, required_columns
+from spendlight.schemas import FOREIGN_KEYS, PRIMARY_KEYS, RAW, STAR, required_columns
 from spendlight.session import build_session
 from spendlight.sources import catalog, files
 
 
 def write_star(
-    ad_events: DataFrame, conversions: DataFrame, campaigns: DataFrame, days: DataFrame, folder: str
+    ad_events: DataFrame,
+    conversions: DataFrame,
+    campaigns: DataFrame,
+    days: DataFrame,
+    folder: str,
+    users: DataFrame | None = None,
+    kept: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Write the star schema below ``folder`` and return it as read back.
 
     The campaign dimension is written first and the fact is built from the
-    written table, so keys are assigned once.
+    written table, so keys are assigned once. ``kept`` are fact rows of an
+    earlier build to take over, ``users`` a masked user dimension.
     """
     spark = ad_events.sparkSession
-    paths = {name: f"{folder.rstrip('/')}/{name}" for name in STAR}
-    files.write_parquet(star.campaign_dimension(campaigns), paths["dim_campaign"])
-    files.write_parquet(star.date_dimension(days), paths["dim_date"])
-    dim_campaign = files.read_parquet(spark, paths["dim_campaign"], STAR["dim_campaign"])
+    base = folder.rstrip("/")
+    files.write_parquet(star.campaign_dimension(campaigns), f"{base}/dim_campaign")
+    files.write_parquet(star.date_dimension(days), f"{base}/dim_date")
+    if users is not None:
+        files.write_parquet(users, f"{base}/dim_users")
+    dim_campaign = files.read_parquet(spark, f"{base}/dim_campaign", STAR["dim_campaign"])
     fact = star.campaign_daily_fact(ad_events, conversions, dim_campaign)
-    files.write_by_date(fact, paths["fact_campaign_daily"], whole=True)
+    if kept is not None:
+        fact = fact.unionByName(_rekeyed(kept, dim_campaign))
+    files.write_by_date(fact, f"{base}/fact_campaign_daily", whole=True)
     return read_star(spark, folder)
 
 
+def _rekeyed(fact: DataFrame, dim_campaign: DataFrame) -> DataFrame:
+    """Fact rows that carry campaign_id, under the keys of a new dimension."""
+    keys = dim_campaign.select("campaign_id", "campaign_key")
+    return fact.drop("campaign_key").join(keys, "campaign_id", "left").select(STAR["fact_campaign_daily"].fieldNames())
+
+
 def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: files.read_parquet(spark, f"{folder.rstrip('/')}/{name}", schema) for name, schema in STAR.items()}
 
 
-def register_star(spark: SparkSession, database: str, folder: str, replace: bool = False) -> None:
-    catalog.create_database(spark, database, f"{folder.rstrip('/')}/_database")
+def register_star(spark: SparkSession, database: str, folder: str, version: str | None = None) -> None:
+    """Register the star's folders as tables, under their own names or those of a version."""
+    catalog.create_database(spark, database)
     for name, schema in STAR.items():
         partition = "date" if name == "fact_campaign_daily" else None
-        catalog.register_parquet(
-            spark, database, name, f"{folder.rstrip('/')}/{name}", schema, partition, replace=replace
-        )
+        table = catalog.versioned(name, version) if version else name
+        catalog.register_parquet(spark, database, table, f"{folder.rstrip('/')}/{name}", schema, partition)
 
 
 def build_marts(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -61,21 +81,21 @@ def build_marts(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 SMALL_MARTS = {"mart_channel_summary", "mart_monthly_summary"}
 
 
-def write_marts(spark: SparkSession, built: dict[str, DataFrame], folder: str, database: str, replace: bool) -> None:
-    """Write each mart once as Parquet, register it, and export it as CSV."""
+def write_marts(spark: SparkSession, built: dict[str, DataFrame], folder: str, database: str, version: str) -> None:
+    """Write each mart once as Parquet, register it as a version, and export it as CSV."""
     base = folder.rstrip("/")
     for name, mart in built.items():
-        path = f"{base}/marts/{name}"
-        if "date" in mart.columns:
+        path, partition = f"{base}/marts/{name}", "date" if "date" in mart.columns else None
+        if partition:
             files.write_by_date(mart, path, whole=True)
         else:
             files.write_parquet(mart, path)
         written = files.read_parquet(spark, path, mart.schema)
-        catalog.register_parquet(
-            spark, database, name, path, mart.schema, "date" if "date" in mart.columns else None, replace=replace
-        )
-        export = files.export_csv if name in SMALL_MARTS else files.write_csv
-        export(written, f"{base}/csv/{name}")
+        catalog.register_parquet(spark, database, catalog.versioned(name, version), path, mart.schema, partition)
+        if name in SMALL_MARTS:
+            files.export_csv(written.orderBy(*[c for c in ("year", "month", "channel") if c in written.columns]), f"{base}/csv/{name}")
+        else:
+            files.write_csv(written, f"{base}/csv/{name}")
 
 
 def check_star(tables: dict[str, DataFrame]) -> DataFrame:
@@ -92,22 +112,50 @@ def check_star(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def run(spark: SparkSession, raw_folder: str, output: str, database: str, replace: bool = True) -> DataFrame:
-    """Run every step and return the check report of the star schema."""
-    raw = {
-        name: files.read_raw(spark, raw_folder, name)
-        for name in ("dim_campaigns", "dim_time", "fact_ad_events", "fact_conversions")
-    }
-    tables = write_star(
-        raw["fact_ad_events"],
-        raw["fact_conversions"],
-        raw["dim_campaigns"],
-        raw["dim_time"].select("date_id"),
-        output,
-    )
-    register_star(spark, database, output, replace)
-    write_marts(spark, build_marts(tables), output, database, replace)
-    return check_star(tables)
+def published(spark: SparkSession, database: str) -> bool:
+    return spark.catalog.tableExists(f"`{database}`.`fact_campaign_daily`")
+
+
+def run(
+    spark: SparkSession,
+    raw_folder: str,
+    output: str,
+    database: str,
+    salt: str = "",
+    dates: tuple[str, str] | None = None,
+    version: str | None = None,
+) -> DataFrame:
+    """Run every step and return the check report of the star schema.
+
+    Each run writes a folder of its own below ``output``, named by ``version``,
+    and lets the published names show it once everything is written; a run that
+    fails before leaves the last one as it was. With ``dates`` (first and last,
+    included) only these days are read from the raw tables and the others are
+    taken over from what is published. User ids of the users, ad events and
+    conversions are masked with ``salt`` before anything else sees them.
+    """
+    version = version or uuid.uuid4().hex[:12]
+    folder = f"{output.rstrip('/')}/{version}"
+    raw = {name: files.read_raw(spark, raw_folder, name) for name in RAW if name != "dim_advertisers"}
+    users, ads, sold = (masked_key(raw[t], salt) for t in ("dim_users", "fact_ad_events", "fact_conversions"))
+    kept = None
+    if dates:
+        inside = lambda df, day: df.where(F.col(day).between(F.lit(dates[0]).cast("date"), F.lit(dates[1]).cast("date")))
+        ads, sold = inside(ads, "event_date"), inside(sold, "conversion_date")
+        if published(spark, database):
+            old = spark.table(f"`{database}`.`fact_campaign_daily`")
+            names = spark.table(f"`{database}`.`dim_campaign`").select("campaign_key", "campaign_id")
+            outside = old.where(~F.col("date").between(F.lit(dates[0]).cast("date"), F.lit(dates[1]).cast("date")))
+            kept = outside.join(names, "campaign_key", "left")
+    tables = write_star(ads, sold, raw["dim_campaigns"], raw["dim_time"].select("date_id"), folder, users, kept)
+    register_star(spark, database, folder, version)
+    users_table = catalog.versioned("dim_users", version)
+    catalog.register_parquet(spark, database, users_table, f"{folder}/dim_users", RAW["dim_users"])
+    built = build_marts(tables)
+    write_marts(spark, built, folder, database, version)
+    for name in ["dim_users", *STAR, *built]:
+        catalog.publish(spark, database, name, version)
+    return check_star(tables).unionByName(quality.masked_ids(files.read_parquet(spark, f"{folder}/dim_users", RAW["dim_users"])))
 
 
 def run_sql_marts(spark: SparkSession, database: str, output: str) -> None:
@@ -118,12 +166,15 @@ def run_sql_marts(spark: SparkSession, database: str, output: str) -> None:
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("raw_folder", help="folder or URI with the six raw CSV tables")
+    parser.add_argument("raw_folder", help="folder or URI with the raw CSV tables")
     parser.add_argument("output", help="folder or URI for the star schema and the marts")
     parser.add_argument("--database", default="spendlight")
+    parser.add_argument("--salt", default="", help="salt of the masks of user ids")
+    parser.add_argument("--dates", nargs=2, metavar=("FIRST", "LAST"), help="read only these days again")
     args = parser.parse_args()
     spark = build_session("spendlight build")
-    run(spark, args.raw_folder, args.output, args.database).show(100, truncate=False)
+    dates = tuple(args.dates) if args.dates else None
+    run(spark, args.raw_folder, args.output, args.database, args.salt, dates).show(100, truncate=False)
     run_sql_marts(spark, args.database, args.output)
 
 

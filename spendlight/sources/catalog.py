@@ -38,7 +38,20 @@ def register_parquet(
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
 
 
+def publish(spark: SparkSession, database: str, table: str, version: str) -> None:
+    """Let the view ``table`` show the version registered as ``table__version``.
+
+    The switch is one statement of the catalog: readers see the old rows or the
+    new ones, and a query that has begun goes on over the old files.
+    """
+    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{table}` AS SELECT * FROM `{database}`.`{versioned(table, version)}`")
+
+
+def versioned(table: str, version: str) -> str:
+    return f"{table}__{version}"
+
+
 def load_tables(spark: SparkSession, database: str, pattern: str = "mart_*") -> dict[str, DataFrame]:
-    """Tables whose name matches ``pattern``, by name."""
-    names = sorted(t.name for t in spark.catalog.listTables(database, pattern))
+    """Published tables whose name matches ``pattern``, by name; versions of them are left out."""
+    names = sorted(t.name for t in spark.catalog.listTables(database, pattern) if "__" not in t.name)
     return {name: spark.table(f"`{database}`.`{name}`") for name in names}

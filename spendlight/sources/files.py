@@ -61,7 +61,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """One headered CSV part. For marts whose row count is bounded by design;
-    use ``write_csv`` where the rows grow with the data."""
+def export_csv(df: DataFrame, path: str, most: int = 100_000) -> None:
+    """One headered CSV part, for marts whose row count is bounded by design.
+
+    More than ``most`` rows are refused; ``write_csv`` takes any number.
+    """
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows for one CSV part; use write_csv")
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

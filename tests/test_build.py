@@ -7,7 +7,8 @@ from conftest import plan_of
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
-from spendlight.operators import marts
+from spendlight.functions import masked_key
+from spendlight.operators import marts, periods
 from spendlight.plans import build, mart_sql
 from spendlight.schemas import RAW, STAR
 from spendlight.session import scratch_dir
@@ -34,16 +35,25 @@ def raw_rows():
         (f"cv_{n}", DAYS[n % 10], f"camp_{n % 4}", ["Meta", "Google"][n % 2], f"u{n % 7}", "purchase", 10.5, n % 2)
         for n in range(40)
     ]
-    return {"dim_campaigns": campaigns, "dim_time": days, "fact_ad_events": events, "fact_conversions": sold}
+    users = [(f"u{n}", "25-34", "female", ["US", "DE"][n % 2], "organic", 10.0 * n) for n in range(7)]
+    return {
+        "dim_campaigns": campaigns, "dim_time": days, "dim_users": users, "fact_ad_events": events,
+        "fact_conversions": sold,
+    }
+
+
+def write_raw(spark, rows):
+    raw = scratch_dir(spark, "raw")
+    for name, values in rows.items():
+        files.write_csv(spark.createDataFrame(values, RAW[name]), f"{raw}/{name}.csv")
+    return raw
 
 
 @pytest.fixture(scope="module")
 def done(spark):
-    raw, output = scratch_dir(spark, "raw"), scratch_dir(spark, "out")
-    for name, rows in raw_rows().items():
-        files.write_csv(spark.createDataFrame(rows, RAW[name]), f"{raw}/{name}.csv")
-    report = build.run(spark, raw, output, "spendlight_test").collect()
-    return output, report
+    output = scratch_dir(spark, "out")
+    report = build.run(spark, write_raw(spark, raw_rows()), output, "spendlight_test", "salt", version="v1").collect()
+    return f"{output}/v1", report
 
 
 def test_every_check_passes(done):
@@ -69,7 +79,7 @@ def test_marts_can_be_loaded_by_name(spark, done):
     assert {name: df.count() for name, df in loaded.items()} == {
         "mart_channel_summary": 2, "mart_campaign_summary": 4, "mart_monthly_summary": 2, "mart_campaign_daily": 20,
     }
-    assert set(catalog.load_tables(spark, "spendlight_test", "dim_*")) == {"dim_date", "dim_campaign"}
+    assert set(catalog.load_tables(spark, "spendlight_test", "dim_*")) == {"dim_date", "dim_campaign", "dim_users"}
 
 
 def test_small_marts_are_one_csv_part(spark, done):
@@ -87,6 +97,67 @@ def test_sql_marts_on_the_catalog(spark, done):
         assert sorted(theirs.collect()) == sorted(ours.collect())
 
 
+def test_masked_users_join_masked_events(spark, done):
+    users = spark.table("spendlight_test.dim_users")
+    assert users.where("user_id rlike '^[0-9a-f]{32}$'").count() == 7
+    rows = raw_rows()
+    ads = masked_key(spark.createDataFrame(rows["fact_ad_events"], RAW["fact_ad_events"]), "salt")
+    sold = masked_key(spark.createDataFrame(rows["fact_conversions"], RAW["fact_conversions"]), "salt")
+    assert ads.join(users, "user_id", "left_anti").count() == 0
+    places = {r.geo: r.orders for r in periods.roas_by_geo(ads, sold, users).collect()}
+    assert places == {"US": sum(n % 7 % 2 == 0 for n in range(40)), "DE": sum(n % 7 % 2 for n in range(40))}
+    assert [tuple(r) for r in periods.traffic_by_geo(ads).select("geo", "impressions", "clicks").collect()] == [("US", 266, 134)]
+
+
+def test_a_failed_run_leaves_the_published_tables(spark, monkeypatch):
+    output, raw = scratch_dir(spark, "out"), write_raw(spark, raw_rows())
+    build.run(spark, raw, output, "spendlight_safe", version="v1")
+    before = sorted(spark.table("spendlight_safe.mart_channel_summary").collect())
+
+    def stop(*args):
+        raise RuntimeError("lost")
+
+    fewer = raw_rows()
+    fewer["fact_ad_events"] = fewer["fact_ad_events"][:100]
+    raw = write_raw(spark, fewer)
+    for step in ("write_marts", "register_star"):
+        with monkeypatch.context() as patch:
+            patch.setattr(build, step, stop)
+            with pytest.raises(RuntimeError):
+                build.run(spark, raw, output, "spendlight_safe", version=f"failed_{step}")
+        assert sorted(spark.table("spendlight_safe.mart_channel_summary").collect()) == before
+    build.run(spark, raw, output, "spendlight_safe", version="v2")
+    after = spark.table("spendlight_safe.mart_channel_summary").selectExpr("sum(total_impressions + total_clicks)")
+    assert after.first()[0] == 100
+
+
+def test_a_run_over_some_dates_takes_the_others_over(spark):
+    output, rows = scratch_dir(spark, "out"), raw_rows()
+    build.run(spark, write_raw(spark, rows), output, "spendlight_dates", version="v1")
+    old = {r.date: r.s for r in spark.table("spendlight_dates.fact_campaign_daily").groupBy("date").agg({"clicks": "sum"}).withColumnRenamed("sum(clicks)", "s").collect()}
+    late = ("ev_late", DAYS[3], "camp_3", "Google", "click", "u1", "mobile", "US", 1.0, 0.0, 0)
+    # A new campaign sorts first and so moves every key.
+    rows["dim_campaigns"].append(("camp_", "Campaign x", "adv_001", "Meta", "performance", "active", FIRST, DAYS[-1], 500))
+    rows["fact_ad_events"] = [r for r in rows["fact_ad_events"] if r[1] == DAYS[3]] + [late]
+    report = build.run(spark, write_raw(spark, rows), output, "spendlight_dates", dates=("2026-01-04", "2026-01-04"), version="v2")
+    assert [r for r in report.collect() if r.n_failed] == []
+    fact = spark.table("spendlight_dates.fact_campaign_daily")
+    new = {r.date: r.s for r in fact.groupBy("date").agg({"clicks": "sum"}).withColumnRenamed("sum(clicks)", "s").collect()}
+    assert new == old | {DAYS[3]: old[DAYS[3]] + 1}
+    named = fact.join(spark.table("spendlight_dates.dim_campaign").select("campaign_key", "campaign_id"), "campaign_key")
+    assert named.select("campaign_id").distinct().count() == 4 and named.count() == fact.count()
+
+
+def test_long_exports_are_refused(spark):
+    with pytest.raises(ValueError):
+        files.export_csv(spark.range(11), scratch_dir(spark, "csv"), most=10)
+
+
+def test_nothing_is_broadcast_by_estimate(spark):
+    small = spark.range(5).selectExpr("id as k")
+    assert "BroadcastHashJoin" not in plan_of(spark.range(5).selectExpr("id as k").join(small, "k"))
+
+
 def test_date_filter_prunes_folders(spark, done):
     fact = files.read_parquet(spark, f"{done[0]}/fact_campaign_daily")
     pruned = fact.where("date between date'2026-01-02' and date'2026-01-03'")
