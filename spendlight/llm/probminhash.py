@@ -167,57 +167,94 @@ def _shingle_sets(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return list(zip(np.split(hashes, ends), np.split(weights, ends)))
 
 
-def _estimated(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of the same bucket and of different groups whose signatures are alike enough.
-
-    ``members`` has bucket, size, node, component. A bucket is cut into blocks
-    by hash, and blocks are compared in pairs; pairs of texts stay inside tasks.
+def _joined_groups(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) that join groups of texts within a bucket: columns a, b.
+
+    ``members`` has bucket, band, node and component. Texts of a bucket's
+    largest group are put into blocks by hash, those of its other groups into
+    blocks of their own, and blocks are compared in pairs but for those that
+    hold the largest group alone. A pair of texts whose groups differ, whose
+    signatures are alike enough and whose first shared band is this one is
+    verified on the texts; once two groups are joined, their other pairs need
+    no look. So a pair of blocks gives fewer links than it holds texts.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
             for chunk in _texts_in(batch.column(1)):
-                short = signatures(chunk).astype("<u2")
-                nodes = batch.column(0).slice(at, len(chunk))
-                yield pa.RecordBatch.from_arrays([nodes, pa.array([s.tobytes() for s in short])], names=["node", "sign"])
+                short = [s.tobytes() for s in signatures(chunk).astype("<u4")]
+                own = batch.slice(at, len(chunk))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(short)], names=["node", "text", "sign"])
                 at += len(chunk)
 
     wanted = texts.join(members.select("node").distinct(), "node").select("node", "text")
-    signed = stored(wanted.mapInArrow(sign, "node long, sign binary"), "signatures")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    placed = members.join(signed, "node").withColumns(
-        {"blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")}
+    signed = stored(wanted.mapInArrow(sign, "node long, text string, sign binary"), "signatures")
+    groups = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    largest = F.max(F.struct("n", F.col("component").alias("main"))).alias("top")
+    cut = groups.groupBy("bucket").agg(largest, F.sum("n").alias("size")).select(
+        "bucket",
+        "top.main",
+        F.ceil(F.col("top.n") / BLOCK).cast("int").alias("main_blocks"),
+        F.ceil((F.col("size") - F.col("top.n")) / BLOCK).cast("int").alias("rest_blocks"),
+    )
+    spread = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    block = F.when(F.col("component") == F.col("main"), spread("main_blocks")).otherwise(
+        F.col("main_blocks") + spread("rest_blocks")
     )
     # A block holds about BLOCK texts however large its bucket is.
-    packed = placed.groupBy("bucket", "blocks", "block").agg(
-        F.collect_list(F.struct("node", "component", "sign")).alias("texts")
+    packed = (
+        members.join(cut, "bucket")
+        .withColumn("block", block)
+        .join(signed, "node")
+        .groupBy("bucket", "band", "block", "main_blocks", "rest_blocks")
+        .agg(F.collect_list(F.struct("node", "component", "sign", "text")).alias("texts"))
     )
     packed = stored(packed, "blocks")
-    left = packed.select(
-        "bucket", F.col("texts").alias("left"), F.col("block").alias("i"),
-        F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("block"),
-    )
+    partners = F.sequence(F.greatest("block", "main_blocks"), F.col("main_blocks") + F.col("rest_blocks") - 1)
+    left = packed.select("bucket", "band", F.col("block").alias("own"), F.col("texts").alias("left"), F.explode(partners).alias("block"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
                 row = batch.slice(i, 1).to_pylist()[0]
-                (x, x_of, x_sign), (y, y_of, y_sign) = map(_block, (row["left"], row["texts"]))
-                found = []
-                for k in range(len(x)):
-                    near = (x_sign[k] == y_sign).mean(axis=1) >= ESTIMATE
-                    found += [(min(x[k], n), max(x[k], n)) for n in y[near & (y_of != x_of[k])].tolist()]
+                found = _links_between(row["left"], row["texts"], row["band"], row["own"] == row["block"])
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
-    pairs = left.join(packed.select("bucket", "block", "texts"), ["bucket", "block"]).select("left", "texts")
-    return pairs.mapInArrow(compare, "a long, b long").distinct()
-
-
-def _block(texts: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    signs = np.frombuffer(b"".join([t["sign"] for t in texts]), "<u2").reshape(len(texts), -1)
-    return np.array([t["node"] for t in texts]), np.array([t["component"] for t in texts]), signs
+    both = left.join(packed.select("bucket", "block", "texts"), ["bucket", "block"])
+    return both.select("left", "texts", "band", "own", "block").mapInArrow(compare, "a long, b long")
+
+
+def _links_between(left: list[dict], right: list[dict], band: int, same: bool) -> list[tuple[int, int]]:
+    """Links that join the groups of two blocks, the likeliest pairs first."""
+    x_sign, y_sign = (np.frombuffer(b"".join([t["sign"] for t in b]), "<u4").reshape(len(b), -1) for b in (left, right))
+    x_of, y_of = (np.array([t["component"] for t in b]) for b in (left, right))
+    pairs = []
+    for k in range(len(left)):
+        alike = (x_sign[k] == y_sign).mean(axis=1)
+        for at in np.flatnonzero((alike >= ESTIMATE) & (y_of != x_of[k])).tolist():
+            if not same or at > k:
+                pairs.append((-alike[at], k, at))
+    if not pairs:
+        return []
+    joined = {c: c for c in np.concatenate([x_of, y_of]).tolist()}
+
+    def root(c: int) -> int:
+        while joined[c] != c:
+            c = joined[c]
+        return c
+
+    links, x_sets, y_sets = [], _shingle_sets([t["text"] for t in left]), _shingle_sets([t["text"] for t in right])
+    for _, k, at in sorted(pairs):
+        a, b = root(int(x_of[k])), root(int(y_of[at]))
+        if a == b:
+            continue
+        shared = (x_sign[k] == y_sign[at])[: BANDS * ROWS].reshape(BANDS, ROWS).all(axis=1)
+        if shared.argmax() == band and probability_jaccard(x_sets[k], y_sets[at]) >= SIMILAR:
+            joined[b] = a
+            links.append((left[k]["node"], right[at]["node"]))
+    return links
 
 
 # --- classes ------------------------------------------------------------------
@@ -240,7 +277,7 @@ def text_classes(docs: DataFrame) -> DataFrame:
     Equal texts are one node from the start. Buckets of a band give pairs with
     their first text (all pairs where they are small), which are verified on the
     texts. Where a large bucket is then still in several groups, the pairs
-    between the groups are compared by signature, in blocks, and verified too.
+    between the groups are compared by signature, in blocks, and verified there.
     """
     rows = _rows(docs)
     sketches = _sketched(rows.withColumn("row", F.monotonically_increasing_id()).select("id", "k1", "k2", "row", "text"))
@@ -251,7 +288,7 @@ def text_classes(docs: DataFrame) -> DataFrame:
         scanned.groupBy("k1", "k2").agg(first.alias("first")).select("k1", "k2", "first.id", F.col("first.row").alias("node")),
         "texts",
     )
-    bands = scanned.select(F.col("row").alias("node"), F.explode("bands").alias("bucket")).join(nodes.select("node"), "node")
+    bands = scanned.select(F.col("row").alias("node"), F.posexplode("bands").alias("band", "bucket")).join(nodes.select("node"), "node")
     bands = stored(bands, "bands")
     shared = bands.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("center")).where("size > 1")
     members = stored(bands.join(shared, "bucket"), "buckets")
@@ -273,11 +310,10 @@ def text_classes(docs: DataFrame) -> DataFrame:
     large = members.where(f"size > {SMALL}").join(groups, "node", "left")
     large = large.withColumn("component", F.coalesce("component", "node"))
     split = large.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    open_members = stored(large.join(split.select("bucket"), "bucket").select("bucket", "size", "node", "component"), "open")
+    open_members = stored(large.join(split.select("bucket"), "bucket").select("bucket", "band", "node", "component"), "open")
     if not open_members.isEmpty():
-        more = _estimated(open_members, texts).join(pairs, ["a", "b"], "left_anti")
-        links = stored(links.unionByName(_verified(stored(more, "more-pairs"), texts)), "all-links")
-        groups = components(links)
+        more = _joined_groups(open_members, texts)
+        groups = components(stored(links.unionByName(more), "all-links"))
 
     placed = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     best = placed.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("best"))

@@ -59,16 +59,18 @@ def test_classes_are_those_of_all_pairs(spark, monkeypatch, small):
     assert kept == sorted(set(expected))
 
 
-def test_blocks_find_links_that_the_first_text_of_a_bucket_misses(spark):
+@pytest.mark.parametrize("block", [256, 7])
+def test_blocks_join_groups_that_the_first_text_of_a_bucket_leaves_apart(spark, monkeypatch, block):
+    monkeypatch.setattr(probminhash, "BLOCK", block)
     texts = texts_with_copies()
     ids = list(range(len(texts)))
-    members = spark.createDataFrame([(1, len(ids), i, i) for i in ids], "bucket long, size long, node long, component long")
+    bands = probminhash.bands_of(probminhash.signatures(texts)).tolist()
+    rows = [(bucket, band, i, i) for i in ids for band, bucket in enumerate(bands[i])]
+    members = spark.createDataFrame(rows, "bucket long, band int, node long, component long")
     docs = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
-    pairs = {(r.a, r.b) for r in probminhash._estimated(members, docs).collect()}
-    sets = probminhash._shingle_sets(texts)
-    wanted = {(i, j) for j in ids for i in range(j) if probminhash.probability_jaccard(sets[i], sets[j]) >= 0.8}
-    assert wanted <= pairs
-    assert len(pairs) < len(ids) ** 2 / 5
+    links = probminhash._joined_groups(members, docs)
+    found = {r.node: r.component for r in components(links).collect()}
+    assert [found.get(i, i) for i in ids] == brute(texts)
 
 
 def test_exact_similarity():
