@@ -12,24 +12,26 @@ def components(links: DataFrame) -> DataFrame:
     """Columns node, component: the smallest node reachable by the links (columns a, b), for every node of a link.
 
     Alternating large and small stars: every node hangs its larger neighbours,
-    then its smaller ones and itself, on the smallest node it knows, until
-    nothing changes. Each round is a grouping with a map-side step and a join
-    on the node; a node with very many links is never gathered in one place.
-    Each round is written to the shared folder, and only a sum comes back.
+    then its smaller ones and itself, on the smallest node it knows, until all
+    are stars. Each round is a grouping with a map-side step and a join on the
+    node; a node with very many links is never gathered in one place. Each
+    round is written to the shared folder, and only a yes or no comes back.
     """
     edges = stored(_directed(links.select("a", "b")), "links")
-    before = None
-    while True:
+    while not _is_stars(edges):
         edges = stored(_small_star(_large_star(edges)), "stars")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    # Now each node is linked to its smallest and to nothing else.
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every node is either the center of its links or has one link, to a center."""
+    upper = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    lower = edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    ends = upper.unionByName(lower).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.where("up + down > 1").isEmpty()
+
+
 def _directed(links: DataFrame) -> DataFrame:
     """Each link once, from its larger to its smaller end."""
     ends = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -39,10 +41,10 @@ def _directed(links: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("m"))
+    nearest = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+    least = nearest.select("node", F.least("node", "m").alias("m"))
     # The larger neighbours of b are the ends a of its links (a > b).
-    moved = edges.join(least, edges.b == least.node).select("a", F.col("m").alias("b"))
-    return moved.where("a <> b").distinct()
+    return edges.join(least, edges.b == least.node).select("a", F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
