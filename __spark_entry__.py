@@ -184,6 +184,12 @@ def masked_user_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_event_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that are neither ad traffic nor conversions; the ad tables leave them out."""
+    types = {"event_type": ["view", "click", "purchase", "signup"]}
+    return quality.domains(adapters.table(spark, sf_dir, "events"), types, "events")
+
+
 def dq_money_on_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = adapters.from_lineitem(spark, sf_dir)
     costs = quality.money_on_grid(raw.ad_events, ["cost_usd"], "ad_events")
@@ -350,6 +356,7 @@ def ad_queries() -> dict[str, Query]:
             lambda m: quality.orders_are_conversions(m.fact, m.raw.cells, m.raw.conversions)
         ),
         "dq_money_on_grid": dq_money_on_grid,
+        "dq_event_types": dq_event_types,
         # files, catalog, stream
         "scan_csv_roundtrip": scan_csv_roundtrip,
         "scan_fact": scan_fact,

@@ -512,6 +512,9 @@ def oracle_sql() -> dict[str, str]:
                 " AND e.event_date = c.conversion_date)))",
             )
         ),
+        "dq_event_types": _rule(
+            "domain:events.event_type", "events", "event_type NOT IN ('view', 'click', 'purchase', 'signup')"
+        ),
         "dq_money_on_grid": (
             "SELECT 'grid:ad_events.cost_usd' AS check_name, COUNT(*) AS n_checked, COUNT(*) FILTER (WHERE"
             " ROUND(cost * 1e8) / 1e8 <> cost) AS n_failed FROM (SELECT ROUND(l_extendedprice * 100)"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendlight.schemas import RAW
@@ -23,6 +24,25 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
+def malformed_rows(spark: SparkSession, path: str, schema: T.StructType, name: str) -> DataFrame:
+    """How many rows of a headered CSV do not fit the schema, as one check; ``read_csv`` stops at the first."""
+    broken = "_broken"
+    rows = (
+        spark.read.schema(T.StructType([*schema, T.StructField(broken, T.StringType())]))
+        .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", broken)
+        .csv(path)
+    )
+    # Always true, but only known by reading all columns: a row is parsed no further than its columns are needed.
+    parsed = F.pmod(F.xxhash64(*schema.fieldNames()), F.lit(2)) >= 0
+    return rows.agg(
+        F.lit(f"malformed:{name}").alias("check_name"),
+        F.count_if(parsed).alias("n_checked"),
+        F.count_if(parsed & F.col(broken).isNotNull()).alias("n_failed"),
+    )
+
+
 def read_raw(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """One of the raw tables, ``<folder>/<table>.csv``."""
     return read_csv(spark, f"{folder.rstrip('/')}/{table}.csv", RAW[table])

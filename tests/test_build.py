@@ -194,6 +194,15 @@ def test_csv_that_does_not_fit_the_schema_is_refused(spark):
         files.read_csv(spark, path, swapped).collect()
 
 
+def test_malformed_rows_are_counted(spark):
+    path = scratch_dir(spark, "bad-csv")
+    rows = [("x", "not a day"), ("y", "2026-01-02"), ("z", None), ("w", "2026-13-01")]
+    spark.createDataFrame(rows, "campaign_id string, event_date string").write.option("header", True).csv(path)
+    schema = spark.createDataFrame([], "campaign_id string, event_date date").schema
+    found = files.malformed_rows(spark, path, schema, "ads")
+    assert [tuple(r) for r in found.collect()] == [("malformed:ads", 4, 2)]
+
+
 def test_existing_table_is_kept_unless_replaced(spark, done):
     path = scratch_dir(spark, "other")
     mart = marts.campaign_daily(build.read_star(spark, done[0])["fact_campaign_daily"]).limit(1)

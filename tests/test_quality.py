@@ -80,3 +80,21 @@ def test_totals_reconcile_finds_a_wrong_mart(frame):
     marts = {"good": frame([(3.0,)], "total_spend_usd double"), "bad": frame([(2.9,)], "spend_usd double")}
     found = {r.check_name: r.n_failed for r in quality.totals_reconcile(fact, marts, ["spend_usd"]).collect()}
     assert found == {"totals:good.spend_usd": 0, "totals:bad.spend_usd": 1}
+
+
+def test_amounts_finer_than_a_unit_are_counted(frame):
+    rows = [(0.00000125,), (0.000000001,), (12.5,), (None,)]
+    assert report(quality.money_on_grid(frame(rows, "c double"), ["c"], "t")) == {"grid:t.c": (4, 1)}
+
+
+def test_orders_are_conversions(frame):
+    cells = frame([(1, 2), (0, 3)], "ad_rows long, orders long")
+    fact = frame([(2,)], "orders long")
+    sold = lambda n: frame([(i,) for i in range(n)], "x int")
+    assert report(quality.orders_are_conversions(fact, cells, sold(5))) == {"orders:conversions": (5, 0)}
+    assert report(quality.orders_are_conversions(fact, cells, sold(7))) == {"orders:conversions": (7, 2)}
+
+
+def test_rows_known_from_elsewhere(frame):
+    one = frame([(4,)], "n long")
+    assert report(quality.row_counts({}, {"ads": 5}, {"ads": one})) == {"rows:ads": (4, 1)}

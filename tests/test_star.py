@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spendlight.operators import marts, periods, reports, star
 from spendlight.operators.keys import with_dense_key
+from spendlight.sources import adapters
 
 D1, D2, D3 = date(2024, 1, 1), date(2024, 1, 2), date(2025, 1, 1)
 
@@ -130,3 +131,24 @@ def test_dense_key_ignores_the_partitioning(spark):
     one = with_dense_key(ids.coalesce(1), "key", "id").collect()
     many = with_dense_key(ids.repartition(13), "key", "id").collect()
     assert sorted(one) == sorted(many)
+
+
+def test_prior_month_is_the_calendar_month_before(frame):
+    rows = [(2024, m, "Meta", 1.0, r, r) for m, r in [(1, 1.0), (2, 1.5), (4, 3.0)]] + [(2025, 1, "Meta", 1.0, 2.0, 2.0)]
+    rows += [(2023, 12, "Google", 1.0, 4.0, 4.0), (2024, 1, "Google", 1.0, 3.0, 3.0)]
+    months = frame(rows, "year int, month int, channel string, spend_usd double, revenue_usd double, roas double")
+    found = {(r.channel, r.year, r.month): (r.prior_roas, r.roas_change) for r in periods.with_prior_month(months).collect()}
+    assert found == {
+        ("Meta", 2024, 1): (None, None), ("Meta", 2024, 2): (1.0, 0.5), ("Meta", 2024, 4): (None, None),
+        ("Meta", 2025, 1): (None, None), ("Google", 2023, 12): (None, None), ("Google", 2024, 1): (4.0, -1.0),
+    }
+
+
+def test_long_campaign_numbers_stay_whole(spark):
+    events = spark.createDataFrame(
+        [(1, datetime(2024, 1, 1), 1, "view", 1.0, f'{{"k": {(n - 1) * 4}}}') for n in (7, 100, 1000)],
+        adapters.SCHEMAS["events"],
+    )
+    found = {r.campaign_id for r in adapters.ad_events_of(events).collect()}
+    assert found == {"camp_ME_007", "camp_ME_100", "camp_ME_1000"}
+    assert found == {r.campaign_id for r in adapters.contributions_of(events).collect()}
