@@ -24,7 +24,9 @@ import oracles  # noqa: E402
 from spendlight.functions import calendar_columns  # noqa: E402
 from spendlight.operators import forecast, marts, periods, quality, reports, star  # noqa: E402
 from spendlight.plans import build, mart_sql  # noqa: E402
-from spendlight.schemas import DIM_CAMPAIGN, DIM_DATE, FACT, FOREIGN_KEYS, PRIMARY_KEYS, RAW, required_columns  # noqa: E402
+from spendlight.schemas import (  # noqa: E402
+    DIM_CAMPAIGN, DIM_DATE, FACT, FOREIGN_KEYS, PRIMARY_KEYS, RAW, required_columns,
+)
 from spendlight.session import scratch_dir  # noqa: E402
 from spendlight.sources import adapters, files  # noqa: E402
 from spendlight.streaming import daily as stream  # noqa: E402
@@ -180,7 +182,9 @@ def masked_user_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = adapters.masked_dimension(spark, sf_dir).select("user_id", "country_code", F.lit(1).alias("known"))
     per_user = adapters.masked_events(spark, sf_dir).groupBy("user_id").agg(F.count("*").alias("n"))
     return per_user.join(places, "user_id", "left").groupBy("country_code").agg(
-        F.sum("n").alias("events"), F.count("*").alias("users"), F.sum(F.expr("if(known is null, n, 0)")).alias("orphans")
+        F.sum("n").alias("events"),
+        F.count("*").alias("users"),
+        F.sum(F.expr("if(known is null, n, 0)")).alias("orphans"),
     )
 
 
@@ -198,8 +202,8 @@ def dq_money_on_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def traffic_by_event_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The test events name no place; the region digit of their user stands for one."""
-    events = adapters.from_events(spark, sf_dir).ad_events.withColumn("geo", F.expr("concat('g', cast(user_id % 5 as string))"))
-    return _plain(periods.traffic_by_geo(events))
+    place = F.expr("concat('g', cast(user_id % 5 as string))")
+    return _plain(periods.traffic_by_geo(adapters.from_events(spark, sf_dir).ad_events.withColumn("geo", place)))
 
 
 def dq_pk_duplicates_b(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,7 +61,8 @@ ev0 AS (
 ev1 AS (
   SELECT *, ['Meta', 'Google', 'TikTok', 'Other'][k % 4 + 1] AS channel,
          'camp_' || upper(substring(['Meta', 'Google', 'TikTok', 'Other'][k % 4 + 1], 1, 2)) || '_'
-           || lpad(CAST(k // 4 + 1 AS VARCHAR), GREATEST(3, length(CAST(k // 4 + 1 AS VARCHAR)))::INTEGER, '0') AS campaign_id
+           || CASE WHEN k // 4 + 1 < 1000 THEN lpad(CAST(k // 4 + 1 AS VARCHAR), 3, '0')
+              ELSE CAST(k // 4 + 1 AS VARCHAR) END AS campaign_id
   FROM ev0
 ),
 span AS (SELECT MIN(d) AS first_day, MAX(d) AS last_day FROM ev0),
@@ -226,7 +227,8 @@ def _ranked(k: int, direction: str) -> str:
     order = f"roas {direction} NULLS LAST, campaign_key"
     return (
         f"SELECT CAST(ROW_NUMBER() OVER (ORDER BY {order}) AS INTEGER) AS rank, campaign_key, campaign_name,"
-        f" channel, campaign_type, roas, {_dbl('total_spend_usd', 'total_revenue_usd')} FROM campaign_mart ORDER BY {order} LIMIT {k}"
+        f" channel, campaign_type, roas, {_dbl('total_spend_usd', 'total_revenue_usd')} FROM campaign_mart"
+        f" ORDER BY {order} LIMIT {k}"
     )
 
 
@@ -277,8 +279,8 @@ def _all(parts: list[str]) -> str:
 
 
 def _least(table: str, least: int) -> str:
-    source = {"ad_events": "ads", "conversions": "conv", "fact_campaign_daily": "fact", "users": "customer"}.get(table, table)
-    return _check(f"rows:{table}", source, "COUNT(*)", f"GREATEST({least} - COUNT(*), 0)")
+    names = {"ad_events": "ads", "conversions": "conv", "fact_campaign_daily": "fact", "users": "customer"}
+    return _check(f"rows:{table}", names.get(table, table), "COUNT(*)", f"GREATEST({least} - COUNT(*), 0)")
 
 
 def _rule(name: str, table: str, broken: str) -> str:

@@ -101,11 +101,13 @@ def daily_cells(contributed: DataFrame, *more: str) -> DataFrame:
     the campaign to keep. Rows without a campaign or day meet nothing: ad events
     and conversions among them stay in cells of their own.
     """
-    counts = [F.expr(f"coalesce(sum({c}), 0) as {c}") for c in ("ad_rows", "impressions", "clicks", "orders", "new_customers")]
+    counted = ("ad_rows", "impressions", "clicks", "orders", "new_customers")
+    counts = [F.expr(f"coalesce(sum({c}), 0) as {c}") for c in counted]
     money = [
         F.coalesce(units_sum(f"{m}_units"), F.lit(0).cast(MONEY_TYPE)).alias(f"{m}_usd") for m in ("spend", "revenue")
     ]
-    return contributed.groupBy("campaign_id", "date", *more, F.expr(f"{APART} as apart")).agg(*counts, *money).drop("apart")
+    cells = contributed.groupBy("campaign_id", "date", *more, F.expr(f"{APART} as apart"))
+    return cells.agg(*counts, *money).drop("apart")
 
 
 def fact_of_cells(cells: DataFrame, dim_campaign: DataFrame, *, on_zero: str = "null") -> DataFrame:

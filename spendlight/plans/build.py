@@ -93,7 +93,8 @@ def write_marts(spark: SparkSession, built: dict[str, DataFrame], folder: str, d
         written = files.read_parquet(spark, path, mart.schema)
         catalog.register_parquet(spark, database, catalog.versioned(name, version), path, mart.schema, partition)
         if name in SMALL_MARTS:
-            files.export_csv(written.orderBy(*[c for c in ("year", "month", "channel") if c in written.columns]), f"{base}/csv/{name}")
+            order = [c for c in ("year", "month", "channel") if c in written.columns]
+            files.export_csv(written.orderBy(*order), f"{base}/csv/{name}")
         else:
             files.write_csv(written, f"{base}/csv/{name}")
 
@@ -140,13 +141,13 @@ def run(
     users, ads, sold = (masked_key(raw[t], salt) for t in ("dim_users", "fact_ad_events", "fact_conversions"))
     kept = None
     if dates:
-        inside = lambda df, day: df.where(F.col(day).between(F.lit(dates[0]).cast("date"), F.lit(dates[1]).cast("date")))
-        ads, sold = inside(ads, "event_date"), inside(sold, "conversion_date")
+        first, last = (F.lit(d).cast("date") for d in dates)
+        ads = ads.where(F.col("event_date").between(first, last))
+        sold = sold.where(F.col("conversion_date").between(first, last))
         if published(spark, database):
             old = spark.table(f"`{database}`.`fact_campaign_daily`")
             names = spark.table(f"`{database}`.`dim_campaign`").select("campaign_key", "campaign_id")
-            outside = old.where(~F.col("date").between(F.lit(dates[0]).cast("date"), F.lit(dates[1]).cast("date")))
-            kept = outside.join(names, "campaign_key", "left")
+            kept = old.where(~F.col("date").between(first, last)).join(names, "campaign_key", "left")
     tables = write_star(ads, sold, raw["dim_campaigns"], raw["dim_time"].select("date_id"), folder, users, kept)
     register_star(spark, database, folder, version)
     users_table = catalog.versioned("dim_users", version)
@@ -155,7 +156,8 @@ def run(
     write_marts(spark, built, folder, database, version)
     for name in ["dim_users", *STAR, *built]:
         catalog.publish(spark, database, name, version)
-    return check_star(tables).unionByName(quality.masked_ids(files.read_parquet(spark, f"{folder}/dim_users", RAW["dim_users"])))
+    masked = files.read_parquet(spark, f"{folder}/dim_users", RAW["dim_users"])
+    return check_star(tables).unionByName(quality.masked_ids(masked))
 
 
 def run_sql_marts(spark: SparkSession, database: str, output: str) -> None:

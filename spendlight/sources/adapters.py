@@ -266,15 +266,18 @@ def _supplier_campaigns(supplier: DataFrame, nation: DataFrame, region: DataFram
     )
 
 
+def _suppliers_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _supplier_campaigns(*(table(spark, sf_dir, t) for t in ("supplier", "nation", "region")))
+
+
 def from_lineitem(spark: SparkSession, sf_dir: str) -> RawTables:
     lines = table(spark, sf_dir, "lineitem")
     span = lambda: lines.selectExpr(
         "min(cast(l_shipdate as date)) as first_day", "max(cast(l_shipdate as date)) as last_day"
     )
-    campaigns = lambda: _supplier_campaigns(*(table(spark, sf_dir, t) for t in ("supplier", "nation", "region")))
     return RawTables(
         sf_dir,
-        campaigns=lambda: _with_span(campaigns(), span()),
+        campaigns=lambda: _with_span(_suppliers_of(spark, sf_dir), span()),
         ad_events=lambda: _ad_lines(lines),
         conversions=lambda: _conversion_lines(lines),
         span=span,
@@ -287,10 +290,9 @@ def from_stored_lineitem(spark: SparkSession, sf_dir: str) -> RawTables:
     lines = table(spark, sf_dir, "lineitem")
     cells = _stored(daily_cells(_line_contributions(lines)))
     span = cells.selectExpr("min(date) as first_day", "max(date) as last_day")
-    campaigns = lambda: _supplier_campaigns(*(table(spark, sf_dir, t) for t in ("supplier", "nation", "region")))
     return RawTables(
         sf_dir,
-        campaigns=lambda: _with_span(campaigns(), span),
+        campaigns=lambda: _with_span(_suppliers_of(spark, sf_dir), span),
         ad_events=lambda: _ad_lines(lines),
         conversions=lambda: _conversion_lines(lines),
         span=lambda: span,

@@ -44,7 +44,8 @@ def publish(spark: SparkSession, database: str, table: str, version: str) -> Non
     The switch is one statement of the catalog: readers see the old rows or the
     new ones, and a query that has begun goes on over the old files.
     """
-    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{table}` AS SELECT * FROM `{database}`.`{versioned(table, version)}`")
+    source = f"`{database}`.`{versioned(table, version)}`"
+    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{table}` AS SELECT * FROM {source}")
 
 
 def versioned(table: str, version: str) -> str:

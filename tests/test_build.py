@@ -6,6 +6,7 @@ import pytest
 from conftest import plan_of
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from spendlight.functions import masked_key
 from spendlight.operators import marts, periods
@@ -106,7 +107,8 @@ def test_masked_users_join_masked_events(spark, done):
     assert ads.join(users, "user_id", "left_anti").count() == 0
     places = {r.geo: r.orders for r in periods.roas_by_geo(ads, sold, users).collect()}
     assert places == {"US": sum(n % 7 % 2 == 0 for n in range(40)), "DE": sum(n % 7 % 2 for n in range(40))}
-    assert [tuple(r) for r in periods.traffic_by_geo(ads).select("geo", "impressions", "clicks").collect()] == [("US", 266, 134)]
+    traffic = periods.traffic_by_geo(ads).select("geo", "impressions", "clicks")
+    assert [tuple(r) for r in traffic.collect()] == [("US", 266, 134)]
 
 
 def test_a_failed_run_leaves_the_published_tables(spark, monkeypatch):
@@ -134,17 +136,20 @@ def test_a_failed_run_leaves_the_published_tables(spark, monkeypatch):
 def test_a_run_over_some_dates_takes_the_others_over(spark):
     output, rows = scratch_dir(spark, "out"), raw_rows()
     build.run(spark, write_raw(spark, rows), output, "spendlight_dates", version="v1")
-    old = {r.date: r.s for r in spark.table("spendlight_dates.fact_campaign_daily").groupBy("date").agg({"clicks": "sum"}).withColumnRenamed("sum(clicks)", "s").collect()}
+    clicks = lambda df: {r.date: r.n for r in df.groupBy("date").agg(F.sum("clicks").alias("n")).collect()}
+    old = clicks(spark.table("spendlight_dates.fact_campaign_daily"))
     late = ("ev_late", DAYS[3], "camp_3", "Google", "click", "u1", "mobile", "US", 1.0, 0.0, 0)
     # A new campaign sorts first and so moves every key.
-    rows["dim_campaigns"].append(("camp_", "Campaign x", "adv_001", "Meta", "performance", "active", FIRST, DAYS[-1], 500))
+    first = ("camp_", "Campaign x", "adv_001", "Meta", "performance", "active", FIRST, DAYS[-1], 500)
+    rows["dim_campaigns"].append(first)
     rows["fact_ad_events"] = [r for r in rows["fact_ad_events"] if r[1] == DAYS[3]] + [late]
-    report = build.run(spark, write_raw(spark, rows), output, "spendlight_dates", dates=("2026-01-04", "2026-01-04"), version="v2")
+    day = ("2026-01-04", "2026-01-04")
+    report = build.run(spark, write_raw(spark, rows), output, "spendlight_dates", dates=day, version="v2")
     assert [r for r in report.collect() if r.n_failed] == []
     fact = spark.table("spendlight_dates.fact_campaign_daily")
-    new = {r.date: r.s for r in fact.groupBy("date").agg({"clicks": "sum"}).withColumnRenamed("sum(clicks)", "s").collect()}
-    assert new == old | {DAYS[3]: old[DAYS[3]] + 1}
-    named = fact.join(spark.table("spendlight_dates.dim_campaign").select("campaign_key", "campaign_id"), "campaign_key")
+    assert clicks(fact) == old | {DAYS[3]: old[DAYS[3]] + 1}
+    names = spark.table("spendlight_dates.dim_campaign").select("campaign_key", "campaign_id")
+    named = fact.join(names, "campaign_key")
     assert named.select("campaign_id").distinct().count() == 4 and named.count() == fact.count()
 
 

@@ -134,10 +134,12 @@ def test_dense_key_ignores_the_partitioning(spark):
 
 
 def test_prior_month_is_the_calendar_month_before(frame):
-    rows = [(2024, m, "Meta", 1.0, r, r) for m, r in [(1, 1.0), (2, 1.5), (4, 3.0)]] + [(2025, 1, "Meta", 1.0, 2.0, 2.0)]
+    rows = [(2024, m, "Meta", 1.0, r, r) for m, r in [(1, 1.0), (2, 1.5), (4, 3.0)]]
+    rows += [(2025, 1, "Meta", 1.0, 2.0, 2.0)]
     rows += [(2023, 12, "Google", 1.0, 4.0, 4.0), (2024, 1, "Google", 1.0, 3.0, 3.0)]
     months = frame(rows, "year int, month int, channel string, spend_usd double, revenue_usd double, roas double")
-    found = {(r.channel, r.year, r.month): (r.prior_roas, r.roas_change) for r in periods.with_prior_month(months).collect()}
+    prior = periods.with_prior_month(months).collect()
+    found = {(r.channel, r.year, r.month): (r.prior_roas, r.roas_change) for r in prior}
     assert found == {
         ("Meta", 2024, 1): (None, None), ("Meta", 2024, 2): (1.0, 0.5), ("Meta", 2024, 4): (None, None),
         ("Meta", 2025, 1): (None, None), ("Google", 2023, 12): (None, None), ("Google", 2024, 1): (4.0, -1.0),
