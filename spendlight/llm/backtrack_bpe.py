@@ -200,6 +200,10 @@ def round_trip_digests(encoded: DataFrame, ranks: str) -> DataFrame:
     return _mapped(
         encoded,
         ranks,
-        {"n_tokens": (pa.int64(), "long"), "ids_sha256": (pa.string(), "string"), "decoded_sha256": (pa.string(), "string")},
+        {
+            "n_tokens": (pa.int64(), "long"),
+            "ids_sha256": (pa.string(), "string"),
+            "decoded_sha256": (pa.string(), "string"),
+        },
         lambda e, ids: (len(ids), hexed(ids.astype("<u4").tobytes()), hexed(e.decode(ids))),
     )

@@ -48,7 +48,7 @@ def _directions(nodes: DataFrame, dims: int) -> dict[int, np.ndarray]:
 
 
 def _placed(nodes: DataFrame, eps: float, dims: int) -> DataFrame:
-    """Add the grid cells of a vector's direction in the leading dimensions, as cell0, cell1, .. and its place at0, at1, .."""
+    """Add a vector's place in the leading dimensions (at0, at1, ..) and the grid cell of it (cell0, cell1, ..)."""
     directions = nodes.sparkSession.sparkContext.broadcast(_directions(nodes, dims))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +92,8 @@ def _leaves(placed: DataFrame, dims: int) -> DataFrame:
             first, vectors = held[0], np.array([r["vector"] for r in held], np.float64)
             values = [part << 32 | made, first["label"], first["length"], *points.min(axis=0), *points.max(axis=0)]
             lists = [[r["node"] for r in held], [r["copies"] for r in held]]
-            columns = [*[pa.array([v], kinds.get(n)) for n, v in zip(names, values)], *[pa.array([x], pa.list_(pa.int64())) for x in lists]]
+            columns = [pa.array([v], kinds.get(n)) for n, v in zip(names, values)]
+            columns += [pa.array([x], pa.list_(pa.int64())) for x in lists]
             return pa.RecordBatch.from_arrays([*columns, pa.array([vectors.tobytes()], pa.binary())], names=names)
 
         for batch in batches:
@@ -187,7 +188,10 @@ def _joined(pairs: DataFrame, leaves: DataFrame, threshold: float) -> DataFrame:
     are between them.
     """
     payload = ["nodes", "copies", "vectors", "length"]
-    side = lambda key, p: leaves.select(F.col("leaf").alias(key), *[F.col(c).alias(f"{p}_{c}") for c in payload])
+
+    def side(key: str, p: str) -> DataFrame:
+        return leaves.select(F.col("leaf").alias(key), *[F.col(c).alias(f"{p}_{c}") for c in payload])
+
     both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +302,8 @@ def oracle(threshold: float = 0.98) -> str:
     ), reach(x, y) as (
         select x, y from links union select reach.x, links.y from reach join links on reach.y = links.x
     ), counted as (select x as r, count(*) as n from links group by x),
-    least as (select x as r, min(vec_id) as m from (select x, y from reach union select r, r from v) join v on v.r = y group by x)
+    near as (select x, y from reach union select r, r from v),
+    least as (select x as r, min(vec_id) as m from near join v on v.r = y group by x)
     select vec_id, coalesce(n, 0)::bigint as n_links, m as component_id, vec_id is not distinct from m as kept
     from v left join counted using (r) join least using (r)
     """

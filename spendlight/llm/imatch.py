@@ -106,7 +106,8 @@ def with_next(rows: DataFrame, docs: DataFrame, carried: list[str]) -> DataFrame
         return rows.withColumns({f"next_{c}": F.col(c) for c in carried})
     before = [(first, found[i - 1][0], i == 0) for i, (_, first) in enumerate(found)]
     guards = rows.sparkSession.createDataFrame(before, "_first long, _guards int, _wraps boolean")
-    placed = rows.withColumn("_slice", slice_of).join(F.broadcast(guards), F.col("doc_id").eqNullSafe(F.col("_first")), "left")
+    is_first = F.col("doc_id").eqNullSafe(F.col("_first"))
+    placed = rows.withColumn("_slice", slice_of).join(F.broadcast(guards), is_first, "left")
     as_is = F.struct(F.col("_slice").cast("int").alias("slice"), F.lit(0).alias("guard"))
     ahead = F.struct(F.col("_guards").alias("slice"), F.lit(1).alias("guard"))
     spots = F.when(F.col("_guards").isNull(), F.array(as_is)).otherwise(F.array(as_is, ahead))
@@ -150,7 +151,7 @@ def fingerprints(
 
 def oracle(band: tuple[float, float] = DF_BAND, subsets: int = SUBSETS, keep: int = KEEP) -> str:
     """The same fingerprints as DuckDB SQL."""
-    terms = lambda t: rf"list_filter(list_distinct(regexp_split_to_array(lower({t}), '[^\p{{L}}\p{{N}}]+')), lambda t: t <> '')"
+    words = r"list_distinct(regexp_split_to_array(lower(t), '[^\p{L}\p{N}]+'))"
     like = lambda a, b: (
         f"len(list_filter(range(1, {subsets + 1}), lambda k: {a}[k] = {b}[k] and {a}[k] <> ''))::double"
         f" / len(list_filter(range(1, {subsets + 1}), lambda k: {a}[k] <> '' or {b}[k] <> ''))"
@@ -161,14 +162,16 @@ def oracle(band: tuple[float, float] = DF_BAND, subsets: int = SUBSETS, keep: in
                doc_id, coalesce(text, '') as text from documents
     ), paired as (
         select a.*, length(a.text) as n_chars, b.r as next_r,
-               substr(a.text, 1, (length(a.text) - length(a.text) // 4)::int) || substr(b.text, 1, (length(a.text) // 4)::int) as edited
+               substr(a.text, 1, (length(a.text) - length(a.text) // 4)::int)
+               || substr(b.text, 1, (length(a.text) // 4)::int) as edited
         from base a join base b on b.r = a.r % a.n + 1
     ), texts as (
         select r, 0 as kind, text as t from base union all select r, 1, edited from paired
-    ), termed as (select r, kind, t, {terms('t')} as terms from texts),
+    ), termed as (select r, kind, t, list_filter({words}, lambda w: w <> '') as terms from texts),
     frequent as (
         select term from (select unnest(terms) as term from termed where kind = 0) group by term
-        having count(*) between (select count(*) from base) * {band[0]}::double and (select count(*) from base) * {band[1]}::double
+        having count(*) between (select count(*) from base) * {band[0]}::double
+               and (select count(*) from base) * {band[1]}::double
     ), inside as (
         select r, kind, list_sort(list(term)) as lex from (select r, kind, unnest(terms) as term from termed)
         semi join frequent using (term) group by r, kind
@@ -178,7 +181,8 @@ def oracle(band: tuple[float, float] = DF_BAND, subsets: int = SUBSETS, keep: in
         from termed left join inside using (r, kind)
     ), signed as (
         select r, kind, case when len(flatten(kept)) > 0
-            then list_transform(kept, lambda s: case when len(s) > 0 then substr(md5(array_to_string(s, ' ')), 1, 16) else '' end)
+            then list_transform(kept, lambda s:
+                case when len(s) > 0 then substr(md5(array_to_string(s, ' ')), 1, 16) else '' end)
             else list_transform(range(0, {subsets}), lambda k: substr(md5(case when len(terms) > 0
                 then array_to_string(list_sort(terms), ' ') else t end), 1, 16)) end as sig
         from hashed

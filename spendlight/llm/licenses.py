@@ -175,17 +175,20 @@ def oracle(threshold: float = 0.8) -> str:
 ')
         union all select r, t from flat where contains(t, chr(10))
     ), worded as (
-        select row_number() over () as k, r, list_filter(string_split(replace(u, chr(10), ' '), ' '), lambda w: w <> '') as w from units
+        select row_number() over () as k, r,
+               list_filter(string_split(replace(u, chr(10), ' '), ' '), lambda w: w <> '') as w from units
     ), grammed as (
         select k, r, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as g from worded
     ), hits as (
         select k, r, name, len(list_intersect(g, grams)) * 2.0::double / (len(g) + len(grams)) as dice
         from grammed join templates on len(g) between least and most
     ), best as (
-        select r, arg_min(name, struct_pack(d := -dice, n := name)) as license, max(dice) as dice, count(distinct k) as n_hits,
+        select r, arg_min(name, struct_pack(d := -dice, n := name)) as license, max(dice) as dice,
+               count(distinct k) as n_hits,
                array_to_string(list_sort(list_distinct(list(name))), ',') as licenses
         from hits where dice >= {threshold} group by r
     )
-    select doc_id, license, coalesce(dice, 0.0::double) as dice, coalesce(n_hits, 0)::bigint as n_hits, coalesce(licenses, '') as licenses
+    select doc_id, license, coalesce(dice, 0.0::double) as dice, coalesce(n_hits, 0)::bigint as n_hits,
+           coalesce(licenses, '') as licenses
     from flat left join best using (r)
     """.replace("\\", "\\"[0])

@@ -96,8 +96,9 @@ def systematic_copies(
     # A group's offset: 24 bits of a digest, so that a rerun draws the same one.
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), "_group")), 1, UNIT_BITS // 4), 16, 10).cast("long")
     tie = ", ".join([rank_hash, *[c for c in ("_id", "_size") if c in df.columns]])
+    running = f"sum({expected_units}) over (partition by {keys} order by {tie} rows unbounded preceding)"
     counted = (
-        sliced.withColumn("_end", F.expr(f"sum({expected_units}) over (partition by {keys} order by {tie} rows unbounded preceding)"))
+        sliced.withColumn("_end", F.expr(running))
         .join(starts, slice_key)
         .withColumn("_end", F.col("_end") + F.col("_start") + offset)
     )
@@ -118,14 +119,14 @@ def mix(df: DataFrame, sizes: DataFrame, seed: str = "mix", most: int = MOST) ->
     targets = source_targets(sizes, most=most).withColumnsRenamed({"source": "_source"})
     rows = sizes.count()
     shift = F.greatest(F.length(F.bin("_size")) - 4, F.lit(0))
-    step = F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0) * 2**UNIT_BITS)
+    expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     # The table of sources may be of any length: it is joined, never broadcast by hint.
     with_units = (
         df.join(targets, F.col("source").eqNullSafe(F.col("_source")), "left")
         .drop("_source")
         .withColumns(
             {
-                "_units": step.cast("long"),
+                "_units": F.floor(expected * 2**UNIT_BITS).cast("long"),
                 "_bin": shift * 16 + F.expr("shiftright(_size, greatest(length(bin(_size)) - 4, 0))"),
                 "_hash": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("_id").cast("string"), F.lit("")))),
             }
@@ -170,9 +171,11 @@ def oracle() -> str:
     """The same mix as DuckDB SQL."""
     return r"""
     with sized as (
-        select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size from documents
+        select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size
+        from documents
     ), totals as (
-        select source, sum(size)::bigint as source_size, row_number() over (order by source is null, source collate "C") as rn
+        select source, sum(size)::bigint as source_size,
+               row_number() over (order by source is null, source collate "C") as rn
         from sized group by source
     ), weighed as (
         select source, source_size, case (rn - 1) % 3 when 0 then 5 when 1 then 2 else 1 end as weight from totals
@@ -196,10 +199,11 @@ def oracle() -> str:
                case when t.source_size > 0 then floor(t.target / t.source_size * 16777216)::bigint else 0 end as units,
                greatest(length(bin(s.size)) - 4, 0) * 16 + (s.size >> greatest(length(bin(s.size)) - 4, 0)) as size_bin,
                md5('mix:' || coalesce(s.doc_id::varchar, '')) as h,
-               ('0x' || substr(md5('mix/' || case when s.source is null then '1' else '0' || s.source end), 1, 6))::bigint as shift
+               md5('mix/' || case when s.source is null then '1' else '0' || s.source end) as source_hash
         from sized s join targets t on s.source is not distinct from t.source
     ), summed as (
-        select *, shift + sum(units) over (partition by source order by size_bin, h, doc_id, size rows unbounded preceding) as upto
+        select *, ('0x' || substr(source_hash, 1, 6))::bigint
+               + sum(units) over (partition by source order by size_bin, h, doc_id, size rows unbounded preceding) as upto
         from placed
     )
     select doc_id, size, source_size, target, (size * copies)::bigint as taken, copies

@@ -80,7 +80,8 @@ def signatures(texts: list[str]) -> np.ndarray:
         live, now = live[on], now[on]
         if not len(live):
             break
-        at = of[live] * REGISTERS + ((register[live] + stride[live] * np.uint64(k)) % np.uint64(REGISTERS)).astype(np.int64)
+        hit = (register[live] + stride[live] * np.uint64(k)) % np.uint64(REGISTERS)
+        at = of[live] * REGISTERS + hit.astype(np.int64)
         np.minimum.at(times, at, now)
         won = now == times[at]
         winners[at[won]] = hashes[live[won]]
@@ -212,7 +213,9 @@ def _joined_groups(members: DataFrame, texts: DataFrame) -> DataFrame:
     )
     packed = stored(packed, "blocks")
     partners = F.sequence(F.greatest("block", "main_blocks"), F.col("main_blocks") + F.col("rest_blocks") - 1)
-    left = packed.select("bucket", "band", F.col("block").alias("own"), F.col("texts").alias("left"), F.explode(partners).alias("block"))
+    left = packed.select(
+        "bucket", "band", F.col("block").alias("own"), F.col("texts").alias("left"), F.explode(partners).alias("block")
+    )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,16 +283,14 @@ def text_classes(docs: DataFrame) -> DataFrame:
     between the groups are compared by signature, in blocks, and verified there.
     """
     rows = _rows(docs)
-    sketches = _sketched(rows.withColumn("row", F.monotonically_increasing_id()).select("id", "k1", "k2", "row", "text"))
-    scanned = stored(sketches, "sketches")
+    numbered = rows.withColumn("row", F.monotonically_increasing_id()).select("id", "k1", "k2", "row", "text")
+    scanned = stored(_sketched(numbered), "sketches")
     # The first document of a text: the smallest id, null ids last.
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
-    nodes = stored(
-        scanned.groupBy("k1", "k2").agg(first.alias("first")).select("k1", "k2", "first.id", F.col("first.row").alias("node")),
-        "texts",
-    )
-    bands = scanned.select(F.col("row").alias("node"), F.posexplode("bands").alias("band", "bucket")).join(nodes.select("node"), "node")
-    bands = stored(bands, "bands")
+    firsts = scanned.groupBy("k1", "k2").agg(first.alias("first"))
+    nodes = stored(firsts.select("k1", "k2", "first.id", F.col("first.row").alias("node")), "texts")
+    every_band = scanned.select(F.col("row").alias("node"), F.posexplode("bands").alias("band", "bucket"))
+    bands = stored(every_band.join(nodes.select("node"), "node"), "bands")
     shared = bands.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("center")).where("size > 1")
     members = stored(bands.join(shared, "bucket"), "buckets")
 
@@ -309,14 +310,16 @@ def text_classes(docs: DataFrame) -> DataFrame:
 
     large = members.where(f"size > {SMALL}").join(groups, "node", "left")
     large = large.withColumn("component", F.coalesce("component", "node"))
-    split = large.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    open_members = stored(large.join(split.select("bucket"), "bucket").select("bucket", "band", "node", "component"), "open")
+    ends = large.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    split = large.join(ends.where("low <> high").select("bucket"), "bucket")
+    open_members = stored(split.select("bucket", "band", "node", "component"), "open")
     if not open_members.isEmpty():
         more = _joined_groups(open_members, texts)
         groups = components(stored(links.unionByName(more), "all-links"))
 
     placed = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    best = placed.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("best"))
+    smallest = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node"))
+    best = placed.groupBy("component").agg(smallest.alias("best"))
     return placed.join(best, "component").select(
         "k1", "k2", "id", F.col("best.id").alias("class_id"), (F.col("best.node") == F.col("node")).alias("keeper")
     )
@@ -335,7 +338,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = stored(text_classes(docs), "classes").withColumnRenamed("id", "first_id")
     # Copies of a text meet its class; the one that stays is the first of those that have the smallest id.
     stays = rows.groupBy("k1", "k2", "id").agg(F.min("row").alias("stay"))
-    stays = stays.join(classes.where("keeper"), ["k1", "k2"]).where(F.col("id").eqNullSafe(F.col("first_id"))).select("stay")
+    stays = stays.join(classes.where("keeper"), ["k1", "k2"])
+    stays = stays.where(F.col("id").eqNullSafe(F.col("first_id"))).select("stay")
     found = (
         rows.join(classes.select("k1", "k2", "class_id"), ["k1", "k2"])
         .join(stays, F.col("row") == F.col("stay"), "left")

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlight.llm import backtrack_bpe, grid_order, huffman, imatch, licenses, mixing, probminhash, secret_scan, token_counts, toxicity
+from spendlight.llm import (
+    backtrack_bpe, grid_order, huffman, imatch, licenses, mixing, probminhash, secret_scan, token_counts, toxicity,
+)
 from spendlight.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -16,9 +16,10 @@ from pyspark.sql import types as T
 from spendlight.llm.pretokens import texts_of
 from spendlight.llm.store import stored
 
-#: The kinds of candidates, in the order of their spans. The group is the secret itself, of the least length.
+#: The kinds of candidates in the order of their spans. The group is the secret, of the least length.
+ASSIGNED = r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 KINDS = [
-    ("assign", re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 12),
+    ("assign", re.compile(ASSIGNED, re.I | re.A), 12),
     ("access", re.compile(r"(AKIA[A-Z0-9]+)"), 18),
     ("hex", re.compile(r"([0-9a-f]{16,})"), 16),
     ("format", re.compile(r"((?:gh[pousr]_|glpat-|xox[abprs]-|sk_live_|AIza|eyJ)[A-Za-z0-9_.-]+)"), 20),
@@ -32,7 +33,9 @@ LIVE_BITS = 2.5
 #: The same for a string that only its look makes a candidate.
 BARE_BITS = 3.8
 
-PLACEHOLDER = re.compile(r"example|sample|dummy|changeme|placeholder|redacted|your|xxxx|\*\*\*\*|0123|1234567|abcdef|(.)\1{5}", re.I | re.A)
+PLACEHOLDER = re.compile(
+    r"example|sample|dummy|changeme|placeholder|redacted|your|xxxx|\*\*\*\*|0123|1234567|abcdef|(.)\1{5}", re.I | re.A
+)
 HIDDEN = "[REDACTED]"
 
 SPANS = T.StructType().add(
@@ -74,9 +77,8 @@ def candidates(text: str) -> list[dict]:
             if kind >= BASE and any(a < m.end() and m.start() < b for a, b in before):
                 continue
             entropy = bits(value)
-            if kind == len(KINDS) - 1 and not (
-                entropy >= BARE_BITS and re.search("[0-9]", value) and re.search("[a-z]", value) and re.search("[A-Z]", value)
-            ):
+            mixed = all(re.search(p, value) for p in ("[0-9]", "[a-z]", "[A-Z]"))
+            if kind == len(KINDS) - 1 and not (entropy >= BARE_BITS and mixed):
                 continue
             live = entropy >= LIVE_BITS and not PLACEHOLDER.search(value)
             digest = xxhash.xxh3_128_hexdigest(value)
@@ -128,12 +130,14 @@ def judged(rows: DataFrame, owner: str, repository: str, wide: int = WIDE_OWNERS
     A value that very many rows hold makes one large key of the join, which
     Spark splits; nothing is broadcast by hint.
     """
-    spans = rows.select("_row", F.col(owner).alias("owner"), F.col(repository).alias("repository"), F.explode("_spans").alias("s"))
+    held_by = [F.col(owner).alias("owner"), F.col(repository).alias("repository")]
+    spans = rows.select("_row", *held_by, F.explode("_spans").alias("s"))
     held = ownership(spans.select("s.digest", "owner", "repository"))
     wide_ones = held.where(F.col("owners") >= wide).select("digest", F.lit(True).alias("_copied"))
     flat = spans.select("_row", "s.kind", "s.start", "s.end", "s.digest", "s.live")
     verdicts = flat.join(wide_ones, "digest", "left").withColumn("copied", F.coalesce("_copied", F.lit(False)))
-    verdicts = verdicts.withColumn("live", F.col("live") & ~F.col("copied")).where((F.col("kind") < BASE) | F.col("live"))
+    verdicts = verdicts.withColumn("live", F.col("live") & ~F.col("copied"))
+    verdicts = verdicts.where((F.col("kind") < BASE) | F.col("live"))
     span = F.struct("start", "kind", "end", "live", "copied")
     return verdicts.groupBy("_row").agg(F.array_sort(F.collect_list(span)).alias("_judged"))
 
@@ -146,12 +150,16 @@ def secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
     an empty list is an empty text. Ids may be null or repeat, equal rows are
     judged alike. Only doc_id, text and the two ownership columns are read.
     """
-    wanted = docs.select(F.col("doc_id").alias("_id"), "text", F.col(owner).alias("_owner"), F.col(repository).alias("_repo"))
+    held_by = [F.col(owner).alias("_owner"), F.col(repository).alias("_repo")]
+    wanted = docs.select(F.col("doc_id").alias("_id"), "text", *held_by)
     rows = scanned(wanted, "text", keep_text=False)
-    found = rows.select("_row", "_id").join(judged(rows.where(F.size("_spans") > 0), "_owner", "_repo", wide), "_row", "left")
-    spans = F.coalesce("_judged", F.array().cast("array<struct<start: int, kind: int, end: int, live: boolean, copied: boolean>>"))
+    verdicts = judged(rows.where(F.size("_spans") > 0), "_owner", "_repo", wide)
+    found = rows.select("_row", "_id").join(verdicts, "_row", "left")
+    nothing = F.array().cast("array<struct<start: int, kind: int, end: int, live: boolean, copied: boolean>>")
+    spans = F.coalesce("_judged", nothing)
     name = lambda s: F.element_at(F.array(*[F.lit(k[0]) for k in KINDS]), s["kind"] + 1)
-    written = lambda xs: F.array_join(F.transform(xs, lambda s: F.concat_ws(":", name(s), s["start"], s["end"])), ",")
+    one = lambda s: F.concat_ws(":", name(s), s["start"], s["end"])
+    written = lambda xs: F.array_join(F.transform(xs, one), ",")
     of = lambda test: F.size(F.filter("_all", test)).cast("long")
     is_kind = lambda k: lambda s: s["kind"] == k
     return found.withColumn("_all", spans).select(

@@ -27,7 +27,10 @@ def id_slices(docs: DataFrame) -> tuple[Column, int]:
         cuts = sorted(set(docs.agg(F.percentile_approx("doc_id", shares, 10 * slices)).first()[0] or []))
     wide = max(1, math.isqrt(len(cuts)))
     blocks = [cuts[i : i + wide] for i in range(0, len(cuts), wide)]
-    longs = lambda xs: f"array({', '.join(f'{x}L' for x in xs)})" if xs else "cast(array() as array<bigint>)"
+
+    def longs(xs: list[int]) -> str:
+        return f"array({', '.join(f'{x}L' for x in xs)})" if xs else "cast(array() as array<bigint>)"
+
     heads, fine = longs([b[0] for b in blocks]), f"array({', '.join(map(longs, blocks)) or longs([])})"
     block = f"size(filter({heads}, c -> c <= d))"
     expr = (

@@ -2,7 +2,9 @@
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Extra columns named like the operators' own.
-CLASHING = ["size", "score", "node", "row", "_row", "_id", "ids", "k1", "k2", "id", "slice", "bands", "_spans", "copies", "a", "b"]
+CLASHING = (
+    "size score node row _row _id ids k1 k2 id slice bands _spans copies a b label target source_size _size sig"
+).split()
 LONG = " ".join(f"word{i % 977}" for i in range(30_000))
 
 

@@ -31,8 +31,8 @@ def test_slices_stand_in_the_order_of_ids(spark, monkeypatch):
     ids = [((i * 37) % 501 - 100,) for i in range(501)] + [(None,), (5,), (5,)]
     docs = spark.createDataFrame(ids, "doc_id long")
     cut, n = id_slices(docs)
-    found = sorted(((r.doc_id is None, r.doc_id, r.s) for r in docs.withColumn("s", cut).collect()), key=lambda r: (r[0], r[1] or 0))
-    slices = [s for _, _, s in found]
+    rows = docs.withColumn("s", cut).collect()
+    slices = [r.s for r in sorted(rows, key=lambda r: (r.doc_id is None, r.doc_id or 0))]
     assert slices == sorted(slices) and max(slices) == n - 1 and len(set(slices)) > 30
 
 
@@ -40,7 +40,8 @@ def test_equal_texts_have_equal_fingerprints(spark):
     common = [f"shared{i}" for i in range(40)]
     rows = [(i, " ".join(w for j, w in enumerate(common) if (i + j) % 12 == 0) + f" own{i}") for i in range(120)]
     rows += [(1000, rows[3][1]), (1001, rows[3][1].upper())]
-    found = {r.doc_id: r for r in imatch.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in imatch.fingerprints(docs).collect()}
     assert found[3].fingerprint == found[1000].fingerprint == found[1001].fingerprint
     assert len({r.fingerprint for r in found.values()}) > 5
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in found.values())

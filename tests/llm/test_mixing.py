@@ -21,7 +21,8 @@ def filled(sizes, weights, most=3):
 @pytest.mark.parametrize("sizes", [[100, 1, 1, 50, 3], [10, 10, 10], [1, 1000, 1, 1, 1, 1, 1000], [5], [0, 7, 0]])
 def test_targets(spark, sizes):
     rows = [(f"s{i}", n) for i, n in enumerate(sizes)]
-    found = {r.source: r.target for r in mixing.source_targets(spark.createDataFrame(rows, "source string, size long")).collect()}
+    table = spark.createDataFrame(rows, "source string, size long")
+    found = {r.source: r.target for r in mixing.source_targets(table).collect()}
     expected = filled(sizes, [(5, 2, 1)[i % 3] for i in range(len(sizes))])
     assert [found[f"s{i}"] for i in range(len(sizes))] == pytest.approx(expected)
 

@@ -6,18 +6,20 @@ from shared import clashing_documents, no_documents, odd_documents, rows_of
 from spendlight.llm import secret_scan
 
 OWN, COPIED = "q8Zr2Lm9Xc4Vb7Nt", "h3Kp6Wd1Sg5Fj0Ya"
+KEYWORD = "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|(?i:passwd|secret|token|api_?key))"
 SCHEMA = "doc_id long, text string, source string"
 
 
 def base_spans(text):
     kinds = [
-        ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|(?i:passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2),
+        ("assign", KEYWORD + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2),
         ("access", "AKIA[A-Z0-9]+", 18, 0),
         ("hex", "[0-9a-f]+", 16, 0),
     ]
     found = []
     for k, (name, pattern, least, group) in enumerate(kinds):
-        found += [(m.start(), k, f"{name}:{m.start()}:{m.end()}") for m in re.finditer(pattern, text) if len(m[group]) >= least]
+        matches = [m for m in re.finditer(pattern, text) if len(m[group]) >= least]
+        found += [(m.start(), k, f"{name}:{m.start()}:{m.end()}") for m in matches]
     return [s for _, _, s in sorted(found)]
 
 

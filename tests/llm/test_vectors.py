@@ -76,6 +76,7 @@ def test_odd_vectors(spark):
     found = rows_of(grid_order.near_vectors(docs))
     expected = [(*r[:3], r[0] == r[2]) for r in brute([r for r in rows])]
     assert found == sorted(expected, key=repr)
-    clashing = docs.withColumns({c: F.lit("x") for c in ["id", "k1", "node", "vector", "links", "length", "a", "b", "leaf"]})
+    extra = ["id", "k1", "node", "vector", "links", "length", "a", "b", "leaf", "component", "copies", "least"]
+    clashing = docs.withColumns({c: F.lit("x") for c in extra})
     assert rows_of(grid_order.near_vectors(clashing)) == found
     assert grid_order.near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
