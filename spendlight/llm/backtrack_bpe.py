@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 
 from spendlight.llm.pretokens import NEVER, Memo, Splitter, merged, read_ranks, texts_of, unicode_patterns
 
-#: Token pairs whose compatibility a worker remembers.
-KEPT_PAIRS = 1_000_000
+#: Pieces of each of two generations, and token pairs whose compatibility a worker remembers.
+KEPT_PIECES = 250_000
+KEPT_PAIRS = 300_000
 
 
 class Encoder:
@@ -40,7 +41,7 @@ class Encoder:
         self.automaton.make_automaton()
         self.prefix: dict[int, int] = {}
         self.fits: dict[int, bool] = {}
-        self.memo = Memo(lambda piece: np.array(self.encode_piece(piece.encode()), "<u4").tobytes())
+        self.memo = Memo(lambda piece: np.array(self.encode_piece(piece.encode()), "<u4").tobytes(), kept=KEPT_PIECES)
         self.pieces = Splitter(patterns or unicode_patterns()).pieces
 
     def merge(self, piece: bytes) -> list[int]:

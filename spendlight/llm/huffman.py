@@ -148,21 +148,23 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, memo = _library_memo(*shared.value, kind)
         lookup, end = memo.__getitem__, np.array([end_id], kind).tobytes()
+        special = {i: np.array([i], kind).tobytes() for i in known.added.values()} | {None: b""}
+
+        def packed(text: str) -> bytes:
+            parts = []
+            for segment, added in known.segments(text):
+                parts += [*map(lookup, known.pieces(segment)), special[added]]
+            return b"".join(parts) + end
+
         for batch in batches:
-            packed = []
+            at = 0
             for texts in texts_of(batch.column(1)):
-                for text in texts:
-                    parts = []
-                    for segment, added in known.segments(text):
-                        parts += map(lookup, known.pieces(segment))
-                        if added is not None:
-                            parts.append(np.array([added], kind).tobytes())
-                    parts.append(end)
-                    packed.append(b"".join(parts))
-            counts = pa.array([len(p) // len(end) for p in packed], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), counts, pa.array(packed, pa.binary())], names=["doc_id", "n_tokens", "ids"]
-            )
+                ids = list(map(packed, texts))
+                counts = pa.array([len(p) // len(end) for p in ids], pa.int64())
+                own = batch.column(0).slice(at, len(texts))
+                at += len(texts)
+                columns = [own, counts, pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
@@ -231,17 +233,17 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> No
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Code(*book.value[:2])
         for batch in batches:
-            packed, points = [], []
             for i in range(0, len(batch), 256):
-                raw = batch.column(3).slice(i, 256).to_pylist()
+                part = batch.slice(i, 256)
+                raw = part.column(3).to_pylist()
                 counts = np.array([len(r) for r in raw]) // np.dtype(kind).itemsize
                 bits, bounds, inside = own.pack(np.frombuffer(b"".join(raw), kind), counts)
-                packed += [bits[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
-                points += [inside[e - n : e : STRIDE] for e, n in zip(np.cumsum(counts).tolist(), counts.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(points, pa.list_(pa.int64())), pa.array(packed, pa.binary())],
-                names=["slice", "doc_id", "n_tokens", "points", "bits"],
-            )
+                packed = [bits[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+                points = [inside[e - n : e : STRIDE] for e, n in zip(np.cumsum(counts).tolist(), counts.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], pa.array(points, pa.list_(pa.int64())), pa.array(packed, pa.binary())],
+                    names=["slice", "doc_id", "n_tokens", "points", "bits"],
+                )
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts, at, start, own, held = book.value[2], None, 0, [], 0

@@ -163,7 +163,8 @@ class JsonVocabulary:
         if plain != ["ByteLevel", None, None] or spec["pre_tokenizer"].get("add_prefix_space"):
             raise ValueError("a byte-level BPE without normalizer, dropout and prefix space is needed")
         self.library = Tokenizer.from_str(source)
-        self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile("|".join(map(re.escape, longest_first))) if self.added else None
         self._chars = byte_chars()
         self._token = self.library.model.tokenize
         #: Worked out on the driver and handed to the workers, since it takes seconds.
@@ -203,7 +204,8 @@ class JsonVocabulary:
     def segments(self, text: str) -> Iterator[tuple[str, int | None]]:
         """Stretches of a text between added tokens, each with the id of the added token behind it."""
         at = 0
-        for m in self.cut.finditer(text) if self.cut else ():
+        found = self.cut and any(map(text.__contains__, self.added))
+        for m in self.cut.finditer(text) if found else ():
             yield text[at : m.start()], self.added[m[0]]
             at = m.end()
         yield text[at:], None
@@ -218,16 +220,16 @@ def json_vocabulary(source: str, patterns: tuple[str, ...] | None = None) -> Jso
 class Memo(dict):
     """Results by piece, worked out on first use; what hasn't been used for two generations goes, ``base`` stays."""
 
-    def __init__(self, work, base: dict | None = None):
+    def __init__(self, work, base: dict | None = None, kept: int = KEPT_PIECES):
         super().__init__(base or {})
-        self.work, self.base, self.older = work, dict(base or {}), {}
+        self.work, self.base, self.older, self.most = work, dict(base or {}), {}, kept + len(base or {})
 
     def __missing__(self, piece):
         value = self.older.get(piece)
         if value is None:
             value = self.work(piece)
         if len(piece) <= KEPT_CHARS:
-            if len(self) >= KEPT_PIECES + len(self.base):
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
                 self.update(self.base)
@@ -241,8 +243,8 @@ def texts_of(column: pa.Array, step: int = 256) -> Iterator[list[str]]:
         yield [t or "" for t in column.slice(i, step).to_pylist()]
 
 
-def chunks_of(column: pa.Array, chars: int = 1 << 20) -> Iterator[list[str]]:
-    """The texts of an Arrow column, about so many characters at a time, so that memory follows the longest text alone."""
+def chunks_of(column: pa.Array, chars: int = 1 << 18) -> Iterator[list[str]]:
+    """The texts of an Arrow column, about so many characters at a time: memory follows the longest text alone."""
     held, size = [], 0
     for texts in texts_of(column, 64):
         for text in texts:

@@ -147,7 +147,7 @@ class Model:
         self.found, self.weights = np.array(found, np.int64)[order], np.array(weights, np.float64)[order]
 
     def table(self) -> np.ndarray:
-        dense = np.zeros((1 << FEATURE_BITS) + 1)
+        dense = np.zeros((1 << FEATURE_BITS) + 1, np.float32)
         dense[self.found] = self.weights
         return dense
 
