@@ -18,6 +18,8 @@ from spendlight.session import scratch_dir
 
 #: Longest code; the decoding table has two to this many entries.
 MAX_BITS = 16
+#: Pieces of each of two generations that a worker remembers.
+KEPT_PIECES = 800_000
 #: A block is closed once it holds so many ids.
 BLOCK_IDS = 1 << 18
 #: Ids between two checkpoints inside a document.
@@ -172,7 +174,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 @lru_cache(maxsize=2)
 def _library_memo(source: str, patterns: tuple[str, ...], kind: str):
     known = json_vocabulary(source, patterns)
-    return known, Memo(lambda piece: np.array(known.library_ids(piece), kind).tobytes())
+    return known, Memo(lambda piece: np.array(known.library_ids(piece), kind).tobytes(), kept=KEPT_PIECES)
 
 
 def id_counts(ids: DataFrame, size: int) -> DataFrame:
@@ -335,7 +337,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """One row per document of the files: doc_id, start, n_tokens, ids_crc32."""
     names, kinds = ["doc_id", "start", "n_tokens", "ids_crc32"], [pa.int64()] * 4
     sql = "doc_id long, start long, n_tokens long, ids_crc32 long"
-    finish = lambda t, c: [zlib.crc32(d.astype("<u4").tobytes()) for d in _each(t, c)]
+    finish = lambda t, c: [zlib.crc32(d.astype("<u4", copy=False)) for d in _each(t, c)]
     return _read(spark, path, names, kinds, sql, finish)
 
 
