@@ -199,6 +199,15 @@ def test_csv_that_does_not_fit_the_schema_is_refused(spark):
         files.read_csv(spark, path, swapped).collect()
 
 
+def test_paths_are_any_uri(spark):
+    uri = f"file://{scratch_dir(spark, 'uri')}"
+    rows = spark.createDataFrame([("a", 1, DAYS[0])], "channel string, n int, date date")
+    files.write_csv(rows, f"{uri}/csv")
+    files.write_by_date(rows, f"{uri}/days")
+    assert files.read_csv(spark, f"{uri}/csv", rows.schema).collect() == rows.collect()
+    assert files.read_parquet(spark, f"{uri}/days").select(rows.columns).collect() == rows.collect()
+
+
 def test_malformed_rows_are_counted(spark):
     path = scratch_dir(spark, "bad-csv")
     rows = [("x", "not a day"), ("y", "2026-01-02"), ("z", None), ("w", "2026-13-01")]
