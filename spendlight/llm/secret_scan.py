@@ -27,8 +27,12 @@ KINDS = [
 ]
 BASE = 3
 
-#: Owners from which on a candidate is a copied example, and the bits per character that a live one has at least.
+#: A candidate is a copied example from so many owners on, if so many repositories hold it, or from so many
+#: repositories on, even of one owner.
 WIDE_OWNERS = 3
+SOME_REPOSITORIES = 5
+WIDE_REPOSITORIES = 20
+#: Bits per character that a live one has at least.
 LIVE_BITS = 2.5
 #: The same for a string that only its look makes a candidate.
 BARE_BITS = 3.8
@@ -125,15 +129,18 @@ def ownership(candidate_rows: DataFrame) -> DataFrame:
 def judged(rows: DataFrame, owner: str, repository: str, wide: int = WIDE_OWNERS) -> DataFrame:
     """For scanned rows with a candidate: _row and _judged, its spans with the verdict in place of the digest.
 
-    ``copied``: at least ``wide`` owners hold the value; ``live``: fewer do and
-    it looks random. Base spans always stay; added ones only if they are live.
+    ``copied``: at least WIDE_REPOSITORIES hold the value, or SOME_REPOSITORIES
+    of at least ``wide`` owners do; ``live``: it is not copied and looks random.
+    Base spans always stay; added ones only if they are live.
     A value that very many rows hold makes one large key of the join, which
     Spark splits; nothing is broadcast by hint.
     """
     held_by = [F.col(owner).alias("owner"), F.col(repository).alias("repository")]
     spans = rows.select("_row", *held_by, F.explode("_spans").alias("s"))
     held = ownership(spans.select("s.digest", "owner", "repository"))
-    wide_ones = held.where(F.col("owners") >= wide).select("digest", F.lit(True).alias("_copied"))
+    spread = (F.col("owners") >= wide) & (F.col("repositories") >= SOME_REPOSITORIES)
+    copied = spread | (F.col("repositories") >= WIDE_REPOSITORIES)
+    wide_ones = held.where(copied).select("digest", F.lit(True).alias("_copied"))
     flat = spans.select("_row", "s.kind", "s.start", "s.end", "s.digest", "s.live")
     verdicts = flat.join(wide_ones, "digest", "left").withColumn("copied", F.coalesce("_copied", F.lit(False)))
     verdicts = verdicts.withColumn("live", F.col("live") & ~F.col("copied"))

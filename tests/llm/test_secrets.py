@@ -83,3 +83,14 @@ def test_redaction_follows_the_length(spark):
     rows = [(1, f"password={OWN}", "en", "a", 99)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert [tuple(r) for r in secret_scan.redacted(docs).collect()] == [(1, "[REDACTED]", "en", "a", 10)]
+
+
+def test_repositories_of_one_owner_tell_examples_too(spark):
+    rows = [(i, f"part {i} of the guide: token: {COPIED}", "hot") for i in range(40)]
+    rows += [(100 + i, f"password = '{OWN}'", f"s{i}") for i in range(3)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = {r.doc_id: (r.n_live, r.n_copied) for r in secret_scan.secrets(docs).collect()}
+    assert {found[i] for i in range(40)} == {(0, 1)}
+    assert {found[100 + i] for i in range(3)} == {(1, 0)}
+    out = {r.doc_id: r.text for r in secret_scan.redacted(docs).collect()}
+    assert COPIED in out[7] and OWN not in out[101]
