@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +58,76 @@ TEMPLATES = {
     ],
 }
 
+#: Notices that only windows are compared with; several differ by a word from one above.
+FURTHER_TEMPLATES = {
+    "AGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero"
+        " General Public License as published by the Free Software Foundation, either version 3 of the License, or (at"
+        " your option) any later version.",
+    ],
+    "BSD-2-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+        " the following conditions are met: 1. Redistributions of source code must retain the above copyright notice,"
+        " this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the"
+        " above copyright notice, this list of conditions and the following disclaimer in the documentation and/or"
+        " other materials provided with the distribution.",
+    ],
+    "BSD-3-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+        " the following conditions are met: 1. Redistributions of source code must retain the above copyright notice,"
+        " this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the"
+        " above copyright notice, this list of conditions and the following disclaimer in the documentation and/or"
+        " other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of"
+        " its contributors may be used to endorse or promote products derived from this software without specific"
+        " prior written permission.",
+    ],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0."],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License"
+        " 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ],
+    "GPL-2.0": [
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General"
+        " Public License as published by the Free Software Foundation; either version 2 of the License, or (at your"
+        " option) any later version.",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+        " granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation; either version 2.1 of the License, or"
+        " (at your option) any later version.",
+    ],
+    "LGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation, either version 3 of the License, or (at"
+        " your option) any later version.",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,"
+        " publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary,"
+        " for any purpose, commercial or non-commercial, and by any means.",
+    ],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be"
+        " held liable for any damages arising from the use of this software.",
+    ],
+}
+
+#: Words that say little of a licence.
+COMMON = frozenset(
+    "0 1 2 3 4 a above an and any anyone are arising as at be binary by can code conditions copy file following for form"
+    " found free from held hereby in is it its later library list means modify no notice of on or other program"
+    " provided purpose source terms that the this to under use with without work you your appear authors available basis"
+    " charge commercial deal distribute do domain event express files forms general if materials may met must option"
+    " version either except fee included including into non public will".split()
+)
+#: Cells of the lookup table that a bigram's hash selects.
+CELLS = 1 << 14
+PARAGRAPHS = "\n(?: *\n)+"
+
 NOT_WORD = r"[^\p{L}\p{N}\n]+"
 
 
@@ -79,6 +151,41 @@ def _template_rows(threshold: float) -> list[tuple[str, int, int, list[str]]]:
     ]
 
 
+def _window_rows(threshold: float) -> list[tuple[str, int, int, list[str], list[str]]]:
+    """Name, least shared bigrams, most bigrams in a row, bigrams and those with a version number, by template."""
+    rows = []
+    for name, text in [(n, t) for ts in (TEMPLATES, FURTHER_TEMPLATES) for n in sorted(ts) for t in ts[n]]:
+        grams = bigrams(text)
+        least, most = size_bounds(len(grams), threshold)
+        repeated = len(re.findall(r"[^\W_]+", text)) - 1 - len(grams)
+        version = [] if name.startswith("BSD-") else [g for g in grams if re.search(r"\b\d+$", g)]
+        rows.append((name, least, most + repeated, grams, version))
+    return rows
+
+
+@lru_cache
+def key_words(threshold: float) -> list[str]:
+    """Words of which every text that reaches the threshold holds one.
+
+    A match shares at least ``least`` of a template's n bigrams, so it can't
+    miss all of those that hold a key word once they are more than n - least.
+    """
+    keys: set[str] = set()
+    for _, least, _, grams, _ in _window_rows(threshold):
+        pairs = [set(g.split()) for g in grams]
+        while sum(bool(p & keys) for p in pairs) <= len(grams) - least:
+            left = [w for p in pairs if not p & keys for w in p]
+            keys.add(min(set(left), key=lambda w: (w in COMMON, -left.count(w), w)))
+    return sorted(keys)
+
+
+def _bigram_hash(gram: str) -> int:
+    """xxhash64 of both words, as Spark has it."""
+    first, second = gram.split()
+    value = xxhash.xxh64_intdigest(second.encode(), xxhash.xxh64_intdigest(first.encode(), 42))
+    return value - (1 << 64) if value >> 63 else value
+
+
 def _sql_text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -92,14 +199,115 @@ def _templates(threshold: float) -> Column:
     return F.expr(f"array({rows})")
 
 
+def _window_templates(threshold: float) -> tuple[Column, Column]:
+    """The templates of windows, and a constant array of CELLS texts that holds '1' where a bigram of one falls."""
+    longs = lambda grams: f"cast(array({', '.join(f'{_bigram_hash(g)}L' for g in grams)}) as array<bigint>)"
+    found = _window_rows(threshold)
+    rows = ", ".join(
+        f"named_struct('name', {_sql_text(name)}, 'least', {least}, 'most', {most}, 'grams', {longs(grams)},"
+        f" 'version', {longs(version)})"
+        for name, least, most, grams, version in found
+    )
+    taken = {_bigram_hash(g) % CELLS for _, _, _, grams, _ in found for g in grams}
+    cells = F.split(F.lit(",".join("1" if c in taken else "0" for c in range(CELLS))), ",")
+    return F.expr(f"array({rows})"), cells
+
+
+def _notices(words: Column, cover: Column, known: Column, threshold: float) -> Column:
+    """Notices inside the word sequence, by windows: minus_surplus, minus_dice, name, first and last bigram, inside.
+
+    A window starts and ends on a bigram of its template, as any best one
+    does, and has at most as many bigrams as the template's size range. From
+    each start the best end counts. A template with a version number needs it
+    in the window. Of overlapping windows the one with most shared bigrams
+    beyond the threshold stays. ``cover`` is the Dice of the best matching unit
+    around each word: inside one a window needs more, and a name that is not
+    ``known`` from the units.
+    """
+    templates, cells = _window_templates(threshold)
+
+    def of_template(t: Column, marks: Column, hashes: Column) -> Column:
+        def from_starts(at: Column) -> Column:
+            def from_start(i: Column) -> Column:
+                first = F.get(at, i)
+                # At least ``least`` bigrams of the template from first to last; positions ascend by 1 or more.
+                lasts = F.filter(F.slice(at, i + t["least"], t["most"]), lambda p: p - first < t["most"])
+
+                def window(last: Column) -> Column:
+                    def scored(part: Column) -> Column:
+                        shared = F.size(F.array_intersect(part, t["grams"]))
+                        total = F.size(F.array_distinct(part)) + F.size(t["grams"])
+                        ok = (F.size(t["version"]) == 0) | F.arrays_overlap(part, t["version"])
+                        return F.struct(
+                            F.when(ok, shared * -2.0 / total).otherwise(0.0).alias("minus_dice"),
+                            (total * threshold - shared * 2.0).alias("minus_surplus"),
+                            first.alias("first"),
+                            last.alias("last"),
+                        )
+
+                    return _bound(F.slice(hashes, first + 1, last - first + 1), scored)
+
+                return F.array_min(F.transform(lasts, window))
+
+            near = F.filter(
+                F.sequence(F.lit(0), F.size(at) - t["least"]),
+                lambda i: F.get(at, i + t["least"] - 1) - F.get(at, i) < t["most"],
+            )
+            found = F.filter(F.transform(near, from_start), lambda w: w["minus_dice"] <= -threshold)
+            named = F.transform(
+                found,
+                lambda w: F.struct(
+                    w["minus_surplus"], w["minus_dice"], t["name"].alias("name"), w["first"], w["last"],
+                    F.array_max(F.slice(cover, w["first"] + 1, w["last"] - w["first"] + 2)).alias("inside"),
+                ),
+            )
+            return F.when(F.size(at) >= t["least"], named).otherwise(F.array().cast(NOTICES))
+
+        inside = F.filter(marks, lambda m: F.array_contains(t["grams"], m["hash"]))
+        return _bound(F.transform(inside, lambda m: m["at"]), from_starts)
+
+    def of_hashes(hashes: Column) -> Column:
+        marks = F.filter(
+            F.transform(hashes, lambda h, i: F.struct(i.alias("at"), h.alias("hash"))),
+            lambda m: F.get(cells, F.pmod(m["hash"], F.lit(CELLS)).cast("int")) == "1",
+        )
+        return _bound(marks, lambda m: F.flatten(F.transform(templates, lambda t: of_template(t, m, hashes))))
+
+    def new(w: Column) -> Column:
+        return (w["inside"] == 0.0) | ((-w["minus_dice"] > w["inside"]) & ~F.array_contains(known, w["name"]))
+
+    def best_apart(found: Column) -> Column:
+        apart = lambda kept, w: ~F.exists(
+            kept, lambda k: (k["first"] <= w["last"] + 1) & (w["first"] <= k["last"] + 1)
+        )
+        return F.aggregate(
+            F.array_sort(found),
+            F.array().cast(NOTICES),
+            lambda kept, w: F.when(apart(kept, w), F.concat(kept, F.array(w))).otherwise(kept),
+        )
+
+    hashes = F.transform(F.slice(words, 2, F.size(words) - 1), lambda b, i: F.xxhash64(F.get(words, i), b))
+    return best_apart(F.filter(_bound(hashes, of_hashes), new))
+
+
+NOTICES = "array<struct<minus_surplus: double, minus_dice: double, name: string, first: int, last: int, inside: double>>"
+
+
+def _bound(value: Column, body) -> Column:
+    """body(value), with the value worked out once per row."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def license_hits(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """One row per document: doc_id, license, dice, n_hits, licenses.
 
     Lines, paragraphs (between blank lines) and the whole text are compared
     with each template whose size allows ``threshold``; the others are skipped
-    before any bigram is looked at. ``license`` is the best match (first by
-    name among equals), ``n_hits`` the units that match some template,
-    ``licenses`` the sorted names of all matches. Case, punctuation and runs of
+    before any bigram is looked at. Texts with a key word of some template are
+    searched for notices inside the units too, see ``_notices``. ``license`` is
+    the best match (first by name among equals), ``n_hits`` the units that
+    match some template and the notices outside of these, ``licenses`` the
+    sorted names of all matches. Case, punctuation and runs of
     white space don't count. A text with one line is one unit, not three. Null
     and empty texts have license null, dice 0, n_hits 0 and licenses ''. Only
     doc_id and text are read. The work is row by row: nothing is shuffled.
@@ -107,7 +315,6 @@ def license_hits(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     least = min(r[1] for r in _template_rows(threshold))
     most = max(r[2] for r in _template_rows(threshold))
     templates = _templates(threshold)
-    none = F.array().cast("array<string>")
     none_of_words = F.array().cast("array<array<string>>")
 
     def words(unit: Column) -> Column:
@@ -132,31 +339,58 @@ def license_hits(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         )
         return F.filter(scored, lambda h: h["minus_dice"] <= -threshold)
 
-    paragraphs = F.when(F.col("_flat").rlike("\n *\n"), F.split("_flat", "\n(?: *\n)+")).otherwise(none)
-    whole = F.when(F.size("_lines") > 1, F.array(F.flatten("_lines"))).otherwise(none_of_words)
+    none = F.array().cast("array<string>")
+    paragraphs = F.when(F.col("_flat").rlike("\n *\n"), F.split("_flat", PARAGRAPHS)).otherwise(none)
+    whole = F.when(F.size("_lines") > 1, F.array("_words")).otherwise(none_of_words)
     units = F.concat("_lines", F.transform(paragraphs, words), whole)
     # One step per transform: a lambda's argument is worked out once, a nested expression at every use.
     hits = F.transform(F.transform(F.filter("_units", feasible), grams), matches)
-    best = F.array_min(F.flatten("_hits"))
     names = F.transform(F.flatten("_hits"), lambda h: h["name"])
+
+    def spread(unit_words: Column) -> Column:
+        """The Dice of a unit's best match, 0 without one, for each of its words."""
+        found = F.flatten(F.transform(F.transform(F.filter(F.array(unit_words), feasible), grams), matches))
+        return F.array_repeat(-F.coalesce(F.array_min(found)["minus_dice"], F.lit(0.0)), F.size(unit_words))
+
+    def greatest(a: Column, b: Column) -> Column:
+        return F.zip_with(a, b, lambda x, y: F.greatest(x, y))
+
+    # Lines and paragraphs have the words of the text in their order, so the figures stand beside the words.
+    of_lines = F.flatten(F.transform("_lines", spread))
+    of_paragraphs = F.flatten(F.transform(F.transform(F.split("_flat", PARAGRAPHS), words), spread))
+    cover = F.when(
+        F.size("_hits") > 0, greatest(greatest(of_lines, of_paragraphs), spread(F.col("_words")))
+    ).otherwise(F.transform("_words", lambda w: F.lit(0.0)))
+    holds_key = F.arrays_overlap("_words", F.array(*map(F.lit, key_words(threshold))))
+    windows = F.when(
+        holds_key,
+        _bound(cover, lambda c: _bound(F.array_distinct(names), lambda k: _notices(F.col("_words"), c, k, threshold))),
+    ).otherwise(F.array().cast(NOTICES))
+    inner = F.transform("_windows", lambda w: F.struct(w["minus_dice"].alias("minus_dice"), w["name"].alias("name")))
+    best = F.array_min("_all")
     flat = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), NOT_WORD, " ")
     return (
         docs.select("doc_id", flat.alias("_flat"))
         .select("doc_id", "_flat", F.transform(F.split("_flat", "\n"), words).alias("_lines"))
-        .select("doc_id", units.alias("_units"))
-        .select("doc_id", F.filter(hits, lambda h: F.size(h) > 0).alias("_hits"))
+        .select("doc_id", "_flat", "_lines", F.flatten("_lines").alias("_words"))
+        .select("doc_id", "_flat", "_lines", "_words", units.alias("_units"))
+        .select("doc_id", "_flat", "_lines", "_words", F.filter(hits, lambda h: F.size(h) > 0).alias("_hits"))
+        .select("doc_id", "_hits", windows.alias("_windows"))
+        .select("doc_id", "_hits", "_windows", F.concat(F.flatten("_hits"), inner).alias("_all"))
         .select(
             "doc_id",
             best["name"].alias("license"),
             F.coalesce(-best["minus_dice"], F.lit(0.0)).alias("dice"),
-            F.size("_hits").cast("long").alias("n_hits"),
-            F.array_join(F.array_sort(F.array_distinct(names)), ",").alias("licenses"),
+            (F.size("_hits") + F.size(F.filter("_windows", lambda w: w["inside"] == 0.0))).cast("long").alias("n_hits"),
+            F.array_join(F.array_sort(F.array_distinct(F.transform("_all", lambda h: h["name"]))), ",").alias(
+                "licenses"
+            ),
         )
     )
 
 
 def oracle(threshold: float = 0.8) -> str:
-    """The same scan as DuckDB SQL."""
+    """The scan of whole units as DuckDB SQL; it has no windows."""
     rows = ", ".join(
         f"({_sql_text(name)}, {least}, {most}, [{', '.join(map(_sql_text, grams))}])"
         for name, least, most, grams in _template_rows(threshold)

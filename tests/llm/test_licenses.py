@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -63,3 +64,59 @@ def test_odd_documents(spark):
     assert found.count() == 12
     assert rows_of(licenses.license_hits(clashing_documents(spark))) == rows_of(found)
     assert licenses.license_hits(no_documents(spark)).collect() == []
+
+
+def test_notices_inside_lines_and_paragraphs(spark):
+    apache, wrapped = licenses.TEMPLATES["Apache-2.0"][1], "\n".join(licenses.TEMPLATES["GPL-3.0"][1].split(" ")[:30])
+    filler = " ".join(f"and here goes word{i}" for i in range(99))
+    texts = {
+        "Copyright (c) 2020 Jane Doe. Licensed under the Apache License, Version 2.0.": ("Apache-2.0", 1.0, 1),
+        "This project is released under the MIT License.": ("MIT", 1.0, 1),
+        f"{filler} {apache} {filler}": ("Apache-2.0", 1.0, 1),
+        f"{filler} {apache.replace('either', 'whether')} {filler}\ncode": ("Apache-2.0", 0.97, 1),
+        "# a file\n# " + "\n# ".join(apache.split(". ")) + "\nimport os\n" + filler: ("Apache-2.0", 1.0, 1),
+        f"{filler} Released under the MIT License. {filler} Licensed under CC BY-NC 4.0.": ("CC-BY-NC-4.0", 1.0, 2),
+        f"Released under the MIT License.\n{filler} Licensed under CC BY 4.0. {filler}": ("CC-BY-4.0", 1.0, 2),
+        "We say: Licensed under the Apache License, Version 1.1, and so on and on.": (None, 0.0, 0),
+        f"{filler} {licenses.FURTHER_TEMPLATES['BSD-3-Clause'][0]} {filler}": ("BSD-3-Clause", 1.0, 1),
+        f"{filler}\n{licenses.FURTHER_TEMPLATES['AGPL-3.0'][0]}\n{filler}": ("AGPL-3.0", 1.0, 1),
+        f"{filler}\n{wrapped}\n{filler}": (None, 0.0, 0),
+    }
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.license_hits(docs).collect()}
+    for i, (text, (name, dice, n)) in enumerate(texts.items()):
+        got = (found[i].license, found[i].n_hits)
+        assert got == (name, n) and found[i].dice >= dice, (text[:80], found[i])
+
+
+def brute_windows(text, threshold=0.8):
+    """Whether any run of words reaches a template, by all runs."""
+    words = re.findall(r"[^\W_]+", text.lower())
+    grams = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    best = 0.0
+    for name, texts in [*licenses.TEMPLATES.items(), *licenses.FURTHER_TEMPLATES.items()]:
+        for t in map(licenses.bigrams, texts):
+            version = [g for g in t if re.search(r"\d+$", g)] if not name.startswith("BSD") else []
+            for i in range(len(grams)):
+                for j in range(i + 1, min(len(grams), i + 2 * len(t)) + 1):
+                    part = set(grams[i:j])
+                    if not version or part & set(version):
+                        best = max(best, 2 * len(part & set(t)) / (len(part) + len(t)))
+    return best if best >= threshold else 0.0
+
+
+def test_windows_miss_nothing(spark):
+    rng = random.Random(5)
+    short = [t for ts in [*licenses.TEMPLATES.values(), *licenses.FURTHER_TEMPLATES.values()] for t in ts]
+    texts = []
+    for _ in range(60):
+        words = rng.choice(short).split()[:40]
+        for _ in range(rng.randrange(len(words) // 3 + 1)):
+            at = rng.randrange(len(words))
+            words[at : at + rng.randrange(2)] = rng.choice([["other"], [], ["of", "the"]])
+        texts.append(" ".join([f"before{i}" for i in range(60)] + words + [f"after{i}" for i in range(60)]))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r.dice for r in licenses.license_hits(docs).collect()}
+    expected = {i: brute_windows(t) for i, t in enumerate(texts)}
+    assert 10 < sum(d > 0 for d in expected.values()) < 60
+    assert found == pytest.approx(expected)
