@@ -37,9 +37,20 @@ LIVE_BITS = 2.5
 #: The same for a string that only its look makes a candidate.
 BARE_BITS = 3.8
 
-PLACEHOLDER = re.compile(
-    r"example|sample|dummy|changeme|placeholder|redacted|your|xxxx|\*\*\*\*|0123|1234567|abcdef|(.)\1{5}", re.I | re.A
+#: Runs of a value that a placeholder is made of, besides steps like 0123, and the share of it that they cover.
+FILLER = re.compile(
+    r"example|sample|dummy|changeme|placeholder|redacted|your|x{4,}|\*{4,}|([^\n])\1{5,}", re.I | re.A
 )
+FILLER_SHARE = 0.5
+#: Plain words joined by signs, of which the first or last is a placeholder word; and the ending of documented keys.
+WORDED = re.compile(
+    r"(?:(?:example|sample|dummy|changeme|placeholder|redacted|your)(?:[^a-z0-9]+(?:[a-z]{1,12}|\d{1,4}))*"
+    r"|(?:(?:[a-z]{1,12}|\d{1,4})[^a-z0-9]+)+(?:example|sample|dummy|changeme|placeholder|redacted))",
+    re.I | re.A,
+)
+ENDING = re.compile(r"AKIA[A-Z0-9]{9,}EXAMPLE|[A-Za-z0-9/+]{29,}EXAMPLEKEY")
+#: Least length of a run of characters that each follow the one before; 0 and a follow 9.
+STEPS = 4
 HIDDEN = "[REDACTED]"
 
 SPANS = T.StructType().add(
@@ -64,6 +75,26 @@ def bits(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values())
 
 
+def is_placeholder(value: str) -> bool:
+    """Whether the value is mostly made of placeholder words and runs, or is a placeholder word in a plain phrase."""
+    if WORDED.fullmatch(value) or ENDING.fullmatch(value):
+        return True
+    covered = set()
+    for m in FILLER.finditer(value):
+        covered.update(range(m.start(), m.end()))
+    start, low = 0, value.lower()
+    for i in range(1, len(low) + 1):
+        if i == len(low) or not _follows(low[i - 1], low[i]):
+            if i - start >= STEPS:
+                covered.update(range(start, i))
+            start = i
+    return len(covered) >= FILLER_SHARE * len(value)
+
+
+def _follows(a: str, b: str) -> bool:
+    return a.isalnum() and b.isalnum() and (ord(b) == ord(a) + 1 or (a == "9" and b in "0a"))
+
+
 def candidates(text: str) -> list[dict]:
     """The candidate spans of a text by start, then kind: base ones, known formats, and bare strings that look random.
 
@@ -84,7 +115,7 @@ def candidates(text: str) -> list[dict]:
             mixed = all(re.search(p, value) for p in ("[0-9]", "[a-z]", "[A-Z]"))
             if kind == len(KINDS) - 1 and not (entropy >= BARE_BITS and mixed):
                 continue
-            live = entropy >= LIVE_BITS and not PLACEHOLDER.search(value)
+            live = entropy >= LIVE_BITS and not is_placeholder(value)
             digest = xxhash.xxh3_128_hexdigest(value)
             found.append({"kind": kind, "start": m.start(), "end": m.end(), "digest": digest, "live": live})
     return sorted(found, key=lambda s: (s["start"], s["kind"]))
