@@ -100,7 +100,8 @@ def candidates(text: str) -> list[dict]:
 
     Spans are in code points. Matches of a kind don't overlap; one that is too
     short is dropped together with what it covers. A span of the added kinds is
-    left out where a span before it in the list of kinds covers it.
+    left out where one span before it in the list of kinds covers all of it;
+    one that only overlaps such a span is judged by itself.
     """
     found = []
     for kind, (_, pattern, least) in enumerate(KINDS):
@@ -109,7 +110,7 @@ def candidates(text: str) -> list[dict]:
             value = m[1]
             if len(value) < least:
                 continue
-            if kind >= BASE and any(a < m.end() and m.start() < b for a, b in before):
+            if kind >= BASE and any(a <= m.start() and m.end() <= b for a, b in before):
                 continue
             entropy = bits(value)
             mixed = all(re.search(p, value) for p in ("[0-9]", "[a-z]", "[A-Z]"))

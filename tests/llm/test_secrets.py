@@ -107,3 +107,18 @@ def test_a_placeholder_is_most_of_its_value():
         "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
     ):
         assert secret_scan.is_placeholder(value), value
+
+
+def test_a_span_that_overlaps_in_part_stays(spark):
+    bare, token = "Zx81QwErT7yU0123456789abcdefPa2SdF4Kq", "ghp_0a1b2c3d4e5f6a7b8c9dXyZ7Kq"
+    copied = "deadbeef01772cd4"
+    rows = [(0, f"a {bare} b", "s"), (1, f"a {token} b", "s"), (2, f"a Zq9Xw{copied}Rt7Lm2Vb b", "s")]
+    rows += [(10 + i, f"see {copied} in part {i}", f"s{i}") for i in range(8)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = {r.doc_id: r.text for r in secret_scan.redacted(docs).collect()}
+    assert [out[i] for i in range(3)] == [f"a {secret_scan.HIDDEN} b"] * 3
+    assert copied in out[10]
+    found = {r.doc_id: r.spans for r in secret_scan.secrets(docs).collect()}
+    assert "bare:2:" in found[0] and "format:2:" in found[1] and "hex:" in found[0]
+    inside = secret_scan.candidates("password=Zx81QwErT7yUi0Pa2SdF4")
+    assert [s["kind"] for s in inside] == [0]
