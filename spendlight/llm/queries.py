@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from spendlight.llm import (
-    backtrack_bpe, grid_order, huffman, imatch, licenses, mixing, probminhash, secret_scan, token_counts, toxicity,
+    backtrack_bpe, grid_order, huffman, imatch, lexical_search, licenses, mixing, personal_data, prefix_trie, probminhash,
+    secret_scan, token_counts, toxicity,
 )
 from spendlight.llm.store import table
 
@@ -57,6 +58,18 @@ def op10_grid_order_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_order.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_blockmax_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_ftrl_toxicity,
@@ -69,6 +82,9 @@ def queries() -> dict[str, Query]:
         op8_probminhash_dedup,
         op9_license_scan,
         op10_grid_order_vectors,
+        op11_blockmax_search,
+        op12_prefix_trie,
+        op13_personal_data,
     ]
     return {f.__name__: f for f in found}
 
@@ -79,4 +95,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_source_mix": mixing.oracle(),
         "op9_license_scan": licenses.oracle(),
         "op10_grid_order_vectors": grid_order.oracle(),
+        "op11_blockmax_search": lexical_search.oracle(),
+        "op12_prefix_trie": prefix_trie.oracle(),
     }

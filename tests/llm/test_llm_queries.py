@@ -16,7 +16,7 @@ def test_matches_sql(spark, name):
 
 
 def test_there_is_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", ["op2_imatch_fingerprints", "op4_source_mix", "op9_license_scan"])
