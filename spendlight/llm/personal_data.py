@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -15,22 +16,22 @@ from pyspark.sql import functions as F
 
 from spendlight.llm.pretokens import chunks_of
 from spendlight.llm.store import stored
-from spendlight.llm.words import STEP, lowered, placed_words, scrambled
+from spendlight.llm.words import STEP, lowered, scrambled, word_hashes, words_laid_out
 
 #: The kinds in the order of their spans, with the least and most digits or the largest part.
 KINDS = ("email", "ip", "card", "phone")
 IP_MOST, CARD_DIGITS, PHONE_DIGITS = 255, (13, 19), (9, 15)
 
-#: What a candidate of a kind looks like where the words before it tell the kind: written apart, masked, or unchecked.
-DOT = r"(?:\.|\x20?[\[(]\x20?(?:\.|dot)\x20?[\])]\x20?|\x20dot\x20)"
-AT = r"(?:@|\x20?[\[(]\x20?(?:@|at)\x20?[\])]\x20?|\x20at\x20)"
+#: What a candidate of a kind looks like where the words before it tell the kind: written apart, or unchecked.
+DOT, AT = r"(?:\.|\x20?[\[(]\x20?dot\x20?[\])]\x20?)", r"(?:@|\x20?[\[(]\x20?at\x20?[\])]\x20?)"
 LOOKS = (
-    rf"[A-Za-z0-9._%+-]{{1,64}}{AT}[A-Za-z0-9-]{{1,63}}(?:{DOT}[A-Za-z0-9-]{{1,63}}){{1,8}}"
-    r"|[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}",
+    rf"[A-Za-z0-9._%+-]{{1,64}}{AT}[A-Za-z0-9-]{{1,63}}(?:{DOT}[A-Za-z0-9-]{{1,63}}){{0,8}}",
     rf"[0-9]{{1,3}}(?:{DOT}[0-9]{{1,3}}){{3}}|(?:[0-9A-Fa-f]{{0,4}}:){{2,7}}[0-9A-Fa-f]{{1,4}}",
-    r"[0-9X*](?:[\x20._-]?[0-9X*]){11,18}",
+    r"[0-9](?:[\x20._-]?[0-9]){11,18}",
     r"\+?\(?[0-9](?:[\x20()./-]{0,2}[0-9]){6,14}",
 )
+#: Characters after a word up to which an address is looked for.
+REACH = 80
 #: Characters between a word of context and what it introduces: signs and spaces of one line.
 GAP = 6
 LOOK = tuple(re.compile(rf"[^\w\n]{{0,{GAP}}}?({look})(?![A-Za-z0-9])") for look in LOOKS)
@@ -128,219 +129,217 @@ def _word_before(text: str, at: int, most: int) -> tuple[int, int] | None:
     return (start, end) if start < end else None
 
 
-def _contexts(hashes: np.ndarray, kind: np.ndarray | int, pair: np.ndarray) -> np.ndarray:
-    """Contexts as numbers: the words alone (pair 0), or with the ones before."""
-    return scrambled((hashes ^ pair) * STEP + np.asarray(kind, np.uint64))
+def _contexts(words: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
+    """Words as contexts, or pairs of a word and the one before it."""
+    mixed = words if before is None else words ^ scrambled(before)
+    return scrambled(mixed * STEP).view(np.int64)
 
 
-_SEED = pa.struct([("kind", pa.int32()), ("context", pa.int64()), ("value", pa.int64())])
-SEED = "array<struct<kind: int, context: long, value: long>>"
+SEEDS = "kind int, context long, value long, times long"
 
 
-def seeds_of(text: str) -> list[dict]:
+def seeds_of(text: str) -> list[tuple[int, int, int]]:
     """What introduces the base spans of a text: kind, context (one word, or two), value."""
-    low, words, rows = lowered(text), [], []
-    for kind, start, end in base_spans(text):
-        last = _word_before(low, start, GAP)
-        if last is None:
-            continue
-        first = _word_before(low, last[0], GAP)
-        words += [low[slice(*last)], low[slice(*first)] if first else ""]
-        rows.append((kind, _digest(kind, text[start:end])))
-    if not rows:
+    spans = base_spans(text)
+    if not spans:
         return []
-    # Every word gets its own hash, so an empty one is left out of the list and put back as 0.
-    known = dict(zip(dict.fromkeys(filter(None, words)), placed_words(list(dict.fromkeys(filter(None, words))))[0]))
+    low, pairs, rows = lowered(text), [], []
+    for kind, start, end in spans:
+        last = _word_before(low, start, GAP)
+        if last is not None:
+            first = _word_before(low, last[0], GAP)
+            pairs.append((low[slice(*first)] if first else None, low[slice(*last)]))
+            rows.append((kind, _digest(kind, text[start:end])))
+    words = list(dict.fromkeys(w for pair in pairs for w in pair if w))
+    known = dict(zip(words, words_laid_out(words)[0]))
     out = []
-    for (kind, value), last, first in zip(rows, words[::2], words[1::2]):
-        one = np.array([known[last]], np.uint64)
-        two = np.array([known[first]], np.uint64) if first else None
-        for pair in (np.zeros(1, np.uint64), two):
-            if pair is not None:
-                context = _contexts(one, kind, scrambled(pair) if pair.any() else pair)
-                out.append({"kind": kind, "context": int(context.view(np.int64)[0]), "value": value})
+    for (kind, value), (first, last) in zip(rows, pairs):
+        one = np.array([known[last]])
+        out.append((kind, int(_contexts(one)[0]), value))
+        if first:
+            out.append((kind, int(_contexts(one, np.array([known[first]]))[0]), value))
     return out
 
 
 def _seeds(docs: DataFrame) -> DataFrame:
-    """Distinct kind, context, value over all base spans."""
+    """kind, context, value, and how often the context introduces it, over all base spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in chunks_of(batch.column(0)):
-                rows = {tuple(s.values()): s for t in texts for s in seeds_of(t)}
-                if rows:
-                    found = pa.array(list(rows.values()), _SEED)
-                    yield pa.RecordBatch.from_arrays(found.flatten(), names=["kind", "context", "value"])
+                counts = Counter(seed for t in texts for seed in seeds_of(t))
+                if counts:
+                    columns = [*zip(*counts), list(counts.values())]
+                    types = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                    arrays = [pa.array(c, t) for c, t in zip(columns, types)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["kind", "context", "value", "times"])
 
-    found = docs.where("text is not null").select("text").mapInArrow(run, "kind int, context long, value long")
-    return found.distinct()
+    found = docs.where("text is not null").select("text").mapInArrow(run, SEEDS)
+    return found.groupBy("kind", "context", "value").agg(F.sum("times").alias("times"))
 
 
 def induced_patterns(seeds: DataFrame, support: int = SUPPORT, share: float = SHARE) -> DataFrame:
-    """kind, context of those that introduce enough different values; at most 1 / ``share`` of a kind."""
-    held = seeds.groupBy("kind", "context").agg(F.count("*").alias("n"))
+    """kind, context, seen of those that introduce enough different values; at most 1 / ``share`` of a kind.
+
+    ``seen`` counts the places where the context introduces a base span of the kind.
+    """
+    held = seeds.groupBy("kind", "context").agg(F.count("*").alias("n"), F.sum("times").alias("seen"))
     all_of = held.groupBy("kind").agg(F.sum("n").alias("total"))
     enough = (F.col("n") >= support) & (F.col("n") >= share * F.col("total"))
     # A row per kind.
-    return held.join(F.broadcast(all_of), "kind").where(enough).select("kind", "context")
+    return held.join(F.broadcast(all_of), "kind").where(enough).select("kind", "context", "seen")
 
 
 # --- what patterns introduce --------------------------------------------------
 
-#: What stands behind a context: a base span of the kind, something that looks like one, or another word.
-SEEN, MAYBE, OTHER = 0, 1, 2
-
 _SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
 _HIT = pa.struct(
     [("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("context", pa.int64()), ("value", pa.int64())]
 )
-_PAIR = pa.struct([("kind", pa.int32()), ("context", pa.int64()), ("value", pa.int64()), ("what", pa.int32())])
+_COUNT = pa.struct([("context", pa.int64()), ("n", pa.int64())])
 SCANNED = (
-    "spans array<struct<kind: int, start: int, end: int>>,"
+    "_row long, _id long, spans array<struct<kind: int, start: int, end: int>>,"
     " hits array<struct<kind: int, start: int, end: int, context: long, value: long>>,"
-    " pairs array<struct<kind: int, context: long, value: long, what: int>>"
+    " counts array<struct<context: long, n: long>>"
 )
 
 
-def _introduced(texts: list[str], known: list[np.ndarray]) -> tuple[list[list[dict]], list[list[dict]], list[dict]]:
-    """Per text its base spans and its candidates behind a known context; and the distinct pairs of context and value.
-
-    ``known`` has the sorted contexts of each kind. All words are hashed and
-    looked up at once; only those of a pattern are looked at in the text.
-    """
-    spans = [base_spans(t) for t in texts]
-    placed = [_Spans(s) for s in spans]
-    hits: list[list[dict]] = [[] for _ in texts]
-    pairs = set()
-    if any(len(k) for k in known):
-        words, of, starts, ends = placed_words(texts)
-        first = np.concatenate([[np.uint64(0)], scrambled(words[:-1])]) if len(words) else words
-        # The word before counts in the same text and line, and not further off than a gap.
-        near = np.concatenate([[False], (of[1:] == of[:-1]) & (starts[1:] - ends[:-1] <= GAP)]) if len(words) else words
-        for kind, contexts in enumerate(known):
-            if not len(contexts):
-                continue
-            for pair in (np.zeros(len(words), np.uint64), first):
-                context = _contexts(words, kind, pair).view(np.int64)
-                at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
-                matched = contexts[at] == context
-                if pair is first:
-                    matched &= near
-                for i in np.flatnonzero(matched).tolist():
-                    text, end = int(of[i]), int(ends[i])
-                    if pair is first and "\n" in texts[text][int(ends[i - 1]) : int(starts[i])]:
-                        continue
-                    what, value, span = _behind(texts[text], end, kind, placed[text])
-                    pairs.add((kind, int(context[i]), value, what))
-                    if what == MAYBE:
-                        hits[text].append(
-                            {"kind": kind, "start": span[0], "end": span[1], "context": int(context[i]), "value": value}
-                        )
-    names = ("kind", "start", "end")
-    return [[dict(zip(names, s)) for s in own] for own in spans], hits, [
-        dict(zip(("kind", "context", "value", "what"), p)) for p in pairs
-    ]
-
-
-_NEXT = re.compile(r"[^\w\n]{0,%d}(\w{1,64})" % GAP)
-
-
 class _Spans:
     """The base spans of a text, found by place."""
 
     def __init__(self, spans: list[tuple[int, int, int]]):
-        self.of = [[(a, b) for k, a, b in spans if k == kind] for kind in range(len(KINDS))]
         self.all = sorted((a, b) for _, a, b in spans)
         #: The furthest end of the spans up to each.
         self.ends = list(accumulate((b for _, b in self.all), max))
 
-    def behind(self, text: str, end: int, kind: int) -> tuple[int, int] | None:
-        """The span of the kind that starts at most GAP signs of one line after ``end``."""
-        own = self.of[kind]
-        at = bisect_left(own, (end, 0))
-        if at < len(own) and own[at][0] <= end + GAP and not _BROKEN.search(text, end, own[at][0]):
-            return own[at]
-        return None
-
     def overlap(self, start: int, end: int) -> bool:
         at = bisect_left(self.all, (end, 0))
         return at > 0 and self.ends[at - 1] > start
 
 
-_BROKEN = re.compile(r"[^\W_]|\n")
-
-
-def _behind(text: str, end: int, kind: int, spans: _Spans) -> tuple[int, int, tuple[int, int] | None]:
-    """What a word that ends at ``end`` introduces: SEEN, MAYBE or OTHER, its value, and the span of a candidate."""
-    seen = spans.behind(text, end, kind)
-    if seen:
-        return SEEN, _digest(kind, text[slice(*seen)]), None
-    found = LOOK[kind].match(text, end)
-    if found and not spans.overlap(*found.span(1)):
-        return MAYBE, _digest(kind, found[1]), found.span(1)
-    word = _NEXT.match(text, end)
-    return OTHER, _digest(kind, "word:" + (word[1] if word else "")), None
-
-
-def _scanned(docs: DataFrame, known: list[np.ndarray]) -> DataFrame:
-    """_row, _id, spans, hits and pairs of each document; pairs are those of a chunk of texts, with its first one."""
+class _Searcher:
+    """Looks for known contexts in texts, and counts them."""
+
+    def __init__(self, contexts: np.ndarray, kinds: np.ndarray):
+        #: Sorted contexts, with their kinds as bits, and in how many places each was met.
+        self.contexts, self.kinds, self.counts = contexts, kinds, np.zeros(len(contexts), np.int64)
+
+    def hits(self, texts: list[str], spans: list[list[tuple[int, int, int]]]) -> list[list[tuple]]:
+        """Per text what looks like a kind behind a context of it, outside base spans.
+
+        All words are hashed and looked up at once; only contexts with a digit
+        or a sign of an address behind them are looked at in the text.
+        """
+        out: list[list[tuple]] = [[] for _ in texts]
+        if not len(self.contexts):
+            return out
+        words, of, starts, ends, bounds, chars = words_laid_out([lowered(t) for t in texts])
+        if not len(words):
+            return out
+        lines = np.searchsorted(np.flatnonzero(chars == ord("\n")), starts)
+        near = np.append((lines[1:] == lines[:-1]) & (starts[1:] - ends[:-1] <= GAP), False)
+        promising = self._promising(words, starts, ends, near, chars)
+        placed: dict[int, _Spans] = {}
+        for before in (None, np.concatenate([words[:1], words[:-1]])):
+            context = _contexts(words, before)
+            at = np.minimum(np.searchsorted(self.contexts, context), len(self.contexts) - 1)
+            matched = self.contexts[at] == context
+            if before is not None:
+                matched &= np.concatenate([[False], near[:-1]])
+            self.counts += np.bincount(at[matched], minlength=len(self.counts))
+            for i in np.flatnonzero(matched & promising).tolist():
+                t, kinds = int(of[i]), int(self.kinds[at[i]])
+                end = int(ends[i] - bounds[t])
+                for kind in range(len(KINDS)):
+                    found = LOOK[kind].match(texts[t], end) if kinds >> kind & 1 else None
+                    if found is None:
+                        continue
+                    if t not in placed:
+                        placed[t] = _Spans(spans[t])
+                    if not placed[t].overlap(*found.span(1)):
+                        out[t].append((kind, *found.span(1), int(context[i]), _digest(kind, found[1])))
+        return out
+
+    @staticmethod
+    def _promising(
+        words: np.ndarray, starts: np.ndarray, ends: np.ndarray, near: np.ndarray, chars: np.ndarray
+    ) -> np.ndarray:
+        """Words behind which a candidate may stand: what every look needs to begin with."""
+        last = len(chars) - 1
+        after = np.append(starts[1:], last)
+        behind = chars[np.minimum(np.append(ends[1:], last), last)]
+        digit = near & (((chars[after] >= ord("0")) & (chars[after] <= ord("9"))) | (behind == ord(":")))
+        bracket = lambda c: (c == ord("(")) | (c == ord("["))
+        at = words == word_hashes(["at"])[0][0]
+        at &= bracket(chars[np.maximum(starts - 1, 0)]) | bracket(chars[np.maximum(starts - 2, 0)])
+        signs = np.sort(np.concatenate([np.flatnonzero(chars == ord("@")), starts[at], [1 << 60]]))
+        return digit | (signs[np.searchsorted(signs, ends)] - ends <= REACH)
+
+
+def _scanned(docs: DataFrame, contexts: np.ndarray, kinds: np.ndarray) -> DataFrame:
+    """_row, _id, spans and hits of each document; and rows without a _row, with the counts of a task's contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        searcher = _Searcher(contexts, kinds)
+        names = ["_row", "_id", "spans", "hits", "counts"]
+        types = [pa.int64(), pa.int64(), pa.list_(_SPAN), pa.list_(_HIT), pa.list_(_COUNT)]
         for batch in batches:
             at = 0
             for texts in chunks_of(batch.column(2)):
-                spans, hits, pairs = _introduced(texts, known)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[c.slice(at, len(texts)) for c in batch.columns[:2]],
-                        pa.array(spans, pa.list_(_SPAN)),
-                        pa.array(hits, pa.list_(_HIT)),
-                        pa.array([pairs] + [[]] * (len(texts) - 1), pa.list_(_PAIR)),
-                    ],
-                    names=["_row", "_id", "spans", "hits", "pairs"],
-                )
+                spans = [base_spans(t) for t in texts]
+                hits = searcher.hits(texts, spans)
+                own = [
+                    *[c.slice(at, len(texts)) for c in batch.columns[:2]],
+                    pa.array([[dict(zip(("kind", "start", "end"), s)) for s in found] for found in spans], types[2]),
+                    pa.array(
+                        [[dict(zip(("kind", "start", "end", "context", "value"), h)) for h in found] for found in hits],
+                        types[3],
+                    ),
+                    pa.nulls(len(texts), types[4]),
+                ]
+                yield pa.RecordBatch.from_arrays(own, names=names)
                 at += len(texts)
+        met = np.flatnonzero(searcher.counts)
+        for i in range(0, len(met), 10_000):
+            part = met[i : i + 10_000]
+            rows = [{"context": c, "n": n} for c, n in zip(contexts[part].tolist(), searcher.counts[part].tolist())]
+            own = [*[pa.nulls(1, t) for t in types[:4]], pa.array([rows], types[4])]
+            yield pa.RecordBatch.from_arrays(own, names=names)
 
     wanted = docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").alias("_id"), "text")
-    return stored(wanted.mapInArrow(run, "_row long, _id long, " + SCANNED), "introduced")
+    return stored(wanted.mapInArrow(run, SCANNED), "introduced")
 
 
 # --- scores -------------------------------------------------------------------
 
 
-def scored_patterns(pairs: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+def scored_patterns(contexts: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """Confident patterns (kind, context, confidence) and the values they find (kind, value, score).
 
-    ``pairs`` are the edges between contexts and values, with what the value is.
-    The confidence of a pattern is the sum of the scores of the different
-    values it introduces, over their number and one: base values have score 1
-    and other words 0. A candidate's score is the chance that one of its confident
-    patterns is right, as if they were independent. Scores start at 0 and grow
-    from round to round. Both are aggregates with a map-side step; patterns and
-    their scores are few (1 / SHARE of a kind at most) and meet the edges by
-    a broadcast.
+    ``contexts`` has kind, context, n (the places where it stands) and seen
+    (those where it introduces a base span of the kind); ``edges`` has kind,
+    context, value and times: candidates that contexts introduce. The confidence of
+    a pattern is the sum of the scores of what it introduces, over its places
+    and one: base spans have score 1, other words 0. A candidate's score is the
+    chance that one of its confident patterns is right, as if they were
+    independent. Scores start at 0 and grow from round to round. Both are
+    aggregates with a map-side step; patterns are few (1 / SHARE of a kind at
+    most) and meet the edges by a broadcast.
     """
-    edges = stored(pairs.distinct(), "edges")
-    counts = edges.groupBy("kind", "context").agg(
-        F.count("*").alias("n"), F.count_if(F.col("what") == SEEN).alias("seen")
-    )
-    counts = stored(counts, "pattern-counts")
-    maybe = stored(edges.where(F.col("what") == MAYBE).select("kind", "context", "value"), "candidate-edges")
-    values = None
+    contexts, edges, values = stored(contexts, "contexts"), stored(edges, "edges"), None
     for _ in range(rounds):
-        mass = F.col("seen").cast("double")
-        weighed = counts
+        weighed, mass = contexts, F.col("seen").cast("double")
         if values is not None:
-            gained = maybe.join(values, ["kind", "value"]).groupBy("kind", "context").agg(F.sum("score").alias("gained"))
-            weighed = counts.join(gained, ["kind", "context"], "left")
+            share = F.sum(F.col("score") * F.col("times")).alias("gained")
+            gained = edges.join(values, ["kind", "value"]).groupBy("kind", "context").agg(share)
+            weighed = contexts.join(gained, ["kind", "context"], "left")
             mass = mass + F.coalesce("gained", F.lit(0.0))
         confidence = (mass / (F.col("n") + 1)).alias("confidence")
         patterns = weighed.select("kind", "context", confidence).where(F.col("confidence") >= CONFIDENT)
         patterns = stored(patterns, "patterns")
         # Logarithms in whole millionths sum to the same in any order.
         miss = F.round(F.ln(1 - F.col("confidence")) * 1_000_000).cast("long")
-        found = maybe.join(F.broadcast(patterns), ["kind", "context"]).groupBy("kind", "value").agg(F.sum(miss).alias("m"))
+        found = edges.join(F.broadcast(patterns), ["kind", "context"]).groupBy("kind", "value").agg(F.sum(miss).alias("m"))
         values = stored(found.select("kind", "value", (1 - F.exp(F.col("m") / 1_000_000)).alias("score")), "values")
     return patterns, values
 
@@ -355,25 +354,29 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     are of base spans alone, ``n_found`` counts the added ones, and ``spans``
     has both by kind, start and end. An added span never overlaps a base one.
 
-    A null text is empty, and so is its list. Equal values and repeated texts
-    count once for a pattern. Ids may be null or repeat. Time is linear in a
-    text's length. Without seeds there is no pattern and nothing is added. Only
-    doc_id and text are read.
+    A null text is empty, and so is its list. A context becomes a pattern by
+    SUPPORT different values, so copies of a text don't make one; places are
+    counted with copies. Ids may be null or repeat. Time is linear in a text's
+    length. Without seeds there is no pattern and nothing is added. Only doc_id
+    and text are read.
     """
-    learned = induced_patterns(stored(_seeds(docs), "seeds"))
+    learned = stored(induced_patterns(stored(_seeds(docs), "seeds")), "learned")
     # At most 1 / SHARE contexts of each kind.
-    known = [[] for _ in KINDS]
-    for r in learned.collect():
-        known[r.kind].append(r.context)
-    rows = _scanned(docs, [np.array(sorted(k), np.int64) for k in known])
-    pairs = rows.where(F.size("pairs") > 0).select(F.explode("pairs").alias("p")).select("p.*")
-    patterns, values = scored_patterns(pairs, rounds)
+    kinds: dict[int, int] = {}
+    for r in learned.select("kind", "context").collect():
+        kinds[r.context] = kinds.get(r.context, 0) | 1 << r.kind
+    known = np.array(sorted(kinds), np.int64)
+    scanned = _scanned(docs, known, np.array([kinds[c] for c in known.tolist()], np.int64))
+    rows = scanned.where("_row is not null")
+    counts = scanned.where("_row is null").select(F.explode("counts").alias("c")).groupBy("c.context")
+    contexts = learned.join(counts.agg(F.sum("c.n").alias("n")), "context").select("kind", "context", "n", "seen")
     hits = rows.where(F.size("hits") > 0).select("_row", F.explode("hits").alias("h")).select("_row", "h.*")
+    edges = hits.groupBy("kind", "context", "value").agg(F.count("*").alias("times"))
+    patterns, values = scored_patterns(contexts, edges, rounds)
     good = values.where(F.col("score") >= FOUND).select("kind", "value")
     confident = F.broadcast(patterns.select("kind", "context"))
     added = hits.join(confident, ["kind", "context"], "left_semi").join(good, ["kind", "value"], "left_semi")
-    span = F.struct("kind", "start", "end")
-    added = added.groupBy("_row").agg(F.collect_set(span).alias("added"))
+    added = added.groupBy("_row").agg(F.collect_set(F.struct("kind", "start", "end")).alias("added"))
     found = rows.select("_row", "_id", "spans").join(added, "_row", "left")
     nothing = F.array().cast("array<struct<kind: int, start: int, end: int>>")
     found = found.withColumn("added", F.coalesce("added", nothing))

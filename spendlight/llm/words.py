@@ -22,7 +22,7 @@ def scrambled(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The words of texts in order, as 64-bit hashes, and the place of the text of each."""
-    return _words([t.lower() for t in texts])[:2]
+    return words_laid_out([t.lower() for t in texts])[:2]
 
 
 def lowered(text: str) -> str:
@@ -31,17 +31,11 @@ def lowered(text: str) -> str:
     return low if len(low) == len(text) else "".join([c.lower() if len(c.lower()) == 1 else c for c in text])
 
 
-def placed_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """As ``word_hashes``, with where each word starts and ends in its text."""
-    words, of, starts, ends, firsts = _words([lowered(t) for t in texts])
-    return words, of, starts - firsts[of], ends - firsts[of]
-
-
-def _words(lowered_texts: list[str]) -> tuple[np.ndarray, ...]:
-    """Words, the place of the text of each, their starts and ends in all texts together, and the start of each text.
+def words_laid_out(lowered_texts: list[str]) -> tuple[np.ndarray, ...]:
+    """Words, the place of the text of each, their starts and ends in all texts together, where texts start, characters.
 
     Words are lower-case runs of letters and digits. A word's hash sums its
-    characters times the powers of a constant.
+    characters times the powers of a constant. Texts stand a line end apart.
     """
     bounds = np.cumsum([0, *[len(t) + 1 for t in lowered_texts]])
     chars = np.frombuffer("\n".join(lowered_texts).encode("utf-32-le"), "<u4")
@@ -50,10 +44,10 @@ def _words(lowered_texts: list[str]) -> tuple[np.ndarray, ...]:
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
         none = np.empty(0, np.int64)
-        return np.empty(0, np.uint64), none, none, none, bounds
+        return np.empty(0, np.uint64), none, none, none, bounds, chars
     places, lengths = np.flatnonzero(inside), ends - starts
     firsts = np.cumsum(lengths) - lengths
     power = np.multiply.accumulate(np.full(int(lengths.max()), STEP))
     offsets = np.arange(len(places)) - np.repeat(firsts, lengths)
     words = scrambled(np.add.reduceat((chars[places].astype(np.uint64) + MIX) * power[offsets], firsts))
-    return words, np.searchsorted(bounds[1:], starts, side="right"), starts, ends, bounds
+    return words, np.searchsorted(bounds[1:], starts, side="right"), starts, ends, bounds, chars

@@ -3,6 +3,7 @@ import random
 import re
 import time
 
+import numpy as np
 import pytest
 from shared import clashing_documents, no_documents, odd_documents, rows_of
 
@@ -73,48 +74,61 @@ def test_patterns_find_unseen_values(spark):
     assert found[0].n_phone == 2 and found[0].n_found == 0
 
 
-def expected_scores(pairs, rounds):
+def expected_scores(contexts, edges, rounds):
     """The rounds step by step, on dictionaries."""
-    contexts = {}
-    for kind, context, value, what in set(pairs):
-        contexts.setdefault((kind, context), []).append((value, what))
     scores, confident = {}, {}
     for _ in range(rounds):
         confident = {}
-        for (kind, context), held in contexts.items():
-            mass = sum(1 if what == pii.SEEN else scores.get((kind, v), 0) if what == pii.MAYBE else 0 for v, what in held)
-            if mass / (len(held) + 1) >= pii.CONFIDENT:
-                confident[kind, context] = mass / (len(held) + 1)
+        for kind, context, n, seen in contexts:
+            mass = seen + sum(t * scores.get((k, v), 0) for k, c, v, t in edges if (k, c) == (kind, context))
+            if mass / (n + 1) >= pii.CONFIDENT:
+                confident[kind, context] = mass / (n + 1)
         miss = {}
-        for (kind, context), c in confident.items():
-            for v, what in contexts[kind, context]:
-                if what == pii.MAYBE:
-                    miss[kind, v] = miss.get((kind, v), 1) * (1 - c)
-        scores = {k: 1 - m for k, m in miss.items()}
+        for k, c, v, _ in edges:
+            if (k, c) in confident:
+                miss[k, v] = miss.get((k, v), 1) * (1 - confident[k, c])
+        scores = {key: 1 - m for key, m in miss.items()}
     return confident, scores
 
 
 def test_scores_follow_the_rounds(spark):
     draw = random.Random(5)
-    pairs = [(draw.randint(0, 1), draw.randint(0, 30), draw.randint(0, 60), draw.choices((0, 1, 2), (6, 4, 2))[0])
-             for _ in range(900)]
-    table = spark.createDataFrame(pairs, "kind int, context long, value long, what int")
-    patterns, values = pii.scored_patterns(table)
-    confident, scores = expected_scores(pairs, pii.ROUNDS)
+    edges = [(k, c, v, draw.randint(1, 3)) for k, c, v in {
+        (draw.randint(0, 1), draw.randint(0, 30), draw.randint(0, 60)) for _ in range(300)}]
+    contexts = []
+    for k, c in sorted({e[:2] for e in edges}):
+        seen, maybe = draw.randint(3, 15), sum(t for *key, _, t in edges if key == [k, c])
+        contexts.append((k, c, seen + maybe + draw.randint(0, 12), seen))
+    patterns, values = pii.scored_patterns(
+        spark.createDataFrame(contexts, "kind int, context long, n long, seen long"),
+        spark.createDataFrame(edges, "kind int, context long, value long, times long"),
+    )
+    confident, scores = expected_scores(contexts, edges, pii.ROUNDS)
     assert {(r.kind, r.context): r.confidence for r in patterns.collect()} == pytest.approx(confident, abs=1e-4)
     assert {(r.kind, r.value): r.score for r in values.collect()} == pytest.approx(scores, abs=1e-4)
 
 
 def test_contexts_in_texts_are_those_of_the_seeds():
-    text = "Write to Janeİ: +1 (555) 555-0100, or host 10.0.0.1\nnot 10.0.0.2"
-    seeds = pii.seeds_of(text)
-    assert sorted(s["kind"] for s in seeds) == [1, 1, 1, 3, 3]
-    known = [sorted(s["context"] for s in seeds if s["kind"] == k) for k in range(len(pii.KINDS))]
-    import numpy as np
-
-    _, _, pairs = pii._introduced([text], [np.array(k, np.int64) for k in known])
-    seen = {(p["kind"], p["context"], p["value"]) for p in pairs if p["what"] == pii.SEEN}
-    assert seen == {tuple(s.values()) for s in seeds}
+    texts = ["Write to Jane\u0130: +1 (555) 555-0100, or host 10.0.0.1\nnot 10.0.0.2", "so a host 10.0.0.9 x\nhost a or host"]
+    seeds = [s for t in texts for s in pii.seeds_of(t)]
+    assert sorted(kind for kind, *_ in seeds) == [1] * 5 + [3, 3]
+    known = np.array(sorted({c for _, c, _ in seeds}), np.int64)
+    searcher = pii._Searcher(known, np.full(len(known), 15))
+    assert searcher.hits(texts, [pii.base_spans(t) for t in texts]) == [[], []]
+    met = dict(zip(known.tolist(), searcher.counts.tolist()))
+    # jane, "to jane", host (4), "or host" (2), not, "a host"
+    assert sorted(met.values()) == [1, 1, 1, 1, 2, 4]
+
+
+def test_looks_are_met_wherever_they_stand():
+    """The quick look ahead passes every place at which a look matches."""
+    found = ["jane.doe(at)example.org", "jane [at] example [dot] org", "jane@host", "fe80::1:2", "::1", "10(dot)1(dot)2(dot)5",
+             "4111.1111.1111.1112", "(555) 555-0100", "+49 170 1234567"]
+    texts = [f"reach {value}" for value in found] + [f"reach -- {value} z" for value in found]
+    context = pii._contexts(pii.word_hashes(["reach"])[0])
+    hits = pii._Searcher(context, np.array([15])).hits(texts, [[] for _ in texts])
+    assert all(any(text[a:b] == value for _, a, b, *_ in own)
+               for text, value, own in zip(texts, found * 2, hits)), [(t, h) for t, h in zip(texts, hits) if not h]
 
 
 def test_copies_do_not_make_a_pattern(spark):
