@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlight.llm.components import components
+from spendlight.llm.components import components, merged_components
 from spendlight.llm.pretokens import chunks_of
 from spendlight.llm.store import stored
 from spendlight.llm.words import STEP, scrambled, word_hashes
@@ -220,8 +220,9 @@ def _joined_groups(members: DataFrame, texts: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                row = batch.slice(i, 1).to_pylist()[0]
-                found = _links_between(row["left"], row["texts"], row["band"], row["own"] == row["block"])
+                left, right = (_Block(batch.column(c)[i].values) for c in (0, 1))
+                band, own, block = (batch.column(c)[i].as_py() for c in (2, 3, 4))
+                found = _links_between(left, right, band, own == block)
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
@@ -229,34 +230,46 @@ def _joined_groups(members: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("left", "texts", "band", "own", "block").mapInArrow(compare, "a long, b long")
 
 
-def _links_between(left: list[dict], right: list[dict], band: int, same: bool) -> list[tuple[int, int]]:
+class _Block:
+    """Texts of a block with their nodes, groups and signatures; a text is read and cut only when a pair needs it."""
+
+    def __init__(self, rows: pa.StructArray):
+        self.node, self.component = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("node", "component"))
+        joined = b"".join(rows.field("sign").to_pylist())
+        self.sign, self.texts, self._sets = np.frombuffer(joined, "<u4").reshape(len(rows), -1), rows.field("text"), {}
+
+    def shingles(self, at: int) -> tuple[np.ndarray, np.ndarray]:
+        if at not in self._sets:
+            self._sets[at] = _shingle_sets([self.texts[at].as_py()])[0]
+        return self._sets[at]
+
+
+def _links_between(left: _Block, right: _Block, band: int, same: bool) -> list[tuple[int, int]]:
     """Links that join the groups of two blocks, the likeliest pairs first."""
-    x_sign, y_sign = (np.frombuffer(b"".join([t["sign"] for t in b]), "<u4").reshape(len(b), -1) for b in (left, right))
-    x_of, y_of = (np.array([t["component"] for t in b]) for b in (left, right))
     pairs = []
-    for k in range(len(left)):
-        alike = (x_sign[k] == y_sign).mean(axis=1)
-        for at in np.flatnonzero((alike >= ESTIMATE) & (y_of != x_of[k])).tolist():
-            if not same or at > k:
-                pairs.append((-alike[at], k, at))
+    for k in range(len(left.node)):
+        equal = left.sign[k] == right.sign
+        alike = equal.mean(axis=1)
+        at = np.flatnonzero((alike >= ESTIMATE) & (right.component != left.component[k]))
+        at = at[at > k] if same else at
+        if len(at):
+            shared = equal[at, : BANDS * ROWS].reshape(len(at), BANDS, ROWS).all(axis=2)
+            pairs += [(-alike[i], k, i) for i in at[shared.argmax(axis=1) == band].tolist()]
     if not pairs:
         return []
-    joined = {c: c for c in np.concatenate([x_of, y_of]).tolist()}
+    joined = {c: c for c in np.concatenate([left.component, right.component]).tolist()}
 
     def root(c: int) -> int:
         while joined[c] != c:
             c = joined[c]
         return c
 
-    links, x_sets, y_sets = [], _shingle_sets([t["text"] for t in left]), _shingle_sets([t["text"] for t in right])
+    links = []
     for _, k, at in sorted(pairs):
-        a, b = root(int(x_of[k])), root(int(y_of[at]))
-        if a == b:
-            continue
-        shared = (x_sign[k] == y_sign[at])[: BANDS * ROWS].reshape(BANDS, ROWS).all(axis=1)
-        if shared.argmax() == band and probability_jaccard(x_sets[k], y_sets[at]) >= SIMILAR:
+        a, b = root(int(left.component[k])), root(int(right.component[at]))
+        if a != b and probability_jaccard(left.shingles(k), right.shingles(at)) >= SIMILAR:
             joined[b] = a
-            links.append((left[k]["node"], right[at]["node"]))
+            links.append((int(left.node[k]), int(right.node[at])))
     return links
 
 
@@ -282,15 +295,22 @@ def text_classes(docs: DataFrame) -> DataFrame:
     texts. Where a large bucket is then still in several groups, the pairs
     between the groups are compared by signature, in blocks, and verified there.
     """
-    rows = _rows(docs)
-    numbered = rows.withColumn("row", F.monotonically_increasing_id()).select("id", "k1", "k2", "row", "text")
-    scanned = stored(_sketched(numbered), "sketches")
+    return _classes(_rows(docs), _sketches(docs))
+
+
+def _sketches(docs: DataFrame) -> DataFrame:
+    """id, k1, k2, row (a number per document) and bands of each document with a text."""
+    numbered = _rows(docs).withColumn("row", F.monotonically_increasing_id())
+    return stored(_sketched(numbered.select("id", "k1", "k2", "row", "text")), "sketches")
+
+
+def _classes(rows: DataFrame, scanned: DataFrame) -> DataFrame:
     # The first document of a text: the smallest id, null ids last.
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "bands"))
     firsts = scanned.groupBy("k1", "k2").agg(first.alias("first"))
-    nodes = stored(firsts.select("k1", "k2", "first.id", F.col("first.row").alias("node")), "texts")
-    every_band = scanned.select(F.col("row").alias("node"), F.posexplode("bands").alias("band", "bucket"))
-    bands = stored(every_band.join(nodes.select("node"), "node"), "bands")
+    nodes = stored(firsts.select("k1", "k2", "first.id", F.col("first.row").alias("node"), "first.bands"), "texts")
+    bands = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    nodes = nodes.drop("bands")
     shared = bands.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("center")).where("size > 1")
     members = stored(bands.join(shared, "bucket"), "buckets")
 
@@ -314,8 +334,8 @@ def text_classes(docs: DataFrame) -> DataFrame:
     split = large.join(ends.where("low <> high").select("bucket"), "bucket")
     open_members = stored(split.select("bucket", "band", "node", "component"), "open")
     if not open_members.isEmpty():
-        more = _joined_groups(open_members, texts)
-        groups = components(stored(links.unionByName(more), "all-links"))
+        more = stored(_joined_groups(open_members, texts), "more-links")
+        groups = merged_components(groups, more)
 
     placed = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node"))
@@ -334,8 +354,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     its own class and stays, and so does its row. Of repeated rows one stays.
     Null ids come after all others. Only doc_id and text are read.
     """
-    rows = stored(_rows(docs).drop("text").withColumn("row", F.monotonically_increasing_id()), "text-keys")
-    classes = stored(text_classes(docs), "classes").withColumnRenamed("id", "first_id")
+    rows = _sketches(docs)
+    classes = stored(_classes(_rows(docs), rows), "classes").withColumnRenamed("id", "first_id")
+    rows = rows.drop("bands")
     # Copies of a text meet its class; the one that stays is the first of those that have the smallest id.
     stays = rows.groupBy("k1", "k2", "id").agg(F.min("row").alias("stay"))
     stays = stays.join(classes.where("keeper"), ["k1", "k2"])

@@ -1,11 +1,14 @@
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
 from shared import clashing_documents, no_documents, odd_documents, rows_of
 
 from spendlight.llm import probminhash
-from spendlight.llm.components import components
+from spendlight.llm.components import components, merged_components
 
 
 def texts_with_copies():
@@ -29,8 +32,25 @@ def texts_with_copies():
     return texts
 
 
+def plain_shingles(text):
+    """Weights by tuples of words."""
+    words = re.findall(r"[^\W_]+", text.lower())
+    size = min(probminhash.WORDS, len(words))
+    counts = Counter(tuple(words[i : i + size]) for i in range(len(words) - size + 1)) if words else {}
+    return {shingle: 1 + math.log(n) for shingle, n in counts.items()}
+
+
+def plain_similarity(a, b):
+    shared = a.keys() & b.keys()
+    if not shared:
+        return 0.0
+    every = list(a.keys() | b.keys())
+    x, y = (np.array([w.get(e, 0.0) for e in every]) for w in (a, b))
+    return sum(1 / np.maximum(x / a[d], y / b[d]).sum() for d in shared)
+
+
 def brute(texts):
-    sets = probminhash._shingle_sets(texts)
+    sets = [plain_shingles(t) for t in texts]
     root = list(range(len(texts)))
 
     def find(i):
@@ -40,7 +60,7 @@ def brute(texts):
 
     for i in range(len(texts)):
         for j in range(i):
-            if texts[i] == texts[j] or probminhash.probability_jaccard(sets[i], sets[j]) >= probminhash.SIMILAR:
+            if texts[i] == texts[j] or plain_similarity(sets[i], sets[j]) >= probminhash.SIMILAR:
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     return [find(i) for i in range(len(texts))]
@@ -113,10 +133,18 @@ def test_odd_documents(spark):
     assert probminhash.deduplicated(no_documents(spark)).collect() == []
 
 
-def test_components_of_chains_stars_and_rings(spark):
+@pytest.mark.parametrize("few", [0, 1 << 18])
+def test_components_of_chains_stars_and_rings(spark, few):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, n) for n in range(101, 140)]
     links += [(n, n + 1) for n in range(200, 220)] + [(220, 200), (300, 300), (7, 3), (3, 7)]
-    found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    table = spark.createDataFrame(links, "a long, b long")
+    found = {r.node: r.component for r in components(table, few).collect()}
     nodes = [*range(61), *range(100, 140), *range(200, 221)]
-    assert found == {n: 0 if n <= 60 else 100 if n < 140 else 200 for n in nodes}
-    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+    expected = {n: 0 if n <= 60 else 100 if n < 140 else 200 for n in nodes}
+    assert found == expected
+    assert components(spark.createDataFrame([], "a long, b long"), few).collect() == []
+    cut = [i for i in range(len(links)) if i % 3 == 0]
+    first = components(table.sparkSession.createDataFrame([links[i] for i in cut], "a long, b long"), few)
+    rest = [links[i] for i in range(len(links)) if i % 3]
+    merged = merged_components(first, spark.createDataFrame(rest, "a long, b long"), few)
+    assert {r.node: r.component for r in merged.collect()} == expected
