@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +36,9 @@ SOME_REPOSITORIES = 5
 WIDE_REPOSITORIES = 20
 #: Bits per character that a live one has at least.
 LIVE_BITS = 2.5
-#: The same for a string that only its look makes a candidate.
+#: The same for a string that only its look makes a candidate, which also needs one of each of these.
 BARE_BITS = 3.8
+MIXED = (re.compile("[0-9]"), re.compile("[a-z]"), re.compile("[A-Z]"))
 
 #: Runs of a value that a placeholder is made of, besides steps like 0123, and the share of it that they cover.
 FILLER = re.compile(
@@ -101,20 +104,26 @@ def candidates(text: str) -> list[dict]:
     Spans are in code points. Matches of a kind don't overlap; one that is too
     short is dropped together with what it covers. A span of the added kinds is
     left out where one span before it in the list of kinds covers all of it;
-    one that only overlaps such a span is judged by itself.
+    one that only overlaps such a span is judged by itself. Time follows the
+    length of the text, also where it is full of candidates.
     """
     found = []
     for kind, (_, pattern, least) in enumerate(KINDS):
         before = sorted((s["start"], s["end"]) for s in found) if kind >= BASE else []
+        # The furthest end of the spans up to each.
+        furthest = list(accumulate((b for _, b in before), max))
         for m in pattern.finditer(text):
             value = m[1]
             if len(value) < least:
                 continue
-            if kind >= BASE and any(a <= m.start() and m.end() <= b for a, b in before):
+            at = bisect_right(before, (m.start(), len(text)))
+            if at and furthest[at - 1] >= m.end():
+                continue
+            bare = kind == len(KINDS) - 1
+            if bare and not all(p.search(value) for p in MIXED):
                 continue
             entropy = bits(value)
-            mixed = all(re.search(p, value) for p in ("[0-9]", "[a-z]", "[A-Z]"))
-            if kind == len(KINDS) - 1 and not (entropy >= BARE_BITS and mixed):
+            if bare and entropy < BARE_BITS:
                 continue
             live = entropy >= LIVE_BITS and not is_placeholder(value)
             digest = xxhash.xxh3_128_hexdigest(value)
@@ -181,15 +190,19 @@ def judged(rows: DataFrame, owner: str, repository: str, wide: int = WIDE_OWNERS
     return verdicts.groupBy("_row").agg(F.array_sort(F.collect_list(span)).alias("_judged"))
 
 
-def secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id", wide: int = WIDE_OWNERS) -> DataFrame:
+def secrets(
+    docs: DataFrame, owner: str = "source", repository: str | None = None, wide: int = WIDE_OWNERS
+) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied.
 
     ``spans`` joins kind:start:end of the base spans and of the live added
     ones; ``base_sha256`` digests the base spans alone. Null texts are empty;
     an empty list is an empty text. Ids may be null or repeat, equal rows are
-    judged alike. Only doc_id, text and the two ownership columns are read.
+    judged alike. Without a ``repository`` column every different text of an
+    owner is a repository, so exact copies of a leaked file count once. Only
+    doc_id, text and the ownership columns are read.
     """
-    held_by = [F.col(owner).alias("_owner"), F.col(repository).alias("_repo")]
+    held_by = [F.col(owner).alias("_owner"), _repository(F.col("text"), repository).alias("_repo")]
     wanted = docs.select(F.col("doc_id").alias("_id"), "text", *held_by)
     rows = scanned(wanted, "text", keep_text=False)
     verdicts = judged(rows.where(F.size("_spans") > 0), "_owner", "_repo", wide)
@@ -211,7 +224,9 @@ def secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
     )
 
 
-def redacted(docs: DataFrame, owner: str = "source", repository: str = "doc_id", wide: int = WIDE_OWNERS) -> DataFrame:
+def redacted(
+    docs: DataFrame, owner: str = "source", repository: str | None = None, wide: int = WIDE_OWNERS
+) -> DataFrame:
     """All documents with every column; live secrets in their texts are replaced, copied examples stay.
 
     Documents without a candidate pass as they are; the others meet their
@@ -223,7 +238,8 @@ def redacted(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
     text, size = column["text"], column.get("n_chars")
     rows = scanned(plain, text, keep_text=True)
     suspects = rows.where(F.size("_spans") > 0)
-    verdicts = judged(suspects, column[owner], column[repository], wide)
+    held = _repository(F.col(text), column[repository] if repository else None)
+    verdicts = judged(suspects.withColumn("_repo", held), column[owner], "_repo", wide)
     joined = suspects.drop("_spans").join(verdicts, "_row", "left").drop("_row")
     at, out = joined.columns.index(text), plain.columns
 
@@ -241,6 +257,10 @@ def redacted(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
     return untouched.unionByName(changed).toDF(*names)
 
 
+def _repository(text: Column, column: str | None) -> Column:
+    return F.col(column) if column else F.xxhash64(text)
+
+
 def _hidden(text: str, spans: list[dict]) -> str:
     """The text with its live spans replaced; overlapping ones are replaced together."""
     out, at = [], 0

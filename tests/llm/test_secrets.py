@@ -1,5 +1,8 @@
 import hashlib
+import random
 import re
+import time
+from collections import defaultdict
 
 from shared import clashing_documents, no_documents, odd_documents, rows_of
 
@@ -122,3 +125,73 @@ def test_a_span_that_overlaps_in_part_stays(spark):
     assert "bare:2:" in found[0] and "format:2:" in found[1] and "hex:" in found[0]
     inside = secret_scan.candidates("password=Zx81QwErT7yUi0Pa2SdF4")
     assert [s["kind"] for s in inside] == [0]
+
+
+def test_copies_of_a_leaked_file_are_one_repository(spark):
+    rows = [(i, f"password = '{OWN}'", "hot") for i in range(30)]
+    rows += [(100 + i, f"password = '{OWN}'", "other") for i in range(30)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert {(r.n_live, r.n_copied) for r in secret_scan.secrets(docs).collect()} == {(1, 0)}
+    assert all(OWN not in r.text for r in secret_scan.redacted(docs).collect())
+    by_id = secret_scan.secrets(docs, repository="doc_id").collect()
+    assert {(r.n_live, r.n_copied) for r in by_id} == {(0, 1)}
+
+
+def plain_candidates(text):
+    """Candidates by trying every span found before."""
+    found = []
+    for kind, (_, pattern, least) in enumerate(secret_scan.KINDS):
+        before = list(found)
+        for m in pattern.finditer(text):
+            value = m[1]
+            inside = kind >= secret_scan.BASE and any(a <= m.start() and m.end() <= b for _, a, b, _ in before)
+            bits = secret_scan.bits(value) if value else 0
+            mixed = {c.isdigit() * 1 or c.islower() * 2 or c.isupper() * 3 for c in value} >= {1, 2, 3}
+            if len(value) < least or inside or (kind == 4 and not (mixed and bits >= secret_scan.BARE_BITS)):
+                continue
+            found.append((kind, m.start(), m.end(), value))
+    return found
+
+
+def test_all_spans_and_verdicts_equal_brute_force(spark):
+    draw = random.Random(8)
+    values = ["".join(draw.choices("abcdef0123456789", k=draw.randint(14, 40))) for _ in range(12)]
+    values += ["".join(draw.choices("abcXYZ0123456789defKLM", k=draw.randint(10, 30))) for _ in range(12)]
+    values += ["changeme123456", "AKIA" + "Q7RS" * 4, "ghp_" + "aB3dE6gH9jK2mN5p" * 2, "your-token-example"]
+    cues = ["", "token: ", "password=", "x ", "secret='", "Api_Key : ", "é "]
+    rows = []
+    for i in range(300):
+        text = " ".join(draw.choice(cues) + draw.choice(values) + draw.choice(["", "'", "/", "="]) for _ in range(draw.randint(0, 5)))
+        rows.append((i, text, f"s{draw.randint(0, 3) if i % 2 else 0}"))
+    rows += [(1000 + i, *rows[5][1:]) for i in range(50)]
+    held = defaultdict(set)
+    for _, text, owner in rows:
+        for *_, value in plain_candidates(text):
+            held[value].add((owner, text))
+    copied = set()
+    for value, places in held.items():
+        owners = {o for o, _ in places}
+        spread = len(owners) >= secret_scan.WIDE_OWNERS and len(places) >= secret_scan.SOME_REPOSITORIES
+        if spread or len(places) >= secret_scan.WIDE_REPOSITORIES:
+            copied.add(value)
+    found = {r.doc_id: r for r in secret_scan.secrets(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i, text, _ in rows:
+        spans, live, copies = [], 0, 0
+        for kind, a, b, value in plain_candidates(text):
+            alive = value not in copied and secret_scan.bits(value) >= secret_scan.LIVE_BITS
+            alive = alive and not secret_scan.is_placeholder(value)
+            if kind < secret_scan.BASE or alive:
+                spans.append((a, kind, f"{secret_scan.KINDS[kind][0]}:{a}:{b}"))
+                live, copies = live + alive, copies + (value in copied)
+        assert found[i].spans == ",".join(s for *_, s in sorted(spans)), text
+        assert (found[i].n_live, found[i].n_copied) == (live, copies), text
+
+
+def test_long_texts_full_of_candidates():
+    draw = random.Random(1)
+    dump = " ".join("%032x" % draw.getrandbits(128) for _ in range(16_000))
+    lines = "\n".join("token: " + "%024x" % draw.getrandbits(96) + "Zz" for _ in range(16_000))
+    for text in (dump, lines):
+        began = time.monotonic()
+        assert len(secret_scan.candidates(text)) >= 16_000
+        assert time.monotonic() - began < 15
