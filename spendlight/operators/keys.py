@@ -6,6 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def with_stable_key(df: DataFrame, key: str, order_by: str, known: DataFrame | None) -> DataFrame:
+    """Give the rows of a unique column the keys in ``known`` (order_by, key); new ones are numbered from there on.
+
+    ``known`` only ever grows: a value keeps its key when others come before it
+    or go. New values are numbered in their order from the largest known key.
+    """
+    if known is None:
+        return with_dense_key(df, key, order_by)
+    known = known.select(order_by, key)
+    top = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("top"))
+    fresh = with_dense_key(df.join(known, order_by, "left_anti"), "_n", order_by)
+    fresh = fresh.withColumn(key, (F.col("_n") + top.scalar()).cast(known.schema[key].dataType)).drop("_n")
+    return df.join(known, order_by).unionByName(fresh)
+
+
 def with_dense_key(df: DataFrame, key: str, order_by: str, slices: int | None = None) -> DataFrame:
     """Number the rows 1..N in the order of a unique column.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spendlight.functions import (
     MONEY_TYPE, calendar_columns, date_key, money_sum, money_units, units_sum, with_metrics,
 )
-from spendlight.operators.keys import with_dense_key
+from spendlight.operators.keys import with_stable_key
 from spendlight.schemas import DIM_CAMPAIGN, DIM_DATE, FACT
 
 
@@ -26,9 +26,17 @@ def date_dimension(days: DataFrame) -> DataFrame:
     ).select(DIM_DATE.fieldNames())
 
 
-def campaign_dimension(campaigns: DataFrame) -> DataFrame:
-    """Campaign attributes with a dense key in the order of ``campaign_id``."""
-    return with_dense_key(campaigns, "campaign_key", "campaign_id").select(DIM_CAMPAIGN.fieldNames())
+def campaign_dimension(campaigns: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Campaign attributes with a dense key in the order of ``campaign_id``, after those in ``known``."""
+    return with_stable_key(campaigns, "campaign_key", "campaign_id", known).select(DIM_CAMPAIGN.fieldNames())
+
+
+def campaign_keys(dim_campaign: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """campaign_id, campaign_key of all campaigns there ever were."""
+    own = dim_campaign.select("campaign_id", "campaign_key")
+    if known is None:
+        return own
+    return known.select(own.columns).unionByName(own.join(known, "campaign_id", "left_anti"))
 
 
 def traffic() -> list[Column]:

@@ -10,15 +10,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendlight.functions import masked_key
 from spendlight.operators import marts, quality, star
-from spendlight.plans import mart_sql
+from spendlight.plans import mart_sql, versions
 from spendlight.schemas import FOREIGN_KEYS, PRIMARY_KEYS, RAW, STAR, required_columns
 from spendlight.session import build_session
 from spendlight.sources import catalog, files
 
 
+KEYS = T.StructType([STAR["dim_campaign"]["campaign_id"], STAR["dim_campaign"]["campaign_key"]])
+BY_DATE = ("fact_campaign_daily", "mart_campaign_daily")
+
+
 def write_star(
     ad_events: DataFrame,
     conversions: DataFrame,
@@ -26,45 +31,37 @@ def write_star(
     days: DataFrame,
     folder: str,
     users: DataFrame | None = None,
-    kept: DataFrame | None = None,
+    known: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Write the star schema below ``folder`` and return it as read back.
 
     The campaign dimension is written first and the fact is built from the
-    written table, so keys are assigned once. ``kept`` are fact rows of an
-    earlier build to take over, ``users`` a masked user dimension.
+    written table, so keys are assigned once. ``known`` are the campaign keys of
+    earlier builds, which stay; ``users`` is a masked user dimension.
     """
     spark = ad_events.sparkSession
     base = folder.rstrip("/")
-    files.write_parquet(star.campaign_dimension(campaigns), f"{base}/dim_campaign")
+    files.write_parquet(star.campaign_dimension(campaigns, known), f"{base}/dim_campaign")
     files.write_parquet(star.date_dimension(days), f"{base}/dim_date")
     if users is not None:
         files.write_parquet(users, f"{base}/dim_users")
     dim_campaign = files.read_parquet(spark, f"{base}/dim_campaign", STAR["dim_campaign"])
+    files.write_parquet(star.campaign_keys(dim_campaign, known), f"{base}/campaign_keys")
     fact = star.campaign_daily_fact(ad_events, conversions, dim_campaign)
-    if kept is not None:
-        fact = fact.unionByName(_rekeyed(kept, dim_campaign))
     files.write_by_date(fact, f"{base}/fact_campaign_daily", whole=True)
     return read_star(spark, folder)
 
 
-def _rekeyed(fact: DataFrame, dim_campaign: DataFrame) -> DataFrame:
-    """Fact rows that carry campaign_id, under the keys of a new dimension."""
-    keys = dim_campaign.select("campaign_id", "campaign_key")
-    return fact.drop("campaign_key").join(keys, "campaign_id", "left").select(STAR["fact_campaign_daily"].fieldNames())
-
-
 def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: files.read_parquet(spark, f"{folder.rstrip('/')}/{name}", schema) for name, schema in STAR.items()}
 
 
-def register_star(spark: SparkSession, database: str, folder: str, version: str | None = None) -> None:
-    """Register the star's folders as tables, under their own names or those of a version."""
+def register_star(spark: SparkSession, database: str, folder: str) -> None:
+    """Register the star's folders as tables under their own names."""
     catalog.create_database(spark, database)
     for name, schema in STAR.items():
         partition = "date" if name == "fact_campaign_daily" else None
-        table = catalog.versioned(name, version) if version else name
-        catalog.register_parquet(spark, database, table, f"{folder.rstrip('/')}/{name}", schema, partition)
+        catalog.register_parquet(spark, database, name, f"{folder.rstrip('/')}/{name}", schema, partition)
 
 
 def build_marts(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -85,13 +82,10 @@ def write_marts(spark: SparkSession, built: dict[str, DataFrame], folder: str, d
     """Write each mart once as Parquet, register it as a version, and export it as CSV."""
     base = folder.rstrip("/")
     for name, mart in built.items():
-        path, partition = f"{base}/marts/{name}", "date" if "date" in mart.columns else None
-        if partition:
-            files.write_by_date(mart, path, whole=True)
-        else:
-            files.write_parquet(mart, path)
+        path = f"{base}/marts/{name}"
+        files.write_parquet(mart, path)
         written = files.read_parquet(spark, path, mart.schema)
-        catalog.register_parquet(spark, database, catalog.versioned(name, version), path, mart.schema, partition)
+        catalog.register_parquet(spark, database, catalog.versioned(name, version), path, mart.schema)
         if name in SMALL_MARTS:
             order = [c for c in ("year", "month", "channel") if c in written.columns]
             files.export_csv(written.orderBy(*order), f"{base}/csv/{name}")
@@ -99,6 +93,31 @@ def write_marts(spark: SparkSession, built: dict[str, DataFrame], folder: str, d
             files.write_csv(written, f"{base}/csv/{name}")
 
 
+def write_days(
+    spark: SparkSession, days: dict[str, DataFrame], folder: str, database: str, version: str,
+    dates: tuple[str, str] | None,
+) -> dict[str, DataFrame]:
+    """Register a version of the tables by date, and give them whole.
+
+    ``days`` are the rows of this run's dates, written below ``folder``. The
+    other dates are those of the published version, whose folders the manifest of
+    this one names.
+    """
+    output = folder.rstrip("/").rsplit("/", 1)[0]
+    before = catalog.published_version(spark, database, "fact_campaign_daily") if dates else None
+    old = versions.manifest(spark, output, before) if before else None
+    places = {name: f"{folder.rstrip('/')}/{name}" for name in days}
+    found = [versions.day_folders(spark, name, places[name], rows.schema) for name, rows in days.items()]
+    new = found[0]
+    for more in found[1:]:
+        new = new.unionByName(more)
+    first, last = dates or (None, None)
+    versions.write_manifest(versions.merged_days(old, new, first, last), output, version)
+    for name, rows in days.items():
+        versions.register(spark, database, name, version, output, rows.schema, places[name])
+    return {name: spark.table(f"`{database}`.`{catalog.versioned(name, version)}`") for name in days}
+
+
 def check_star(tables: dict[str, DataFrame]) -> DataFrame:
     """Constraints of the star schema, checked over all rows."""
     reports = [
@@ -122,42 +141,73 @@ def run(
     raw_folder: str,
     output: str,
     database: str,
-    salt: str = "",
+    salt: str,
     dates: tuple[str, str] | None = None,
     version: str | None = None,
 ) -> DataFrame:
-    """Run every step and return the check report of the star schema.
-
-    Each run writes a folder of its own below ``output``, named by ``version``,
-    and lets the published names show it once everything is written; a run that
-    fails before leaves the last one as it was. With ``dates`` (first and last,
-    included) only these days are read from the raw tables and the others are
-    taken over from what is published. User ids of the users, ad events and
-    conversions are masked with ``salt`` before anything else sees them.
+    """Run every step on raw CSV tables and return the check report of the star schema; see ``update``.
+
+    User ids of the users, ad events and conversions are masked with ``salt``
+    before anything else sees them. An empty salt is refused: plain digests of
+    ids are found by trying them.
     """
-    version = version or uuid.uuid4().hex[:12]
-    folder = f"{output.rstrip('/')}/{version}"
+    if not salt:
+        raise ValueError("a salt is needed to mask user ids")
     raw = {name: files.read_raw(spark, raw_folder, name) for name in RAW if name != "dim_advertisers"}
     users, ads, sold = (masked_key(raw[t], salt) for t in ("dim_users", "fact_ad_events", "fact_conversions"))
-    kept = None
+    days = raw["dim_time"].select("date_id")
+    return update(spark, ads, sold, raw["dim_campaigns"], days, output, database, users, dates, version)
+
+
+def update(
+    spark: SparkSession,
+    ad_events: DataFrame,
+    conversions: DataFrame,
+    campaigns: DataFrame,
+    days: DataFrame,
+    output: str,
+    database: str,
+    users: DataFrame | None = None,
+    dates: tuple[str, str] | None = None,
+    version: str | None = None,
+) -> DataFrame:
+    """Build and publish a version of the star schema and its marts; gives the check report.
+
+    Each version writes a folder of its own below ``output`` and the published
+    names show it once everything is written; one that fails before leaves the last
+    as it was. With ``dates`` (first and last, included) only these days are read
+    from the raw tables and written; the others stay in the folders they are in.
+    Campaigns keep the keys they once got. Versions that are no longer wanted
+    go by ``versions.expire``.
+    """
+    version = version or uuid.uuid4().hex[:12]
+    folder = f"{output.rstrip('/')}/{version}"
     if dates:
         first, last = (F.lit(d).cast("date") for d in dates)
-        ads = ads.where(F.col("event_date").between(first, last))
-        sold = sold.where(F.col("conversion_date").between(first, last))
-        if published(spark, database):
-            old = spark.table(f"`{database}`.`fact_campaign_daily`")
-            names = spark.table(f"`{database}`.`dim_campaign`").select("campaign_key", "campaign_id")
-            kept = old.where(~F.col("date").between(first, last)).join(names, "campaign_key", "left")
-    tables = write_star(ads, sold, raw["dim_campaigns"], raw["dim_time"].select("date_id"), folder, users, kept)
-    register_star(spark, database, folder, version)
-    users_table = catalog.versioned("dim_users", version)
-    catalog.register_parquet(spark, database, users_table, f"{folder}/dim_users", RAW["dim_users"])
-    built = build_marts(tables)
+        ad_events = ad_events.where(F.col("event_date").between(first, last))
+        conversions = conversions.where(F.col("conversion_date").between(first, last))
+    catalog.create_database(spark, database)
+    known = spark.table(f"`{database}`.`campaign_keys`") if published(spark, database) else None
+    tables = write_star(ad_events, conversions, campaigns, days, folder, users, known)
+    plain = {"dim_campaign": STAR["dim_campaign"], "dim_date": STAR["dim_date"], "campaign_keys": KEYS}
+    if users is not None:
+        plain["dim_users"] = users.schema
+    for name, schema in plain.items():
+        catalog.register_parquet(spark, database, catalog.versioned(name, version), f"{folder}/{name}", schema)
+    daily = marts.campaign_daily(tables["fact_campaign_daily"])
+    files.write_by_date(daily, f"{folder}/mart_campaign_daily", whole=True)
+    rows = {"fact_campaign_daily": tables["fact_campaign_daily"], "mart_campaign_daily": daily}
+    whole = write_days(spark, rows, folder, database, version, dates)
+    tables["fact_campaign_daily"] = whole["fact_campaign_daily"]
+    built = {name: mart for name, mart in build_marts(tables).items() if name not in BY_DATE}
     write_marts(spark, built, folder, database, version)
-    for name in ["dim_users", *STAR, *built]:
+    files.write_csv(daily, f"{folder}/csv/mart_campaign_daily")
+    for name in [*plain, *BY_DATE, *built]:
         catalog.publish(spark, database, name, version)
-    masked = files.read_parquet(spark, f"{folder}/dim_users", RAW["dim_users"])
-    return check_star(tables).unionByName(quality.masked_ids(masked))
+    report = check_star(tables)
+    if users is not None:
+        report = report.unionByName(quality.masked_ids(files.read_parquet(spark, f"{folder}/dim_users", users.schema)))
+    return report
 
 
 def run_sql_marts(spark: SparkSession, database: str, output: str) -> None:
@@ -171,7 +221,7 @@ def main() -> None:
     parser.add_argument("raw_folder", help="folder or URI with the raw CSV tables")
     parser.add_argument("output", help="folder or URI for the star schema and the marts")
     parser.add_argument("--database", default="spendlight")
-    parser.add_argument("--salt", default="", help="salt of the masks of user ids")
+    parser.add_argument("--salt", required=True, help="salt of the masks of user ids")
     parser.add_argument("--dates", nargs=2, metavar=("FIRST", "LAST"), help="read only these days again")
     args = parser.parse_args()
     spark = build_session("spendlight build")

@@ -38,6 +38,31 @@ def register_parquet(
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
 
 
+def register_days(
+    spark: SparkSession,
+    database: str,
+    table: str,
+    location: str,
+    schema: T.StructType,
+    partition_by: str,
+    folders: list[tuple[str, str]],
+) -> None:
+    """Register a partitioned external table whose partitions lie in the given folders: (value, folder).
+
+    Nothing is listed but what a query reads: partitions are known by name.
+    """
+    name = f"`{database}`.`{table}`"
+    fields = [f for f in schema if f.name != partition_by] + [schema[partition_by]]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (`{partition_by}`)"
+        f" LOCATION '{location}'"
+    )
+    for i in range(0, len(folders), 500):
+        parts = " ".join(f"PARTITION (`{partition_by}` = '{v}') LOCATION '{place}'" for v, place in folders[i : i + 500])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+
+
 def publish(spark: SparkSession, database: str, table: str, version: str) -> None:
     """Let the view ``table`` show the version registered as ``table__version``.
 
@@ -45,7 +70,17 @@ def publish(spark: SparkSession, database: str, table: str, version: str) -> Non
     new ones, and a query that has begun goes on over the old files.
     """
     source = f"`{database}`.`{versioned(table, version)}`"
-    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{table}` AS SELECT * FROM {source}")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW `{database}`.`{table}` TBLPROPERTIES ('version' = '{version}') AS SELECT * FROM {source}"
+    )
+
+
+def published_version(spark: SparkSession, database: str, table: str) -> str | None:
+    """The version that a published view shows; None where there is no such view."""
+    if not spark.catalog.tableExists(f"`{database}`.`{table}`"):
+        return None
+    found = spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{table}`").where("key = 'version'").first()
+    return found.value if found else None
 
 
 def versioned(table: str, version: str) -> str:

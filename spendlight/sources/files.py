@@ -76,6 +76,25 @@ def write_by_date(
     )
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Paths right below a folder, on any file system that Spark knows; none where there is no such folder."""
+    place, system = _place(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(f"{path.rstrip('/')}/{found.getPath().getName()}" for found in system.listStatus(place))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all below it."""
+    place, system = _place(spark, path)
+    system.delete(place, True)
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """A folder of headered CSV parts, written in parallel."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -9,8 +9,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from spendlight.functions import masked_key
-from spendlight.operators import marts, periods
-from spendlight.plans import build, mart_sql
+from spendlight.operators import marts, periods, star
+from spendlight.operators.keys import with_stable_key
+from spendlight.plans import build, mart_sql, versions
 from spendlight.schemas import RAW, STAR
 from spendlight.session import scratch_dir
 from spendlight.sources import catalog, files
@@ -113,7 +114,7 @@ def test_masked_users_join_masked_events(spark, done):
 
 def test_a_failed_run_leaves_the_published_tables(spark, monkeypatch):
     output, raw = scratch_dir(spark, "out"), write_raw(spark, raw_rows())
-    build.run(spark, raw, output, "spendlight_safe", version="v1")
+    build.run(spark, raw, output, "spendlight_safe", "salt", version="v1")
     before = sorted(spark.table("spendlight_safe.mart_channel_summary").collect())
 
     def stop(*args):
@@ -122,35 +123,109 @@ def test_a_failed_run_leaves_the_published_tables(spark, monkeypatch):
     fewer = raw_rows()
     fewer["fact_ad_events"] = fewer["fact_ad_events"][:100]
     raw = write_raw(spark, fewer)
-    for step in ("write_marts", "register_star"):
+    for step in ("write_marts", "write_days"):
         with monkeypatch.context() as patch:
             patch.setattr(build, step, stop)
             with pytest.raises(RuntimeError):
-                build.run(spark, raw, output, "spendlight_safe", version=f"failed_{step}")
+                build.run(spark, raw, output, "spendlight_safe", "salt", version=f"failed_{step}")
         assert sorted(spark.table("spendlight_safe.mart_channel_summary").collect()) == before
-    build.run(spark, raw, output, "spendlight_safe", version="v2")
+    build.run(spark, raw, output, "spendlight_safe", "salt", version="v2")
     after = spark.table("spendlight_safe.mart_channel_summary").selectExpr("sum(total_impressions + total_clicks)")
     assert after.first()[0] == 100
 
 
 def test_a_run_over_some_dates_takes_the_others_over(spark):
     output, rows = scratch_dir(spark, "out"), raw_rows()
-    build.run(spark, write_raw(spark, rows), output, "spendlight_dates", version="v1")
+    build.run(spark, write_raw(spark, rows), output, "spendlight_dates", "salt", version="v1")
     clicks = lambda df: {r.date: r.n for r in df.groupBy("date").agg(F.sum("clicks").alias("n")).collect()}
     old = clicks(spark.table("spendlight_dates.fact_campaign_daily"))
     late = ("ev_late", DAYS[3], "camp_3", "Google", "click", "u1", "mobile", "US", 1.0, 0.0, 0)
-    # A new campaign sorts first and so moves every key.
+    # A new campaign sorts first, and yet moves no key.
     first = ("camp_", "Campaign x", "adv_001", "Meta", "performance", "active", FIRST, DAYS[-1], 500)
     rows["dim_campaigns"].append(first)
     rows["fact_ad_events"] = [r for r in rows["fact_ad_events"] if r[1] == DAYS[3]] + [late]
     day = ("2026-01-04", "2026-01-04")
-    report = build.run(spark, write_raw(spark, rows), output, "spendlight_dates", dates=day, version="v2")
+    report = build.run(spark, write_raw(spark, rows), output, "spendlight_dates", "salt", dates=day, version="v2")
     assert [r for r in report.collect() if r.n_failed] == []
     fact = spark.table("spendlight_dates.fact_campaign_daily")
     assert clicks(fact) == old | {DAYS[3]: old[DAYS[3]] + 1}
     names = spark.table("spendlight_dates.dim_campaign").select("campaign_key", "campaign_id")
     named = fact.join(names, "campaign_key")
     assert named.select("campaign_id").distinct().count() == 4 and named.count() == fact.count()
+    keys = {r.campaign_id: r.campaign_key for r in names.collect()}
+    assert keys == {"camp_0": 1, "camp_1": 2, "camp_2": 3, "camp_3": 4, "camp_": 5}
+
+
+def day_files(spark, folder):
+    return sorted(p.rsplit("/", 1)[1] for p in files.children(spark, folder) if "date=" in p)
+
+
+def test_a_run_over_a_day_writes_that_day_alone(spark):
+    output, rows, name = scratch_dir(spark, "out"), raw_rows(), "spendlight_days"
+    build.run(spark, write_raw(spark, rows), output, name, "salt", version="v1")
+    reader = spark.table(f"{name}.fact_campaign_daily")
+    before = sorted(reader.collect())
+    rows["fact_ad_events"] = [r for r in rows["fact_ad_events"] if r[1] == DAYS[3]][:5]
+    rows["fact_conversions"] = []
+    day = ("2026-01-04", "2026-01-04")
+    build.run(spark, write_raw(spark, rows), output, name, "salt", dates=day, version="v2")
+    for table in build.BY_DATE:
+        assert day_files(spark, f"{output}/v1/{table}") == [f"date={d}" for d in DAYS]
+        assert day_files(spark, f"{output}/v2/{table}") == ["date=2026-01-04"]
+        assert spark.table(f"{name}.{table}").count() == len(before)
+    used = spark.table(f"{name}.fact_campaign_daily").inputFiles()
+    assert sum("/v1/" in f for f in used) and sum("/v2/" in f for f in used) == 1
+    pruned = spark.table(f"{name}.fact_campaign_daily").where("date = date'2026-01-04'")
+    assert all("/v2/" in f for f in pruned.inputFiles()) or "PartitionFilters: [isnotnull(date" in plan_of(pruned)
+    # A reader of the old version goes on.
+    assert sorted(reader.collect()) == before
+    assert sorted(spark.table(f"{name}.fact_campaign_daily__v1").collect()) == before
+    marts_now = {r.channel: r.total_impressions + r.total_clicks for r in spark.table(f"{name}.mart_channel_summary").collect()}
+    assert sum(marts_now.values()) == 360 + 5
+    # A day that lost all its rows is gone.
+    rows["fact_ad_events"] = []
+    build.run(spark, write_raw(spark, rows), output, name, "salt", dates=day, version="v3")
+    assert spark.table(f"{name}.fact_campaign_daily").where("date = date'2026-01-04'").count() == 0
+    assert spark.table(f"{name}.fact_campaign_daily").select("date").distinct().count() == 9
+
+
+def test_versions_expire_but_for_the_days_still_in_use(spark):
+    output, rows, name = scratch_dir(spark, "out"), raw_rows(), "spendlight_expire"
+    raw = write_raw(spark, rows)
+    build.run(spark, raw, output, name, "salt", version="v1")
+    for i, version in enumerate(("v2", "v3", "v4")):
+        day = DAYS[i].isoformat()
+        build.run(spark, raw, output, name, "salt", dates=(day, day), version=version)
+    before = sorted(spark.table(f"{name}.fact_campaign_daily").collect())
+    assert sorted(versions.expire(spark, name, output, keep=1)) == ["v1", "v2", "v3"]
+    assert sorted(spark.table(f"{name}.fact_campaign_daily").collect()) == before
+    assert day_files(spark, f"{output}/v1/fact_campaign_daily") == [f"date={d}" for d in DAYS[3:]]
+    assert not files.children(spark, f"{output}/v1/dim_campaign") and files.children(spark, f"{output}/v4/dim_campaign")
+    assert not spark.catalog.tableExists(f"{name}.fact_campaign_daily__v2")
+    assert versions.expire(spark, name, output, keep=1) == []
+    build.run(spark, raw, output, name, "salt", version="v5")
+    assert versions.expire(spark, name, output, keep=1) == ["v4"]
+    assert sorted(spark.table(f"{name}.fact_campaign_daily").collect()) == before
+
+
+def test_keys_stay_when_campaigns_come_and_go(spark):
+    table = lambda ids: spark.createDataFrame([(i,) for i in ids], "campaign_id string")
+    known, seen = None, {}
+    for ids in (["b", "d"], ["a", "b", "c", "d"], ["c", "e"], ["a", "b", "d", "0"], []):
+        dim = with_stable_key(table(ids), "campaign_key", "campaign_id", known)
+        now = {r.campaign_id: r.campaign_key for r in dim.collect()}
+        assert sorted(now) == sorted(ids)
+        assert all(seen.get(i, k) == k for i, k in now.items())
+        seen |= now
+        rows = [(r.campaign_id, r.campaign_key) for r in star.campaign_keys(dim, known).collect()]
+        known = spark.createDataFrame(rows, "campaign_id string, campaign_key long")
+        assert dict(rows) == seen
+    assert seen == {"b": 1, "d": 2, "a": 3, "c": 4, "e": 5, "0": 6}
+
+
+def test_an_empty_salt_is_refused(spark):
+    with pytest.raises(ValueError):
+        build.run(spark, "nowhere", "nowhere", "nowhere", "")
 
 
 def test_long_exports_are_refused(spark):
