@@ -22,14 +22,14 @@ from pyspark.sql import types as T  # noqa: E402
 
 import oracles  # noqa: E402
 from spendlight.functions import calendar_columns  # noqa: E402
-from spendlight.operators import forecast, marts, periods, quality, reports, star  # noqa: E402
+from spendlight.operators import distinct, forecast, marts, periods, quality, reports, star  # noqa: E402
 from spendlight.plans import build, mart_sql  # noqa: E402
 from spendlight.schemas import (  # noqa: E402
     DIM_CAMPAIGN, DIM_DATE, FACT, FOREIGN_KEYS, PRIMARY_KEYS, RAW, required_columns,
 )
 from spendlight.session import scratch_dir  # noqa: E402
 from spendlight.sources import adapters, files  # noqa: E402
-from spendlight.streaming import daily as stream  # noqa: E402
+from spendlight.streaming import closed, daily as stream  # noqa: E402
 
 try:  # the one place that allows for a library without its text operators
     import corpus_pipeline
@@ -255,6 +255,55 @@ def stream_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(stream.daily_metrics(spark, folder))
 
 
+def _event_stream(session: SparkSession, sf_dir: str) -> DataFrame:
+    # A stream takes a single file only as a glob.
+    source = session.readStream.schema(adapters.SCHEMAS["events"]).parquet(f"{sf_dir}/events.parque[t]")
+    return adapters.contributions_of(source).drop("slot")
+
+
+def stream_closed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of the days that the watermark has closed, each emitted once."""
+    session, folder = stream.streaming_session(spark), scratch_dir(spark, "closed")
+    closed.start(_event_stream(session, sf_dir), folder).awaitTermination()
+    return _plain(closed.read_closed(spark, folder))
+
+
+def stream_roas_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One alert each time a campaign's ROAS so far falls below 1.0, on closed days."""
+    session, folder = stream.streaming_session(spark), scratch_dir(spark, "alerts")
+    closed.start(_event_stream(session, sf_dir), folder).awaitTermination()
+    closed.start_alerts(session, folder).awaitTermination()
+    return _plain(closed.read_alerts(spark, folder))
+
+
+def dim_campaign_stable(m: Model) -> DataFrame:
+    """The campaign dimension of a second build, when the paused campaigns are new: the others keep their keys."""
+    first = star.campaign_dimension(m.raw.campaigns.where("status <> 'paused'"))
+    return star.campaign_dimension(m.raw.campaigns, star.campaign_keys(first))
+
+
+def incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published fact after a build without conversions and one that reads the days from the 15th on again."""
+    raw = adapters.from_events(spark, sf_dir)
+    output, database = scratch_dir(spark, "versions"), f"spendlight_{uuid.uuid4().hex[:12]}"
+    days, since = star.days_between(raw.span), F.lit("2024-01-15").cast("date")
+    before = raw.conversions.where(F.col("conversion_date") < since)
+    build.update(spark, raw.ad_events, before, raw.campaigns, days, output, database, version="v1")
+    again = ("2024-01-15", "9999-12-31")
+    build.update(
+        spark, raw.ad_events, raw.conversions, raw.campaigns, days, output, database, dates=again, version="v2"
+    )
+    return _plain(spark.table(f"{database}.fact_campaign_daily"))
+
+
+def distinct_campaigns_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaigns per channel and period, from the bitmaps of days alone, which are written once."""
+    path = scratch_dir(spark, "bitmaps")
+    fact = Model(adapters.from_events(spark, sf_dir)).fact
+    files.write_parquet(distinct.key_bitmaps(fact, "date", "channel"), path)
+    return distinct.campaigns_by_period(files.read_parquet(spark, path))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: the channel mart, straight from the raw tables."""
     return queries()["mart_channel_summary"](spark, "/root/testdata/sf0.001")
@@ -269,6 +318,7 @@ def ad_queries() -> dict[str, Query]:
         # star schema
         "dim_date": _a(lambda m: m.dim_date),
         "dim_campaign": _a(lambda m: m.dim_campaign),
+        "dim_campaign_stable": _a(dim_campaign_stable),
         "event_agg": _a(lambda m: star.event_rollup(m.raw.ad_events)),
         "conv_agg": _a(lambda m: star.conversion_rollup(m.raw.conversions)),
         "fact_campaign_daily": _a(lambda m: m.fact),
@@ -326,6 +376,7 @@ def ad_queries() -> dict[str, Query]:
         "weekly_summary": _a(lambda m: periods.weekly_summary(m.fact)),
         "roas_vs_prior_month": _a(lambda m: periods.with_prior_month(m.monthly)),
         "roas_vs_prior_month_b": _b(lambda m: periods.with_prior_month(m.monthly)),
+        "distinct_campaigns_by_period": distinct_campaigns_by_period,
         "roas_by_geo": roas_by_geo,
         "traffic_by_event_geo": traffic_by_event_geo,
         "traffic_by_device": _a(lambda m: periods.traffic_by_device(m.raw.ad_events)),
@@ -367,6 +418,9 @@ def ad_queries() -> dict[str, Query]:
         "partition_pruned_scan": partition_pruned_scan,
         "catalog_registered_fact": catalog_registered_fact,
         "stream_daily_metrics": stream_daily_metrics,
+        "stream_closed_days": stream_closed_days,
+        "stream_roas_alerts": stream_roas_alerts,
+        "incremental_fact": incremental_fact,
     }
 
 

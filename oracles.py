@@ -362,6 +362,18 @@ _DOMAINS = {
 _USER_IDS = f"(SELECT {_mask('c_name')} AS user_id, c_name AS raw_name FROM customer)"
 
 
+# Days that end a day or more before the newest one.
+_CLOSED = (
+    "(SELECT COALESCE(campaign_id, c_id) AS campaign_id, COALESCE(event_date, conversion_date) AS date,"
+    " COALESCE(impressions + clicks, 0) AS ad_rows, COALESCE(spend_usd, 0) AS spend_usd,"
+    " COALESCE(impressions, 0) AS impressions, COALESCE(clicks, 0) AS clicks, COALESCE(orders, 0) AS orders,"
+    " COALESCE(revenue_usd, 0) AS revenue_usd, COALESCE(new_customers, 0) AS new_customers"
+    " FROM (SELECT * FROM event_agg e FULL JOIN (SELECT campaign_id AS c_id, * EXCLUDE (campaign_id) FROM conv_agg) c"
+    " ON e.campaign_id = c.c_id AND e.event_date = c.conversion_date)"
+    " WHERE COALESCE(event_date, conversion_date) <= (SELECT last_day - 2 FROM span))"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     fact_table = {"fact": "fact_campaign_daily"}
     device = "['phone', 'laptop', 'pad'][user_id % 3 + 1]"
@@ -605,6 +617,31 @@ def oracle_sql() -> dict[str, str]:
         "scan_fact": _a(_FACT),
         "partition_pruned_scan": _a(f"{_FACT} WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-16'"),
         "catalog_registered_fact": _a(_FACT),
+        "dim_campaign_stable": _a(
+            "SELECT * REPLACE (ROW_NUMBER() OVER (ORDER BY status = 'paused', campaign_id) AS campaign_key)"
+            " FROM dim_campaign"
+        ),
+        "incremental_fact": _a(_FACT),
+        "distinct_campaigns_by_period": _a(" UNION ALL ".join(
+            f"SELECT '{period}' AS period, CAST({start} AS DATE) AS first_day, channel,"
+            " COUNT(DISTINCT campaign_key) AS campaigns FROM fact GROUP BY ALL"
+            for period, start in (
+                ("day", "date"), ("week", "date_trunc('week', date)"), ("month", "date_trunc('month', date)"),
+                ("all", "NULL"),
+            )
+        )),
+        "stream_closed_days": _a(
+            f"SELECT campaign_id, date, ad_rows, {_dbl('spend_usd')}, impressions, clicks, orders,"
+            f" {_dbl('revenue_usd')}, new_customers FROM {_CLOSED}"
+        ),
+        "stream_roas_alerts": _a(
+            f"SELECT campaign_id, date, {_dbl('spend_usd')}, {_dbl('revenue_usd')} FROM ("
+            " SELECT *, COALESCE(LAG(below) OVER (PARTITION BY campaign_id ORDER BY date), FALSE) AS was FROM ("
+            "  SELECT *, spend_usd > 0 AND revenue_usd < spend_usd AS below FROM ("
+            "   SELECT campaign_id, date, SUM(spend_usd) OVER w AS spend_usd, SUM(revenue_usd) OVER w AS revenue_usd"
+            f"   FROM {_CLOSED} WINDOW w AS (PARTITION BY campaign_id ORDER BY date))))"
+            " WHERE below AND NOT was"
+        ),
         "stream_daily_metrics": _a(
             f"SELECT campaign_id, date, {_FACT_MEASURES}, {_as(_FACT_METRICS)} FROM ("
             " SELECT e.campaign_id, e.event_date AS date, e.spend_usd, e.impressions, e.clicks,"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date as Date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -186,15 +188,28 @@ def ranked_by_roas(campaigns: DataFrame, k: int, best: bool = True) -> DataFrame
     )
 
 
+def _day_of(key: int, month: int, day: int) -> Column:
+    """The day of a date key; the given day of its year for one that is no day."""
+    try:
+        found = Date(key // 10_000, key // 100 % 100, key % 100)
+    except ValueError:
+        found = Date(min(max(key // 10_000, 1), 9999), month, day)
+    return F.lit(found.isoformat()).cast("date")
+
+
 def roas_filtered(
     fact: DataFrame, dim_campaign: DataFrame, channel: str, campaign_type: str, first_key: int, last_key: int
 ) -> DataFrame:
-    """ROAS of one channel and campaign type between two date keys."""
+    """ROAS of one channel and campaign type between two date keys.
+
+    The keys are also a range of dates, so a fact stored by date reads these folders alone.
+    """
     chosen = dim_campaign.where((F.col("channel") == channel) & (F.col("campaign_type") == campaign_type)).select(
         "campaign_key"
     )
     totals = (
         fact.where(F.col("date_key").between(first_key, last_key))
+        .where(F.col("date").between(_day_of(first_key, 1, 1), _day_of(last_key, 12, 31)))
         .select("campaign_key", "spend_usd", "revenue_usd")
         .join(chosen, "campaign_key")
         .agg(F.sum("spend_usd").alias("spend_usd"), F.sum("revenue_usd").alias("revenue_usd"))

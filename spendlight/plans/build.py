@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from spendlight.functions import masked_key
 from spendlight.operators import marts, quality, star
+from spendlight.operators.joins import broadcast_if_small
 from spendlight.plans import mart_sql, versions
 from spendlight.schemas import FOREIGN_KEYS, PRIMARY_KEYS, RAW, STAR, required_columns
 from spendlight.session import build_session
@@ -47,7 +48,8 @@ def write_star(
         files.write_parquet(users, f"{base}/dim_users")
     dim_campaign = files.read_parquet(spark, f"{base}/dim_campaign", STAR["dim_campaign"])
     files.write_parquet(star.campaign_keys(dim_campaign, known), f"{base}/campaign_keys")
-    fact = star.campaign_daily_fact(ad_events, conversions, dim_campaign)
+    # Where the written dimension is small, the cells meet it without another shuffle.
+    fact = star.campaign_daily_fact(ad_events, conversions, broadcast_if_small(dim_campaign))
     files.write_by_date(fact, f"{base}/fact_campaign_daily", whole=True)
     return read_star(spark, folder)
 

@@ -71,7 +71,8 @@ def publish(spark: SparkSession, database: str, table: str, version: str) -> Non
     """
     source = f"`{database}`.`{versioned(table, version)}`"
     spark.sql(
-        f"CREATE OR REPLACE VIEW `{database}`.`{table}` TBLPROPERTIES ('version' = '{version}') AS SELECT * FROM {source}"
+        f"CREATE OR REPLACE VIEW `{database}`.`{table}` TBLPROPERTIES ('version' = '{version}')"
+        f" AS SELECT * FROM {source}"
     )
 
 

@@ -44,7 +44,8 @@ STREAM_CONF = {"spark.sql.session.timeZone": "UTC"}
 def streaming_session(spark: SparkSession) -> SparkSession:
     """A session on the same cluster with streaming settings of its own."""
     session = spark.newSession()
-    for key, value in STREAM_CONF.items():
+    partitions = "spark.sql.shuffle.partitions"
+    for key, value in {**STREAM_CONF, partitions: spark.conf.get(partitions)}.items():
         session.conf.set(key, value)
     return session
 

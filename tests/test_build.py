@@ -180,8 +180,8 @@ def test_a_run_over_a_day_writes_that_day_alone(spark):
     # A reader of the old version goes on.
     assert sorted(reader.collect()) == before
     assert sorted(spark.table(f"{name}.fact_campaign_daily__v1").collect()) == before
-    marts_now = {r.channel: r.total_impressions + r.total_clicks for r in spark.table(f"{name}.mart_channel_summary").collect()}
-    assert sum(marts_now.values()) == 360 + 5
+    mart = spark.table(f"{name}.mart_channel_summary").selectExpr("sum(total_impressions + total_clicks)")
+    assert mart.first()[0] == 360 + 5
     # A day that lost all its rows is gone.
     rows["fact_ad_events"] = []
     build.run(spark, write_raw(spark, rows), output, name, "salt", dates=day, version="v3")
