@@ -15,11 +15,14 @@ from pyspark.sql import types as T
 from spendlight.llm.components import components
 from spendlight.llm.store import stored
 
-#: Vectors of a leaf of the sequence, and intervals that one interval splits into.
-LEAF = 128
-FAN = 8
+#: Vectors of a leaf of the sequence, of a run inside a leaf, and intervals that one interval splits into.
+LEAF = 1024
+RUN = 32
+FAN = 32
+#: Leaves of a part of the sequence, about.
+PART = 16
 #: Leading principal dimensions of the grid, and the rows they are fitted on at most.
-GRID_DIMS = 6
+GRID_DIMS = 16
 FIT_ROWS = 4096
 #: Room for rounding in the bounds; it only lets through more pairs, which are then compared exactly.
 SLACK = 1e-6
@@ -47,29 +50,44 @@ def _directions(nodes: DataFrame, dims: int) -> dict[int, np.ndarray]:
     return {n: np.linalg.svd(np.array(vs), full_matrices=False)[2][:dims] for n, vs in by_length.items()}
 
 
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    """Vectors of one length as rows, in doubles."""
+    return vectors.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+
+
 def _placed(nodes: DataFrame, eps: float, dims: int) -> DataFrame:
-    """Add a vector's place in the leading dimensions (at0, at1, ..) and the grid cell of it (cell0, cell1, ..)."""
+    """Add the grid cell of a vector in the leading dimensions (cells) and its spot, 32-bit floats.
+
+    A spot is the place of the unit vector in the leading dimensions and, last, the
+    length of what they leave out. Spots are never further apart than the unit
+    vectors, so what is too distant as spots is so as vectors.
+    """
     directions = nodes.sparkSession.sparkContext.broadcast(_directions(nodes, dims))
+    cell = max(eps, 1e-3)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spots = np.zeros((len(batch), dims))
-            for i, values in enumerate(batch.column(batch.schema.get_field_index("vector")).to_pylist()):
-                v = np.array(values, np.float64)
-                axes = directions.value.get(len(v))
+            spots = np.zeros((len(batch), dims + 1))
+            vectors, lengths = batch.column("vector"), batch.column("length").to_numpy()
+            for length in np.unique(lengths):
+                at = np.flatnonzero(lengths == length)
+                raw = _matrix(vectors.take(pa.array(at)))
+                unit = raw / np.abs(raw).max(axis=1, keepdims=True)
+                unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+                axes = directions.value.get(length)
                 if axes is None:  # no vector of this length in the sample: its first coordinates
-                    axes = np.eye(min(dims, len(v)), len(v))
-                spots[i, : len(axes)] = axes @ (v / np.linalg.norm(v))
-            cells = np.floor(spots / eps).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *map(pa.array, cells.T.copy()), *map(pa.array, spots.T.copy())],
-                names=[*batch.schema.names, *[f"cell{d}" for d in range(dims)], *[f"at{d}" for d in range(dims)]],
-            )
+                    axes = np.eye(min(dims, length), length)
+                spots[at, : len(axes)] = unit @ axes.T
+            spots[:, dims] = np.sqrt(np.maximum(0, 1 - (spots * spots).sum(axis=1)))
+            cells = np.floor(spots[:, :dims] / cell).astype(np.int32)
+            columns = [batch.column(c) for c in kept]
+            columns.append(pa.array(list(cells), pa.list_(pa.int32())))
+            columns.append(pa.array([s.tobytes() for s in spots.astype(np.float32)], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "cells", "spot"])
 
-    schema = T.StructType(list(nodes.schema))
-    for name, kind in [(f"cell{d}", "integer") for d in range(dims)] + [(f"at{d}", "double") for d in range(dims)]:
-        schema = schema.add(name, kind)
-    return nodes.mapInArrow(run, schema)
+    kept = ["node", "label", "length"]
+    schema = T.StructType([nodes.schema[c] for c in kept]).add("cells", T.ArrayType(T.IntegerType())).add("spot", "binary")
+    return nodes.select(*kept, "vector").mapInArrow(run, schema)
 
 
 def _leaves(placed: DataFrame, dims: int) -> DataFrame:
@@ -77,94 +95,132 @@ def _leaves(placed: DataFrame, dims: int) -> DataFrame:
 
     The sequence is range-partitioned; leaves are cut inside a part and at every
     change of label or length, and numbered by part and place, so their order is
-    that of the sequence.
+    that of the sequence. A leaf carries spots only, no vectors.
     """
-    spots = [f"at{d}" for d in range(dims)]
-    parts = max(1, math.ceil(placed.count() / (64 * LEAF)))
-    keys = ["label", "length", *[f"cell{d}" for d in range(dims)], "node"]
+    parts = max(1, math.ceil(placed.count() / (PART * LEAF)))
+    keys = ["label", "length", "cells", "node"]
     ordered = placed.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    size = LEAF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, made, held, kinds = TaskContext.get().partitionId(), 0, [], {}
+        part, made, held, kinds = TaskContext.get().partitionId(), 0, [], []
 
         def leaf() -> pa.RecordBatch:
-            points = np.array([[r[s] for s in spots] for r in held])
-            first, vectors = held[0], np.array([r["vector"] for r in held], np.float64)
-            values = [part << 32 | made, first["label"], first["length"], *points.min(axis=0), *points.max(axis=0)]
-            lists = [[r["node"] for r in held], [r["copies"] for r in held]]
-            columns = [pa.array([v], kinds.get(n)) for n, v in zip(names, values)]
-            columns += [pa.array([x], pa.list_(pa.int64())) for x in lists]
-            return pa.RecordBatch.from_arrays([*columns, pa.array([vectors.tobytes()], pa.binary())], names=names)
+            spots = b"".join(r["spot"] for r in held)
+            points = np.frombuffer(spots, np.float32).reshape(len(held), -1).astype(np.float64)
+            values = [held[0]["label"], held[0]["length"], [*points.min(axis=0)], [*points.max(axis=0)]]
+            types = [*kinds, pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.binary()]
+            values = [part, made, *values, [r["node"] for r in held], spots]
+            columns = [pa.array([v], k) for v, k in zip(values, [pa.int64(), pa.int64(), *types])]
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in batches:
-            kinds |= {k: batch.schema.field(k).type for k in ("label", "length")}
-            for i in range(0, len(batch), LEAF):
-                for row in batch.slice(i, LEAF).to_pylist():
-                    if held and (len(held) == LEAF or any(row[k] != held[0][k] for k in ("label", "length"))):
-                        yield leaf()
-                        made, held = made + 1, []
-                    held.append(row)
+            kinds = [batch.schema.field(k).type for k in ("label", "length")]
+            for row in batch.to_pylist():
+                if held and (len(held) == size or any(row[k] != held[0][k] for k in ("label", "length"))):
+                    yield leaf()
+                    made, held = made + 1, []
+                held.append(row)
         if held:
             yield leaf()
 
-    bounds = [f"lo{d}" for d in range(dims)] + [f"hi{d}" for d in range(dims)]
-    names = ["leaf", "label", "length", *bounds, "nodes", "copies", "vectors"]
-    types = ["long", placed.schema["label"].dataType.simpleString(), "int", *["double"] * 2 * dims]
-    fixed = ", ".join(f"{n} {k}" for n, k in zip(names, types))
-    columns = ["node", "label", "length", "copies", "vector", *spots]
-    return ordered.select(*columns).mapInArrow(run, f"{fixed}, nodes array<long>, copies array<long>, vectors binary")
+    names = ["part", "made", "label", "length", "lo", "hi", "nodes", "spots"]
+    kind = placed.schema["label"].dataType.simpleString()
+    schema = f"part long, made long, label {kind}, length int, lo array<double>, hi array<double>"
+    return ordered.select("node", "label", "length", "spot").mapInArrow(run, f"{schema}, nodes array<long>, spots binary")
 
 
 def _near_leaves(leaves: DataFrame, eps: float, dims: int) -> DataFrame:
-    """Pairs of leaves (a <= b) that may hold a pair within eps: columns a, b.
+    """Pairs of leaves (a <= b) that may hold a pair within eps: columns a, b, places in the sequence.
 
-    Starting with each label's whole sequence against itself, pairs of intervals
-    are split into FAN parts each, and pairs whose boxes in the leading
-    dimensions are further apart than eps are dropped with all that is in them.
+    Starting with the whole sequence of a label against itself, pairs of intervals
+    are split into FAN parts each, and pairs whose boxes of spots are further
+    apart than eps are dropped with all that is in them. Places have gaps
+    between parts, so that no leaf needs to know how many stand before it.
     """
-    lo, hi = [f"lo{d}" for d in range(dims)], [f"hi{d}" for d in range(dims)]
+    lo, hi = [f"lo{d}" for d in range(dims + 1)], [f"hi{d}" for d in range(dims + 1)]
     group = ["label", "length"]
-    # One row per leaf, numbered along the sequence of its label.
     boxes = stored(
-        leaves.select("leaf", *group, *lo, *hi).withColumn(
-            "place", F.expr("row_number() over (partition by label, length order by leaf) - 1")
-        ),
-        "leaf-boxes",
+        leaves.select("place", *group, *[F.col(c[:2])[int(c[2:])].alias(c) for c in lo + hi]), "leaf-boxes"
     )
-    longest = boxes.agg(F.max("place")).first()[0]
-    if longest is None:
-        return boxes.select(F.col("leaf").alias("a"), F.col("leaf").alias("b"))
+    last = boxes.agg(F.max("place")).first()[0]
+    if last is None:
+        return boxes.select(F.col("place").alias("a"), F.col("place").alias("b"))
     depth = 0
-    while longest >= FAN**depth:
+    while last >= FAN**depth:
         depth += 1
     pairs = boxes.select(*group).distinct().withColumns({"a": F.lit(0).cast("long"), "b": F.lit(0).cast("long")})
     for level in range(depth - 1, -1, -1):
-        width = FAN**level
-        at = F.floor(F.col("place") / width).cast("long")
-        level_boxes = boxes.groupBy(*group, at.alias("at")).agg(
+        level_boxes = boxes.groupBy(*group, F.expr(f"place div {FAN**level}").alias("at")).agg(
             *[F.min(c).alias(c) for c in lo], *[F.max(c).alias(c) for c in hi]
         )
-        left = level_boxes.select(
-            *group, F.floor(F.col("at") / FAN).cast("long").alias("a"), F.col("at").alias("x"),
-            *[F.col(c).alias(f"x_{c}") for c in lo + hi],
-        )
-        right = level_boxes.select(
-            *group, F.floor(F.col("at") / FAN).cast("long").alias("b"), F.col("at").alias("y"),
-            *[F.col(c).alias(f"y_{c}") for c in lo + hi],
-        )
+
+        def side(key: str, p: str) -> DataFrame:
+            named = [F.col(c).alias(f"{p}_{c}") for c in lo + hi]
+            return level_boxes.select(*group, F.expr(f"at div {FAN}").alias(key), F.col("at").alias(p), *named)  # noqa: B023
+
         gaps = [
             F.greatest(F.col(f"x_lo{d}") - F.col(f"y_hi{d}"), F.col(f"y_lo{d}") - F.col(f"x_hi{d}"), F.lit(0.0))
-            for d in range(dims)
+            for d in range(dims + 1)
         ]
         apart = sum((g * g for g in gaps[1:]), gaps[0] * gaps[0])
-        joined = pairs.join(left, [*group, "a"]).join(right, [*group, "b"])
+        joined = pairs.join(side("a", "x"), [*group, "a"]).join(side("b", "y"), [*group, "b"])
         near = joined.where((F.col("x") <= F.col("y")) & (apart <= eps * eps + SLACK))
         pairs = stored(near.select(*group, F.col("x").alias("a"), F.col("y").alias("b")), "near-intervals")
-    numbered = boxes.select(*group, F.col("place"), "leaf")
-    first = numbered.select(*group, F.col("place").alias("a"), F.col("leaf").alias("leaf_a"))
-    second = numbered.select(*group, F.col("place").alias("b"), F.col("leaf").alias("leaf_b"))
-    found = pairs.join(first, [*group, "a"]).join(second, [*group, "b"])
-    return found.select(F.col("leaf_a").alias("a"), F.col("leaf_b").alias("b"))
+    return pairs.select("a", "b")
+
+
+def _near_spots(x: np.ndarray, y: np.ndarray, near: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of x and of y have a spot of the other within the square root of ``near``.
+
+    Runs of rows whose boxes are too distant are skipped.
+    """
+    x_starts, y_starts = np.arange(0, len(x), RUN), np.arange(0, len(y), RUN)
+    x_lo, x_hi = np.minimum.reduceat(x, x_starts), np.maximum.reduceat(x, x_starts)
+    y_lo, y_hi = np.minimum.reduceat(y, y_starts), np.maximum.reduceat(y, y_starts)
+    x_hit, y_hit = np.zeros(len(x), bool), np.zeros(len(y), bool)
+    y_run = np.arange(len(y)) // RUN
+    y_squares = (y * y).sum(axis=1)
+    for i, start in enumerate(x_starts):
+        gaps = np.maximum(np.maximum(x_lo[i] - y_hi, y_lo - x_hi[i]), 0)
+        at = np.flatnonzero(((gaps * gaps).sum(axis=1) <= near)[y_run])
+        if not len(at):
+            continue
+        mine = x[start : start + RUN]
+        within = (mine * mine).sum(axis=1)[:, None] + y_squares[at] - 2 * (mine @ y[at].T) <= near
+        if same:
+            within &= at != start + np.arange(len(mine))[:, None]
+        x_hit[start : start + RUN] |= within.any(axis=1)
+        y_hit[at] |= within.any(axis=0)
+    return x_hit, y_hit
+
+
+def _candidates(pairs: DataFrame, leaves: DataFrame, eps: float, dims: int) -> DataFrame:
+    """Vectors of two near leaves that have a spot of the other leaf within eps: a, b, second (of b), node.
+
+    At most one row per vector and pair of leaves, however many spots are near.
+    """
+    near = eps * eps + SLACK
+
+    def side(key: str, p: str) -> DataFrame:
+        return leaves.select(F.col("place").alias(key), F.col("nodes").alias(f"{p}_nodes"), F.col("spots").alias(f"{p}_spots"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                a, b, x_ids, x_spots, y_ids, y_spots = (batch.column(c)[i].as_py() for c in names)
+                x, y = (np.frombuffer(s, np.float32).reshape(-1, dims + 1).astype(np.float64) for s in (x_spots, y_spots))
+                hits = _near_spots(x, y, near, a == b)
+                for second, (ids, hit) in enumerate(zip((x_ids, y_ids), hits)):
+                    found = np.array(ids, np.int64)[hit]
+                    if len(found) and not (second and a == b):
+                        ends = [pa.array([v] * len(found), t) for v, t in zip((a, b, bool(second)), kinds)]
+                        yield pa.RecordBatch.from_arrays([*ends, pa.array(found)], names=["a", "b", "second", "node"])
+
+    names = ["a", "b", "x_nodes", "x_spots", "y_nodes", "y_spots"]
+    kinds = [pa.int64(), pa.int64(), pa.bool_()]
+    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    return both.select(*names).mapInArrow(run, "a long, b long, second boolean, node long")
 
 
 def _roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -181,48 +237,35 @@ def _roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         root = after
 
 
-def _joined(pairs: DataFrame, leaves: DataFrame, threshold: float) -> DataFrame:
-    """Compare the vectors of near leaves: node, links (copies of its partners here), root (a node it hangs on here).
+def _joined(candidates: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Compare the candidates of two leaves: node, links (copies of its partners here), root (a node it hangs on here).
 
-    A pair of leaves gives at most one row per vector, however many links there
-    are between them.
+    A pair of leaves has 2 * LEAF candidates at most and gives at most one row
+    per vector, however many links there are between them.
     """
-    payload = ["nodes", "copies", "vectors", "length"]
-
-    def side(key: str, p: str) -> DataFrame:
-        return leaves.select(F.col("leaf").alias(key), *[F.col(c).alias(f"{p}_{c}") for c in payload])
-
-    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(len(batch)):
-                row = batch.slice(i, 1).to_pylist()[0]
-                same = row["a"] == row["b"]
-                x_ids, y_ids = np.array(row["x_nodes"]), np.array(row["y_nodes"])
-                x = np.frombuffer(row["x_vectors"]).reshape(len(x_ids), -1)
-                y = np.frombuffer(row["y_vectors"]).reshape(len(y_ids), -1)
-                norms = np.outer(np.sqrt((x * x).sum(axis=1)), np.sqrt((y * y).sum(axis=1)))
-                linked = (x @ y.T) / norms >= threshold
-                if same:
-                    np.fill_diagonal(linked, False)
-                x_links = linked @ np.array(row["y_copies"])
-                y_links = np.array(row["x_copies"]) @ linked
-                i_at, j_at = np.nonzero(linked)
-                if not len(i_at):
-                    continue
-                ids = x_ids if same else np.concatenate([x_ids, y_ids])
-                links = x_links if same else np.concatenate([x_links, y_links])
-                root = _roots(len(ids), i_at, j_at if same else j_at + len(x_ids))
-                used = np.flatnonzero(links)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[used]), pa.array(links[used].astype(np.int64)), pa.array(ids[root[used]])],
-                    names=["node", "links", "root"],
-                )
-
-    return both.select("a", "b", *[f"{p}_{c}" for p in "xy" for c in payload[:3]]).mapInArrow(
-        run, "node long, links long, root long"
-    )
+    def run(rows: pa.Table) -> pa.Table:
+        ids, copies = (rows.column(c).to_numpy() for c in ("node", "copies"))
+        vectors = _matrix(rows.column("vector").combine_chunks())
+        second = rows.column("second").to_numpy().astype(bool)
+        same = rows.column("a")[0] == rows.column("b")[0]
+        left, right = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(~second), np.flatnonzero(second))
+        x, y = vectors[left], vectors[right]
+        norms = np.outer(np.sqrt((x * x).sum(axis=1)), np.sqrt((y * y).sum(axis=1)))
+        linked = (x @ y.T) / norms >= threshold
+        if same:
+            np.fill_diagonal(linked, False)
+        links = np.zeros(len(ids), np.int64)
+        links[left] = linked @ copies[right]
+        if not same:
+            links[right] = copies[left] @ linked
+        i_at, j_at = np.nonzero(linked)
+        root = _roots(len(ids), left[i_at], right[j_at])
+        used = np.flatnonzero(links)
+        return pa.table({"node": ids[used], "links": links[used], "root": ids[root[used]]})
+
+    held = candidates.join(nodes.select("node", "copies", "vector"), "node")
+    return held.groupBy("a", "b").applyInArrow(run, "node long, links long, root long")
 
 
 def near_vectors(
@@ -259,8 +302,13 @@ def near_vectors(
     )
     numbered = distinct.withColumns({"node": F.monotonically_increasing_id(), "length": F.size("vector")})
     nodes = stored(numbered, "vectors")
-    leaves = stored(_leaves(stored(_placed(nodes, eps, dims), "placed-vectors"), dims), "leaves")
-    found = stored(_joined(_near_leaves(leaves, eps, dims), leaves, threshold), "vector-links")
+    cut = stored(_leaves(stored(_placed(nodes, eps, dims), "placed-vectors"), dims), "leaves")
+    most, width = cut.agg(F.max("made")).first()[0] or 0, FAN
+    while width <= most:
+        width *= FAN
+    leaves = cut.withColumn("place", F.col("part") * width + F.col("made"))
+    near = _candidates(_near_leaves(leaves, eps, dims), leaves, eps, dims)
+    found = stored(_joined(near, nodes, threshold), "vector-links")
     groups = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))
