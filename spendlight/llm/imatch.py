@@ -9,9 +9,10 @@ from spendlight.llm.slices import id_slices
 
 #: Share of documents that hold a term of the lexicon; an inverse document frequency between -ln of both.
 DF_BAND = (0.01, 0.1)
-#: Lexicon subsets (at most 16: two hex digits of a digest each), and how many in 256 terms a subset keeps.
-SUBSETS = 16
-KEEP = 6
+#: A text with fewer lexicon terms than this is signed by all its terms.
+LEAST = 16
+#: A term's subset, one of 64: two digits of its digest, of which the second counts by quarters.
+DIGITS, QUARTERS = "0123456789abcdef", "0000111122223333"
 #: Cells of the lookup table that a term's hash selects.
 CELLS = 1 << 16
 
@@ -44,35 +45,38 @@ def lexicon_cells(lex: DataFrame) -> Column:
     return F.split(F.lit("\n".join(cells)), "\n")
 
 
-def signature(text: Column, cells: Column, subsets: int = SUBSETS, keep: int = KEEP) -> Column:
-    """Array of one hash per lexicon subset, over the sorted lexicon terms that the text has in the subset.
+def signature(text: Column, cells: Column, least: int = LEAST) -> Column:
+    """Array of one entry per lexicon subset that the text has terms of: the subset's name and a hash of these terms.
 
-    The k-th byte of a term's digest puts it into subset k or not. A
-    subset without a term of the text gives ''. A text without any such term
-    has the hash of all its sorted terms in every place, or of itself where it
-    has no term, so that only equal ones agree.
+    A term's digest puts it into one of 64 random subsets, which together are
+    the whole lexicon; a subset's terms are hashed in sorted order. Texts with
+    the same entries have the same lexicon terms. A text with fewer than
+    ``least`` lexicon terms, such as one of a group so large that its own terms
+    are too frequent, or one of only rare words, is signed by all its terms in the
+    same way, and one without any term by itself.
     """
     known = lambda t: F.contains(
         F.get(cells, F.pmod(F.xxhash64(t), F.lit(CELLS)).cast("int")), F.concat(F.lit(" "), t, F.lit(" "))
     )
-    drawn = lambda d, k: F.substring(d, k * 2 + 1, 2) < f"{keep:02x}"
-    part = lambda h: F.substring(h, 1, 16)
+    name = lambda t: F.substring(t, 1, 2)
 
-    def of(terms: Column) -> Column:
-        marked = F.transform(
-            F.array_sort(F.filter(terms, known)), lambda t: F.struct(t.alias("term"), F.md5(t).alias("digest"))
-        )
+    def marked(term: Column) -> Column:
+        digest = F.substring(F.md5(term), 1, 2)
+        quarter = F.translate(F.substring(digest, 2, 1), DIGITS, QUARTERS)
+        return F.concat(F.substring(digest, 1, 1), quarter, term)
 
-        def hashes(m: Column) -> Column:
-            def subset(k: Column) -> Column:
-                kept = F.transform(F.filter(m, lambda x: drawn(x["digest"], k)), lambda x: x["term"])
-                return F.when(F.size(kept) > 0, part(F.md5(F.array_join(kept, " ")))).otherwise("")
+    def entries(terms: Column) -> Column:
+        def gap(x: Column, i: Column) -> Column:
+            return F.when(i == 0, "").when(name(x) == name(F.get(terms, i - 1)), " ").otherwise("\n")
 
-            return F.transform(F.sequence(F.lit(0), F.lit(subsets - 1)), subset)
+        # Sorted terms of one subset stand side by side: a line each.
+        lines = F.split(F.array_join(F.transform(terms, lambda x, i: F.concat(gap(x, i), x)), ""), "\n")
+        return F.transform(lines, lambda x: F.concat(name(x), F.substring(F.md5(x), 1, 8)))
 
-        rest = F.when(F.size(terms) > 0, F.array_join(F.array_sort(terms), " ")).otherwise(text)
-        plain = F.array_repeat(part(F.md5(rest)), subsets)
-        return bound(bound(marked, hashes), lambda h: F.when(F.exists(h, lambda x: x != ""), h).otherwise(plain))
+    def of(terms: Column) -> Column:
+        signed = bound(F.filter(terms, known), lambda k: F.when(F.size(k) >= least, k).otherwise(terms))
+        by_terms = bound(F.array_sort(F.transform(signed, marked)), entries)
+        return F.when(F.size(terms) > 0, by_terms).otherwise(F.array(F.concat(F.lit("no"), F.md5(text))))
 
     return bound(distinct_terms(text), of)
 
@@ -84,10 +88,8 @@ def bound(value: Column, body) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal hashes among the subsets that hold a term of either text."""
-    pairs = F.zip_with(a, b, lambda x, y: F.struct(x.alias("x"), y.alias("y")))
-    used = F.filter(pairs, lambda p: (p["x"] != "") | (p["y"] != ""))
-    same = F.filter(used, lambda p: p["x"] == p["y"])
-    return F.size(same) / F.size(used)
+    names = lambda entries: F.transform(entries, lambda x: F.substring(x, 1, 2))
+    return F.size(F.array_intersect(a, b)) / F.size(F.array_union(names(a), names(b)))
 
 
 def with_next(rows: DataFrame, docs: DataFrame, carried: list[str]) -> DataFrame:
@@ -118,43 +120,43 @@ def with_next(rows: DataFrame, docs: DataFrame, carried: list[str]) -> DataFrame
     return led.where("_at.guard = 0").drop("_slice", "_first", "_guards", "_wraps", "_at")
 
 
-def fingerprints(
-    docs: DataFrame, band: tuple[float, float] = DF_BAND, subsets: int = SUBSETS, keep: int = KEEP
-) -> DataFrame:
+def fingerprints(docs: DataFrame, band: tuple[float, float] = DF_BAND, least: int = LEAST) -> DataFrame:
     """One row per document: its fingerprint, that of its edited text, and their likeness.
 
     The edited text has the last quarter replaced by the start of the next
-    document. Null texts are empty ones. A fingerprint is the joined hashes of
+    document. Null texts are empty ones. A fingerprint is the joined entries of
     ``signature``; equal texts have equal ones. Only doc_id (a whole number)
     and text are read. An empty table gives no rows.
     """
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     cells = lexicon_cells(lexicon(base, band))
-    signed = base.withColumn("sig", signature(F.col("text"), cells, subsets, keep))
+    signed = base.withColumn("sig", F.array_join(signature(F.col("text"), cells, least), "-"))
     quarter = F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(
         F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))"),
         F.substring("next_text", F.lit(1), quarter),
     )
     pairs = with_next(signed, base.select("doc_id"), ["text", "sig"]).withColumn("edited", edited)
-    both = pairs.withColumn("edited_sig", signature(F.col("edited"), cells, subsets, keep))
+    both = pairs.withColumn("edited_sig", signature(F.col("edited"), cells, least))
+    own, after = F.split("sig", "-"), F.split("next_sig", "-")
     return both.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        F.array_join("sig", "-").alias("fingerprint"),
+        F.col("sig").alias("fingerprint"),
         F.array_join("edited_sig", "-").alias("edited_fingerprint"),
-        likeness(F.col("sig"), F.col("edited_sig")).alias("near_edited"),
-        likeness(F.col("sig"), F.col("next_sig")).alias("near_next"),
+        likeness(own, F.col("edited_sig")).alias("near_edited"),
+        likeness(own, after).alias("near_next"),
     )
 
 
-def oracle(band: tuple[float, float] = DF_BAND, subsets: int = SUBSETS, keep: int = KEEP) -> str:
+def oracle(band: tuple[float, float] = DF_BAND, least: int = LEAST) -> str:
     """The same fingerprints as DuckDB SQL."""
     words = r"list_distinct(regexp_split_to_array(lower(t), '[^\p{L}\p{N}]+'))"
+    mark = f"substr(md5(term), 1, 1) || translate(substr(md5(term), 2, 1), '{DIGITS}', '{QUARTERS}') || term"
+    names = lambda c: f"list_transform({c}, lambda e: substr(e, 1, 2))"
     like = lambda a, b: (
-        f"len(list_filter(range(1, {subsets + 1}), lambda k: {a}[k] = {b}[k] and {a}[k] <> ''))::double"
-        f" / len(list_filter(range(1, {subsets + 1}), lambda k: {a}[k] <> '' or {b}[k] <> ''))"
+        f"len(list_intersect({a}, {b}))::double / len(list_distinct(list_concat({names(a)}, {names(b)})))"
     )
     return f"""
     with base as (
@@ -168,24 +170,21 @@ def oracle(band: tuple[float, float] = DF_BAND, subsets: int = SUBSETS, keep: in
     ), texts as (
         select r, 0 as kind, text as t from base union all select r, 1, edited from paired
     ), termed as (select r, kind, t, list_filter({words}, lambda w: w <> '') as terms from texts),
+    occurring as (select r, kind, unnest(terms) as term from termed),
     frequent as (
-        select term from (select unnest(terms) as term from termed where kind = 0) group by term
+        select term, true as lex from occurring where kind = 0 group by term
         having count(*) between (select count(*) from base) * {band[0]}::double
                and (select count(*) from base) * {band[1]}::double
-    ), inside as (
-        select r, kind, list_sort(list(term)) as lex from (select r, kind, unnest(terms) as term from termed)
-        semi join frequent using (term) group by r, kind
-    ), hashed as (
-        select r, kind, t, terms, list_transform(range(0, {subsets}), lambda k:
-            list_filter(coalesce(lex, []), lambda x: substr(md5(x), (2 * k + 1)::int, 2) < '{keep:02x}')) as kept
-        from termed left join inside using (r, kind)
+    ), known as (
+        select r, kind, term, coalesce(lex, false) as lex, count(lex) over (partition by r, kind) as n_lex
+        from occurring left join frequent using (term)
+    ), subsets as (
+        select r, kind, substr(marked, 1, 2) as name, string_agg(marked, ' ' order by marked) as line
+        from (select r, kind, {mark} as marked from known where lex or n_lex < {least}) group by r, kind, name
+    ), entries as (
+        select r, kind, list(name || substr(md5(line), 1, 8) order by name) as sig from subsets group by r, kind
     ), signed as (
-        select r, kind, case when len(flatten(kept)) > 0
-            then list_transform(kept, lambda s:
-                case when len(s) > 0 then substr(md5(array_to_string(s, ' ')), 1, 16) else '' end)
-            else list_transform(range(0, {subsets}), lambda k: substr(md5(case when len(terms) > 0
-                then array_to_string(list_sort(terms), ' ') else t end), 1, 16)) end as sig
-        from hashed
+        select r, kind, coalesce(sig, ['no' || md5(t)]) as sig from termed left join entries using (r, kind)
     )
     select p.doc_id, p.n_chars::bigint as n_chars, sha256(p.edited) as edited_sha256,
            array_to_string(a.sig, '-') as fingerprint, array_to_string(e.sig, '-') as edited_fingerprint,

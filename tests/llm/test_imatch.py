@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from shared import clashing_documents, no_documents, odd_documents, rows_of
 
@@ -48,6 +49,50 @@ def test_equal_texts_have_equal_fingerprints(spark):
     assert found[1000].near_next == 1.0
 
 
+def near_copies(n, of, rng):
+    """n texts of the words ``of``, each with one word of its own in a random place."""
+    texts = []
+    for i in range(n):
+        words = list(of)
+        words[rng.randrange(len(words))] = f"own{i}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_near_copies_that_are_a_third_of_all_rows_are_alike(spark):
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    hot = near_copies(200, rng.sample(vocabulary, 175), rng)
+    other = [" ".join(rng.choices(vocabulary, k=150)) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(hot + other)), "doc_id long, text string")
+    found = sorted(imatch.fingerprints(docs).collect())
+    assert min(r.near_next for r in found[:199]) > 0.9
+    assert max(r.near_next for r in found[199:]) < 0.2
+    assert len({r.fingerprint for r in found}) == 600
+
+
+def test_texts_of_rare_words_only(spark):
+    rng = random.Random(4)
+    texts = [t for k in range(150) for t in near_copies(2, [f"rare{k}x{j}" for j in range(40)], rng)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = sorted(imatch.fingerprints(docs).collect())
+    assert all((r.near_next > 0.8) if i % 2 == 0 else (r.near_next < 0.1) for i, r in enumerate(found))
+
+
+def test_equal_fingerprints_have_equal_lexicon_terms(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.choice([1, 2, 5, 30]))) for _ in range(500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lexicon = {r.term for r in imatch.lexicon(docs).collect()}
+    signed = {}
+    for r in imatch.fingerprints(docs).collect():
+        terms = set(texts[r.doc_id].split())
+        inside = terms & lexicon
+        signed.setdefault(r.fingerprint, set()).add(frozenset(inside if len(inside) >= imatch.LEAST else terms))
+    assert all(len(terms) == 1 for terms in signed.values())
+
+
 def test_odd_documents(spark):
     found = imatch.fingerprints(odd_documents(spark))
     rows = {r.doc_id: r for r in found.collect()}
