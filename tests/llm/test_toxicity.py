@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -81,3 +82,29 @@ def test_without_labels_nothing_is_rejected(spark):
     model = toxicity.fit(docs, labels)
     assert {(r.score, r.predicted) for r in toxicity.score(docs, model).collect()} == {(0.0, 0)}
     assert toxicity.clean(docs, model).count() == 12
+
+
+def test_weights_are_those_of_a_plain_dictionary():
+    rng = random.Random(8)
+    rows = [(sorted(rng.sample(range(1, 60), rng.randrange(0, 12))), rng.random()) for _ in range(600)]
+    rows = [(found, int(7 in found or chance < 0.05)) for found, chance in rows]
+    state, z, n = toxicity.Ftrl(), {}, {}
+    alpha, beta, l1 = 3.0, 1.0, 4.0
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) * alpha / (beta + math.sqrt(n[i]))
+
+    for found, label in rows:
+        state.learn(np.array(found, np.int32), label)
+        every = [*found, 1 << toxicity.FEATURE_BITS]
+        before = {i: weight(i) for i in every}
+        slope = 1 / (1 + math.exp(-sum(before.values()))) - label
+        for i in every:
+            old = n.get(i, 0.0)
+            n[i] = old + slope**2
+            z[i] = z.get(i, 0.0) + slope - (math.sqrt(n[i]) - math.sqrt(old)) / alpha * before[i]
+    expected = [weight(i) for i in range(60)]
+    assert any(expected) and not all(expected)
+    assert np.allclose(state.weights(slice(0, 60)), expected, rtol=1e-9, atol=1e-12)
