@@ -127,7 +127,8 @@ def _leaves(placed: DataFrame, dims: int) -> DataFrame:
     names = ["part", "made", "label", "length", "lo", "hi", "nodes", "spots"]
     kind = placed.schema["label"].dataType.simpleString()
     schema = f"part long, made long, label {kind}, length int, lo array<double>, hi array<double>"
-    return ordered.select("node", "label", "length", "spot").mapInArrow(run, f"{schema}, nodes array<long>, spots binary")
+    schema += ", nodes array<long>, spots binary"
+    return ordered.select("node", "label", "length", "spot").mapInArrow(run, schema)
 
 
 def _near_leaves(leaves: DataFrame, eps: float, dims: int) -> DataFrame:
@@ -203,13 +204,15 @@ def _candidates(pairs: DataFrame, leaves: DataFrame, eps: float, dims: int) -> D
     near = eps * eps + SLACK
 
     def side(key: str, p: str) -> DataFrame:
-        return leaves.select(F.col("place").alias(key), F.col("nodes").alias(f"{p}_nodes"), F.col("spots").alias(f"{p}_spots"))
+        held = [F.col(c).alias(f"{p}_{c}") for c in ("nodes", "spots")]
+        return leaves.select(F.col("place").alias(key), *held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
                 a, b, x_ids, x_spots, y_ids, y_spots = (batch.column(c)[i].as_py() for c in names)
-                x, y = (np.frombuffer(s, np.float32).reshape(-1, dims + 1).astype(np.float64) for s in (x_spots, y_spots))
+                flat = (np.frombuffer(s, np.float32).astype(np.float64) for s in (x_spots, y_spots))
+                x, y = (spots.reshape(-1, dims + 1) for spots in flat)
                 hits = _near_spots(x, y, near, a == b)
                 for second, (ids, hit) in enumerate(zip((x_ids, y_ids), hits)):
                     found = np.array(ids, np.int64)[hit]
