@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+from functools import lru_cache, reduce
+from typing import NamedTuple
 
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,11 @@ from pyspark.sql import functions as F
 
 #: The wording of notices by which a licence is recognised.
 TEMPLATES = {
+    "AGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero"
+        " General Public License as published by the Free Software Foundation, either version 3 of the License, or (at"
+        " your option) any later version.",
+    ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in"
@@ -20,51 +26,6 @@ TEMPLATES = {
         " CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing"
         " permissions and limitations under the License.",
     ],
-    "BSD-3-Clause": [
-        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
-        "Licensed under the BSD 3-Clause License.",
-    ],
-    "CC-BY-4.0": [
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    ],
-    "CC-BY-NC-4.0": [
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-    ],
-    "CC-BY-SA-4.0": [
-        "Licensed under CC BY-SA 4.0.",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-    ],
-    "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General"
-        " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your"
-        " option) any later version.",
-    ],
-    "LGPL-3.0": ["This library is licensed under the GNU Lesser General Public License, version 3."],
-    "MIT": [
-        "Released under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
-        " documentation files (the \"Software\"), to deal in the Software without restriction, including without"
-        " limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of"
-        " the Software, and to permit persons to whom the Software is furnished to do so, subject to the following"
-        " conditions: The above copyright notice and this permission notice shall be included in all copies or"
-        " substantial portions of the Software.",
-    ],
-    "MPL-2.0": [
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL"
-        " was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
-    ],
-}
-
-#: Notices that only windows are compared with; several differ by a word from one above.
-FURTHER_TEMPLATES = {
-    "AGPL-3.0": [
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero"
-        " General Public License as published by the Free Software Foundation, either version 3 of the License, or (at"
-        " your option) any later version.",
-    ],
     "BSD-2-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
         " the following conditions are met: 1. Redistributions of source code must retain the above copyright notice,"
@@ -73,6 +34,8 @@ FURTHER_TEMPLATES = {
         " other materials provided with the distribution.",
     ],
     "BSD-3-Clause": [
+        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+        "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
         " the following conditions are met: 1. Redistributions of source code must retain the above copyright notice,"
         " this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the"
@@ -81,7 +44,21 @@ FURTHER_TEMPLATES = {
         " its contributors may be used to endorse or promote products derived from this software without specific"
         " prior written permission.",
     ],
-    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0."],
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0.",
+    ],
+    "CC-BY-4.0": [
+        "Licensed under CC BY 4.0.",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    ],
+    "CC-BY-NC-4.0": [
+        "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    ],
+    "CC-BY-SA-4.0": [
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ],
     "EPL-2.0": [
         "This program and the accompanying materials are made available under the terms of the Eclipse Public License"
         " 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
@@ -91,20 +68,48 @@ FURTHER_TEMPLATES = {
         " Public License as published by the Free Software Foundation; either version 2 of the License, or (at your"
         " option) any later version.",
     ],
+    "GPL-3.0": [
+        "This work is licensed under the GNU General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General"
+        " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your"
+        " option) any later version.",
+    ],
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
         " granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ],
+    "LGPL-2.0": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library"
+        " General Public License as published by the Free Software Foundation; either version 2 of the License, or (at"
+        " your option) any later version.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation; either version 2 of the License, or (at"
+        " your option) any later version.",
+    ],
     "LGPL-2.1": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
         " General Public License as published by the Free Software Foundation; either version 2.1 of the License, or"
         " (at your option) any later version.",
     ],
     "LGPL-3.0": [
+        "This library is licensed under the GNU Lesser General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser"
         " General Public License as published by the Free Software Foundation, either version 3 of the License, or (at"
         " your option) any later version.",
     ],
+    "MIT": [
+        "Released under the MIT License.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
+        " documentation files (the \"Software\"), to deal in the Software without restriction, including without"
+        " limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of"
+        " the Software, and to permit persons to whom the Software is furnished to do so, subject to the following"
+        " conditions: The above copyright notice and this permission notice shall be included in all copies or"
+        " substantial portions of the Software.",
+    ],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL"
+        " was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ],
     "Unlicense": [
         "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,"
         " publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary,"
@@ -118,49 +123,71 @@ FURTHER_TEMPLATES = {
 
 #: Words that say little of a licence.
 COMMON = frozenset(
-    "0 1 2 3 4 a above an and any anyone are arising as at be binary by can code conditions copy file following for form"
-    " found free from held hereby in is it its later library list means modify no notice of on or other program"
-    " provided purpose source terms that the this to under use with without work you your appear authors available basis"
-    " charge commercial deal distribute do domain event express files forms general if materials may met must option"
-    " version either except fee included including into non public will".split()
+    "0 1 2 3 4 a above an and any anyone are as at be by can code file following for form found free from in is it "
+    "its later list means no of on or other source that the this to under use with without work you your appear "
+    "available basis charge do event files forms general if may met must option version either except included "
+    "including into non public will".split()
 )
+
 #: Cells of the lookup table that a bigram's hash selects.
 CELLS = 1 << 14
-PARAGRAPHS = "\n(?: *\n)+"
 
-NOT_WORD = r"[^\p{L}\p{N}\n]+"
+NOT_WORD = r"[^\p{L}\p{N}]+"
+
+
+class Template(NamedTuple):
+    """A notice: its bigrams, the first of them, and those of its version number.
+
+    A match shares ``least`` bigrams or more and spans ``most`` or fewer.
+    """
+
+    name: str
+    least: int
+    most: int
+    grams: list[str]
+    opening: str
+    version: list[str]
+
+
+def words_of(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+", text.lower())
 
 
 def bigrams(text: str) -> list[str]:
     """Distinct word bigrams of a template, as the scan forms them."""
-    words = re.findall(r"[^\W_]+", text.lower())
+    words = words_of(text)
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
+def version_bigrams(name: str, text: str) -> list[str]:
+    """The bigrams of the first version number, from the word before it to its last part.
+
+    A figure in the name of a BSD licence counts clauses and is no version.
+    """
+    words = words_of(text)
+    at = next((i for i, w in enumerate(words) if w.isdigit()), None)
+    if at is None or name.startswith("BSD-"):
+        return []
+    end = next((i for i in range(at, len(words)) if not words[i].isdigit()), len(words))
+    return [f"{words[i - 1]} {words[i]}" for i in range(at, end)]
+
+
 def size_bounds(n: int, threshold: float) -> tuple[int, int]:
     """Bigram counts that can reach the threshold against n: 2 min / (a + b) bounds Dice."""
     reach = [x for x in range(1, int(n * 2 / threshold) + 2) if 2 * min(x, n) / (x + n) >= threshold]
     return reach[0], reach[-1]
 
 
-def _template_rows(threshold: float) -> list[tuple[str, int, int, list[str]]]:
-    return [
-        (name, *size_bounds(len(grams), threshold), grams)
-        for name in sorted(TEMPLATES)
-        for grams in map(bigrams, TEMPLATES[name])
-    ]
-
-
-def _window_rows(threshold: float) -> list[tuple[str, int, int, list[str], list[str]]]:
-    """Name, least shared bigrams, most bigrams in a row, bigrams and those with a version number, by template."""
-    rows = []
-    for name, text in [(n, t) for ts in (TEMPLATES, FURTHER_TEMPLATES) for n in sorted(ts) for t in ts[n]]:
-        grams = bigrams(text)
-        least, most = size_bounds(len(grams), threshold)
-        repeated = len(re.findall(r"[^\W_]+", text)) - 1 - len(grams)
-        version = [] if name.startswith("BSD-") else [g for g in grams if re.search(r"\b\d+$", g)]
-        rows.append((name, least, most + repeated, grams, version))
-    return rows
+def templates(threshold: float) -> list[Template]:
+    found = []
+    for name in sorted(TEMPLATES):
+        for text in TEMPLATES[name]:
+            grams, words = bigrams(text), words_of(text)
+            least, most = size_bounds(len(grams), threshold)
+            repeated = len(words) - 1 - len(grams)
+            version = version_bigrams(name, text)
+            found.append(Template(name, least, most + repeated, grams, " ".join(words[:2]), version))
+    return found
 
 
 @lru_cache
@@ -171,9 +198,9 @@ def key_words(threshold: float) -> list[str]:
     miss all of those that hold a key word once they are more than n - least.
     """
     keys: set[str] = set()
-    for _, least, _, grams, _ in _window_rows(threshold):
-        pairs = [set(g.split()) for g in grams]
-        while sum(bool(p & keys) for p in pairs) <= len(grams) - least:
+    for t in templates(threshold):
+        pairs = [set(g.split()) for g in t.grams]
+        while sum(bool(p & keys) for p in pairs) <= len(t.grams) - t.least:
             left = [w for p in pairs if not p & keys for w in p]
             keys.add(min(set(left), key=lambda w: (w in COMMON, -left.count(w), w)))
     return sorted(keys)
@@ -190,239 +217,258 @@ def _sql_text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _templates(threshold: float) -> Column:
-    rows = ", ".join(
-        f"named_struct('name', {_sql_text(name)}, 'least', {least}, 'most', {most},"
-        f" 'grams', array({', '.join(f'xxhash64({_sql_text(a)}, {_sql_text(b)})' for a, b in map(str.split, grams))}))"
-        for name, least, most, grams in _template_rows(threshold)
-    )
-    return F.expr(f"array({rows})")
+def _constant(values: list, kind: str = "bigint") -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
-def _window_templates(threshold: float) -> tuple[Column, Column]:
-    """The templates of windows, and a constant array of CELLS texts that holds '1' where a bigram of one falls."""
-    longs = lambda grams: f"cast(array({', '.join(f'{_bigram_hash(g)}L' for g in grams)}) as array<bigint>)"
-    found = _window_rows(threshold)
-    rows = ", ".join(
-        f"named_struct('name', {_sql_text(name)}, 'least', {least}, 'most', {most}, 'grams', {longs(grams)},"
-        f" 'version', {longs(version)})"
-        for name, least, most, grams, version in found
-    )
-    taken = {_bigram_hash(g) % CELLS for _, _, _, grams, _ in found for g in grams}
-    cells = F.split(F.lit(",".join("1" if c in taken else "0" for c in range(CELLS))), ",")
-    return F.expr(f"array({rows})"), cells
+def _bound(value: Column, body) -> Column:
+    """body(value), with the value worked out once per row."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _notices(words: Column, cover: Column, known: Column, threshold: float) -> Column:
-    """Notices inside the word sequence, by windows: minus_surplus, minus_dice, name, first and last bigram, inside.
+def _marked(words: Column, threshold: float) -> Column:
+    """The bigrams of a word sequence: at, before, member, opening, version.
 
-    A window starts and ends on a bigram of its template, as any best one
-    does, and has at most as many bigrams as the template's size range. From
-    each start the best end counts. A template with a version number needs it
-    in the window. Of overlapping windows the one with most shared bigrams
-    beyond the threshold stays. ``cover`` is the Dice of the best matching unit
-    around each word: inside one a window needs more, and a name that is not
-    ``known`` from the units.
+    ``before`` is the place of the same bigram before, or -1, so a bigram is new
+    in a window that starts beyond it. The others are sets of templates as bits:
+    those that hold it, start with it, and have it in their version.
     """
-    templates, cells = _window_templates(threshold)
-
-    def of_template(t: Column, marks: Column, hashes: Column) -> Column:
-        def from_starts(at: Column) -> Column:
-            def from_start(i: Column) -> Column:
-                first = F.get(at, i)
-                # At least ``least`` bigrams of the template from first to last; positions ascend by 1 or more.
-                lasts = F.filter(F.slice(at, i + t["least"], t["most"]), lambda p: p - first < t["most"])
-
-                def window(last: Column) -> Column:
-                    def scored(part: Column) -> Column:
-                        shared = F.size(F.array_intersect(part, t["grams"]))
-                        total = F.size(F.array_distinct(part)) + F.size(t["grams"])
-                        ok = (F.size(t["version"]) == 0) | F.arrays_overlap(part, t["version"])
-                        return F.struct(
-                            F.when(ok, shared * -2.0 / total).otherwise(0.0).alias("minus_dice"),
-                            (total * threshold - shared * 2.0).alias("minus_surplus"),
-                            first.alias("first"),
-                            last.alias("last"),
-                        )
-
-                    return _bound(F.slice(hashes, first + 1, last - first + 1), scored)
-
-                return F.array_min(F.transform(lasts, window))
-
-            near = F.filter(
-                F.sequence(F.lit(0), F.size(at) - t["least"]),
-                lambda i: F.get(at, i + t["least"] - 1) - F.get(at, i) < t["most"],
+    known = templates(threshold)
+    grams = sorted({g for t in known for g in t.grams})
+    bits = lambda held: _constant([sum(1 << i for i, t in enumerate(known) if held(t, g)) for g in grams])
+    sets = {
+        "member": bits(lambda t, g: g in t.grams),
+        "opening": bits(lambda t, g: g == t.opening),
+        "version": bits(lambda t, g: g in t.version),
+    }
+    hashes = [_bigram_hash(g) for g in grams]
+    taken = {h % CELLS for h in hashes}
+    cells = _constant([int(c in taken) for c in range(CELLS)], "int")
+
+    def place(h: Column) -> Column:
+        hit = F.get(cells, F.pmod(h, F.lit(CELLS)).cast("int")) == 1
+        return F.when(hit, F.array_position(_constant(hashes), h) - 1).otherwise(-1).cast("int")
+
+    def with_sets(x: Column) -> Column:
+        return _bound(
+            place(x["hash"]),
+            lambda k: F.struct(
+                x["at"], x["before"], *(F.coalesce(F.get(v, k), F.lit(0)).alias(c) for c, v in sets.items())
+            ),
+        )
+
+    def with_before(by_hash: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            last = F.get(by_hash, i - 1)
+            before = F.when(last["hash"] == x["hash"], last["at"]).otherwise(-1)
+            return F.struct(x["at"].alias("at"), before.alias("before"), x["hash"].alias("hash"))
+
+        return F.sort_array(F.transform(by_hash, one))
+
+    pairs = F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0)))
+    placed = F.transform(pairs, lambda b, i: F.struct(F.xxhash64(F.get(words, i), b).alias("hash"), i.alias("at")))
+    return F.transform(_bound(F.sort_array(placed), with_before), with_sets)
+
+
+def _windows(marked: Column, threshold: float) -> Column:
+    """Runs of words that reach the threshold: minus_surplus, minus_dice, name, first and last bigram.
+
+    A window starts on the template's first bigram, or on one of its bigrams that
+    follows no other of it: from there to the left Dice only grows. It ends on
+    a bigram of the template, has no more bigrams, repeats counted, than the size
+    range allows, and the whole version number. From each start the end with
+    the highest Dice counts, found in one pass that counts bigrams as they come.
+    """
+    rows = ", ".join(
+        f"named_struct('name', {_sql_text(t.name)}, 'bit', {1 << i}L, 'n', {len(t.grams)}, 'least', {t.least},"
+        f" 'most', {t.most}, 'version', {len(set(t.version))})"
+        for i, t in enumerate(templates(threshold))
+    )
+    nothing = F.lit(None).cast("struct<minus_dice: double, minus_surplus: double, last: int>")
+
+    def of_template(t: Column, marks: Column) -> Column:
+        def from_start(first: Column) -> Column:
+            def step(acc: Column, x: Column) -> Column:
+                new, member = x["before"] < first, x["member"].bitwiseAND(t["bit"]) != 0
+                total = acc["total"] + new.cast("int")
+                shared = acc["shared"] + (new & member).cast("int")
+                version = acc["version"] + (new & (x["version"].bitwiseAND(t["bit"]) != 0)).cast("int")
+                here = F.struct(
+                    (shared * -2.0 / total).alias("minus_dice"),
+                    (total * threshold - shared * 2.0).alias("minus_surplus"),
+                    x["at"].alias("last"),
+                )
+                ends = member & (version == t["version"]) & (shared * 2.0 / total >= threshold)
+                return F.struct(
+                    total.alias("total"), shared.alias("shared"), version.alias("version"),
+                    F.when(ends, F.least(acc["best"], here)).otherwise(acc["best"]).alias("best"),
+                )
+
+            start = F.struct(
+                t["n"].alias("total"), F.lit(0).alias("shared"), F.lit(0).alias("version"), nothing.alias("best")
             )
-            found = F.filter(F.transform(near, from_start), lambda w: w["minus_dice"] <= -threshold)
-            named = F.transform(
-                found,
-                lambda w: F.struct(
-                    w["minus_surplus"], w["minus_dice"], t["name"].alias("name"), w["first"], w["last"],
-                    F.array_max(F.slice(cover, w["first"] + 1, w["last"] - w["first"] + 2)).alias("inside"),
+            best = F.aggregate(F.slice(marked, first + 1, t["most"]), start, step, lambda acc: acc["best"])
+            return _bound(
+                best,
+                lambda b: F.when(
+                    b.isNotNull(),
+                    F.struct(
+                        b["minus_surplus"].alias("minus_surplus"), b["minus_dice"].alias("minus_dice"),
+                        t["name"].alias("name"), first.alias("first"), b["last"].alias("last"),
+                    ),
                 ),
             )
-            return F.when(F.size(at) >= t["least"], named).otherwise(F.array().cast(NOTICES))
 
-        inside = F.filter(marks, lambda m: F.array_contains(t["grams"], m["hash"]))
-        return _bound(F.transform(inside, lambda m: m["at"]), from_starts)
+        def starts(mine: Column) -> Column:
+            def is_start(m: Column, i: Column) -> Column:
+                follows = F.coalesce(F.get(mine, i - 1)["at"] == m["at"] - 1, F.lit(False))
+                opens = m["opening"].bitwiseAND(t["bit"]) != 0
+                enough = F.get(mine, i + t["least"] - 1)["at"] - m["at"] < t["most"]
+                return (opens | ~follows) & enough
 
-    def of_hashes(hashes: Column) -> Column:
-        marks = F.filter(
-            F.transform(hashes, lambda h, i: F.struct(i.alias("at"), h.alias("hash"))),
-            lambda m: F.get(cells, F.pmod(m["hash"], F.lit(CELLS)).cast("int")) == "1",
-        )
-        return _bound(marks, lambda m: F.flatten(F.transform(templates, lambda t: of_template(t, m, hashes))))
+            at = F.transform(F.filter(mine, is_start), lambda m: m["at"])
+            return F.filter(F.transform(at, from_start), lambda w: w.isNotNull())
 
-    def new(w: Column) -> Column:
-        return (w["inside"] == 0.0) | ((-w["minus_dice"] > w["inside"]) & ~F.array_contains(known, w["name"]))
+        return _bound(F.filter(marks, lambda m: m["member"].bitwiseAND(t["bit"]) != 0), starts)
+
+    marks = F.filter(marked, lambda m: m["member"] != 0)
+    return _bound(marks, lambda m: F.flatten(F.transform(F.expr(f"array({rows})"), lambda t: of_template(t, m))))
+
+
+def _apart(windows: Column) -> Column:
+    """Windows that share no word: those with most shared bigrams beyond the threshold go first.
+
+    Windows are cut into groups between which no window reaches, and chosen
+    within each, so a text of many notices takes time in proportion.
+    """
+
+    def chosen(group: Column) -> Column:
+        def free(kept: Column, w: Column) -> Column:
+            return ~F.exists(kept, lambda k: (k["first"] <= w["last"] + 1) & (w["first"] <= k["last"] + 1))
 
-    def best_apart(found: Column) -> Column:
-        apart = lambda kept, w: ~F.exists(
-            kept, lambda k: (k["first"] <= w["last"] + 1) & (w["first"] <= k["last"] + 1)
-        )
         return F.aggregate(
-            F.array_sort(found),
+            F.sort_array(group),
             F.array().cast(NOTICES),
-            lambda kept, w: F.when(apart(kept, w), F.concat(kept, F.array(w))).otherwise(kept),
+            lambda kept, w: F.when(free(kept, w), F.concat(kept, F.array(w))).otherwise(kept),
         )
 
-    hashes = F.transform(F.slice(words, 2, F.size(words) - 1), lambda b, i: F.xxhash64(F.get(words, i), b))
-    return best_apart(F.filter(_bound(hashes, of_hashes), new))
+    def of_sorted(ordered: Column) -> Column:
+        def of_lasts(lasts: Column) -> Column:
+            # As many windows have ended before the i-th one starts as there are before it.
+            cut = F.filter(
+                F.transform(ordered, lambda o, i: F.struct(o["first"].alias("first"), i.alias("i"))),
+                lambda x: (x["i"] == 0) | (F.get(lasts, x["i"] - 1) + 1 < x["first"]),
+            )
+            cuts = F.transform(cut, lambda x: x["i"])
+            groups = _bound(
+                cuts,
+                lambda c: F.transform(
+                    c, lambda at, k: F.slice(ordered, at + 1, F.coalesce(F.get(c, k + 1), F.size(ordered)) - at)
+                ),
+            )
+            return F.flatten(F.transform(groups, lambda g: chosen(F.transform(g, lambda o: o["window"]))))
 
+        return _bound(F.sort_array(F.transform(ordered, lambda o: o["window"]["last"])), of_lasts)
 
-NOTICES = "array<struct<minus_surplus: double, minus_dice: double, name: string, first: int, last: int, inside: double>>"
+    by_first = F.transform(windows, lambda w: F.struct(w["first"].alias("first"), w.alias("window")))
+    return _bound(F.sort_array(by_first), of_sorted)
 
 
-def _bound(value: Column, body) -> Column:
-    """body(value), with the value worked out once per row."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+NOTICES = "array<struct<minus_surplus: double, minus_dice: double, name: string, first: int, last: int>>"
 
 
 def license_hits(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """One row per document: doc_id, license, dice, n_hits, licenses.
 
-    Lines, paragraphs (between blank lines) and the whole text are compared
-    with each template whose size allows ``threshold``; the others are skipped
-    before any bigram is looked at. Texts with a key word of some template are
-    searched for notices inside the units too, see ``_notices``. ``license`` is
-    the best match (first by name among equals), ``n_hits`` the units that
-    match some template and the notices outside of these, ``licenses`` the
-    sorted names of all matches. Case, punctuation and runs of
-    white space don't count. A text with one line is one unit, not three. Null
-    and empty texts have license null, dice 0, n_hits 0 and licenses ''. Only
-    doc_id and text are read. The work is row by row: nothing is shuffled.
+    Every run of words whose size allows ``threshold`` for a template is
+    compared with it by Dice over distinct word bigrams, see ``_windows``: a
+    notice is found on lines of its own, across lines, and among other words.
+    Texts without a key word of any template are passed over, as they can't
+    reach the threshold. ``n_hits`` counts the notices, which share no word;
+    ``licenses`` are their sorted names and ``license`` the one of highest Dice,
+    the first by name among equals. A notice needs its template's version number,
+    all parts of it. Only the wording counts: "not released under the MIT
+    License" is a hit. Case, punctuation and white space don't matter. Null and
+    empty texts have license null, dice 0, n_hits 0 and licenses ''. Equal rows
+    give equal rows, an empty table none. The time for a text grows with its
+    words times those of a template, also where it is one long list of notices.
+    Only doc_id and text are read. The work is row by row: nothing is shuffled.
     """
-    least = min(r[1] for r in _template_rows(threshold))
-    most = max(r[2] for r in _template_rows(threshold))
-    templates = _templates(threshold)
-    none_of_words = F.array().cast("array<array<string>>")
-
-    def words(unit: Column) -> Column:
-        return F.filter(F.split(unit, "[ \n]"), lambda w: w != "")
-
-    def feasible(unit_words: Column) -> Column:
-        # n words have n - 1 bigrams at most, and k distinct words at least k - 1 distinct bigrams.
-        return (F.size(unit_words) > least) & (F.size(F.array_distinct(unit_words)) <= most + 1)
-
-    def grams(w: Column) -> Column:
-        # As 64-bit hashes: sets of numbers are several times cheaper than sets of texts.
-        return F.array_distinct(F.transform(F.slice(w, 2, F.size(w) - 1), lambda b, i: F.xxhash64(F.get(w, i), b)))
-
-    def matches(g: Column) -> Column:
-        sized = F.filter(templates, lambda t: F.size(g).between(t["least"], t["most"]))
-        shared = lambda t: F.size(F.array_intersect(g, t["grams"]))
-        scored = F.transform(
-            sized,
-            lambda t: F.struct(
-                (shared(t) * -2.0 / (F.size(g) + F.size(t["grams"]))).alias("minus_dice"), t["name"].alias("name")
-            ),
-        )
-        return F.filter(scored, lambda h: h["minus_dice"] <= -threshold)
-
-    none = F.array().cast("array<string>")
-    paragraphs = F.when(F.col("_flat").rlike("\n *\n"), F.split("_flat", PARAGRAPHS)).otherwise(none)
-    whole = F.when(F.size("_lines") > 1, F.array("_words")).otherwise(none_of_words)
-    units = F.concat("_lines", F.transform(paragraphs, words), whole)
-    # One step per transform: a lambda's argument is worked out once, a nested expression at every use.
-    hits = F.transform(F.transform(F.filter("_units", feasible), grams), matches)
-    names = F.transform(F.flatten("_hits"), lambda h: h["name"])
-
-    def spread(unit_words: Column) -> Column:
-        """The Dice of a unit's best match, 0 without one, for each of its words."""
-        found = F.flatten(F.transform(F.transform(F.filter(F.array(unit_words), feasible), grams), matches))
-        return F.array_repeat(-F.coalesce(F.array_min(found)["minus_dice"], F.lit(0.0)), F.size(unit_words))
-
-    def greatest(a: Column, b: Column) -> Column:
-        return F.zip_with(a, b, lambda x, y: F.greatest(x, y))
-
-    # Lines and paragraphs have the words of the text in their order, so the figures stand beside the words.
-    of_lines = F.flatten(F.transform("_lines", spread))
-    of_paragraphs = F.flatten(F.transform(F.transform(F.split("_flat", PARAGRAPHS), words), spread))
-    cover = F.when(
-        F.size("_hits") > 0, greatest(greatest(of_lines, of_paragraphs), spread(F.col("_words")))
-    ).otherwise(F.transform("_words", lambda w: F.lit(0.0)))
-    holds_key = F.arrays_overlap("_words", F.array(*map(F.lit, key_words(threshold))))
-    windows = F.when(
-        holds_key,
-        _bound(cover, lambda c: _bound(F.array_distinct(names), lambda k: _notices(F.col("_words"), c, k, threshold))),
-    ).otherwise(F.array().cast(NOTICES))
-    inner = F.transform("_windows", lambda w: F.struct(w["minus_dice"].alias("minus_dice"), w["name"].alias("name")))
-    best = F.array_min("_all")
-    flat = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), NOT_WORD, " ")
+    holds_key = reduce(lambda a, b: a | b, (F.contains(F.col("_low"), F.lit(k)) for k in key_words(threshold)))
+    words = F.filter(F.split("_low", NOT_WORD), lambda w: w != "")
+    found = _bound(_bound(words, lambda w: _marked(w, threshold)), lambda m: _apart(_windows(m, threshold)))
+    best = F.array_min(F.transform("_found", lambda w: F.struct(w["minus_dice"].alias("minus_dice"), w["name"])))
+    names = F.array_sort(F.array_distinct(F.transform("_found", lambda w: w["name"])))
     return (
-        docs.select("doc_id", flat.alias("_flat"))
-        .select("doc_id", "_flat", F.transform(F.split("_flat", "\n"), words).alias("_lines"))
-        .select("doc_id", "_flat", "_lines", F.flatten("_lines").alias("_words"))
-        .select("doc_id", "_flat", "_lines", "_words", units.alias("_units"))
-        .select("doc_id", "_flat", "_lines", "_words", F.filter(hits, lambda h: F.size(h) > 0).alias("_hits"))
-        .select("doc_id", "_hits", windows.alias("_windows"))
-        .select("doc_id", "_hits", "_windows", F.concat(F.flatten("_hits"), inner).alias("_all"))
+        docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("_low"))
+        .select("doc_id", F.when(holds_key, found).otherwise(F.array().cast(NOTICES)).alias("_found"))
+        .select("doc_id", "_found", best.alias("_best"))
         .select(
             "doc_id",
-            best["name"].alias("license"),
-            F.coalesce(-best["minus_dice"], F.lit(0.0)).alias("dice"),
-            (F.size("_hits") + F.size(F.filter("_windows", lambda w: w["inside"] == 0.0))).cast("long").alias("n_hits"),
-            F.array_join(F.array_sort(F.array_distinct(F.transform("_all", lambda h: h["name"]))), ",").alias(
-                "licenses"
-            ),
+            F.col("_best.name").alias("license"),
+            F.coalesce(-F.col("_best.minus_dice"), F.lit(0.0)).alias("dice"),
+            F.size("_found").cast("long").alias("n_hits"),
+            F.array_join(names, ",").alias("licenses"),
         )
     )
 
 
 def oracle(threshold: float = 0.8) -> str:
-    """The scan of whole units as DuckDB SQL; it has no windows."""
+    """The scan as DuckDB SQL: all starts and ends by template, then the best that share no word."""
+    texts = lambda values: f"[{', '.join(map(_sql_text, values))}]::varchar[]"
     rows = ", ".join(
-        f"({_sql_text(name)}, {least}, {most}, [{', '.join(map(_sql_text, grams))}])"
-        for name, least, most, grams in _template_rows(threshold)
+        f"({i}, {_sql_text(t.name)}, {t.least}, {t.most}, {texts(t.grams)}, {_sql_text(t.opening)}, {texts(t.version)})"
+        for i, t in enumerate(templates(threshold))
     )
     return rf"""
-    with templates(name, least, most, grams) as (values {rows}),
-    flat as (
-        select row_number() over () as r, doc_id,
-               regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') as t from documents
-    ), units as (
-        select r, unnest(string_split(t, chr(10))) as u from flat
-        union all select r, unnest(regexp_split_to_array(t, '
-( *
-)+')) from flat where regexp_matches(t, '
- *
-')
-        union all select r, t from flat where contains(t, chr(10))
-    ), worded as (
-        select row_number() over () as k, r,
-               list_filter(string_split(replace(u, chr(10), ' '), ' '), lambda w: w <> '') as w from units
+    with recursive templates(tid, name, least, most, grams, opening, version) as (values {rows}),
+    members as (select tid, unnest(grams) as g from templates),
+    worded as (
+        select row_number() over () as r, doc_id, list_filter(string_split(
+            regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> '') as w
+        from documents
     ), grammed as (
-        select k, r, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as g from worded
-    ), hits as (
-        select k, r, name, len(list_intersect(g, grams)) * 2.0::double / (len(g) + len(grams)) as dice
-        from grammed join templates on len(g) between least and most
+        select r, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) as gs from worded
+    ), placed as (
+        select r, unnest(gs) as g, generate_subscripts(gs, 1) as p from grammed
+    ), marked as (
+        select r, tid, p, g, lag(p) over (partition by r, tid order by p) as before from placed join members using (g)
+    ), starts as (
+        select r, tid, p as first from marked join templates using (tid)
+        where g = opening or before is null or before <> p - 1
+    ), parts as (
+        select s.r, s.tid, first, p as last, list_distinct(gs[first:p]) as part
+        from starts s join templates t using (tid) join marked m on m.r = s.r and m.tid = s.tid
+        join grammed on grammed.r = s.r
+        where p between first + least - 1 and first + most - 1
+    ), counted as (
+        select r, tid, name, first, last, len(list_intersect(part, grams)) as shared, len(part) + len(grams) as total
+        from parts join templates using (tid) where list_has_all(part, version)
+    ), scored as (
+        select r, name, first, last, tid, shared * -2.0::double / total as minus_dice,
+               total * {threshold}::double - shared * 2.0::double as minus_surplus
+        from counted where shared * 2.0::double / total >= {threshold}::double
+    ), ended as (
+        select * from scored
+        qualify row_number() over (partition by r, tid, first order by minus_dice, minus_surplus, last) = 1
+    ), listed as (
+        select r, list({{'name': name, 'minus_dice': minus_dice, 'first': first, 'last': last}}
+                       order by minus_surplus, minus_dice, name, first, last) as rest
+        from ended group by r
+    ), chosen(r, found, rest) as (
+        select r, rest[:0], rest from listed
+        union all
+        select r, list_append(found, rest[1]),
+               list_filter(rest, lambda w: w.first > rest[1].last + 1 or rest[1].first > w.last + 1)
+        from chosen where len(rest) > 0
+    ), notices as (
+        select r, unnest(found) as hit from chosen where len(rest) = 0
     ), best as (
-        select r, arg_min(name, struct_pack(d := -dice, n := name)) as license, max(dice) as dice,
-               count(distinct k) as n_hits,
-               array_to_string(list_sort(list_distinct(list(name))), ',') as licenses
-        from hits where dice >= {threshold} group by r
+        select r, arg_min(hit.name, {{'d': hit.minus_dice, 'n': hit.name}}) as license, -min(hit.minus_dice) as dice,
+               count(*) as n_hits, array_to_string(list_sort(list(distinct hit.name)), ',') as licenses
+        from notices group by r
     )
     select doc_id, license, coalesce(dice, 0.0::double) as dice, coalesce(n_hits, 0)::bigint as n_hits,
            coalesce(licenses, '') as licenses
-    from flat left join best using (r)
-    """.replace("\\", "\\"[0])
+    from worded left join best using (r)
+    """
