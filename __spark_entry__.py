@@ -282,18 +282,22 @@ def dim_campaign_stable(m: Model) -> DataFrame:
     return star.campaign_dimension(m.raw.campaigns, star.campaign_keys(first))
 
 
-def incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The published fact after a build without conversions and one that reads the days from the 15th on again."""
-    raw = adapters.from_events(spark, sf_dir)
-    output, database = scratch_dir(spark, "versions"), f"spendlight_{uuid.uuid4().hex[:12]}"
-    days, since = star.days_between(raw.span), F.lit("2024-01-15").cast("date")
-    before = raw.conversions.where(F.col("conversion_date") < since)
-    build.update(spark, raw.ad_events, before, raw.campaigns, days, output, database, version="v1")
-    again = ("2024-01-15", "9999-12-31")
-    build.update(
-        spark, raw.ad_events, raw.conversions, raw.campaigns, days, output, database, dates=again, version="v2"
-    )
-    return _plain(spark.table(f"{database}.fact_campaign_daily"))
+def rebuilt(table: str) -> Query:
+    """A published table after a build without late conversions and one that reads the days from the 15th on again."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = adapters.from_events(spark, sf_dir)
+        output, database = scratch_dir(spark, "versions"), f"spendlight_{uuid.uuid4().hex[:12]}"
+        days, since = star.days_between(raw.span), F.lit("2024-01-15").cast("date")
+        before = raw.conversions.where(F.col("conversion_date") < since)
+        build.update(spark, raw.ad_events, before, raw.campaigns, days, output, database, version="v1")
+        again = ("2024-01-15", "9999-12-31")
+        build.update(
+            spark, raw.ad_events, raw.conversions, raw.campaigns, days, output, database, dates=again, version="v2"
+        )
+        return _plain(spark.table(f"`{database}`.`{table}`"))
+
+    return query
 
 
 def distinct_campaigns_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -420,7 +424,10 @@ def ad_queries() -> dict[str, Query]:
         "stream_daily_metrics": stream_daily_metrics,
         "stream_closed_days": stream_closed_days,
         "stream_roas_alerts": stream_roas_alerts,
-        "incremental_fact": incremental_fact,
+        "incremental_fact": rebuilt("fact_campaign_daily"),
+        "incremental_mart_channel": rebuilt("mart_channel_summary"),
+        "incremental_mart_campaign": rebuilt("mart_campaign_summary"),
+        "incremental_mart_monthly": rebuilt("mart_monthly_summary"),
     }
 
 

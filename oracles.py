@@ -622,6 +622,9 @@ def oracle_sql() -> dict[str, str]:
             " FROM dim_campaign"
         ),
         "incremental_fact": _a(_FACT),
+        "incremental_mart_channel": _a(_CHANNELS),
+        "incremental_mart_campaign": _a(_CAMPAIGNS),
+        "incremental_mart_monthly": _a(_MONTHLY),
         "distinct_campaigns_by_period": _a(" UNION ALL ".join(
             f"SELECT '{period}' AS period, CAST({start} AS DATE) AS first_day, channel,"
             " COUNT(DISTINCT campaign_key) AS campaigns FROM fact GROUP BY ALL"

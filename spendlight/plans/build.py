@@ -13,16 +13,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendlight.functions import masked_key
-from spendlight.operators import marts, quality, star
+from spendlight.operators import increments, marts, quality, star
 from spendlight.operators.joins import broadcast_if_small
 from spendlight.plans import mart_sql, versions
-from spendlight.schemas import FOREIGN_KEYS, PRIMARY_KEYS, RAW, STAR, required_columns
+from spendlight.schemas import PRIMARY_KEYS, RAW, STAR, required_columns
 from spendlight.session import build_session
 from spendlight.sources import catalog, files
 
 
 KEYS = T.StructType([STAR["dim_campaign"]["campaign_id"], STAR["dim_campaign"]["campaign_key"]])
 BY_DATE = ("fact_campaign_daily", "mart_campaign_daily")
+TOTALS = {"totals_by_campaign": increments.BY_CAMPAIGN, "totals_by_day": increments.BY_DAY}
+# The totals hold every key of the fact, however old, in a row per campaign or day and channel.
+TOTALS_FOREIGN_KEYS = [
+    ("totals_by_campaign", "campaign_key", "dim_campaign"),
+    ("totals_by_day", "date_key", "dim_date"),
+]
 
 
 def write_star(
@@ -66,13 +72,38 @@ def register_star(spark: SparkSession, database: str, folder: str) -> None:
         catalog.register_parquet(spark, database, name, f"{folder.rstrip('/')}/{name}", schema, partition)
 
 
+def write_totals(
+    spark: SparkSession, whole: DataFrame, new: DataFrame, folder: str, database: str, version: str,
+    dates: tuple[str, str] | None,
+) -> dict[str, DataFrame]:
+    """Write and register the totals that the marts are built from, and give them as read back.
+
+    A build over some ``dates`` changes the published totals by these days: of
+    the fact it reads the days as they were and as they are, ``new``. Without dates, or
+    where no totals are published, they are those of the ``whole`` fact.
+    """
+    kept = {}
+    for name, by in TOTALS.items():
+        if dates and catalog.published_version(spark, database, name):
+            old = spark.table(f"`{database}`.`fact_campaign_daily`")
+            changed = old.where(F.col("date").between(*(F.lit(d).cast("date") for d in dates)))
+            rows = increments.after(spark.table(f"`{database}`.`{name}`"), changed, new, by)
+        else:
+            rows = increments.totals(whole, by)
+        path = f"{folder.rstrip('/')}/{name}"
+        files.write_parquet(rows, path)
+        catalog.register_parquet(spark, database, catalog.versioned(name, version), path, rows.schema)
+        kept[name] = files.read_parquet(spark, path, rows.schema)
+    return kept
+
+
 def build_marts(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    fact, dim_campaign, dim_date = (tables[t] for t in ("fact_campaign_daily", "dim_campaign", "dim_date"))
+    """The marts of channels, campaigns and months, from the totals."""
+    campaigns, days = tables["totals_by_campaign"], tables["totals_by_day"]
     return {
-        "mart_channel_summary": marts.channel_summary(fact),
-        "mart_campaign_summary": marts.campaign_summary(fact, dim_campaign),
-        "mart_monthly_summary": marts.monthly_summary(fact, dim_date),
-        "mart_campaign_daily": marts.campaign_daily(fact),
+        "mart_channel_summary": marts.channel_summary(campaigns),
+        "mart_campaign_summary": marts.campaign_summary(campaigns, tables["dim_campaign"]),
+        "mart_monthly_summary": marts.monthly_summary(days, tables["dim_date"]),
     }
 
 
@@ -121,11 +152,11 @@ def write_days(
 
 
 def check_star(tables: dict[str, DataFrame]) -> DataFrame:
-    """Constraints of the star schema, checked over all rows."""
+    """Constraints of the star schema over all rows of the tables; references over the totals, which hold all keys."""
     reports = [
         quality.primary_keys(tables, PRIMARY_KEYS),
         quality.not_null_columns(tables, {name: required_columns(schema) for name, schema in STAR.items()}),
-        quality.foreign_keys(tables, FOREIGN_KEYS),
+        quality.foreign_keys(tables, TOTALS_FOREIGN_KEYS),
         quality.metrics_reconcile(tables["fact_campaign_daily"]),
     ]
     out = reports[0]
@@ -178,7 +209,9 @@ def update(
     Each version writes a folder of its own below ``output`` and the published
     names show it once everything is written; one that fails before leaves the last
     as it was. With ``dates`` (first and last, included) only these days are read
-    from the raw tables and written; the others stay in the folders they are in.
+    from the raw tables and written; the others stay in the folders they are in, and are
+    not read: the marts and the check of references come from totals that change by these
+    days, and the other checks read what is new.
     Campaigns keep the keys they once got. Versions that are no longer wanted
     go by ``versions.expire``.
     """
@@ -199,12 +232,12 @@ def update(
     daily = marts.campaign_daily(tables["fact_campaign_daily"])
     files.write_by_date(daily, f"{folder}/mart_campaign_daily", whole=True)
     rows = {"fact_campaign_daily": tables["fact_campaign_daily"], "mart_campaign_daily": daily}
-    whole = write_days(spark, rows, folder, database, version, dates)
-    tables["fact_campaign_daily"] = whole["fact_campaign_daily"]
-    built = {name: mart for name, mart in build_marts(tables).items() if name not in BY_DATE}
+    whole = write_days(spark, rows, folder, database, version, dates)["fact_campaign_daily"]
+    tables |= write_totals(spark, whole, tables["fact_campaign_daily"], folder, database, version, dates)
+    built = build_marts(tables)
     write_marts(spark, built, folder, database, version)
     files.write_csv(daily, f"{folder}/csv/mart_campaign_daily")
-    for name in [*plain, *BY_DATE, *built]:
+    for name in [*plain, *TOTALS, *BY_DATE, *built]:
         catalog.publish(spark, database, name, version)
     report = check_star(tables)
     if users is not None:
