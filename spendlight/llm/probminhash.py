@@ -22,7 +22,9 @@ REGISTERS = 193
 BANDS, ROWS = 32, 6
 #: Buckets up to this many texts give all their pairs; larger ones are compared with their first text, then in blocks.
 SMALL = 8
+#: A block holds about this many texts, or as many as have this many bytes; a longer text is one by itself.
 BLOCK = 256
+BLOCK_BYTES = 1 << 22
 #: Share of equal registers under which a pair of a large bucket isn't verified: five deviations below SIMILAR.
 ESTIMATE = SIMILAR - 5 * (SIMILAR * (1 - SIMILAR) / REGISTERS) ** 0.5
 
@@ -190,20 +192,24 @@ def _joined_groups(members: DataFrame, texts: DataFrame) -> DataFrame:
                 at += len(chunk)
 
     wanted = texts.join(members.select("node").distinct(), "node").select("node", "text")
-    signed = stored(wanted.mapInArrow(sign, "node long, text string, sign binary"), "signatures")
-    groups = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    largest = F.max(F.struct("n", F.col("component").alias("main"))).alias("top")
-    cut = groups.groupBy("bucket").agg(largest, F.sum("n").alias("size")).select(
+    signed = wanted.mapInArrow(sign, "node long, text string, sign binary")
+    signed = stored(signed.withColumn("bytes", F.octet_length("text").cast("long")), "signatures")
+    sized = members.join(signed.select("node", "bytes"), "node")
+    groups = sized.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    largest = F.max(F.struct("n", F.col("component").alias("main"), "bytes")).alias("top")
+    blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES)).cast("int")
+    n, size = F.col("top.n"), F.col("top.bytes")
+    cut = groups.groupBy("bucket").agg(largest, F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).select(
         "bucket",
         "top.main",
-        F.ceil(F.col("top.n") / BLOCK).cast("int").alias("main_blocks"),
-        F.ceil((F.col("size") - F.col("top.n")) / BLOCK).cast("int").alias("rest_blocks"),
+        blocks(n, size).alias("main_blocks"),
+        blocks(F.col("n") - n, F.col("bytes") - size).alias("rest_blocks"),
     )
     spread = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     block = F.when(F.col("component") == F.col("main"), spread("main_blocks")).otherwise(
         F.col("main_blocks") + spread("rest_blocks")
     )
-    # A block holds about BLOCK texts however large its bucket is.
+    # A block holds about BLOCK texts or BLOCK_BYTES, however large its bucket is.
     packed = (
         members.join(cut, "bucket")
         .withColumn("block", block)
@@ -352,6 +358,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     is the one that stays. Texts shorter than a shingle are one shingle; texts
     without a word (the empty one too) are only like equal ones. A null text is
     its own class and stays, and so does its row. Of repeated rows one stays.
+    Very long texts are compared whole; blocks of them hold fewer texts.
     Null ids come after all others. Only doc_id and text are read.
     """
     rows = _sketches(docs)

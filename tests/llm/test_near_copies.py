@@ -79,9 +79,10 @@ def test_classes_are_those_of_all_pairs(spark, monkeypatch, small):
     assert kept == sorted(set(expected))
 
 
-@pytest.mark.parametrize("block", [256, 7])
-def test_blocks_join_groups_that_the_first_text_of_a_bucket_leaves_apart(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, block_bytes", [(256, 1 << 22), (7, 1 << 22), (256, 900)])
+def test_blocks_join_groups_that_the_first_text_of_a_bucket_leaves_apart(spark, monkeypatch, block, block_bytes):
     monkeypatch.setattr(probminhash, "BLOCK", block)
+    monkeypatch.setattr(probminhash, "BLOCK_BYTES", block_bytes)
     texts = texts_with_copies()
     ids = list(range(len(texts)))
     bands = probminhash.bands_of(probminhash.signatures(texts)).tolist()
@@ -148,3 +149,20 @@ def test_components_of_chains_stars_and_rings(spark, few):
     rest = [links[i] for i in range(len(links)) if i % 3]
     merged = merged_components(first, spark.createDataFrame(rest, "a long, b long"), few)
     assert {r.node: r.component for r in merged.collect()} == expected
+
+
+def test_very_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(probminhash, "BLOCK_BYTES", 1 << 16)
+    monkeypatch.setattr(probminhash, "SMALL", 2)
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(99999)}" for _ in range(150_000)]
+    texts = []
+    for n in range(12):
+        words = list(base)
+        for at in rng.sample(range(len(words)), 1000 + n):
+            words[at] = "z"
+        texts.append(" ".join(words))
+    texts += [" ".join(f"v{rng.randrange(99999)}" for _ in range(150_000)) for _ in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.class_id for r in probminhash.near_duplicates(docs).collect()}
+    assert [found[i] for i in range(14)] == [0] * 12 + [12, 13]
