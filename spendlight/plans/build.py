@@ -78,16 +78,19 @@ def write_totals(
 ) -> dict[str, DataFrame]:
     """Write and register the totals that the marts are built from, and give them as read back.
 
-    A build over some ``dates`` changes the published totals by these days: of
-    the fact it reads the days as they were and as they are, ``new``. Without dates, or
-    where no totals are published, they are those of the ``whole`` fact.
+    A build over some ``dates`` changes the totals of the published fact's version
+    by these days: of the fact it reads the days as they were and as they are, ``new``.
+    Without dates, or where that version has no totals, they are those of the
+    ``whole`` fact.
     """
+    before = catalog.published_version(spark, database, "fact_campaign_daily") if dates else None
+    of_version = lambda name: f"`{database}`.`{catalog.versioned(name, before)}`"
     kept = {}
     for name, by in TOTALS.items():
-        if dates and catalog.published_version(spark, database, name):
-            old = spark.table(f"`{database}`.`fact_campaign_daily`")
+        if before and spark.catalog.tableExists(of_version(name)):
+            old = spark.table(of_version("fact_campaign_daily"))
             changed = old.where(F.col("date").between(*(F.lit(d).cast("date") for d in dates)))
-            rows = increments.after(spark.table(f"`{database}`.`{name}`"), changed, new, by)
+            rows = increments.after(spark.table(of_version(name)), changed, new, by)
         else:
             rows = increments.totals(whole, by)
         path = f"{folder.rstrip('/')}/{name}"
